@@ -93,7 +93,8 @@ def move_segments(needs: DataFrame) -> DataFrame:
         }
     )
     upto = F.least("next_at", "donor.end", "receiver.end")
-    return runs.where(F.col("at") < upto).select(
+    both = F.col("donor").isNotNull() & F.col("receiver").isNotNull()
+    return runs.where(both & (F.col("at") < upto)).select(
         *ROUTE_DAY,
         F.col("donor.hour").alias("from_hour"),
         F.col("receiver.hour").alias("to_hour"),

@@ -144,3 +144,26 @@ def stop_detail_payloads(fact: DataFrame, route_no: str | None = None, date=None
     fields = ["pass_buses", "board_total", "alight_total", "board_per_bus", "link_distance_m", "stop_name"]
     rows = stop_detail_by_hour(fact, route_no, date, stop_seq)
     return hour_payloads(rows, "stop_detail", ["route_no", "date", "stop_seq"], fields)
+
+
+def forecast_payloads(fact: DataFrame, start: str | dt.date, days: int = S.FORECAST_DAYS) -> DataFrame:
+    """One JSON document per route with all hours of the coming days in order."""
+    rows = forecast_weekday(fact, start, days)
+    hour = F.struct(
+        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        "hour",
+        "forecast_departures",
+        "forecast_headway_min",
+        "forecast_board_per_bus",
+        "crowded_flag",
+    )
+    body = F.struct(
+        F.lit(True).alias("ok"),
+        F.lit("forecast").alias("action"),
+        "route_no",
+        F.lit(str(start)).alias("start"),
+        F.lit(days).alias("days"),
+        "hours",
+    )
+    grouped = rows.groupBy("route_no").agg(F.sort_array(F.collect_list(hour)).alias("hours"))
+    return grouped.select("route_no", F.to_json(body, {"ignoreNullFields": "false"}).alias("payload"))

@@ -146,47 +146,62 @@ def hour_tag(hour: int) -> str:
 # ---------------------------------------------------------------------------
 # Canonical tables
 # ---------------------------------------------------------------------------
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def struct(columns: str) -> T.StructType:
+    """'name type [not null], ...' as a schema, without a running session."""
+    fields = []
+    for column in columns.split(","):
+        name, kind, *rest = column.split()
+        fields.append(T.StructField(name, _TYPES[kind], nullable=rest != ["not", "null"]))
+    return T.StructType(fields)
 
 
-OPS_HOURLY = _struct(
+OPS_HOURLY = struct(
     "date date not null, route_no string not null, rte_id string, stop_id string not null, "
     "stop_seq int, hour int not null, ops bigint"
 )
-DIM_ROUTE_MAP = _struct("route_key string not null, rte_id string not null, route_no string not null")
-DIM_STOP_LINK = _struct(
+DIM_ROUTE_MAP = struct("route_key string not null, rte_id string not null, route_no string not null")
+DIM_STOP_LINK = struct(
     "route_key string not null, stop_id string not null, stop_seq int not null, link_distance_m double"
 )
-DEMAND_DAILY_STOP = _struct(
+DEMAND_DAILY_STOP = struct(
     "date date not null, rte_id string, route_no string not null, stop_id string not null, "
     "stop_name string, board_total bigint, alight_total bigint, reg_ymd date"
 )
-DEMAND_MONTHLY_HOURLY = _struct(
+DEMAND_MONTHLY_HOURLY = struct(
     "use_ym string not null, route_no string not null, stop_id string not null, hour int not null, "
     "stop_name string, board_total bigint, alight_total bigint, reg_ymd date"
 )
-DAILY_STOP_HOUR = _struct(
+DAILY_STOP_HOUR = struct(
     "date date not null, route_id string, route_no string not null, stop_id string not null, "
     "hour int not null, board double, alight double, stop_name string, stop_seq int, ops bigint, "
     "link_distance_m double"
 )
-PREDICTIONS = _struct(
+PREDICTIONS = struct(
     "route_no string not null, date date not null, hour int not null, stop_id string not null, "
     "stop_seq int, stop_name string, pass_buses double, pred_board double, pred_alight double, "
     "board_per_bus double, alight_per_bus double, onboard_per_bus double"
 )
-FINAL_SCHEDULE = _struct(
+FINAL_SCHEDULE = struct(
     "route_no string not null, bus_id string not null, date date not null, stop_seq int not null, "
     "stop_id string, stop_name string, arrival_ts timestamp_ntz, arrival_hour int"
 )
-FINAL_ALLOCATION = _struct(
+FINAL_ALLOCATION = struct(
     "route_no string not null, bus_id string not null, date date not null, stop_seq int not null, "
     "stop_id string, stop_name string, arrival_ts timestamp_ntz, arrival_hour int, "
     "board_total double, alight_total double, board_per_bus double, alight_per_bus double, "
     "onboard_before double, onboard_after double, crowding string"
 )
-RUN_LEDGER = _struct(
+RUN_LEDGER = struct(
     "id bigint not null, job_name string not null, target_date date not null, "
     "status string not null, message string, created_at timestamp_ntz"
 )

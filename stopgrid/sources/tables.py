@@ -28,7 +28,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
 
-def _passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = (F.col("user_id") % 12 + 1).cast("int")
     return events(spark, sf_dir).select(
         F.col("event_type").alias("route_no"),
@@ -45,7 +45,7 @@ def _passes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_stop_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed fact table: one row per route, date, stop and hour."""
     return (
-        _passes(spark, sf_dir)
+        passes(spark, sf_dir)
         .groupBy("route_no", "date", "stop_seq", "stop_id", "hour", "link_distance_m")
         .agg(
             F.count("*").alias("ops"),
@@ -69,7 +69,7 @@ def ops_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         for h in range(24)
     ]
     rows = (
-        _passes(spark, sf_dir)
+        passes(spark, sf_dir)
         .groupBy("route_no", "date", "stop_seq", "stop_id")
         .agg(*counts, F.count("*").cast("string").alias("ops_day"))
     )
@@ -107,7 +107,7 @@ def ops_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_daily_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-number boardings and alightings per route, date and stop."""
     return (
-        _passes(spark, sf_dir)
+        passes(spark, sf_dir)
         .groupBy("route_no", "date", "stop_seq", "stop_id")
         .agg(
             F.floor(F.sum("board")).cast("bigint").alias("board_total"),
@@ -129,7 +129,7 @@ def demand_daily_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_monthly_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per month, route, stop and hour; hours without events have no row."""
     return (
-        _passes(spark, sf_dir)
+        passes(spark, sf_dir)
         .groupBy(C.month_of("date").alias("use_ym"), "route_no", "stop_seq", "stop_id", "hour")
         .agg(
             F.floor(F.sum("board")).cast("bigint").alias("board_total"),
@@ -163,7 +163,7 @@ def dim_route_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_stop_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances with gaps: null at sequence 7, 0 at 5, unknown ids at 4, 8 and 12."""
-    stops = _passes(spark, sf_dir).select("route_no", "stop_id", "stop_seq", "link_distance_m").distinct()
+    stops = passes(spark, sf_dir).select("route_no", "stop_id", "stop_seq", "link_distance_m").distinct()
     seq = F.col("stop_seq")
     return stops.select(
         route_key("route_no").alias("route_key"),
@@ -198,7 +198,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plan_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Departures n and load l per route, date and hour."""
     return (
-        _passes(spark, sf_dir)
+        passes(spark, sf_dir)
         .groupBy("route_no", "date", "hour")
         .agg(F.count("*").alias("n"), F.sum("board").cast("double").alias("l"))
     )
