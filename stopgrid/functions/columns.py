@@ -62,11 +62,18 @@ def use_ym(date_text: Column | str) -> Column:
 
 
 def month_of(date: Column | str) -> Column:
-    return F.date_format(_c(date), "yyyyMM")
+    """'YYYYMM' of a date."""
+    return F.substring(compact_date(date), 1, 6)
 
 
 def compact_date(date: Column | str) -> Column:
-    return F.date_format(_c(date), "yyyyMMdd")
+    return F.replace(_c(date).cast("string"), F.lit("-"), F.lit(""))
+
+
+def two_digits(number: Column | str) -> Column:
+    """At least two digits with a leading zero."""
+    text = _c(number).cast("string")
+    return F.when(_c(number) < 10, F.concat(F.lit("0"), text)).otherwise(text)
 
 
 def hour_index(date: Column | str, hour: Column | str) -> Column:
@@ -122,10 +129,10 @@ def is_crowded(load: Column | str) -> Column:
     return F.coalesce((_c(load) > S.CROWDED_LOAD).cast("int"), F.lit(0))
 
 
-def metres_per_minute(hour: Column) -> Column:
+def in_peak(us_of_day: Column) -> Column:
+    """Whether a time in microseconds since midnight lies in a rush hour."""
+    us = F.pmod(us_of_day, F.lit(S.US_PER_DAY))
     peak = F.lit(False)
     for first, last in S.PEAK_HOURS:
-        peak = peak | hour.between(first, last)
-    return F.when(peak, F.lit(S.PEAK_KMH * 1000.0 / 60.0)).otherwise(
-        F.lit(S.OFF_PEAK_KMH * 1000.0 / 60.0)
-    )
+        peak = peak | ((us >= first * S.US_PER_HOUR) & (us < (last + 1) * S.US_PER_HOUR))
+    return peak

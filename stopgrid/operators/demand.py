@@ -123,43 +123,40 @@ def stop_days_from_long(ops: DataFrame) -> DataFrame:
     return winners.select("date", "route_no", "rte_id", "stop_id", F.inline(visits))
 
 
-def disaggregate(days: DataFrame, daily: DataFrame, monthly: DataFrame | None) -> DataFrame:
-    """Daily totals spread over the hours, still one row per stop and day.
-
-    Hours of the array gain board = daily total x board weight, alight likewise;
-    a stop without totals counts 0, an hour without weight takes 1/24.
-    """
+def with_demand(days: DataFrame, daily: DataFrame, monthly: DataFrame | None) -> DataFrame:
+    """Stop days with their daily totals and the 24 weights of their month."""
     totals = daily.groupBy(*DAY_KEYS).agg(
         F.max("stop_name").alias("stop_name"),
         F.max("board_total").alias("board_day"),
         F.max("alight_total").alias("alight_day"),
     )
-    joined = days.join(totals, DAY_KEYS, "left").withColumn("use_ym", C.month_of("date"))
+    joined = days.join(totals, DAY_KEYS, "left")
     if monthly is None:
         none = F.lit(None).cast("array<double>")
-        joined = joined.withColumns({"w_board": none, "w_alight": none})
-    else:
-        joined = joined.join(monthly_profiles(monthly), MONTH_KEYS, "left")
+        return joined.withColumns({"w_board": none, "w_alight": none})
+    profiles = monthly_profiles(monthly)
+    return joined.withColumn("use_ym", C.month_of("date")).join(profiles, MONTH_KEYS, "left").drop("use_ym")
+
+
+def spread_hours(days: DataFrame) -> DataFrame:
+    """One row per hour with board = daily total x board weight, alight likewise.
 
-    def spread(total: str, weights: str, hour: Column) -> Column:
-        weight = F.coalesce(F.get(F.col(weights), hour), F.lit(S.UNIFORM_WEIGHT))
+    A stop without totals counts 0, an hour without weight takes 1/24.
+    """
+
+    def estimate(total: str, weights: str) -> Column:
+        weight = F.coalesce(F.get(F.col(weights), F.col("hour")), F.lit(S.UNIFORM_WEIGHT))
         return F.coalesce(F.col(total), F.lit(0)).cast("double") * weight
 
-    return joined.withColumn(
-        "hours",
-        F.transform(
-            "hours",
-            lambda x: x.withField("board", spread("board_day", "w_board", x["hour"])).withField(
-                "alight", spread("alight_day", "w_alight", x["hour"])
-            ),
-        ),
-    ).drop("use_ym", "w_board", "w_alight", "board_day", "alight_day")
+    rows = days.select(*[c for c in days.columns if c != "hours"], F.inline("hours"))
+    return rows.withColumns(
+        {"board": estimate("board_day", "w_board"), "alight": estimate("alight_day", "w_alight")}
+    ).drop("board_day", "alight_day", "w_board", "w_alight")
 
 
 def disaggregate_demand(ops: DataFrame, daily: DataFrame, monthly: DataFrame | None) -> DataFrame:
     """Estimated boardings and alightings per (date, route, stop, hour)."""
-    days = disaggregate(stop_days_from_long(ops), daily, monthly)
-    return days.select(*[c for c in days.columns if c != "hours"], F.inline("hours"))
+    return spread_hours(with_demand(stop_days_from_long(ops), daily, monthly))
 
 
 # -- link distances ---------------------------------------------------------
@@ -188,15 +185,6 @@ def daily_stop_hour(
     days: DataFrame, daily: DataFrame, monthly: DataFrame | None, links: DataFrame
 ) -> DataFrame:
     """The flat stop-hour fact table from stop days, demand and link distances."""
-    estimated = disaggregate(days, daily, monthly).withColumn("route_key", F.col("rte_id"))
-    full = fill_links(estimated, links)
-    return full.select(
-        "date",
-        F.col("route_key").alias("route_id"),
-        "route_no",
-        "stop_id",
-        "stop_name",
-        "stop_seq",
-        "link_distance_m",
-        F.inline("hours"),
-    ).select(*S.DAILY_STOP_HOUR.fieldNames())
+    rows = with_demand(days, daily, monthly).withColumn("route_key", F.col("rte_id"))
+    full = spread_hours(fill_links(rows, links))
+    return full.withColumn("route_id", F.col("route_key")).select(*S.DAILY_STOP_HOUR.fieldNames())

@@ -82,7 +82,11 @@ def split_of(date: Column | str, bounds: Split) -> Column:
 
 
 def with_split(rows: DataFrame, bounds: Split) -> DataFrame:
-    return rows.withColumn("split", split_of("date", bounds)).where(F.col("split").isNotNull())
+    """Rows inside any window, with its name; the range filter reaches the scan."""
+    inside = F.lit(False)
+    for first, last in bounds.values():
+        inside = inside | F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    return rows.where(inside).withColumn("split", split_of("date", bounds))
 
 
 # -- history windows --------------------------------------------------------
@@ -170,41 +174,51 @@ def minmax_long(minmax: DataFrame, features: list[str] = FEATURES) -> DataFrame:
     )
 
 
-def scaled_windows(windows: DataFrame, minmax: DataFrame, features: list[str] = FEATURES) -> DataFrame:
-    """Every value of `past` as (x - min) / range of its route; a zero range counts as 1."""
+def scale_features(rows: DataFrame, minmax: DataFrame, features: list[str] = FEATURES) -> DataFrame:
+    """Each feature as (x - min) / range of its route; a zero range counts as 1."""
 
-    def scale(row: Column) -> Column:
-        fields = []
-        for f in features:
-            span = F.col(f"{f}_max") - F.col(f"{f}_min")
-            fields.append(
-                ((row[f] - F.col(f"{f}_min")) / F.when(span == 0, F.lit(1.0)).otherwise(span)).alias(f)
-            )
-        return F.struct(*fields)
+    def scaled(f: str) -> Column:
+        low, span = F.col(f"{f}_min"), F.col(f"{f}_max") - F.col(f"{f}_min")
+        return (F.col(f) - low) / F.when(span == 0, F.lit(1.0)).otherwise(span)
 
     return (
-        windows.join(minmax, "route_no")
-        .withColumn("past", F.transform("past", scale))
+        rows.join(minmax, "route_no")
+        .withColumns({f: scaled(f) for f in features})
         .drop(*[f"{f}_{end}" for f in features for end in ("min", "max")])
     )
 
 
+def scaled_windows(
+    rows: DataFrame, minmax: DataFrame, series: list[str], features: list[str] = FEATURES
+) -> DataFrame:
+    """Windows of scaled values; rows are scaled once, before each enters 24 windows."""
+    return sequence_windows(scale_features(rows, minmax, features), series, features=features)
+
+
 # -- demand model -----------------------------------------------------------
-def model_input(scaled: DataFrame, features: list[str] = FEATURES, hashed_stops: int = 64) -> DataFrame:
+def model_input(windows: DataFrame, features: list[str] = FEATURES,
+                length: int = S.SEQUENCE_LENGTH, hashed_stops: int = 64) -> DataFrame:
     """The flattened window plus the hashed stop as one vector column.
 
-    Stops are hashed, so no list of stops is gathered on the driver.
+    Stops are hashed, so no list of stops is gathered on the driver; the size hint
+    spares a job that would look for the vector's length.
     """
-    from pyspark.ml.feature import FeatureHasher, VectorAssembler
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import FeatureHasher, VectorAssembler, VectorSizeHint
     from pyspark.ml.functions import array_to_vector
 
     flat = F.flatten(F.transform("past", lambda r: F.array(*[r[f] for f in features])))
-    rows = scaled.withColumn("window", array_to_vector(flat)).withColumn(
+    rows = windows.withColumn("window", array_to_vector(flat)).withColumn(
         "stop", F.concat_ws("/", "route_no", "stop_id")
     )
-    hashed = FeatureHasher(inputCols=["stop"], outputCol="stop_vec", numFeatures=hashed_stops)
-    assembled = VectorAssembler(inputCols=["window", "stop_vec"], outputCol="x")
-    return assembled.transform(hashed.transform(rows)).drop("window", "stop_vec", "stop", "past")
+    steps = Pipeline(
+        stages=[
+            VectorSizeHint(inputCol="window", size=length * len(features)),
+            FeatureHasher(inputCols=["stop"], outputCol="stop_vec", numFeatures=hashed_stops),
+            VectorAssembler(inputCols=["window", "stop_vec"], outputCol="x"),
+        ]
+    )
+    return steps.fit(rows).transform(rows).drop("window", "stop_vec", "stop", "past")
 
 
 def fit_demand_model(train: DataFrame, target: str):

@@ -128,7 +128,7 @@ def hour_payloads(rows: DataFrame, action: str, keys: list[str], fields: list[st
     """One JSON document per key with its hour rows in order; nulls are kept."""
     hours = F.sort_array(F.collect_list(F.struct("hour", *fields))).alias("hours")
     grouped = rows.groupBy(*keys).agg(hours)
-    names = [F.date_format(k, "yyyy-MM-dd").alias(k) if k == "date" else F.col(k) for k in keys]
+    names = [F.col(k).cast("string").alias(k) if k == "date" else F.col(k) for k in keys]
     body = F.struct(F.lit(True).alias("ok"), F.lit(action).alias("action"), *names, "hours")
     return grouped.select(
         *keys, F.to_json(body, {"ignoreNullFields": "false"}).alias("payload")
@@ -150,7 +150,7 @@ def forecast_payloads(fact: DataFrame, start: str | dt.date, days: int = S.FOREC
     """One JSON document per route with all hours of the coming days in order."""
     rows = forecast_weekday(fact, start, days)
     hour = F.struct(
-        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        F.col("date").cast("string").alias("date"),
         "hour",
         "forecast_departures",
         "forecast_headway_min",

@@ -54,9 +54,9 @@ def stop_profile(predictions: DataFrame, links: DataFrame | None = None) -> Data
     A sequence without a link row takes the route's mean, a route without links
     300 m per link. Of several stops at one sequence the lowest id is kept.
     """
-    stops = predictions.select(*ROUTE_DAY, "stop_seq", "stop_id", "stop_name").distinct()
-    first = stops.groupBy(*ROUTE_DAY, "stop_seq").agg(F.min(F.struct("stop_id", "stop_name")).alias("s"))
-    stops = first.select(*ROUTE_DAY, "stop_seq", "s.stop_id", "s.stop_name")
+    seen = predictions.select(*ROUTE_DAY, "stop_seq", "stop_id", "stop_name").distinct()
+    lowest = Window.partitionBy(*ROUTE_DAY, "stop_seq").orderBy("stop_id", "stop_name")
+    stops = seen.withColumn("_n", F.row_number().over(lowest)).where("_n = 1").drop("_n")
     default = F.when(F.col("stop_seq") == 1, F.lit(0.0)).otherwise(F.lit(S.DEFAULT_LINK_M))
     if links is None:
         return stops.withColumn("link_distance_m", default).withColumn("link_source", F.lit("default"))
@@ -100,38 +100,54 @@ def expand_departures(predictions: DataFrame) -> DataFrame:
 
 def bus_id(date: str, hour: str, number: Column) -> Column:
     """'YYYYMMDD-HH-KK'; unique within a route."""
-    return F.format_string("%s-%02d-%02d", C.compact_date(date), F.col(hour), number)
+    return F.concat_ws("-", C.compact_date(date), C.two_digits(hour), C.two_digits(number))
 
 
 # -- arrivals ---------------------------------------------------------------
-def propagate_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
-    """Arrival of every trip at every stop of its route and date.
+def trips_with_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
+    """One row per trip with its ordered `stops` and the arrival `times` at them.
 
     Each link is driven at the speed of the hour in which the previous stop was
     reached, so the step depends on the time computed so far: a fold over the
-    trip's ordered stops. The compact trips are spread by (route, bus) before the
-    stops are attached; where the stop table is small enough to be broadcast, the
-    exploded rows keep that partitioning and need no further shuffle per bus.
+    trip's ordered stops. Both possible driving times of a link are worked out once
+    per route and date, which leaves the fold a comparison and a sum. The compact
+    trips are spread by (route, bus) before the stops are attached. The left join
+    makes the stops, never the trips, the side that may be broadcast.
     """
-    stops = profile.groupBy(*ROUTE_DAY).agg(
-        F.sort_array(
-            F.collect_list(F.struct("stop_seq", "link_distance_m", "stop_id", "stop_name"))
-        ).alias("stops")
+
+    def drive(kmh: int) -> Column:
+        metres_per_minute = F.lit(kmh * 1000.0 / 60.0)
+        return F.bround(F.col("link_distance_m") * 60e6 / metres_per_minute, 0).cast("bigint")
+
+    stop = F.struct(
+        "stop_seq",
+        "stop_id",
+        "stop_name",
+        drive(S.PEAK_KMH).alias("peak_us"),
+        drive(S.OFF_PEAK_KMH).alias("off_peak_us"),
     )
-    trips = departures.repartition(*TRIP).join(stops, ROUTE_DAY)
+    stops = profile.groupBy(*ROUTE_DAY).agg(F.sort_array(F.collect_list(stop)).alias("stops"))
+    trips = departures.repartition(*TRIP).join(stops, ROUTE_DAY, "left")
 
     def arrive(done: Column, stop: Column) -> Column:
         before = F.coalesce(F.try_element_at(done, F.lit(-1)), F.col("departure_us"))
-        hour = F.pmod(F.floor(before / F.lit(S.US_PER_HOUR)), F.lit(24))
-        drive = F.bround(stop["link_distance_m"] * 60e6 / C.metres_per_minute(hour), 0).cast("bigint")
-        here = F.when(stop["stop_seq"] == 1, F.col("departure_us")).otherwise(before + drive)
+        link = F.when(C.in_peak(before), stop["peak_us"]).otherwise(stop["off_peak_us"])
+        here = F.when(stop["stop_seq"] == 1, F.col("departure_us")).otherwise(before + link)
         return F.array_append(done, here)
 
     times = F.aggregate("stops", F.array().cast("array<bigint>"), arrive)
-    folded = trips.withColumn("times", times)
-    return folded.select(
-        *ROUTE_DAY, "bus_id", F.inline(F.arrays_zip(F.col("stops"), F.col("times")))
-    ).select(
+    return trips.select(*ROUTE_DAY, "bus_id", "stops", times.alias("times"))
+
+
+def _hour_bucket(us: Column) -> Column:
+    """Hours since the midnight of the service day; 24 and more on the next day."""
+    return F.call_function("div", us, F.lit(S.US_PER_HOUR))
+
+
+def explode_trips(trips: DataFrame) -> DataFrame:
+    """One row per trip and stop."""
+    rows = trips.select(*ROUTE_DAY, "bus_id", F.inline(F.arrays_zip("stops", "times")))
+    return rows.select(
         *ROUTE_DAY,
         "bus_id",
         "stops.stop_seq",
@@ -141,13 +157,20 @@ def propagate_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
+def propagate_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
+    """Arrival of every trip at every stop of its route and date."""
+    return explode_trips(trips_with_arrivals(departures, profile))
+
+
+def planned_trips(predictions: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    return trips_with_arrivals(expand_departures(predictions), stop_profile(predictions, links))
+
+
 def schedule(predictions: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """Timetable: arrival of every bus at every stop, with stop id and name."""
-    arrivals = propagate_arrivals(expand_departures(predictions), stop_profile(predictions, links))
-    hour_bucket = F.expr(f"arrival_us div {S.US_PER_HOUR}L")
-    return arrivals.withColumn("hour_bucket", hour_bucket.cast("bigint")).withColumn(
-        "arrival_hour", (F.col("hour_bucket") % 24).cast("int")
-    )
+    rows = explode_trips(planned_trips(predictions, links))
+    hour = _hour_bucket(F.col("arrival_us")) % 24
+    return rows.withColumn("arrival_hour", hour.cast("int"))
 
 
 def schedule_table(timetable: DataFrame) -> DataFrame:
@@ -208,7 +231,11 @@ def bucket_shares(timetable: DataFrame, demand: DataFrame) -> DataFrame:
     Counting before joining keeps an hour that holds most of the buses from being
     gathered anywhere. Hours from 24 on belong to the next day and match no demand.
     """
-    buses = timetable.groupBy(*BUCKET).agg(F.count("bus_id").alias("buses_in_hour"))
+    buses = (
+        timetable.withColumn("hour_bucket", _hour_bucket(F.col("arrival_us")))
+        .groupBy(*BUCKET)
+        .agg(F.count("*").alias("buses_in_hour"))
+    )
     totals = demand.groupBy(
         *ROUTE_DAY, "stop_seq", F.col("hour").cast("bigint").alias("hour_bucket")
     ).agg(F.sum("board_total").alias("board_total"), F.sum("alight_total").alias("alight_total"))
@@ -221,10 +248,63 @@ def bucket_shares(timetable: DataFrame, demand: DataFrame) -> DataFrame:
     )
 
 
-def allocation(timetable: DataFrame, demand: DataFrame) -> DataFrame:
-    """Demand shared among the buses of each hour, load on board and crowding."""
-    rows = timetable.join(bucket_shares(timetable, demand), BUCKET, "left")
-    return onboard_by_bus(rows).withColumn("crowding", C.crowding("onboard_after"))
+SHARE = ["buses_in_hour", "board_total", "alight_total", "board_per_bus", "alight_per_bus"]
+
+
+def share_tables(shares: DataFrame) -> DataFrame:
+    """One row per route and date: per stop, in order, the shares by hour."""
+    by_hour = F.map_from_entries(F.collect_list(F.struct(F.col("hour_bucket"), F.struct(*SHARE))))
+    stops = shares.groupBy(*ROUTE_DAY, "stop_seq").agg(by_hour.alias("m"))
+    dense = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.array_max(F.map_keys("m"))),
+        lambda h: F.try_element_at("m", h),
+    )
+    in_order = F.array_sort(
+        F.collect_list(F.struct(F.col("stop_seq"), dense.alias("by_hour"))),
+        lambda a, b: a["stop_seq"] - b["stop_seq"],
+    )
+    return stops.groupBy(*ROUTE_DAY).agg(in_order.alias("shares"))
+
+
+def allocation(
+    predictions: DataFrame, demand: DataFrame, links: DataFrame | None = None
+) -> DataFrame:
+    """Demand shared among the buses of each hour, load on board and crowding.
+
+    The buses per hour are counted from a first pass over the trips. In the second
+    pass every trip looks its shares up in its route's table of the day and folds
+    its own load, so the long rows of trip and stop are never shuffled.
+    """
+    trips = planned_trips(predictions, links)
+    table = share_tables(bucket_shares(explode_trips(trips), demand))
+
+    def share(time: Column, i: Column) -> Column:
+        return F.get(F.get(F.col("shares"), i)["by_hour"], _hour_bucket(time).cast("int"))
+
+    def load(done: Column, x: Column) -> Column:
+        before = F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0))
+        return F.array_append(done, before + (x["board_per_bus"] - x["alight_per_bus"]))
+
+    shared = trips.join(table, ROUTE_DAY, "left").withColumn("shares", F.transform("times", share))
+    loads = F.aggregate("shares", F.array().cast("array<double>"), load)
+    rows = shared.withColumn("loads", loads).select(
+        *ROUTE_DAY, "bus_id", F.inline(F.arrays_zip("stops", "times", "shares", "loads"))
+    )
+    rows = rows.select(
+        *ROUTE_DAY,
+        "bus_id",
+        "stops.stop_seq",
+        "stops.stop_id",
+        "stops.stop_name",
+        F.col("times").alias("arrival_us"),
+        (_hour_bucket(F.col("times")) % 24).cast("int").alias("arrival_hour"),
+        "shares.*",
+        C.clip_zero("loads").alias("onboard_after"),
+    )
+    delta = F.col("board_per_bus") - F.col("alight_per_bus")
+    return rows.withColumn("onboard_before", C.clip_zero(F.col("onboard_after") - delta)).withColumn(
+        "crowding", C.crowding("onboard_after")
+    )
 
 
 def allocation_table(rows: DataFrame) -> DataFrame:

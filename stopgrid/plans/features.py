@@ -9,6 +9,7 @@ from stopgrid.functions import columns as C
 from stopgrid.operators import features
 from stopgrid.plans.registry import plain, query
 from stopgrid.plans.twins import day, r, twin
+from stopgrid.session import stored
 from stopgrid.sources import tables
 
 WINDOW_SERIES = ["split", "route_no", "stop_id"]
@@ -159,17 +160,23 @@ def _scaled(f: str) -> str:
 )
 def scaled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _rows(spark, sf_dir)
-    windows = features.sequence_windows(rows, WINDOW_SERIES)
-    scaled = features.scaled_windows(windows, features.feature_minmax(rows.where("split = 'train'")))
+    minmax = features.feature_minmax(rows.where("split = 'train'"))
+    scaled = features.scaled_windows(rows, minmax, WINDOW_SERIES)
+    hour = (F.col("hour_index") % 24).cast("int").alias("hour")
     return plain(
-        scaled.select("split", "route_no", "stop_id", "date", "hour", "y_board", *_window_sums())
+        scaled.select("split", "route_no", "stop_id", "date", hour, "y_board", *_window_sums())
     )
 
 
 @query("demand_model_scores")
 def demand_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors of the demand model per split."""
+    """Errors of the demand model per split.
+
+    Fitting reads the data several times, so the scaled rows are written once; the
+    24 times larger windows are rebuilt from them.
+    """
     rows = _rows(spark, sf_dir)
-    windows = features.sequence_windows(rows, WINDOW_SERIES)
-    scaled = features.scaled_windows(windows, features.feature_minmax(rows.where("split = 'train'")))
-    return plain(features.demand_errors(features.demand_scores(features.model_input(scaled))))
+    minmax = features.feature_minmax(rows.where("split = 'train'"))
+    scaled = stored(features.scale_features(rows, minmax), "model-rows")
+    windows = features.sequence_windows(scaled, WINDOW_SERIES)
+    return plain(features.demand_errors(features.demand_scores(features.model_input(windows))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,20 +24,25 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Comparable output: dates as ISO text, doubles to six digits.
+def six_digits(x: Column) -> Column:
+    """Rounded to six digits with plain double arithmetic.
 
-    The small offset moves exact ties off the rounding edge, where decimal and
-    binary rounding differ.
+    Slightly more than a half is added, which moves exact ties off the edge where
+    two engines' last bits could decide.
     """
+    return F.floor(x * 1e6 + 0.501) / F.lit(1e6)
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Comparable output: dates as ISO text, doubles to six digits."""
     columns = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            c = c.cast("string")
         elif isinstance(field.dataType, T.TimestampNTZType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, T.DoubleType):
-            c = F.round(c + F.lit(1e-9), 6)
+            c = six_digits(c)
         columns.append(c.alias(field.name))
     return df.select(*columns)

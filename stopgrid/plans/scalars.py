@@ -75,10 +75,12 @@ def scalar_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         C.digits_only("props").alias("digits"),
         F.regexp_extract("props", r"(\d+)", 1).cast("int").alias("number"),
         F.substring(tag, -2, 2).alias("hour_tag"),
-        F.regexp_replace(F.date_format(date, "yyyy-MM-dd"), "-", "").alias("compact"),
-        C.use_ym(F.date_format(date, "yyyy-MM-dd")).alias("use_ym"),
+        F.regexp_replace(date.cast("string"), "-", "").alias("compact"),
+        C.use_ym(date.cast("string")).alias("use_ym"),
         (kind.startswith("s") & kind.endswith("up")).cast("int").alias("is_signup"),
-        F.format_string("%s-%02d-%02d", C.compact_date(date), F.hour("ts"), F.col("user_id") % 12).alias("bus_id"),
+        F.concat_ws(
+            "-", C.compact_date(date), C.two_digits(F.hour("ts")), C.two_digits(F.col("user_id") % 12)
+        ).alias("bus_id"),
     )
 
 
@@ -139,7 +141,7 @@ def scalar_numeric_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scalar_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.events(spark, sf_dir).withColumn("date", F.col("ts").cast("date"))
     compact = C.compact_date("date")
-    iso = F.date_format("date", "yyyy-MM-dd")
+    iso = F.col("date").cast("string")
     return plain(
         rows.select(
             "event_id",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopgrid.operators import serving
-from stopgrid.plans.registry import plain, query
+from stopgrid.plans.registry import plain, query, six_digits
 from stopgrid.plans.twins import day, r, twin
 from stopgrid.sources import tables
 
@@ -126,9 +126,7 @@ def gold_stop_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def payload_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = serving.summary_by_hour(tables.daily_stop_hour(spark, sf_dir))
-    rows = rows.withColumn("headway_min", F.round(F.col("headway_min") + 1e-9, 6)).withColumn(
-        "max_board_per_bus", F.round(F.col("max_board_per_bus") + 1e-9, 6)
-    )
+    rows = rows.withColumns({c: six_digits(F.col(c)) for c in ("headway_min", "max_board_per_bus")})
     fields = ["current_departures", "headway_min", "max_board_per_bus", "is_crowded"]
     return plain(serving.hour_payloads(rows, "summary", ["route_no", "date"], fields))
 

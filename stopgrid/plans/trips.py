@@ -106,7 +106,7 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 def allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = tables.predictions(spark, sf_dir)
     demand = trips.demand_totals(predictions, ["pred_board"], ["pred_alight"])
-    rows = trips.allocation(trips.schedule(predictions, _links(spark, sf_dir)), demand)
+    rows = trips.allocation(predictions, demand, _links(spark, sf_dir))
     return plain(
         rows.select(
             "route_no", "bus_id", "date", "stop_seq", "stop_id", "arrival_us", "buses_in_hour",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 
 def r(expr: str) -> str:
-    return f"round(({expr}) + 1e-9, 6)"
+    """Six digits; the twin of registry.six_digits."""
+    return f"floor(({expr}) * 1e6 + 0.501e0) / 1e6"
 
 
 def day(expr: str = "date") -> str:

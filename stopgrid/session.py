@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -47,3 +47,11 @@ def shared_path(spark: SparkSession, label: str) -> str:
             base = _local_base["dir"] = tempfile.mkdtemp(prefix="stopgrid-")
             atexit.register(shutil.rmtree, base, ignore_errors=True)
     return os.path.join(base, "stopgrid", f"{label}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once to the shared folder and read back from there."""
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -130,13 +130,13 @@ def demand_monthly_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per month, route, stop and hour; hours without events have no row."""
     return (
         passes(spark, sf_dir)
-        .groupBy(C.month_of("date").alias("use_ym"), "route_no", "stop_seq", "stop_id", "hour")
+        .groupBy(F.trunc("date", "MM").alias("month"), "route_no", "stop_seq", "stop_id", "hour")
         .agg(
             F.floor(F.sum("board")).cast("bigint").alias("board_total"),
             F.sum("alight").cast("bigint").alias("alight_total"),
         )
         .select(
-            "use_ym",
+            C.month_of("month").alias("use_ym"),
             "route_no",
             "stop_id",
             "hour",
