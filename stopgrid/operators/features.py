@@ -38,6 +38,11 @@ def stop_index(fact: DataFrame) -> DataFrame:
     return stops.withColumn("stop_idx", F.dense_rank().over(order) - 1)
 
 
+def index_stops(rows: DataFrame) -> DataFrame:
+    """Rows with the number of their stop."""
+    return rows.join(stop_index(rows), SERIES, "left")
+
+
 def demand_features(fact: DataFrame) -> DataFrame:
     """Feature columns and the two targets for every stop hour.
 

@@ -11,6 +11,8 @@ from stopgrid import schema as S
 from stopgrid.functions import columns as C
 from stopgrid.session import shared_path
 
+MAX_LISTED = 10_000
+
 
 # -- upserts ----------------------------------------------------------------
 def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -33,6 +35,19 @@ def merge_upsert(
     return kept.select(*existing.columns).unionByName(fresh)
 
 
+def only_partitions(table: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a partitioned table in the partitions that occur in `wanted`.
+
+    Where a column takes few values they become a filter, so that other folders are
+    not read at all; the semi join keeps the selection exact for any number.
+    """
+    for c in columns:
+        values = [row[0] for row in wanted.select(c).distinct().limit(MAX_LISTED + 1).collect()]
+        if len(values) <= MAX_LISTED:
+            table = table.where(F.col(c).isin(values))
+    return table.join(wanted.select(*columns).distinct(), list(columns), "left_semi")
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -41,34 +56,38 @@ def upsert_table(
     partitions: Sequence[str],
     order: Sequence[str] = (),
 ) -> None:
-    """Upsert into a partitioned Parquet table, rewriting only touched partitions.
+    """Upsert into a partitioned Parquet table, reading and rewriting only touched partitions.
 
-    The merged partitions are written beside the table first, so the files being
-    read are never the files being replaced, also when a task is run again. The
-    first write of a table has nothing to merge.
+    The incoming rows and then the merged partitions are first written beside the
+    table: incoming is computed once, and the files being read are never the files
+    being replaced, also when a task is run again. The first write of a table has
+    nothing to merge.
     """
-    staged = shared_path(spark, "upsert")
+    schema = incoming.schema
     if not path_exists(spark, path):
-        fresh = last_per_key(incoming, keys, order) if order else incoming
-        write_partitions(fresh, path, partitions)
+        write_partitions(last_per_key(incoming, keys, order or keys), path, partitions)
         return
-    schema = incoming.schema
-    existing = spark.read.schema(schema).parquet(path)
-    touched = incoming.select(*partitions).distinct()
-    current = existing.join(touched, list(partitions), "left_semi").select(*incoming.columns)
-    write_partitions(merge_upsert(current, incoming, keys, order), staged, partitions)
-    write_partitions(spark.read.schema(schema).parquet(staged), path, partitions)
+    landed, merged = shared_path(spark, "upsert-in"), shared_path(spark, "upsert-out")
+    write_partitions(last_per_key(incoming, keys, order or keys), landed, partitions)
+    fresh = spark.read.schema(schema).parquet(landed).select(*schema.fieldNames())
+    existing = only_partitions(spark.read.schema(schema).parquet(path), fresh, partitions)
+    write_partitions(merge_upsert(existing, fresh, keys), merged, partitions)
+    write_partitions(spark.read.schema(schema).parquet(merged), path, partitions)
 
 
-def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Overwrite only the partitions present in `df`.
+def write_partitions(
+    df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str] = ()
+) -> None:
+    """Overwrite only the partitions present in `df`, optionally with sorted files.
 
     Rows are spread by partition before the write; AQE splits a partition that
     holds most rows, so a hot one is not written by a single task.
     """
+    rows = df.hint("rebalance", *partitions)
+    if sort:
+        rows = rows.sortWithinPartitions(*partitions, *[F.asc_nulls_last(c) for c in sort])
     (
-        df.hint("rebalance", *partitions)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
@@ -91,8 +110,13 @@ def prefer(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return result
 
 
-def cached_rows(requests: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of a stored table for the requested keys."""
+def cached_rows(
+    requests: DataFrame, table: DataFrame, keys: Sequence[str], partitions: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of a stored table for the requested keys; `partitions` are the keys it is
+    partitioned by."""
+    if partitions:
+        table = only_partitions(table, requests, partitions)
     return table.join(requests.select(*keys).distinct(), list(keys), "left_semi")
 
 
@@ -105,27 +129,25 @@ def cache_state(requests: DataFrame, table: DataFrame, keys: Sequence[str]) -> D
 
 
 # -- run ledger -------------------------------------------------------------
-def ledger_entry(
-    spark: SparkSession, job_name: str, target_date: str, status: str, message: str | None = None
-) -> DataFrame:
-    """One ledger row; ids grow with time."""
-    return spark.range(1).select(
+def ledger_entries(results: DataFrame) -> DataFrame:
+    """Ledger rows for (job_name, target_date, status, message); ids grow with time."""
+    return results.select(
         F.unix_micros(F.current_timestamp()).alias("id"),
-        F.lit(job_name).alias("job_name"),
-        F.lit(target_date).cast("date").alias("target_date"),
-        F.lit(status).alias("status"),
-        F.lit(message).cast("string").alias("message"),
+        "job_name",
+        "target_date",
+        "status",
+        "message",
         F.localtimestamp().alias("created_at"),
     )
 
 
-def append_ledger(entry: DataFrame, path: str) -> None:
-    entry.write.mode("append").parquet(path)
+def append_ledger(entries: DataFrame, path: str) -> None:
+    entries.write.mode("append").parquet(path)
 
 
 def ledger_latest(ledger: DataFrame) -> DataFrame:
     """Date and status of each job's last run."""
-    latest = F.max_by(F.struct("target_date", "status"), "id")
+    latest = F.max_by(F.struct("target_date", "status"), F.struct("id", "target_date"))
     return ledger.groupBy("job_name").agg(F.max("id").alias("id"), latest.alias("x")).select(
         "job_name", "id", "x.target_date", "x.status"
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
 from stopgrid.operators.reshape import calendar
+from stopgrid.session import stored
 
 
 def select_rows(
@@ -48,6 +49,16 @@ def hour_departures(ops: DataFrame) -> DataFrame:
     return ops.groupBy("route_no", "date", "hour").agg(F.sum("ops").alias("current_departures"))
 
 
+def gold(ops: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Departures per hour and per stop; the long table is read once.
+
+    The stop table is written to the shared folder and the hour table adds it up.
+    """
+    stops = stored(stop_departures(ops), "gold-stops")
+    hours = stops.groupBy("route_no", "date", "hour").agg(F.sum("departures").alias("current_departures"))
+    return hours, stops
+
+
 # -- queries on the fact table ----------------------------------------------
 def summary_by_hour(fact: DataFrame, route_no: str | None = None, date=None) -> DataFrame:
     """Departures, headway and highest boardings per bus, per route, date and hour."""

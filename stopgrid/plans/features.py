@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopgrid import schema as S
 from stopgrid.functions import columns as C
 from stopgrid.operators import features
 from stopgrid.plans.registry import plain, query
@@ -26,12 +27,17 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     twin(
         f"""select route_no, stop_id, {day()} as date, hour_index, hour, cast(dow as int) as dow, is_weekend, stop_seq,
             {r('distance')} as distance, pass_buses, {r('headway_min')} as headway_min, target_per_bus,
-            {r('y_board')} as y_board, {r('y_alight')} as y_alight from features""",
+            {r('y_board')} as y_board, {r('y_alight')} as y_alight,
+            strftime(cast(features.date as timestamp) + to_hours(hour), '%Y-%m-%d %H:%M:%S.%f') as ts,
+            cast(dense_rank() over (partition by route_no order by stop_id) - 1 as int) as stop_idx
+        from features""",
         "features",
     ),
 )
 def demand_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(features.demand_features(tables.daily_stop_hour(spark, sf_dir)))
+    rows = features.demand_features(tables.daily_stop_hour(spark, sf_dir))
+    stamped = rows.withColumn("ts", C.moment("date", F.col("hour").cast("bigint") * S.US_PER_HOUR))
+    return plain(features.index_stops(stamped))
 
 
 @query(

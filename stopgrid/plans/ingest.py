@@ -399,7 +399,8 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def read_ops_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = merge.cached_rows(_requests(spark, sf_dir), _stored_prev(spark, sf_dir), ["route_no", "date"])
+    stored = _stored_prev(spark, sf_dir)
+    rows = merge.cached_rows(_requests(spark, sf_dir), stored, ["route_no", "date"], partitions=["date"])
     return plain(rows.select("route_no", "date", "stop_id", "hour", "ops"))
 
 

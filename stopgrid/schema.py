@@ -169,6 +169,16 @@ OPS_HOURLY = struct(
     "date date not null, route_no string not null, rte_id string, stop_id string not null, "
     "stop_seq int, hour int not null, ops bigint"
 )
+BRONZE = T.StructType(
+    struct("route_key string, stop_id string, route_no string, stop_seq int").fields
+    + [T.StructField(OPS_WIDE_NAMES["ops_day"], T.StringType())]
+    + [T.StructField(hour_tag(h), T.StringType()) for h in range(24)]
+    + struct("use_ym string, date string").fields
+)
+SILVER = struct(
+    "route_key string, stop_id string, stop_seq int, hour int, ops bigint, "
+    "use_ym string, route_no string, date string"
+)
 DIM_ROUTE_MAP = struct("route_key string not null, rte_id string not null, route_no string not null")
 DIM_STOP_LINK = struct(
     "route_key string not null, stop_id string not null, stop_seq int not null, link_distance_m double"

@@ -42,6 +42,25 @@ def rows_of(columns: list[str], rows) -> Counter:
     return Counter(tuple(_value(row[i]) for i in order) for row in rows)
 
 
+SQL_TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
+
+def type_gaps(df, con, sql: str) -> list[str]:
+    """Columns whose type differs between the two sides."""
+    theirs = {row[0]: row[1] for row in con.execute(f"describe {sql}").fetchall()}
+    return [
+        f"{name} {kind}/{theirs.get(name)}"
+        for name, kind in df.dtypes
+        if SQL_TYPES.get(kind) != theirs.get(name)
+    ]
+
+
 def compare(spark, con, fn, sql: str, sf_dir: str) -> str | None:
     """None where both sides agree, else what differs."""
     df = fn(spark, sf_dir)
@@ -57,4 +76,6 @@ def compare(spark, con, fn, sql: str, sf_dir: str) -> str | None:
             f"{sum(mine.values())} / {sum(theirs.values())} rows, {sum(left.values())} / "
             f"{sum(right.values())} differ: {sorted(map(str, left))[:2]} / {sorted(map(str, right))[:2]}"
         )
+    if gaps := type_gaps(df, con, sql):
+        return f"types {gaps}"
     return None if mine else "no rows"
