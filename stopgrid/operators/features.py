@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
+from stopgrid.session import sized
 
 FEATURES = [
     "hour",
@@ -40,7 +41,7 @@ def stop_index(fact: DataFrame) -> DataFrame:
 
 def index_stops(rows: DataFrame) -> DataFrame:
     """Rows with the number of their stop."""
-    return rows.join(stop_index(rows), SERIES, "left")
+    return rows.join(sized(stop_index(rows), "stops"), SERIES, "left")
 
 
 def demand_features(fact: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def demand_features(fact: DataFrame) -> DataFrame:
     if "link_distance_m" in fact.columns:
         usable = F.when(F.col("link_distance_m") != 0, F.col("link_distance_m"))
         means = fact.groupBy("route_no").agg(F.avg(usable).alias("mean_link"))
-        rows = rows.join(means, "route_no", "left").withColumn(
+        rows = rows.join(sized(means, "link-means"), "route_no", "left").withColumn(
             "distance", F.coalesce(usable, F.col("mean_link"), F.lit(S.DEFAULT_LINK_M))
         )
     else:
@@ -155,7 +156,8 @@ def feature_minmax(train: DataFrame, series: list[str] = SERIES, order: str = "h
     rows, but for each series' last row; so no window has to be built.
     """
     ends = train.groupBy(*series).agg(F.max(order).alias("_last"), F.count("*").alias("_rows"))
-    used = train.join(ends.where(F.col("_rows") > length), series).where(F.col(order) < F.col("_last"))
+    ends = sized(ends.where(F.col("_rows") > length), "series-ends")
+    used = train.join(ends, series).where(F.col(order) < F.col("_last"))
     lows = [F.min(F.col(f).cast("double")).alias(f"{f}_min") for f in features]
     highs = [F.max(F.col(f).cast("double")).alias(f"{f}_max") for f in features]
     return used.groupBy("route_no").agg(*lows, *highs)
@@ -187,7 +189,7 @@ def scale_features(rows: DataFrame, minmax: DataFrame, features: list[str] = FEA
         return (F.col(f) - low) / F.when(span == 0, F.lit(1.0)).otherwise(span)
 
     return (
-        rows.join(minmax, "route_no")
+        rows.join(sized(minmax, "minmax"), "route_no")
         .withColumns({f: scaled(f) for f in features})
         .drop(*[f"{f}_{end}" for f in features for end in ("min", "max")])
     )

@@ -52,7 +52,10 @@ def explode_range(df: DataFrame, start: Column, end: Column, name: str) -> DataF
 
     Numbers are produced in chunks that are spread over the cluster, so a single
     row with a very long range neither builds one huge array nor stays in one task.
+    The number of tasks is fixed, because AQE would merge them by the size of the
+    chunks, which says little about the rows they turn into.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     step = F.lit(UNITS_PER_CHUNK).cast("bigint")
     chunks = (
         df.withColumn("_lo", start.cast("bigint"))
@@ -62,7 +65,7 @@ def explode_range(df: DataFrame, start: Column, end: Column, name: str) -> DataF
     )
     keys = [c for c in df.columns if df.schema[c].dataType.simpleString() in ("string", "date", "int")]
     return (
-        chunks.repartition(*keys, "_from")
+        chunks.repartition(tasks, *keys, "_from")
         .withColumn(name, F.explode(F.sequence("_from", F.least(F.col("_from") + step, F.col("_hi")) - 1)))
         .drop("_lo", "_hi", "_from")
     )

@@ -104,15 +104,10 @@ def bus_id(date: str, hour: str, number: Column) -> Column:
 
 
 # -- arrivals ---------------------------------------------------------------
-def trips_with_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
-    """One row per trip with its ordered `stops` and the arrival `times` at them.
+def day_stops(profile: DataFrame) -> DataFrame:
+    """One row per route and date with its stops in order.
 
-    Each link is driven at the speed of the hour in which the previous stop was
-    reached, so the step depends on the time computed so far: a fold over the
-    trip's ordered stops. Both possible driving times of a link are worked out once
-    per route and date, which leaves the fold a comparison and a sum. The compact
-    trips are spread by (route, bus) before the stops are attached. The left join
-    makes the stops, never the trips, the side that may be broadcast.
+    Both possible driving times of a link are worked out here, once per day.
     """
 
     def drive(kmh: int) -> Column:
@@ -126,8 +121,18 @@ def trips_with_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
         drive(S.PEAK_KMH).alias("peak_us"),
         drive(S.OFF_PEAK_KMH).alias("off_peak_us"),
     )
-    stops = profile.groupBy(*ROUTE_DAY).agg(F.sort_array(F.collect_list(stop)).alias("stops"))
-    trips = departures.repartition(*TRIP).join(stops, ROUTE_DAY, "left")
+    return profile.groupBy(*ROUTE_DAY).agg(F.sort_array(F.collect_list(stop)).alias("stops"))
+
+
+def trips_with_arrivals(departures: DataFrame, days: DataFrame) -> DataFrame:
+    """One row per trip with the columns of its route's day and the arrival `times`.
+
+    Each link is driven at the speed of the hour in which the previous stop was
+    reached, so the step depends on the time computed so far: a fold over the
+    trip's ordered stops. There is one join, on compact rows, so AQE can split the
+    trips of a route and date that holds most of them; the left join makes the
+    days, never the trips, the side that may be broadcast.
+    """
 
     def arrive(done: Column, stop: Column) -> Column:
         before = F.coalesce(F.try_element_at(done, F.lit(-1)), F.col("departure_us"))
@@ -136,7 +141,8 @@ def trips_with_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
         return F.array_append(done, here)
 
     times = F.aggregate("stops", F.array().cast("array<bigint>"), arrive)
-    return trips.select(*ROUTE_DAY, "bus_id", "stops", times.alias("times"))
+    trips = departures.join(days, ROUTE_DAY, "left")
+    return trips.select(*days.columns, "bus_id", times.alias("times"))
 
 
 def _hour_bucket(us: Column) -> Column:
@@ -159,16 +165,12 @@ def explode_trips(trips: DataFrame) -> DataFrame:
 
 def propagate_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
     """Arrival of every trip at every stop of its route and date."""
-    return explode_trips(trips_with_arrivals(departures, profile))
-
-
-def planned_trips(predictions: DataFrame, links: DataFrame | None = None) -> DataFrame:
-    return trips_with_arrivals(expand_departures(predictions), stop_profile(predictions, links))
+    return explode_trips(trips_with_arrivals(departures, day_stops(profile)))
 
 
 def schedule(predictions: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """Timetable: arrival of every bus at every stop, with stop id and name."""
-    rows = explode_trips(planned_trips(predictions, links))
+    rows = propagate_arrivals(expand_departures(predictions), stop_profile(predictions, links))
     hour = _hour_bucket(F.col("arrival_us")) % 24
     return rows.withColumn("arrival_hour", hour.cast("int"))
 
@@ -275,8 +277,11 @@ def allocation(
     pass every trip looks its shares up in its route's table of the day and folds
     its own load, so the long rows of trip and stop are never shuffled.
     """
-    trips = planned_trips(predictions, links)
-    table = share_tables(bucket_shares(explode_trips(trips), demand))
+    departures = expand_departures(predictions)
+    stops = day_stops(stop_profile(predictions, links))
+    first_pass = explode_trips(trips_with_arrivals(departures, stops))
+    days = stops.join(share_tables(bucket_shares(first_pass, demand)), ROUTE_DAY, "left")
+    trips = trips_with_arrivals(departures, days)
 
     def share(time: Column, i: Column) -> Column:
         return F.get(F.get(F.col("shares"), i)["by_hour"], _hour_bucket(time).cast("int"))
@@ -285,7 +290,7 @@ def allocation(
         before = F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0))
         return F.array_append(done, before + (x["board_per_bus"] - x["alight_per_bus"]))
 
-    shared = trips.join(table, ROUTE_DAY, "left").withColumn("shares", F.transform("times", share))
+    shared = trips.withColumn("shares", F.transform("times", share))
     loads = F.aggregate("shares", F.array().cast("array<double>"), load)
     rows = shared.withColumn("loads", loads).select(
         *ROUTE_DAY, "bus_id", F.inline(F.arrays_zip("stops", "times", "shares", "loads"))

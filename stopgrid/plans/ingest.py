@@ -531,4 +531,5 @@ def ledger_pending_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw passes checked against the key of the fact table."""
-    return plain(merge.key_violations(tables.passes(spark, sf_dir), FACT_KEYS))
+    rows = tables.passes(spark, sf_dir).withColumn("stop_id", tables.stop_id())
+    return plain(merge.key_violations(rows, FACT_KEYS))

@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_base: dict[str, str] = {}
@@ -55,3 +56,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sized(df: DataFrame, label: str) -> DataFrame:
+    """A lookup table whose true size the planner knows.
+
+    An aggregate of a large table is planned as if it were large itself, and the
+    join would shuffle the large table too. Where that is so, the aggregate is
+    written first; Spark then broadcasts it only if the files are small enough.
+    """
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if estimate <= limit else stored(df, label)

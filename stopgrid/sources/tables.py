@@ -29,30 +29,41 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seq = (F.col("user_id") % 12 + 1).cast("int")
     return events(spark, sf_dir).select(
         F.col("event_type").alias("route_no"),
         F.col("ts").cast("date").alias("date"),
-        seq.alias("stop_seq"),
-        F.concat(F.lit("S"), seq.cast("string")).alias("stop_id"),
+        (F.col("user_id") % 12 + 1).cast("int").alias("stop_seq"),
         F.hour("ts").cast("int").alias("hour"),
         F.col("value").cast("decimal(18,2)").alias("board"),
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("alight"),
-        (F.lit(2000.0) + F.lit(740.0) * (F.col("user_id") % 12)).alias("link_distance_m"),
     )
 
 
+def stop_id(seq: str = "stop_seq") -> Column:
+    return F.concat(F.lit("S"), F.col(seq).cast("string"))
+
+
+def stop_name(seq: str = "stop_seq") -> Column:
+    return F.concat(F.lit("Stop "), F.col(seq).cast("string"))
+
+
+def link_distance(seq: str = "stop_seq") -> Column:
+    return F.lit(2000.0) + F.lit(740.0) * (F.col(seq) - 1)
+
+
 def daily_stop_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed fact table: one row per route, date, stop and hour."""
     return (
         passes(spark, sf_dir)
-        .groupBy("route_no", "date", "stop_seq", "stop_id", "hour", "link_distance_m")
+        .groupBy("route_no", "date", "stop_seq", "hour")
         .agg(
             F.count("*").alias("ops"),
             F.sum("board").cast("double").alias("board"),
             F.sum("alight").cast("double").alias("alight"),
         )
-        .withColumn("stop_name", F.concat(F.lit("Stop "), F.col("stop_seq").cast("string")))
+        .withColumns(
+            {"stop_id": stop_id(), "stop_name": stop_name(), "link_distance_m": link_distance()}
+        )
     )
 
 
@@ -70,13 +81,13 @@ def ops_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     rows = (
         passes(spark, sf_dir)
-        .groupBy("route_no", "date", "stop_seq", "stop_id")
+        .groupBy("route_no", "date", "stop_seq")
         .agg(*counts, F.count("*").cast("string").alias("ops_day"))
     )
     return rows.select(
         C.compact_date("date").alias("date"),
         route_key("route_no").alias("route_key"),
-        "stop_id",
+        stop_id().alias("stop_id"),
         F.col("stop_seq").cast("string").alias("stop_seq"),
         "route_no",
         "ops_day",
@@ -108,7 +119,7 @@ def demand_daily_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-number boardings and alightings per route, date and stop."""
     return (
         passes(spark, sf_dir)
-        .groupBy("route_no", "date", "stop_seq", "stop_id")
+        .groupBy("route_no", "date", "stop_seq")
         .agg(
             F.floor(F.sum("board")).cast("bigint").alias("board_total"),
             F.sum("alight").cast("bigint").alias("alight_total"),
@@ -117,8 +128,8 @@ def demand_daily_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
             "date",
             route_key("route_no").alias("rte_id"),
             "route_no",
-            "stop_id",
-            F.concat(F.lit("Stop "), F.col("stop_seq").cast("string")).alias("stop_name"),
+            stop_id().alias("stop_id"),
+            stop_name().alias("stop_name"),
             "board_total",
             "alight_total",
             F.date_add("date", 3).alias("reg_ymd"),
@@ -130,7 +141,7 @@ def demand_monthly_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same per month, route, stop and hour; hours without events have no row."""
     return (
         passes(spark, sf_dir)
-        .groupBy(F.trunc("date", "MM").alias("month"), "route_no", "stop_seq", "stop_id", "hour")
+        .groupBy(F.trunc("date", "MM").alias("month"), "route_no", "stop_seq", "hour")
         .agg(
             F.floor(F.sum("board")).cast("bigint").alias("board_total"),
             F.sum("alight").cast("bigint").alias("alight_total"),
@@ -138,9 +149,9 @@ def demand_monthly_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             C.month_of("month").alias("use_ym"),
             "route_no",
-            "stop_id",
+            stop_id().alias("stop_id"),
             "hour",
-            F.concat(F.lit("Stop "), F.col("stop_seq").cast("string")).alias("stop_name"),
+            stop_name().alias("stop_name"),
             "board_total",
             "alight_total",
             F.lit("2024-02-03").cast("date").alias("reg_ymd"),
@@ -163,16 +174,16 @@ def dim_route_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_stop_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances with gaps: null at sequence 7, 0 at 5, unknown ids at 4, 8 and 12."""
-    stops = passes(spark, sf_dir).select("route_no", "stop_id", "stop_seq", "link_distance_m").distinct()
+    stops = passes(spark, sf_dir).select("route_no", "stop_seq").distinct()
     seq = F.col("stop_seq")
     return stops.select(
         route_key("route_no").alias("route_key"),
         "route_no",
         F.when(seq.isin(4, 8, 12), F.concat(F.lit("X"), seq.cast("string")))
-        .otherwise(F.col("stop_id"))
+        .otherwise(stop_id())
         .alias("stop_id"),
         "stop_seq",
-        F.when(seq == 5, F.lit(0.0)).when(seq != 7, F.col("link_distance_m")).alias("link_distance_m"),
+        F.when(seq == 5, F.lit(0.0)).when(seq != 7, link_distance()).alias("link_distance_m"),
     )
 
 
