@@ -57,6 +57,32 @@ def publish(tables: dict[str, DataFrame], url: str, **properties: str) -> None:
         files.write_jdbc(rows, url, name, **properties)
 
 
+# -- raw dimensions and demand ----------------------------------------------
+def load_dimensions(spark: SparkSession, route_map_csv: str, link_csv: str, route_map_out: str, link_out: str) -> None:
+    """Route map and link files upserted into their tables."""
+    route_map = files.load_route_map(files.read_csv_strings(spark, route_map_csv))
+    links = files.load_link_distance(files.read_csv_strings(spark, link_csv))
+    merge.upsert_table(spark, route_map_out, route_map, S.KEYS["dim_route_map"], [], ["rte_id", "route_no"])
+    merge.upsert_table(spark, link_out, links, S.KEYS["dim_stop_link"], [], ["link_distance_m"])
+
+
+def load_demand(spark: SparkSession, daily_pages: str, monthly_pages: str, daily_out: str, monthly_out: str) -> None:
+    """Landed demand pages upserted into the daily and the monthly table.
+
+    Of several pages with the same key the one registered last counts.
+    """
+    daily = xml.daily_rows(xml.read_pages(spark, daily_pages, S.DAILY_SERVICE))
+    monthly = xml.monthly_rows(xml.read_pages(spark, monthly_pages, S.MONTHLY_SERVICE))
+    merge.upsert_table(
+        spark, daily_out, daily.select(*S.DEMAND_DAILY_STOP.fieldNames()),
+        S.KEYS["demand_daily_stop"], ["date"], ["reg_ymd", "board_total", "alight_total"],
+    )
+    merge.upsert_table(
+        spark, monthly_out, monthly.select(*S.DEMAND_MONTHLY_HOURLY.fieldNames()),
+        S.KEYS["demand_monthly_hourly"], ["use_ym"], ["reg_ymd", "board_total", "alight_total"],
+    )
+
+
 # -- the stop-hour fact table -----------------------------------------------
 def csv_stop_days(spark: SparkSession, csv: str, route_map: DataFrame) -> DataFrame:
     """Stop days of a wide operations CSV, its routes resolved through the map."""
@@ -145,7 +171,7 @@ def predict(fact: DataFrame, splits: features.Split, output_split: str = "test")
 def ingest_predictions(spark: SparkSession, paths: Sequence[str], table: str, base: str | None = None) -> None:
     """Prediction files of any accepted spelling upserted into the predictions table."""
     rows = merge.coerce_predictions(files.read_predictions(spark, paths, base))
-    merge.upsert_table(spark, table, rows, S.KEYS["predictions"], ["date"])
+    merge.upsert_table(spark, table, rows, S.KEYS["predictions"], ["date"], ["stop_seq", "pass_buses"])
 
 
 def build_schedule(

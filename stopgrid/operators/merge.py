@@ -41,6 +41,8 @@ def only_partitions(table: DataFrame, wanted: DataFrame, columns: Sequence[str])
     Where a column takes few values they become a filter, so that other folders are
     not read at all; the semi join keeps the selection exact for any number.
     """
+    if not columns:
+        return table
     for c in columns:
         values = [row[0] for row in wanted.select(c).distinct().limit(MAX_LISTED + 1).collect()]
         if len(values) <= MAX_LISTED:
@@ -61,7 +63,7 @@ def upsert_table(
     The incoming rows and then the merged partitions are first written beside the
     table: incoming is computed once, and the files being read are never the files
     being replaced, also when a task is run again. The first write of a table has
-    nothing to merge.
+    nothing to merge. A table without partitions, a dimension, is rewritten whole.
     """
     schema = incoming.schema
     if not path_exists(spark, path):
@@ -86,12 +88,10 @@ def write_partitions(
     rows = df.hint("rebalance", *partitions)
     if sort:
         rows = rows.sortWithinPartitions(*partitions, *[F.asc_nulls_last(c) for c in sort])
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    writer = rows.write.mode("overwrite")
+    if partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
+    writer.parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

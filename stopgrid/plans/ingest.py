@@ -59,12 +59,10 @@ def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ingest_predictions_by_date", twin(PREDICTION_COLUMNS, "preds"))
 def ingest_predictions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All dates between the first and the last one, read as one list of folders."""
+    """Every date's folder, read as one list of paths."""
     base = landing.prediction_csv(spark, sf_dir)
-    first, last = tables.events(spark, sf_dir).agg(
-        F.min(F.col("ts").cast("date")), F.max(F.col("ts").cast("date"))
-    ).first()
-    days = [first.fromordinal(d) for d in range(first.toordinal(), last.toordinal() + 1)]
+    dates = tables.events(spark, sf_dir).select(F.col("ts").cast("date")).distinct()
+    days = sorted(row[0] for row in dates.collect())
     raw = files.read_predictions(spark, files.dated_paths(base, days), base)
     return plain(merge.coerce_predictions(raw))
 

@@ -68,4 +68,4 @@ def sized(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df if estimate <= limit else stored(df, label)
+    return df if limit < 0 or estimate <= limit else stored(df, label)

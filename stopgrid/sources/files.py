@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
-from stopgrid.operators.merge import align_columns, require_columns
+from stopgrid.operators.merge import align_columns, link_column, require_columns
 
 
 # -- CSV --------------------------------------------------------------------
@@ -106,6 +106,20 @@ def load_link_distance(raw: DataFrame) -> DataFrame:
     )
 
 
+def load_sequence_links(raw: DataFrame, route_no: str | None = None) -> DataFrame:
+    """Link distances by sequence, from the first column that names them.
+
+    The route comes from the file's route number column, else from the argument.
+    """
+    route, seq = S.OPS_WIDE_NAMES["route_no"], S.LINK_NAMES["stop_seq"]
+    require_columns(raw, [seq] if route_no is not None else [seq, route])
+    return raw.select(
+        (F.lit(route_no) if route_no is not None else F.trim(F.col(f"`{route}`"))).alias("route_no"),
+        C.to_number(F.col(f"`{seq}`")).try_cast("int").alias("stop_seq"),
+        C.to_number(F.col(f"`{link_column(raw)}`")).alias("link_distance_m"),
+    )
+
+
 def load_stop_master(
     raw: DataFrame, date: str | None = None, rte_id: str | None = None, route_no: str | None = None
 ) -> DataFrame:

@@ -149,3 +149,33 @@ def test_prediction_job(spark):
     ).first()
     assert row["n"] > 0 and row["lo"] >= 0 and row["ob"] >= 0 and row["unnamed"] == 0
     assert dt.date(2024, 1, 22) <= row["first"] and row["last"] <= dt.date(2024, 1, 29)
+
+
+def test_dimensions_and_demand_tables(spark, tmp_path):
+    tables = [str(tmp_path / n) for n in ("map", "link", "day", "month")]
+    for rte, metres in (("r1", "100"), ("r2", "200")):
+        jobs.load_dimensions(
+            spark,
+            write(tmp_path / "r.csv", ["노선_ID,RTE_ID,RTE_NO", f"k1,{rte},0017"]),
+            write(tmp_path / "l.csv", ["노선_ID,정류장_ID,링크_구간거리(m),정류장_순서", f"k1,a,{metres},1", f"k1,{rte},5,2"]),
+            *tables[:2],
+        )
+    assert [tuple(r) for r in spark.read.parquet(tables[0]).collect()] == [("k1", "r2", "0017")]
+    links = {(r["stop_id"], r["link_distance_m"]) for r in spark.read.parquet(tables[1]).collect()}
+    assert links == {("a", 200.0), ("r1", 5.0), ("r2", 5.0)}
+    daily = land(tmp_path / "daily", [daily_page([("20250601", "a", 5, 1), ("20250602", "a", 6, 1)]), daily_page([("20250601", "a", 9, 1)])])
+    monthly = land(tmp_path / "monthly", [monthly_page("a"), monthly_page("b")])
+    for _ in range(2):
+        jobs.load_demand(spark, daily, monthly, *tables[2:])
+    days = files.read_partitioned(spark, tables[2], S.DEMAND_DAILY_STOP)
+    assert {(r["date"], r["board_total"]) for r in days.collect()} == {(D1, 9), (D2, 6)}
+    months = files.read_partitioned(spark, tables[3], S.DEMAND_MONTHLY_HOURLY)
+    assert months.count() == 48 and months.agg(F.sum("board_total")).first()[0] == 2 * 276
+
+
+def test_sequence_links(spark, tmp_path):
+    raw = files.read_csv_strings(spark, write(tmp_path / "s.csv", ["노선번호,정류장_순서,링크_구간거리(m)", " 7 ,1,0", "7,2,x"]))
+    assert [tuple(r) for r in files.load_sequence_links(raw).collect()] == [("7", 1, 0.0), ("7", 2, None)]
+    assert files.load_sequence_links(raw.drop("노선번호"), "8").first()["route_no"] == "8"
+    with pytest.raises(merge.MissingColumns):
+        files.load_sequence_links(raw.drop("노선번호"))
