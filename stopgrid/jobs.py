@@ -19,8 +19,11 @@ from stopgrid.session import stored
 from stopgrid.sources import files, xml
 
 FACT_JOB = "build_daily_stop_hour"
-FACT_PARTITIONS = ["route_no", "date"]
-FACT_ORDER = ["hour", "stop_seq", "stop_id"]
+# One folder per date; within it files are sorted by route, so that a route is
+# found by the files' statistics instead of a folder of a few kilobytes.
+FACT_PARTITIONS = ["date"]
+FACT_ORDER = ["route_no", "hour", "stop_seq", "stop_id"]
+TRIP_ORDER = ["route_no", "bus_id", "stop_seq"]
 
 
 # -- operations: CSV to bronze, silver and gold -----------------------------
@@ -182,14 +185,14 @@ def build_schedule(
     first: str | None = None,
     last: str | None = None,
 ) -> None:
-    """Timetable and allocation tables of the dates in the range, by route and date."""
+    """Timetable and allocation tables of the dates in the range, by date."""
     if first and last:
         predictions = serving.date_range(predictions, first, last)
     demand_rows = trips.demand_totals(predictions, ["pred_board"], ["pred_alight"])
     timetable = trips.schedule_table(trips.schedule(predictions, links))
-    merge.write_partitions(timetable, schedule_out, FACT_PARTITIONS, ["bus_id", "stop_seq"])
+    merge.write_partitions(timetable, schedule_out, FACT_PARTITIONS, TRIP_ORDER)
     loads = trips.allocation_table(trips.allocation(predictions, demand_rows, links))
-    merge.write_partitions(loads, allocation_out, FACT_PARTITIONS, ["bus_id", "stop_seq"])
+    merge.write_partitions(loads, allocation_out, FACT_PARTITIONS, TRIP_ORDER)
 
 
 def plan_from_predictions(predictions: DataFrame) -> DataFrame:

@@ -90,37 +90,31 @@ def stop_days_from_long(ops: DataFrame) -> DataFrame:
     """Long hourly counts to the same shape.
 
     Per hour the last visit wins; a stop whose hours come from several visits
-    gives one row per visit. A group holds the hours of one stop on one day.
+    gives one row per visit. The 24 hours are packed by a partial aggregate before
+    the shuffle; what is gathered afterwards are the few visits of a stop on a day.
     """
-    entries = F.sort_array(
-        F.collect_list(
-            F.struct(
-                F.col("hour"),
-                F.col("stop_seq").isNull().alias("no_seq"),
-                F.col("stop_seq"),
-                F.col("ops"),
-            )
-        )
+    count = F.coalesce(F.col("ops"), F.lit(0).cast("bigint"))
+    counts = [F.max(F.when(F.col("hour") == h, count)) for h in range(24)]
+    visits = ops.groupBy("date", "route_no", "rte_id", "stop_id", "stop_seq").agg(
+        F.array(*counts).alias("counts")
     )
-    packed = ops.groupBy("date", "route_no", "rte_id", "stop_id").agg(entries.alias("all"))
-    winners = packed.withColumn(
-        "all",
-        F.filter(
-            "all",
-            lambda x, i: F.coalesce(F.get(F.col("all"), i + 1)["hour"] != x["hour"], F.lit(True)),
-        ),
+    visit = F.struct(F.col("stop_seq").isNull().alias("no_seq"), F.col("stop_seq"), F.col("counts"))
+    days = visits.groupBy("date", "route_no", "rte_id", "stop_id").agg(
+        F.sort_array(F.collect_list(visit)).alias("visits")
     )
-    visits = F.transform(
-        F.array_distinct(F.transform("all", lambda x: x["stop_seq"])),
-        lambda seq: F.struct(
-            seq.alias("stop_seq"),
-            F.transform(
-                F.filter("all", lambda x: x["stop_seq"].eqNullSafe(seq)),
-                lambda x: F.struct(x["hour"].alias("hour"), x["ops"].alias("ops")),
-            ).alias("hours"),
-        ),
+
+    def taken_later(i: Column, hour: Column) -> Column:
+        later = F.slice("visits", i + 2, F.size("visits"))
+        return F.exists(later, lambda v: F.get(v["counts"], hour).isNotNull())
+
+    def own_hours(v: Column, i: Column) -> Column:
+        entries = F.transform(v["counts"], lambda n, h: F.struct(h.alias("hour"), n.alias("ops")))
+        kept = F.filter(entries, lambda x: x["ops"].isNotNull() & ~taken_later(i, x["hour"]))
+        return F.struct(v["stop_seq"].alias("stop_seq"), kept.alias("hours"))
+
+    return days.select(
+        "date", "route_no", "rte_id", "stop_id", F.inline(F.transform("visits", own_hours))
     )
-    return winners.select("date", "route_no", "rte_id", "stop_id", F.inline(visits))
 
 
 def with_demand(days: DataFrame, daily: DataFrame, monthly: DataFrame | None) -> DataFrame:

@@ -75,6 +75,8 @@ def upsert_table(
     existing = only_partitions(spark.read.schema(schema).parquet(path), fresh, partitions)
     write_partitions(merge_upsert(existing, fresh, keys), merged, partitions)
     write_partitions(spark.read.schema(schema).parquet(merged), path, partitions)
+    for used in (landed, merged):
+        remove_path(spark, used)
 
 
 def write_partitions(
@@ -94,10 +96,20 @@ def write_partitions(
     writer.parquet(path)
 
 
+def _on_file_system(spark: SparkSession, path: str) -> tuple:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _on_file_system(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a table this session wrote between two steps."""
+    fs, p = _on_file_system(spark, path)
+    fs.delete(p, True)
 
 
 # -- source preference ------------------------------------------------------

@@ -433,7 +433,7 @@ def sink_parquet_dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFram
     """A second write replaces the dates it holds and leaves the others."""
     path = shared_path(spark, "fact")
     for batch in (tables.prev_batch(spark, sf_dir), tables.new_batch(spark, sf_dir)):
-        merge.write_partitions(batch, path, ["route_no", "date"])
+        merge.write_partitions(batch, path, ["date"], ["route_no", "hour", "stop_seq"])
     return _shown(files.read_partitioned(spark, path, FACT_SCHEMA))
 
 
