@@ -15,14 +15,13 @@ def _c(col: Column | str) -> Column:
 # -- coercion ---------------------------------------------------------------
 def to_number(col: Column | str) -> Column:
     """Text to double; text that is no number becomes null."""
-    c = _c(col).cast("string")
+    c = F.trim(_c(col).cast("string"))
     # Java also reads '1d' and '1f' as numbers
-    return F.when(~c.rlike(r"[dDfF]\s*$"), c.try_cast("double"))
+    return F.when(~F.substring(c, -1, 1).isin("d", "D", "f", "F"), c.try_cast("double"))
 
 
 def number_or_zero(col: Column | str) -> Column:
-    x = to_number(col)
-    return F.when(F.isnan(x), F.lit(0.0)).otherwise(F.coalesce(x, F.lit(0.0)))
+    return F.coalesce(F.nanvl(to_number(col), F.lit(0.0)), F.lit(0.0))
 
 
 def whole_or_zero(col: Column | str) -> Column:
