@@ -24,17 +24,14 @@ def summary_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(serving.summary_by_hour(tables.daily_stop_hour(spark, sf_dir)))
 
 
-@query(
-    "stop_detail_by_hour",
-    twin(
-        f"""select route_no, {day()} as date, stop_seq, hour, cast(sum(ops) as bigint) as pass_buses,
-            {r('sum(board)')} as board_total, {r('sum(alight)')} as alight_total,
-            max(link_distance_m) as link_distance_m, min(stop_name) as stop_name,
-            case when sum(ops) > 0 then {r('sum(board) / sum(ops)')} end as board_per_bus
-        from dsh group by route_no, dsh.date, stop_seq, hour""",
-        "dsh",
-    ),
-)
+STOP_DETAIL = f"""select route_no, {day()} as date, stop_seq, hour, cast(sum(ops) as bigint) as pass_buses,
+    {r('sum(board)')} as board_total, {r('sum(alight)')} as alight_total,
+    {r('max(link_distance_m)')} as link_distance_m, min(stop_name) as stop_name,
+    case when sum(ops) > 0 then {r('sum(board) / sum(ops)')} end as board_per_bus
+from dsh group by route_no, dsh.date, stop_seq, hour"""
+
+
+@query("stop_detail_by_hour", twin(STOP_DETAIL, "dsh"))
 def stop_detail_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(serving.stop_detail_by_hour(tables.daily_stop_hour(spark, sf_dir)))
 
@@ -62,20 +59,16 @@ cross join range(date '{FORECAST_START}', date '{FORECAST_START}' + interval 7 d
 cross join hours h"""
 
 
-@query(
-    "forecast_weekday",
-    twin(
-        f"""select g.route_no, {day('g.date')} as date, g.hour,
-            {r('coalesce(avg_dep, 0)')} as forecast_departures,
-            {r('coalesce(avg_board_per_bus, 0)')} as forecast_board_per_bus,
-            case when avg_dep > 0 then {r('cast(60 as double) / avg_dep')} end as forecast_headway_min,
-            case when avg_board_per_bus > 49.5 then 1 else 0 end as crowded_flag
-        from ({GRID}) g left join ({WEEKDAY}) a
-            on a.route_no = g.route_no and a.dow = dayofweek(g.date) + 1 and a.hour = g.hour""",
-        "dsh",
-        "hours",
-    ),
-)
+FORECAST = f"""select g.route_no, {day('g.date')} as date, g.hour,
+    {r('coalesce(avg_dep, 0)')} as forecast_departures,
+    {r('coalesce(avg_board_per_bus, 0)')} as forecast_board_per_bus,
+    case when avg_dep > 0 then {r('cast(60 as double) / avg_dep')} end as forecast_headway_min,
+    case when avg_board_per_bus > 49.5 then 1 else 0 end as crowded_flag
+from ({GRID}) g left join ({WEEKDAY}) a
+    on a.route_no = g.route_no and a.dow = dayofweek(g.date) + 1 and a.hour = g.hour"""
+
+
+@query("forecast_weekday", twin(FORECAST, "dsh", "hours"))
 def forecast_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(serving.forecast_weekday(tables.daily_stop_hour(spark, sf_dir), FORECAST_START))
 
@@ -133,22 +126,31 @@ def payload_summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "payload_forecast_json",
-    twin(
-        f"""select route_no, count(*) as hours, min(date) as first_date, max(date) as last_date from (
-            select route_no, {day()} as date from ({GRID})) group by route_no""",
-        "passes",
-        "hours",
-    ),
+    twin(f"select *, 'forecast' as action, '{FORECAST_START}' as start, 7 as days from ({FORECAST})", "dsh", "hours"),
 )
 def payload_forecast_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast documents, read back into rows."""
     payloads = serving.forecast_payloads(tables.daily_stop_hour(spark, sf_dir), FORECAST_START)
-    hours = F.from_json("payload", "hours array<struct<date string, hour int>>")["hours"]
-    return payloads.select(
-        "route_no",
-        F.size(hours).cast("bigint").alias("hours"),
-        F.array_min(hours["date"]).alias("first_date"),
-        F.array_max(hours["date"]).alias("last_date"),
+    document = F.from_json(
+        "payload",
+        "action string, start string, days int, hours array<struct<date string, hour int, "
+        "forecast_departures double, forecast_board_per_bus double, forecast_headway_min double, crowded_flag int>>",
+    )
+    rows = payloads.select("route_no", document.alias("d"))
+    return plain(rows.select("route_no", "d.action", "d.start", "d.days", F.inline("d.hours")))
+
+
+@query("payload_stop_detail_json", twin(STOP_DETAIL, "dsh"))
+def payload_stop_detail_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stop detail documents, read back into rows."""
+    payloads = serving.stop_detail_payloads(tables.daily_stop_hour(spark, sf_dir))
+    document = F.from_json(
+        "payload",
+        "route_no string, date string, stop_seq int, hours array<struct<hour int, pass_buses bigint, "
+        "board_total double, alight_total double, board_per_bus double, link_distance_m double, stop_name string>>",
     )
+    rows = payloads.select(document.alias("d"))
+    return plain(rows.select("d.route_no", "d.date", "d.stop_seq", F.inline("d.hours")))
 
 
 @query(

@@ -125,3 +125,15 @@ def test_stream_upserts_new_files_only(spark, tmp_path):
 def test_rebalance_hint_reaches_the_plan(spark):
     df = rows(spark, [("7", D[0], 1, 1)]).hint("rebalance", "date")
     assert "REBALANCE" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_tables_are_written_only_where_the_planner_would_misjudge_them(spark, tmp_path):
+    from stopgrid.session import sized
+
+    big = spark.range(2_000_000).withColumn("k", F.col("id") % 3)
+    means = big.groupBy("k").agg(F.avg("id").alias("m"))
+    known = sized(means, "means")
+    assert known is not means and known.count() == 3
+    joined = big.join(known, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in joined
+    assert sized(known, "again") is known
