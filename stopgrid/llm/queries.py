@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopgrid.llm import bpe, exact_dedup, simhash, token_counts
+from stopgrid.llm import bpe, decontaminate, exact_dedup, simhash, token_counts, toxicity, warc
 from stopgrid.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +16,9 @@ ORACLES: dict[str, str] = {}
 #: Fixed value: where A-Z alone is lower-cased, for SQL.
 SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Fixed value: the words of decontamination and licence scans, for SQL.
+SQL_WORDS = rf"regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 
 def query(name: str, sql: str | None = None):
     def register(fn):
@@ -74,3 +77,75 @@ def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
     )
+
+
+@query(
+    "op6_decontaminate",
+    f"""
+    with d as (select doc_id, {SQL_WORDS} as w from documents),
+    b as (select distinct item_id, {SQL_WORDS} as w from benchmark where item_id is not null),
+    windows as (
+        select distinct item_id, least(len(w), 10) as n,
+               list_slice(w, s, s + least(len(w), 10) - 1) as phrase
+        from b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) t(s) where len(w) > 0
+    ),
+    places as (
+        select doc_id, s, n, list_slice(w, s, s + n - 1) as phrase
+        from d, (select distinct n from windows) l, unnest(range(1, len(w) - n + 2)) t(s)
+    ),
+    hits as (select distinct p.doc_id, p.s, p.n, item_id from places p join windows using (n, phrase)),
+    covered as (
+        select doc_id, count(distinct s + k) as n_hit from hits, unnest(range(0, n)) t(k) group by doc_id
+    ),
+    found as (
+        select doc_id, count(distinct item_id) as n_items,
+               sha256(string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar))) as items_sha256
+        from hits group by doc_id
+    )
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+           coalesce(items_sha256, sha256('')) as items_sha256, n_hit is not null as contaminated
+    from d left join covered using (doc_id) left join found using (doc_id)
+    """,
+)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.search(docs.select("doc_id", "text"), benchmark, width=10).withColumn("n", decontaminate.n_hit())
+    names = F.array_sort(F.transform("hits.items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        F.col("hits.n_words").alias("n_words"),
+        F.col("n").alias("n_hit"),
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.encode(F.array_join(names, ","), "UTF-8"), 256).alias("items_sha256"),
+        (F.col("n") > 0).alias("contaminated"),
+    )
+
+
+@query(
+    "op7_warc",
+    """
+    with p as (
+        select page_id, coalesce(html, '') as payload, coalesce(url, '') as url, sha256(coalesce(html, '')) as payload_digest from pages
+    ),
+    g as (
+        select *, strlen(payload) as payload_bytes,
+               first_value(page_id) over w as first_id, first_value(url) over w as first_url
+        from p window w as (partition by payload_digest order by page_id nulls last, url)
+    )
+    select page_id, payload_bytes, payload_digest,
+           case when revisit then 'revisit' else 'response' end as record_type,
+           case when revisit then first_id end as refers_to
+    from (select *, payload_bytes >= 100 and (page_id is distinct from first_id or url <> first_url) as revisit from g)
+    """,
+)
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    records = warc.read(spark, folder, with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_toxicity")
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
