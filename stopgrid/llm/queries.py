@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopgrid.llm import bpe, decontaminate, exact_dedup, simhash, token_counts, toxicity, warc
+from stopgrid.llm import bpe, decontaminate, exact_dedup, licenses, simhash, token_counts, toxicity, warc
 from stopgrid.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,48 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def _license_sql() -> str:
+    """Every template at every place where its first mandatory word stands, counted out."""
+    rows = []
+    for which, p in enumerate(licenses.postings()):
+        for i, (word, must) in enumerate(zip(p.words, p.must)):
+            rows.append(f"({which}, '{p.label}', {p.base}, {i}, '{word}', {must}, {p.must.index(True)})")
+    return f"""
+    with p(which, label, base, i, word, must, lead) as (values {", ".join(rows)}),
+    d as (select doc_id, {SQL_WORDS} as w from documents),
+    df as (select word, count(*) as n from (select distinct doc_id, unnest(w) as word from d) group by word),
+    idf as (
+        select word, ln((1.0 + (select count(*) from d)) / (1 + coalesce(n, 0))) + 1 as idf
+        from (select distinct word from p) left join df using (word)
+    ),
+    spots as (select doc_id, w, unnest(range(len(w))) as k from d),
+    starts as (select doc_id, w, which, k - lead as start from spots join p on p.i = p.lead and w[k + 1] = p.word),
+    judged as (
+        select doc_id, which, start, label, base, bool_and(met or not must) as whole,
+               sum(case when met then idf else 0 end) / sum(idf) as score
+        from (
+            select *, start + i >= 0 and coalesce(w[start + i + 1] = word, false) as met
+            from starts join p using (which) join idf using (word)
+        ) group by all
+    ),
+    found as (select * from judged where whole and score >= {licenses.MIN_SCORE - 1e-9}),
+    per as (
+        select doc_id, count(*) filter (base) as n_base, min(start) filter (base) as first_word,
+               max(start) filter (base) as last_word,
+               coalesce(string_agg(distinct label, ',' order by label) filter (base), '') as base_labels,
+               string_agg(distinct label, ',' order by label) as labels, max(score) as score
+        from found group by doc_id
+    )
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+           coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+           round(coalesce(score, 0), 6) as score
+    from d left join per using (doc_id)
+    """
+
+
+@query("op10_license_scan", _license_sql())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("score", F.round("score", 6)).withColumnRenamed("id", "doc_id")
