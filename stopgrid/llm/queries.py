@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopgrid.llm import bpe, decontaminate, exact_dedup, licenses, simhash, token_counts, toxicity, warc
+from stopgrid.llm import bpe, decontaminate, exact_dedup, licenses, line_dedup, simhash, token_counts, toxicity, warc
 from stopgrid.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,38 @@ def _license_sql() -> str:
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.withColumn("score", F.round("score", 6)).withColumnRenamed("id", "doc_id")
+
+
+@query(
+    "op8_line_dedup",
+    r"""
+    with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+    l as (select doc_id, no, ls[no + 1] as line from (select doc_id, ls, unnest(range(len(ls))) as no from d)),
+    o as (
+        select *, string_split(norm, ' ') as w, doc_id * 1000000 + no as place
+        from (select *, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) as norm from l)
+    ),
+    c as (select norm, any_value(w) as w, min(place) as first from o where norm <> '' and len(w) >= 8 group by norm),
+    v as (
+        select norm, first, len(w) as n, i, array_to_string(list_concat(w[1:i], w[i + 2:]), ' ') as key
+        from c, unnest(range(len(w))) t(i)
+    ),
+    near as (
+        select norm from (select norm, first, min(first) over (partition by n, i, key) as m from v) where m < first
+        union select v.norm from v join c on v.key = c.norm where c.first < v.first
+        union select c.norm from v join c on v.key = c.norm where v.first < c.first
+    ),
+    judged as (
+        select o.*, c.first is not null and (near.norm is not null or o.place > c.first) as dropped
+        from o left join c using (norm) left join near using (norm)
+    )
+    select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) order by no) filter (not dropped), '')) as text_sha256
+    from judged group by doc_id
+    """,
+)
+def dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256")
+    )
