@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopgrid.llm import bpe, decontaminate, exact_dedup, licenses, line_dedup, simhash, token_counts, toxicity, warc
+from stopgrid.llm import bpe, chat, decontaminate, exact_dedup, licenses, line_dedup, simhash, token_counts, toxicity, warc
 from stopgrid.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -229,3 +229,25 @@ def dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256")
     )
+
+
+@query(
+    "op5_chat_format",
+    """
+    with t as (
+        select distinct conv_id, turn, coalesce(role, 'unknown') as role, coalesce(text, '') as text from conversations
+    ),
+    r as (select *, row_number() over (partition by conv_id order by turn nulls last, role, text) - 1 as position from t),
+    s as (select conv_id, count(*) as n, list(struct_pack(role := role, text := text) order by position) as c from r group by conv_id),
+    w as (select min(conv_id) as conv_id, n, c, count(*) as n_logged from s group by n, c),
+    m as (
+        select conv_id, n, n_logged from w
+        where not exists (select 1 from w b where b.n > w.n and b.c[1] = w.c[1] and list_slice(b.c, 1, w.n) = w.c)
+    )
+    select r.conv_id, position, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as segment,
+           n as n_turns, n_logged
+    from r join m using (conv_id)
+    """,
+)
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
