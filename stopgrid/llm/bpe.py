@@ -276,24 +276,28 @@ def decode(ids: Column, path: str) -> Column:
     return of_ids(ids)
 
 
-def round_trip(text: Column, path: str) -> Column:
-    """(n_tokens, ids_sha256, decoded_sha256) of a text column, without passing ids on.
+def round_trip(text: Column, path: str, with_ids: bool = False) -> Column:
+    """(n_tokens, ids_sha256, decoded_sha256) of a text column, and the ids where they are asked for.
 
     Null counts as an empty text. Rows are independent: repeated rows and ids, other
     columns and empty tables need no care, and a very long text is decoded in pieces.
     """
+    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-    @pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @pandas_udf(fields + ", ids array<int>" if with_ids else fields)
     def of_texts(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = word_bpe(path)
         for batch in texts:
             rows = []
             for t in batch:
-                ids = bpe.encode(t or "")
+                raw = bpe.encode(t or "")
+                ids = np.frombuffer(raw, "<u4")
                 decoded = hashlib.sha256()
-                for piece in bpe.decode(np.frombuffer(ids, "<u4")):
+                for piece in bpe.decode(ids):
                     decoded.update(piece)
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                row = (len(ids), hashlib.sha256(raw).hexdigest(), decoded.hexdigest())
+                rows.append((*row, ids.astype(np.int32)) if with_ids else row)
+            names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+            yield pd.DataFrame(rows, columns=names if with_ids else names[:3])
 
     return of_texts(text)
