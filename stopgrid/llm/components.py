@@ -8,20 +8,29 @@ from pyspark.sql import functions as F
 from stopgrid.session import stored
 
 
-def _least_neighbour(pairs: DataFrame) -> DataFrame:
+#: A task of a step gets about so many edges; the contracted graph is often small.
+EDGES_PER_TASK = 250_000
+
+
+def _written(df: DataFrame, edges: int, label: str) -> DataFrame:
+    """`df`, of about as many rows as there are edges, in as many files as these call for."""
+    return stored(df.coalesce(edges // EDGES_PER_TASK + 1), label)
+
+
+def _least_neighbour(pairs: DataFrame, n: int) -> DataFrame:
     """Per u the smallest of its v. Written, so that the join with it may split a hot u."""
-    return stored(pairs.groupBy("u").agg(F.min("v").alias("m")), "least")
+    return _written(pairs.groupBy("u").agg(F.min("v").alias("m")), n, "least")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _least_neighbour(both).select("u", F.least("u", "m").alias("m"))
+    least = _least_neighbour(both, n).select("u", F.least("u", "m").alias("m"))
     return both.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = _least_neighbour(down)
+    least = _least_neighbour(down, n)
     linked = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.unionByName(least.select("u", F.col("m").alias("v")))
 
@@ -40,7 +49,9 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     state = _state(now)
     while state[0]:
-        now = stored(_small_star(stored(_large_star(now).distinct(), "large")).distinct(), "small")
+        n = state[0]
+        large = _written(_large_star(now, n).distinct(), n, "large")
+        now = _written(_small_star(large, n).distinct(), n, "small")
         before, state = state, _state(now)
         if state == before:
             break
