@@ -81,7 +81,7 @@ def _chunk_rows(keys: list[bytes], postings: dict[str, tuple[list, list]]) -> pd
     return pd.DataFrame({"chunk": chunk, "token": tokens, "docs": docs, "freqs": freqs})
 
 
-def _postings(path: str):
+def _postings(path: str, chunk_chars: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split = _Splitter(path)
         keys: list[bytes] = []
@@ -97,7 +97,7 @@ def _postings(path: str):
                     found[1].append(n)
                 keys.append(bytes(key))
                 chars += len(text)
-                if chars >= CHUNK_CHARS or len(keys) >= CHUNK_DOCS:
+                if chars >= chunk_chars or len(keys) >= CHUNK_DOCS:
                     yield _chunk_rows(keys, postings)
                     keys, postings, chars = [], {}, 0
         if keys:
@@ -157,7 +157,9 @@ def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"chunk": chunk, "doc": np.arange(len(parts), dtype=np.int32), "key": parts})
 
 
-def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_counts(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS
+) -> DataFrame:
     """(id, n_bytes, n_tokens): one row per row of `docs`, counted as the library at `path` does.
 
     No begin or end tokens are added; an added token's string inside a text counts as
@@ -167,7 +169,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
     given = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     key = F.unhex(F.md5(F.encode("text", "UTF-8")))
-    postings = stored(given.select(key.alias("key"), "text").mapInPandas(_postings(path), POSTING), "postings")
+    postings = stored(given.select(key.alias("key"), "text").mapInPandas(_postings(path, chunk_chars), POSTING), "postings")
     frequencies = postings.filter("token is not null")
     pieces = frequencies.select("token").distinct().mapInPandas(_count_pieces(path), "token string, pieces long")
     sums = (
