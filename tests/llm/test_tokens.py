@@ -20,7 +20,7 @@ SF_DIR = "/root/testdata/sf0.001"
 TRICKY = [
     "", " ", "\n\n \t", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>", "<|endoftext", "ΑΣ Σ ΌΔΟΣ", "İstanbul ﬁ ǅ",
     "a\x1cb\x85c d e　f", "é Å ́é", "한국어 日本語 123 ½²", "'S don't I'LL we've 'tis", "x" * 3000,
-    "aaaa" * 500, "ab" * 700, "\x00\x01\x7f", "😀 👩‍👩‍👧", "Ⅷ ⅷ ٣", "a  b   c \n d", "naïve—“quoted” … ×÷",
+    "aaaa" * 500, "ab" * 700, "to " * 1000, "\x00\x01\x7f", "😀 👩‍👩‍👧", "Ⅷ ⅷ ٣", "a  b   c \n d", "naïve—“quoted” … ×÷",
 ]
 
 
