@@ -4,40 +4,46 @@ A text is cut into pre-tokens, and a pre-token always gives the same pieces. So
 distinct pre-token is counted once, the counts are joined to the pre-token
 frequencies of the documents, and a document's products are summed.
 
-The frequencies are kept as postings: one row per chunk of documents and pre-token,
-holding the places of the documents in their chunk and the frequencies. A chunk is a
-bounded run of text, so a posting is bounded too, and a frequent pre-token has one row
-per chunk, which a skewed join can deal to many tasks.
+The join is one of packed rows. A chunk is a bounded run of documents; its frequencies
+are dealt by a hash of the pre-token into buckets, and a row holds what a chunk has in
+a bucket: the pre-tokens and, for each, the documents' places in the chunk with their
+frequencies. Rows meet by bucket, where each pre-token is counted when first seen.
+However frequent a pre-token is, it comes once per chunk, so no bucket grows hot. The
+sums travel back by chunk, next to the ids of its documents.
 """
 
 from __future__ import annotations
 
 import functools
 import os
-from collections import Counter
+import re
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopgrid.llm.common import text_of
-from stopgrid.session import stored
 
 #: Fixed value: how byte-level BPE splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Characters on which this pattern and the library's are known to agree.
-COMMON = regex.compile(r"[\t\n\r\x20-\x7eÀ-ÿ]*")
+#: Fixed value: the same for the characters below.
+COMMON_PATTERN = r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+"
+#: Characters whose classes are the same in all libraries.
+COMMON = re.compile(r"[\t\n\r\x20-\x7eÀ-ÿ]*")
+#: Where a text may be cut without changing its pre-tokens.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 CHUNK_CHARS = 16_000_000
-CHUNK_DOCS = 65_536
-SUMS_AT_ONCE = 2_000_000
-
-POSTING = "chunk long, token string, docs binary, freqs binary"
-SUMS = "chunk long, doc int, n_tokens long"
+CHUNK_DOCS = 65_535  # places are kept in two bytes
+SLICE_CHARS = 1_000_000
+BUCKETS = 1024
+SUMS_AT_ONCE = 4_000_000
 
 
 @functools.lru_cache(maxsize=4)
@@ -53,18 +59,21 @@ class _Splitter:
         self.library = _tokenizer(path)
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         longest_first = sorted(added, key=len, reverse=True)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if added else None
+        self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
         self.added = set(added)
-        self.find = regex.compile(PATTERN).findall
+        self.find = re.compile(COMMON_PATTERN).findall
+        self.find_any = regex.compile(PATTERN).findall
 
-    def __call__(self, text: str) -> list[str]:
-        """The pre-tokens of a text; an added token's string is one of them."""
+    def __call__(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens of a text, a bounded slice at a time; an added token's string is one of them."""
         if self.special is None or not any(t in text for t in self.added):
-            return self.plain(text)
-        found: list[str] = []
+            yield from map(self.plain, _slices(text))
+            return
         for part in self.special.split(text):
-            found += [part] if part in self.added else self.plain(part)
-        return found
+            if part in self.added:
+                yield [part]
+            else:
+                yield from map(self.plain, _slices(part))
 
     def plain(self, text: str) -> list[str]:
         if COMMON.fullmatch(text):
@@ -72,116 +81,202 @@ class _Splitter:
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)] if text else []
 
 
-def _chunk_rows(keys: list[bytes], postings: dict[str, tuple[list, list]]) -> pd.DataFrame:
-    """The postings of a chunk, behind a row that has no token and lists the documents' keys."""
-    chunk = xxhash.xxh64_intdigest(b"".join(keys)) - (1 << 63)
-    tokens = [None, *postings]
-    docs = [b"".join(keys), *(np.array(d, "<u4").tobytes() for d, _ in postings.values())]
-    freqs = [b"", *(np.array(f, "<u4").tobytes() for _, f in postings.values())]
-    return pd.DataFrame({"chunk": chunk, "token": tokens, "docs": docs, "freqs": freqs})
-
-
-def _postings(path: str, chunk_chars: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split = _Splitter(path)
-        keys: list[bytes] = []
-        postings: dict[str, tuple[list, list]] = {}
-        chars = 0
+def _slices(text: str) -> Iterator[str]:
+    at = 0
+    while len(text) - at > SLICE_CHARS and (cut := CUT.search(text, at + SLICE_CHARS)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def _row_schema(id_type: pa.DataType) -> pa.Schema:
+    """A chunk's share of a bucket; without tokens, a chunk's documents."""
+    return pa.schema(
+        [
+            ("chunk", pa.int64()), ("bucket", pa.int32()), ("tokens", pa.string()), ("lengths", pa.binary()),
+            ("spread", pa.binary()), ("docs", pa.binary()), ("freqs", pa.binary()),
+            ("ids", pa.list_(id_type)), ("sizes", pa.list_(pa.int64())),
+        ]
+    )
+
+
+class _Chunk:
+    def __init__(self, number: int, buckets: int):
+        self.number, self.buckets = number, buckets
+        self.ids, self.sizes, self.chars = [], [], 0
+        self.place_of: dict[str, int] = defaultdict()
+        self.place_of.default_factory = self.place_of.__len__
+        self.seen: list[np.ndarray] = []
+        self.owners: list[int] = []
+
+    def add(self, id_, text: str, parts: Iterator[list[str]]) -> None:
+        for tokens in parts:
+            self.seen.append(np.fromiter(map(self.place_of.__getitem__, tokens), np.uint32, len(tokens)))
+            self.owners.append(len(self.ids))
+        self.ids.append(id_)
+        self.sizes.append(len(text.encode("utf-8", "surrogatepass")))
+        self.chars += len(text)
+
+    def rows(self, schema: pa.Schema) -> pa.RecordBatch:
+        tokens = list(self.place_of)
+        bucket = np.fromiter((zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in tokens), np.uint32, len(tokens)) % self.buckets
+        order = np.argsort(bucket, kind="stable")
+        rank = np.empty(len(tokens), np.uint64)
+        rank[order] = np.arange(len(tokens), dtype=np.uint64)
+        owner = np.repeat(np.array(self.owners, np.uint64), [len(s) for s in self.seen])
+        places = np.concatenate(self.seen) if self.seen else np.zeros(0, np.uint32)
+        pairs, freqs = np.unique(rank[places] << np.uint64(16) | owner, return_counts=True)
+        # a frequency takes one byte; a larger one is said in several
+        times = (freqs + 254) // 255
+        pairs, last = np.repeat(pairs, times), np.cumsum(times) - 1
+        said = np.full(len(pairs), 255, np.uint8)
+        said[last] = freqs - 255 * (times - 1)
+        which = (pairs >> np.uint64(16)).astype(np.int64)
+        docs = (pairs & np.uint64(0xFFFF)).astype("<u2")
+        spread = np.bincount(which, minlength=len(tokens)).astype("<u4")
+        used, begin = np.unique(bucket[order], return_index=True)
+        ends = np.append(begin[1:], len(tokens))
+        edge = np.concatenate([[0], np.cumsum(spread.astype(np.int64))])
+        names = [tokens[i] for i in order.tolist()]
+        lengths = np.fromiter(map(len, names), "<u4", len(names))
+        cells = [(self.number, self.number % self.buckets, None, None, None, None, None, self.ids, self.sizes)]
+        for b, i, j in zip(used.tolist(), begin.tolist(), ends.tolist()):
+            a, z = edge[i], edge[j]
+            part = ("".join(names[i:j]), lengths[i:j].tobytes(), spread[i:j].tobytes(), docs[a:z].tobytes(), said[a:z].tobytes())
+            cells.append((self.number, b, *part, None, None))
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*cells), schema)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _frequencies(path: str, chunk_chars: int, buckets: int, id_type: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, schema = _Splitter(path), _row_schema(id_type)
+        number = TaskContext.get().partitionId() << 32
+        chunk = _Chunk(number, buckets)
         for batch in batches:
-            for key, text in zip(batch["key"], batch["text"]):
-                for token, n in Counter(split(text)).items():
-                    found = postings.get(token)
-                    if found is None:
-                        postings[token] = found = ([], [])
-                    found[0].append(len(keys))
-                    found[1].append(n)
-                keys.append(bytes(key))
-                chars += len(text)
-                if chars >= chunk_chars or len(keys) >= CHUNK_DOCS:
-                    yield _chunk_rows(keys, postings)
-                    keys, postings, chars = [], {}, 0
-        if keys:
-            yield _chunk_rows(keys, postings)
+            for id_, text in zip(batch.column("id").to_pylist(), batch.column("text")):
+                text = text.as_py()
+                chunk.add(id_, text, split(text))
+                if chunk.chars >= chunk_chars or len(chunk.ids) >= CHUNK_DOCS:
+                    yield chunk.rows(schema)
+                    number += 1
+                    chunk = _Chunk(number, buckets)
+        if chunk.ids:
+            yield chunk.rows(schema)
 
     return run
 
 
-def _count_pieces(path: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        library = _tokenizer(path)
-        for batch in batches:
-            encoded = library.encode_batch_fast(batch["token"].tolist(), add_special_tokens=False)
-            yield pd.DataFrame({"token": batch["token"], "pieces": [len(e) for e in encoded]})
+def _rows(batches: Iterator[pa.RecordBatch], at_once: int = 128) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, at_once):
+            yield from batch.slice(i, at_once).to_pylist()
+
+
+def _sum_schema(id_type: pa.DataType) -> pa.Schema:
+    return pa.schema(
+        [("chunk", pa.int64()), ("part", pa.int32()), ("ids", pa.list_(id_type)), ("sizes", pa.list_(pa.int64())), ("sums", pa.binary())]
+    )
+
+
+def _count(path: str, id_type: pa.DataType):
+    """Counts each pre-token of a bucket once, and sums each chunk's products."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library, schema = _tokenizer(path), _sum_schema(id_type)
+        sums: dict[int, np.ndarray] = {}
+        pieces_of: dict[str, int] = {}
+        bucket, held = None, 0
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+        def told() -> pa.RecordBatch:
+            return out([(chunk, 1, None, None, s.astype("<u8").tobytes()) for chunk, s in sums.items()])
+
+        for row in _rows(batches):
+            if row["tokens"] is None:
+                yield out([(row["chunk"], 0, row["ids"], row["sizes"], None)])
+                continue
+            if row["bucket"] != bucket:
+                bucket, pieces_of = row["bucket"], {}
+            ends = np.cumsum(np.frombuffer(row["lengths"], "<u4")).tolist()
+            text = row["tokens"]
+            tokens = [text[a:b] for a, b in zip([0, *ends], ends)]
+            if fresh := [t for t in tokens if t not in pieces_of]:
+                encoded = library.encode_batch_fast(fresh, add_special_tokens=False)
+                pieces_of.update(zip(fresh, map(len, encoded)))
+            pieces = np.fromiter(map(pieces_of.__getitem__, tokens), np.int64, len(tokens))
+            products = np.repeat(pieces, np.frombuffer(row["spread"], "<u4")) * np.frombuffer(row["freqs"], np.uint8)
+            found = np.bincount(np.frombuffer(row["docs"], "<u2"), products).astype(np.int64)
+            have = sums.get(row["chunk"], found[:0])
+            held += max(0, len(found) - len(have))
+            if len(have) < len(found):
+                have, found = found, have
+            have[: len(found)] += found
+            sums[row["chunk"]] = have
+            if held > SUMS_AT_ONCE:
+                yield told()
+                sums, held = {}, 0
+        if sums:
+            yield told()
 
     return run
 
 
-def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per chunk and document the tokens of the pre-tokens seen so far, passed on when they become many."""
-    sums: dict[int, np.ndarray] = {}
-    held = 0
+def _gather(id_type: pa.DataType):
+    """Per chunk its documents' ids and sizes, which come first, and the totals of the sums."""
+    schema = pa.schema([("ids", pa.list_(id_type)), ("sizes", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 
-    def rows() -> pd.DataFrame:
-        parts = [(c, np.flatnonzero(s), s) for c, s in sums.items()]
-        return pd.DataFrame(
-            {
-                "chunk": np.repeat([c for c, _, _ in parts], [len(at) for _, at, _ in parts]),
-                "doc": np.concatenate([at for _, at, _ in parts]).astype(np.int32),
-                "n_tokens": np.concatenate([s[at] for _, at, s in parts]),
-            }
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head: dict | None = None
+        totals = np.zeros(0, np.int64)
 
-    for batch in batches:
-        for chunk, docs, freqs, pieces in zip(batch["chunk"], batch["docs"], batch["freqs"], batch["pieces"]):
-            at = np.frombuffer(docs, "<u4")
-            have = sums.get(chunk)
-            if have is None or len(have) <= at[-1]:
-                grown = np.zeros(int(at[-1]) + 1, np.int64)
-                if have is not None:
-                    grown[: len(have)] = have
-                    held -= len(have)
-                sums[chunk] = have = grown
-                held += len(have)
-            have[at] += np.frombuffer(freqs, "<u4").astype(np.int64) * pieces
-        if held > SUMS_AT_ONCE:
-            yield rows()
-            sums, held = {}, 0
-    if sums:
-        yield rows()
-
-
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for chunk, keys in zip(batch["chunk"], batch["docs"]):
-            parts = [keys[i : i + 16] for i in range(0, len(keys), 16)]
-            yield pd.DataFrame({"chunk": chunk, "doc": np.arange(len(parts), dtype=np.int32), "key": parts})
+        def told() -> pa.RecordBatch:
+            cells = (head["ids"], head["sizes"], totals.tolist())
+            return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, schema)], schema=schema)
+
+        for row in _rows(batches):
+            if row["part"] == 0:
+                if head is not None:
+                    yield told()
+                head, totals = row, np.zeros(len(row["ids"]), np.int64)
+            else:
+                found = np.frombuffer(row["sums"], "<u8").astype(np.int64)
+                totals[: len(found)] += found
+        if head is not None:
+            yield told()
+
+    return run
 
 
 def token_counts(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS
-) -> DataFrame:
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+    chunk_chars: int = CHUNK_CHARS, buckets: int = BUCKETS,
+) -> DataFrame:
     """(id, n_bytes, n_tokens): one row per row of `docs`, counted as the library at `path` does.
 
     No begin or end tokens are added; an added token's string inside a text counts as
-    that one token. Null texts count as empty, with zero tokens. Equal texts, repeated
-    rows among them, are counted once and each row gets the count, so ids may be null
-    or repeat. Other columns are ignored; an empty table gives none.
+    that one token. Null texts count as empty, with zero tokens. Each row is counted
+    in its own place, so rows may repeat and ids be null. Other columns are ignored;
+    an empty table gives none.
     """
+    from pyspark.sql.pandas.types import to_arrow_type
+
     given = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
-    key = F.unhex(F.md5(F.encode("text", "UTF-8")))
-    postings = stored(given.select(key.alias("key"), "text").mapInPandas(_postings(path, chunk_chars), POSTING), "postings")
-    frequencies = postings.filter("token is not null")
-    pieces = frequencies.select("token").distinct().mapInPandas(_count_pieces(path), "token string, pieces long")
-    sums = (
-        frequencies.join(stored(pieces, "pieces"), "token")
-        .select("chunk", "docs", "freqs", "pieces")
-        .mapInPandas(_sums, SUMS)
-        .groupBy("chunk", "doc")
-        .agg(F.sum("n_tokens").alias("n_tokens"))
+    kind = given.schema["id"].dataType
+    id_type, name = to_arrow_type(kind), kind.simpleString()
+    rows = given.mapInArrow(
+        _frequencies(path, chunk_chars, buckets, id_type),
+        "chunk long, bucket int, tokens string, lengths binary, spread binary, docs binary, freqs binary, "
+        f"ids array<{name}>, sizes array<long>",
     )
-    places = postings.filter("token is null").mapInPandas(_headers, "chunk long, doc int, key binary")
-    # equal texts, in one chunk or in several, all have the same sum
-    by_text = places.join(sums, ["chunk", "doc"], "left").groupBy("key").agg(F.max("n_tokens").alias("n_tokens"))
-    rows = given.select("id", key.alias("key"), F.octet_length("text").cast("long").alias("n_bytes"))
-    counted = rows.join(stored(by_text, "counts"), "key")
-    return counted.select("id", "n_bytes", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
+    sums = (
+        rows.repartition("bucket").sortWithinPartitions("bucket")
+        .mapInArrow(_count(path, id_type), f"chunk long, part int, ids array<{name}>, sizes array<long>, sums binary")
+    )
+    counted = (
+        sums.repartition("chunk").sortWithinPartitions("chunk", "part")
+        .mapInArrow(_gather(id_type), f"ids array<{name}>, sizes array<long>, counts array<long>")
+    )
+    return counted.select(F.inline(F.arrays_zip("ids", "sizes", "counts"))).toDF("id", "n_bytes", "n_tokens")
