@@ -32,10 +32,11 @@ from stopgrid.llm.common import free_name, text_of
 SAMPLE_ROWS = 6000
 GRADES = 3
 #: A document of at least this expected severity is rejected.
-CUT = 0.25
+CUT = 0.15
 BUCKETS = 1 << 22
 AFFIXES = (4, 5, 6)
 MIN_DOCS = 4
+MIN_RATIO = 0.5
 STEPS = 150
 RATE = 0.05
 PENALTY = 1e-4
@@ -119,27 +120,37 @@ def fit_ordinal(
 
 
 def fit_sample(toxic: np.ndarray, buckets: list[np.ndarray], counts: list[np.ndarray]) -> Model:
-    """The model of a sample: per row whether it is toxic, and its buckets with frequencies."""
+    """The model of a sample: per row whether it is toxic, and its buckets with frequencies.
+
+    Buckets in few rows, and those about as common in toxic rows as in others, are left
+    out. The log ratios lean on the share of toxic rows, so that a rare bucket says little.
+    """
     none = Model(np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0))
-    if not toxic.any() or toxic.all():
+    n_toxic, n = int(toxic.sum()), len(toxic)
+    if n_toxic in (0, n):
         return none
-    sizes = np.array([len(b) for b in buckets])
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    bucket, count = np.concatenate(buckets).astype(np.int64), np.concatenate(counts).astype(np.float64)
-    seen = np.bincount(bucket, minlength=BUCKETS)
-    used = np.flatnonzero(seen >= min(MIN_DOCS, int(toxic.sum())))
-    place = np.full(BUCKETS, -1, np.int64)
+    bad = np.bincount(np.concatenate([b for b, t in zip(buckets, toxic) if t]), minlength=BUCKETS)
+    seen = bad + np.bincount(np.concatenate([b for b, t in zip(buckets, toxic) if not t]), minlength=BUCKETS)
+    share = n_toxic / n
+    in_toxic, in_clean = (bad + 2 * share) / (n_toxic + 2), (seen - bad + 2 * (1 - share)) / (n - n_toxic + 2)
+    ratio = np.log(in_toxic / in_clean)
+    used = np.flatnonzero((seen >= min(MIN_DOCS, n_toxic)) & (np.abs(ratio) >= MIN_RATIO))
+    place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
-    kept = place[bucket] >= 0
-    row, at, count = row[kept], place[bucket[kept]], count[kept]
+    ratio = ratio[used]
+    rows, places, values = [], [], []
+    for i, (b, c) in enumerate(zip(buckets, counts)):
+        at = place[b]
+        kept = at >= 0
+        at = at[kept]
+        length = max(1.0, float(c.sum()) / (1 + 2 * len(AFFIXES)))
+        rows.append(np.full(len(at), i, np.int32))
+        places.append(at)
+        values.append((c[kept] * np.abs(ratio[at]) / length**0.5).astype(np.float32))
+    row, at, value = np.concatenate(rows), np.concatenate(places), np.concatenate(values)
     if not len(at):
         return none
-    bad = toxic[row]
-    in_bad, in_good = np.bincount(at[bad], minlength=len(used)), np.bincount(at[~bad], minlength=len(used))
-    ratio = np.log((in_bad + 1) / (toxic.sum() + 2)) - np.log((in_good + 1) / ((~toxic).sum() + 2))
-    length = np.maximum(1, np.array([c.sum() for c in counts])) / (1 + 2 * len(AFFIXES))
-    value = count * np.abs(ratio[at]) / np.sqrt(length[row])
-    marks = np.bincount(row, value * (ratio[at] > 1), len(toxic))
+    marks = np.bincount(row, value * (ratio[at] > 1), n)
     ladder = np.quantile(marks[toxic], np.arange(1, GRADES) / GRADES)
     grade = np.where(toxic, 1 + np.searchsorted(ladder, marks, "right"), 0)
     _, grade = np.unique(grade, return_inverse=True)  # grades nobody has are left out
