@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
 from stopgrid.operators import demand, features, merge, moves, reshape, serving, trips
-from stopgrid.session import stored
+from stopgrid.session import releasing, stored
 from stopgrid.sources import files, xml
 
 FACT_JOB = "build_daily_stop_hour"
@@ -63,46 +63,81 @@ def publish(tables: dict[str, DataFrame], url: str, **properties: str) -> None:
 # -- raw dimensions and demand ----------------------------------------------
 def load_dimensions(spark: SparkSession, route_map_csv: str, link_csv: str, route_map_out: str, link_out: str) -> None:
     """Route map and link files upserted into their tables."""
-    route_map = files.load_route_map(files.read_csv_strings(spark, route_map_csv))
-    links = files.load_link_distance(files.read_csv_strings(spark, link_csv))
-    merge.upsert_table(spark, route_map_out, route_map, S.KEYS["dim_route_map"], [], ["rte_id", "route_no"])
-    merge.upsert_table(spark, link_out, links, S.KEYS["dim_stop_link"], [], ["link_distance_m"])
+    route_map = files.load_route_map(merge.with_origin(files.read_csv_strings(spark, route_map_csv)))
+    links = files.load_link_distance(merge.with_origin(files.read_csv_strings(spark, link_csv)))
+    merge.upsert_table(spark, route_map_out, route_map, S.KEYS["dim_route_map"], [], [merge.ORIGIN])
+    merge.upsert_table(spark, link_out, links, S.KEYS["dim_stop_link"], [], [merge.ORIGIN])
 
 
 def load_demand(spark: SparkSession, daily_pages: str, monthly_pages: str, daily_out: str, monthly_out: str) -> None:
     """Landed demand pages upserted into the daily and the monthly table.
 
-    Of several pages with the same key the one registered last counts.
+    Of several rows with the same key the one registered last counts, then that of
+    the later file and row.
     """
-    daily = xml.daily_rows(xml.read_pages(spark, daily_pages, S.DAILY_SERVICE))
-    monthly = xml.monthly_rows(xml.read_pages(spark, monthly_pages, S.MONTHLY_SERVICE))
+    daily = xml.daily_rows(xml.read_pages(spark, daily_pages, S.DAILY_SERVICE), origin=True)
+    monthly = xml.monthly_rows(xml.read_pages(spark, monthly_pages, S.MONTHLY_SERVICE), origin=True)
+    order = ["reg_ymd", merge.ORIGIN]
     merge.upsert_table(
-        spark, daily_out, daily.select(*S.DEMAND_DAILY_STOP.fieldNames()),
-        S.KEYS["demand_daily_stop"], ["date"], ["reg_ymd", "board_total", "alight_total"],
+        spark, daily_out, daily.select(*S.DEMAND_DAILY_STOP.fieldNames(), merge.ORIGIN),
+        S.KEYS["demand_daily_stop"], ["date"], order,
     )
     merge.upsert_table(
-        spark, monthly_out, monthly.select(*S.DEMAND_MONTHLY_HOURLY.fieldNames()),
-        S.KEYS["demand_monthly_hourly"], ["use_ym"], ["reg_ymd", "board_total", "alight_total"],
+        spark, monthly_out, monthly.select(*S.DEMAND_MONTHLY_HOURLY.fieldNames(), merge.ORIGIN),
+        S.KEYS["demand_monthly_hourly"], ["use_ym"], order,
     )
 
 
 # -- the stop-hour fact table -----------------------------------------------
-def csv_stop_days(spark: SparkSession, csv: str, route_map: DataFrame) -> DataFrame:
-    """Stop days of a wide operations CSV, its routes resolved through the map."""
-    rows = files.filter_route_via_map(files.bronze(files.read_csv_strings(spark, csv)), route_map)
+def csv_stop_days(
+    spark: SparkSession, csv: str, route_map: DataFrame | None = None, dates: Iterable[dt.date] | None = None
+) -> DataFrame:
+    """Stop days of a wide operations CSV, its routes resolved through the map.
+
+    Without a map the route key is the route id itself. `dates` restricts the rows
+    before they are ranked.
+    """
+    rows = files.bronze(files.read_csv_strings(spark, csv))
+    if route_map is None:
+        rows = rows.withColumn("rte_id", F.col("route_key"))
+    else:
+        rows = files.filter_route_via_map(rows, route_map)
     hours = reshape.hour_columns(rows, S.HOUR_TAG_PREFIX, S.HOUR_TAG_SUFFIX)
-    dated = rows.withColumn("date", C.parse_date("date"))
+    dated = _on_dates(rows.withColumn("date", C.parse_date("date")), dates)
     return demand.stop_days_from_wide(dated, hours)
 
 
-def page_stop_days(spark: SparkSession, pages: str, route_map: DataFrame) -> DataFrame:
+def _on_dates(rows: DataFrame, dates: Iterable[dt.date] | None) -> DataFrame:
+    return rows if dates is None else rows.where(F.col("date").isin(list(dates)))
+
+
+def page_stop_days(
+    spark: SparkSession, pages: str, route_map: DataFrame, dates: Iterable[dt.date] | None = None
+) -> DataFrame:
     """Stop days of landed operations pages."""
     rows = xml.ops_rows(xml.read_pages(spark, pages, S.OPS_SERVICE))
-    mapped = rows.join(route_map.select("rte_id", "route_no").distinct(), "rte_id")
-    dated = mapped.withColumn("date", C.parse_date("date"))
+    one = route_map.groupBy("rte_id").agg(F.min("route_no").alias("route_no"))
+    mapped = rows.join(one, "rte_id")
+    dated = _on_dates(mapped.withColumn("date", C.parse_date("date")), dates)
     return demand.stop_days_from_wide(dated, {h: f"ops_{h:02d}" for h in range(24)})
 
 
+def incomplete_dates(pages: DataFrame, date_tag: str, route_tag: str) -> DataFrame:
+    """Dates of which a page failed, is missing or came empty."""
+    state = xml.page_completeness(pages, date_tag, route_tag)
+    return state.where("complete = 0").select(C.parse_date("date").alias("date")).dropna().distinct()
+
+
+def link_sources(links: Sequence[DataFrame]) -> DataFrame:
+    """Link rows in order of preference: a route and date come whole from the first
+    source that has them, and so do a route's undated rows, from a file without dates."""
+    shaped = [x if "date" in x.columns else x.withColumn("date", F.lit(None).cast("string")) for x in links]
+    columns = ["date", "route_key", "stop_id", "stop_seq", "link_distance_m"]
+    shaped = [x.select(*columns) for x in shaped]
+    dated = merge.prefer([x.where(F.col("date").isNotNull()) for x in shaped], ["route_key", "date"])
+    return dated.unionByName(merge.prefer([x.where(F.col("date").isNull()) for x in shaped], ["route_key"]))
+
+
 def build_fact(
     spark: SparkSession,
     out: str,
@@ -112,35 +147,63 @@ def build_fact(
     monthly: DataFrame | None,
     links: Sequence[DataFrame],
     dates: Iterable[dt.date] | None = None,
+    incomplete: DataFrame | None = None,
 ) -> None:
     """Build the fact table for the dates not built yet and note each in the ledger.
 
     `days` and `links` list sources in order of preference: a date and route, or a
-    route's links, come whole from the first source that has them.
+    route's links, come whole from the first source that has them. `incomplete` has
+    the dates that must not be built, as their input is. A date is noted as OK with
+    the rows written by this run, NO_DATA, ERROR, or SKIPPED_SAME_DATE if it was
+    asked for and is done.
     """
-    ops = merge.prefer(list(days), ["date", "route_no"])
-    wanted = (
-        spark.createDataFrame([(d,) for d in dates], "target_date date")
-        if dates is not None
-        else ops.select(F.col("date").alias("target_date")).distinct()
-    ).withColumn("job_name", F.lit(FACT_JOB))
-    if merge.path_exists(spark, ledger):
-        wanted = merge.ledger_pending_dates(wanted, spark.read.schema(S.RUN_LEDGER).parquet(ledger))
-    wanted = stored(wanted, "fact-dates")
-    ops = ops.join(wanted.select(F.col("target_date").alias("date")), "date", "left_semi")
-    fact = demand.daily_stop_hour(ops, daily, monthly, merge.prefer(list(links), ["route_key"]))
-    merge.write_partitions(fact, out, FACT_PARTITIONS, FACT_ORDER)
-    written = merge.only_partitions(
-        read_fact(spark, out), wanted.select(F.col("target_date").alias("date")), ["date"]
-    )
-    counts = written.groupBy(F.col("date").alias("target_date")).agg(F.count("*").alias("rows"))
-    results = wanted.join(counts, "target_date", "left").select(
-        "job_name",
-        "target_date",
-        F.when(F.col("rows") > 0, F.lit("OK")).otherwise(F.lit("NO_DATA")).alias("status"),
-        F.concat(F.lit("rows="), F.coalesce(F.col("rows"), F.lit(0)).cast("string")).alias("message"),
-    )
-    merge.append_ledger(merge.ledger_entries(results), ledger)
+    with releasing(spark):
+        ops = merge.prefer(list(days), ["date", "route_no"])
+        asked = (
+            spark.createDataFrame([(d,) for d in dates], "target_date date")
+            if dates is not None
+            else ops.select(F.col("date").alias("target_date")).distinct()
+        ).withColumn("job_name", F.lit(FACT_JOB))
+        asked = stored(asked, "fact-asked")
+        wanted = asked
+        if merge.path_exists(spark, ledger):
+            wanted = merge.ledger_pending_dates(asked, spark.read.schema(S.RUN_LEDGER).parquet(ledger))
+        wanted = stored(wanted, "fact-dates")
+        refused = spark.createDataFrame([], "target_date date")
+        if incomplete is not None:
+            refused = wanted.join(incomplete.select(F.col("date").alias("target_date")).distinct(), "target_date", "left_semi")
+        refused = stored(refused.select("target_date"), "fact-refused")
+        built = wanted.join(refused, "target_date", "left_anti").select(F.col("target_date").alias("date"))
+        ops = ops.join(built, "date", "left_semi")
+        fact = demand.daily_stop_hour(ops, daily, monthly, link_sources(links))
+        merge.write_partitions(fact, out, FACT_PARTITIONS, FACT_ORDER)
+        # what lies in the folder of a date without input is from an earlier run
+        fresh = stored(ops.select("date").distinct(), "fact-built")
+        counts = merge.only_partitions(read_fact(spark, out), fresh, ["date"]).groupBy(
+            F.col("date").alias("target_date")
+        ).agg(F.count("*").alias("rows"))
+        tried = wanted.join(counts, "target_date", "left").join(
+            refused.withColumn("refused", F.lit(True)), "target_date", "left"
+        )
+        results = tried.select(
+            "job_name",
+            "target_date",
+            F.when(F.col("refused"), F.lit("ERROR"))
+            .when(F.col("rows") > 0, F.lit("OK"))
+            .otherwise(F.lit("NO_DATA"))
+            .alias("status"),
+            F.when(F.col("refused"), F.lit("input is incomplete"))
+            .otherwise(F.concat(F.lit("rows="), F.coalesce(F.col("rows"), F.lit(0)).cast("string")))
+            .alias("message"),
+        )
+        if dates is not None:
+            done = asked.join(wanted, ["job_name", "target_date"], "left_anti")
+            results = results.unionByName(
+                done.select(
+                    "job_name", "target_date", F.lit("SKIPPED_SAME_DATE").alias("status"), F.lit("already built").alias("message")
+                )
+            )
+        merge.append_ledger(merge.ledger_entries(results), ledger)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
@@ -174,7 +237,7 @@ def predict(fact: DataFrame, splits: features.Split, output_split: str = "test")
 def ingest_predictions(spark: SparkSession, paths: Sequence[str], table: str, base: str | None = None) -> None:
     """Prediction files of any accepted spelling upserted into the predictions table."""
     rows = merge.coerce_predictions(files.read_predictions(spark, paths, base))
-    merge.upsert_table(spark, table, rows, S.KEYS["predictions"], ["date"], ["stop_seq", "pass_buses"])
+    merge.upsert_table(spark, table, rows, S.KEYS["predictions"], ["date"], [merge.ORIGIN])
 
 
 def build_schedule(
@@ -211,6 +274,7 @@ def plan_from_predictions(predictions: DataFrame) -> DataFrame:
 
 def build_reallocation(predictions: DataFrame, moves_out: str, slots_out: str) -> None:
     """Moves and the even departure slots after them, by date."""
-    plan = stored(plan_from_predictions(predictions), "plan")
-    merge.write_partitions(moves.reallocation_plan(plan), moves_out, ["date"])
-    merge.write_partitions(moves.slot_schedule(plan), slots_out, ["date"])
+    with releasing(predictions.sparkSession):
+        plan = stored(plan_from_predictions(predictions), "plan")
+        merge.write_partitions(moves.reallocation_plan(plan), moves_out, ["date"])
+        merge.write_partitions(moves.slot_schedule(plan), slots_out, ["date"])

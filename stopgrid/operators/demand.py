@@ -157,21 +157,46 @@ def disaggregate_demand(ops: DataFrame, daily: DataFrame, monthly: DataFrame | N
 def fill_links(rows: DataFrame, links: DataFrame) -> DataFrame:
     """Add link_distance_m: by stop id, else the mean of the same sequence.
 
-    `rows` has route_key, stop_id and stop_seq; `links` is reduced to one row per
-    lookup key first, so the joins never multiply rows.
+    `rows` has route_key, stop_id and stop_seq. Links with a date are those of that
+    day and go before the undated ones of the route as a whole; `rows` then has a
+    date too. Links become one row per route, or route and date, that holds the
+    distances of its stops, so each kind takes one join and never multiplies rows.
     """
-    by_stop = links.groupBy("route_key", "stop_id").agg(F.avg("link_distance_m").alias("_d1"))
-    by_seq = (
-        links.where(F.col("stop_seq").isNotNull())
-        .groupBy("route_key", "stop_seq")
-        .agg(F.avg("link_distance_m").alias("_d2"))
-    )
-    return (
-        rows.join(by_stop, ["route_key", "stop_id"], "left")
-        .join(by_seq, ["route_key", "stop_seq"], "left")
-        .withColumn("link_distance_m", F.coalesce("_d1", "_d2"))
-        .drop("_d1", "_d2")
+    if "date" not in links.columns:
+        return _with_links(rows, _link_table(links, ["route_key"]), ["route_key"]).drop("_links")
+    day = C.parse_date(F.col("date").cast("string"))
+    dated = _link_table(links.where(F.col("date").isNotNull()).withColumn("date", day), ["route_key", "date"])
+    always = _link_table(links.where(F.col("date").isNull()), ["route_key"]).withColumnRenamed("_links", "_always")
+    joined = rows.join(dated, ["route_key", "date"], "left").join(always, "route_key", "left")
+    return _looked_up(joined.withColumn("_links", F.coalesce("_links", "_always"))).drop("_links", "_always")
+
+
+def _link_table(links: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per route (and date) with its stops' mean distances, by id and by sequence.
+
+    The means are taken before anything is gathered, so a row holds one entry per stop.
+    """
+    name = F.explode(
+        F.array(
+            F.struct(F.lit("id").alias("by"), F.col("stop_id").cast("string").alias("stop")),
+            F.struct(F.lit("seq").alias("by"), F.col("stop_seq").cast("string").alias("stop")),
+        )
     )
+    each = links.select(*keys, "link_distance_m", name.alias("_n")).where(F.col("_n.stop").isNotNull())
+    means = each.groupBy(*keys, "_n.by", "_n.stop").agg(F.avg("link_distance_m").alias("d"))
+    entry = F.struct(F.concat_ws(" ", "by", "stop"), "d")
+    return means.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_links"))
+
+
+def _looked_up(rows: DataFrame) -> DataFrame:
+    def of(by: str, column: str) -> Column:
+        return F.try_element_at("_links", F.concat(F.lit(f"{by} "), F.col(column).cast("string")))
+
+    return rows.withColumn("link_distance_m", F.coalesce(of("id", "stop_id"), of("seq", "stop_seq")))
+
+
+def _with_links(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    return _looked_up(rows.join(table, keys, "left"))
 
 
 # -- the fact table ---------------------------------------------------------

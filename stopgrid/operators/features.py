@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
-from stopgrid.session import sized
 
 FEATURES = [
     "hour",
@@ -41,7 +40,7 @@ def stop_index(fact: DataFrame) -> DataFrame:
 
 def index_stops(rows: DataFrame) -> DataFrame:
     """Rows with the number of their stop."""
-    return rows.join(sized(stop_index(rows), "stops"), SERIES, "left")
+    return rows.join(stop_index(rows), SERIES, "left")
 
 
 def demand_features(fact: DataFrame) -> DataFrame:
@@ -62,7 +61,7 @@ def demand_features(fact: DataFrame) -> DataFrame:
     if "link_distance_m" in fact.columns:
         usable = F.when(F.col("link_distance_m") != 0, F.col("link_distance_m"))
         means = fact.groupBy("route_no").agg(F.avg(usable).alias("mean_link"))
-        rows = rows.join(sized(means, "link-means"), "route_no", "left").withColumn(
+        rows = rows.join(means, "route_no", "left").withColumn(
             "distance", F.coalesce(usable, F.col("mean_link"), F.lit(S.DEFAULT_LINK_M))
         )
     else:
@@ -156,8 +155,7 @@ def feature_minmax(train: DataFrame, series: list[str] = SERIES, order: str = "h
     rows, but for each series' last row; so no window has to be built.
     """
     ends = train.groupBy(*series).agg(F.max(order).alias("_last"), F.count("*").alias("_rows"))
-    ends = sized(ends.where(F.col("_rows") > length), "series-ends")
-    used = train.join(ends, series).where(F.col(order) < F.col("_last"))
+    used = train.join(ends.where(F.col("_rows") > length), series).where(F.col(order) < F.col("_last"))
     lows = [F.min(F.col(f).cast("double")).alias(f"{f}_min") for f in features]
     highs = [F.max(F.col(f).cast("double")).alias(f"{f}_max") for f in features]
     return used.groupBy("route_no").agg(*lows, *highs)
@@ -189,7 +187,7 @@ def scale_features(rows: DataFrame, minmax: DataFrame, features: list[str] = FEA
         return (F.col(f) - low) / F.when(span == 0, F.lit(1.0)).otherwise(span)
 
     return (
-        rows.join(sized(minmax, "minmax"), "route_no")
+        rows.join(minmax, "route_no")
         .withColumns({f: scaled(f) for f in features})
         .drop(*[f"{f}_{end}" for f in features for end in ("min", "max")])
     )
@@ -203,64 +201,63 @@ def scaled_windows(
 
 
 # -- demand model -----------------------------------------------------------
-def model_input(windows: DataFrame, features: list[str] = FEATURES,
-                length: int = S.SEQUENCE_LENGTH, hashed_stops: int = 64) -> DataFrame:
-    """The flattened window plus the hashed stop as one vector column.
-
-    Stops are hashed, so no list of stops is gathered on the driver; the size hint
-    spares a job that would look for the vector's length.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import FeatureHasher, VectorAssembler, VectorSizeHint
+def model_input(windows: DataFrame, features: list[str] = FEATURES) -> DataFrame:
+    """The flattened window as one vector column."""
     from pyspark.ml.functions import array_to_vector
 
     flat = F.flatten(F.transform("past", lambda r: F.array(*[r[f] for f in features])))
-    rows = windows.withColumn("window", array_to_vector(flat)).withColumn(
-        "stop", F.concat_ws("/", "route_no", "stop_id")
-    )
-    steps = Pipeline(
-        stages=[
-            VectorSizeHint(inputCol="window", size=length * len(features)),
-            FeatureHasher(inputCols=["stop"], outputCol="stop_vec", numFeatures=hashed_stops),
-            VectorAssembler(inputCols=["window", "stop_vec"], outputCol="x"),
-        ]
-    )
-    return steps.fit(rows).transform(rows).drop("window", "stop_vec", "stop", "past")
+    return windows.withColumn("x", array_to_vector(flat)).drop("past")
+
+
+def stop_levels(train: DataFrame, targets: list[str]) -> DataFrame:
+    """Each stop's own mean of the targets: its place in the model, however many stops there are."""
+    return train.groupBy(*SERIES).agg(*[F.avg(t).alias(f"level_{t}") for t in targets])
 
 
 def fit_demand_model(train: DataFrame, target: str):
-    """Linear model of one target; the normal equations need a single pass."""
+    """Linear model of a target's distance from its stop's level; the normal equations need a single pass."""
     from pyspark.ml.regression import LinearRegression
 
     return LinearRegression(
-        featuresCol="x",
-        labelCol=target,
-        predictionCol=target.replace("y_", "yhat_"),
-        solver="normal",
-        regParam=0.01,
-        maxIter=1,
-    ).fit(train)
+        featuresCol="x", labelCol=f"gap_{target}", predictionCol=f"move_{target}",
+        solver="normal", regParam=0.01, maxIter=1,
+    ).fit(train)
 
 
 def demand_scores(rows: DataFrame, train_split: str = "train") -> DataFrame:
     """Rows of all splits with yhat_board and yhat_alight, never negative.
 
-    `rows` holds the vector column x and the split; both models are fitted on the
-    training split.
+    `rows` holds the vector column x and the split; levels and models are fitted on
+    the training split. A stop that has no training rows takes the level of all.
     """
+    targets = ["y_board", "y_alight"]
     train = rows.where(F.col("split") == train_split)
-    for target in ("y_board", "y_alight"):
-        rows = fit_demand_model(train, target).transform(rows)
-    return rows.withColumns(
-        {"yhat_board": C.clip_zero("yhat_board"), "yhat_alight": C.clip_zero("yhat_alight")}
-    )
+    overall = train.agg(*[F.avg(t).alias(t) for t in targets]).first()
+    rows = rows.join(stop_levels(train, targets), SERIES, "left")
+    for t in targets:
+        rows = rows.withColumn(f"level_{t}", F.coalesce(F.col(f"level_{t}"), F.lit(overall[t])))
+        rows = rows.withColumn(f"gap_{t}", F.col(t) - F.col(f"level_{t}"))
+    for t in targets:
+        model = fit_demand_model(rows.where(F.col("split") == train_split), t)
+        rows = model.transform(rows).withColumn(
+            t.replace("y_", "yhat_"), C.clip_zero(F.col(f"level_{t}") + F.col(f"move_{t}"))
+        )
+    return rows.drop(*[f"{kind}_{t}" for kind in ("level", "gap", "move") for t in targets])
 
 
 def demand_errors(scores: DataFrame) -> DataFrame:
-    """Mean absolute and squared error per split and target."""
+    """Mean, mean absolute and mean squared error per split and target.
+
+    `variance` is the squared error of always saying the split's mean.
+    """
     def errors(y: str, yhat: str, name: str) -> list[Column]:
         gap = F.col(y) - F.col(yhat)
-        return [F.avg(F.abs(gap)).alias(f"mae_{name}"), F.avg(gap * gap).alias(f"mse_{name}")]
+        return [
+            F.avg(y).alias(f"mean_{name}"),
+            F.avg(F.abs(gap)).alias(f"mae_{name}"),
+            F.avg(gap * gap).alias(f"mse_{name}"),
+            F.var_pop(y).alias(f"variance_{name}"),
+        ]
 
     return scores.groupBy("split").agg(
         F.count("*").alias("windows"),

@@ -4,17 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
-from stopgrid.session import shared_path
+from stopgrid.session import on_file_system, remove_path, shared_path
 
-MAX_LISTED = 10_000
+#: Where a row was read: later files, and in a file later rows, come after.
+ORIGIN = "_origin"
 
 
 # -- upserts ----------------------------------------------------------------
+def with_origin(rows: DataFrame) -> DataFrame:
+    """Rows as a file scan gives them, with their place among all files: by time, path and row.
+
+    As the order of an upsert it lets the last writer win. Within a task the numbers
+    grow as rows are read, and a file's parts are told apart by where they begin.
+    """
+    return with_row(rows.withColumn(ORIGIN, file_place()))
+
+
+def file_place() -> Column:
+    return F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
+
+
+def with_row(rows: DataFrame) -> DataFrame:
+    """The origin completed by the order in which rows are read; a stream does this per batch."""
+    return rows.withColumn(ORIGIN, F.struct(F.col(ORIGIN).alias("file"), F.monotonically_increasing_id().alias("row")))
+
+
 def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key by `order` (null sorts last)."""
     latest = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_first(c) for c in order])
@@ -38,15 +57,14 @@ def merge_upsert(
 def only_partitions(table: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of a partitioned table in the partitions that occur in `wanted`.
 
-    Where a column takes few values they become a filter, so that other folders are
-    not read at all; the semi join keeps the selection exact for any number.
+    The smallest and the largest value of each column become a filter, so that
+    folders outside are not read at all; the semi join keeps the selection exact.
     """
     if not columns:
         return table
+    ends = wanted.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]).first()
     for c in columns:
-        values = [row[0] for row in wanted.select(c).distinct().limit(MAX_LISTED + 1).collect()]
-        if len(values) <= MAX_LISTED:
-            table = table.where(F.col(c).isin(values))
+        table = table.where(F.col(c).between(F.lit(ends[f"low_{c}"]), F.lit(ends[f"high_{c}"])))
     return table.join(wanted.select(*columns).distinct(), list(columns), "left_semi")
 
 
@@ -56,27 +74,53 @@ def upsert_table(
     incoming: DataFrame,
     keys: Sequence[str],
     partitions: Sequence[str],
-    order: Sequence[str] = (),
+    order: Sequence[str],
 ) -> None:
-    """Upsert into a partitioned Parquet table, reading and rewriting only touched partitions.
-
-    The incoming rows and then the merged partitions are first written beside the
-    table: incoming is computed once, and the files being read are never the files
-    being replaced, also when a task is run again. The first write of a table has
-    nothing to merge. A table without partitions, a dimension, is rewritten whole.
+    """Upsert into a Parquet table, reading and rewriting only touched partitions.
+
+    `order` says which of several incoming rows of one key is the last; that one is
+    taken. A column of `with_origin` may be among them and is not stored. Incoming
+    rows are computed once, beside the table. Touched partitions are replaced when the
+    write commits, so the same files may be read for it. The first write of a table
+    has nothing to merge. A table without partitions, a dimension, is rewritten beside
+    the old one and takes its place by renaming.
     """
-    schema = incoming.schema
+    if not order:
+        raise ValueError("an upsert needs an order that says which row is the last")
+    last = last_per_key(incoming, keys, order).drop(ORIGIN)
+    schema = last.schema
     if not path_exists(spark, path):
-        write_partitions(last_per_key(incoming, keys, order or keys), path, partitions)
+        write_partitions(last, path, partitions)
         return
-    landed, merged = shared_path(spark, "upsert-in"), shared_path(spark, "upsert-out")
-    write_partitions(last_per_key(incoming, keys, order or keys), landed, partitions)
-    fresh = spark.read.schema(schema).parquet(landed).select(*schema.fieldNames())
-    existing = only_partitions(spark.read.schema(schema).parquet(path), fresh, partitions)
-    write_partitions(merge_upsert(existing, fresh, keys), merged, partitions)
-    write_partitions(spark.read.schema(schema).parquet(merged), path, partitions)
-    for used in (landed, merged):
-        remove_path(spark, used)
+    landed = shared_path(spark, "upsert-in")
+    write_partitions(last, landed, partitions)
+    try:
+        fresh = spark.read.schema(schema).parquet(landed).select(*schema.fieldNames())
+        existing = only_partitions(spark.read.schema(schema).parquet(path), fresh, partitions)
+        merged = merge_upsert(existing, fresh, keys)
+        if partitions:
+            write_partitions(merged, path, partitions)
+        else:
+            replace_table(spark, merged, path)
+    finally:
+        remove_path(spark, landed)
+
+
+def replace_table(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Write `rows`, which may be read from `path`, beside it and let them take its place.
+
+    A failure before the renaming leaves the table as it was; one between the two
+    renamings leaves both versions whole under their names.
+    """
+    fs, old = on_file_system(spark, path)
+    beside, aside = f"{path.rstrip('/')}.new", f"{path.rstrip('/')}.old"
+    for name in (beside, aside):
+        remove_path(spark, name)
+    write_partitions(rows, beside, [])
+    for source, target in ((path, aside), (beside, path)):
+        if not fs.rename(on_file_system(spark, source)[1], on_file_system(spark, target)[1]):
+            raise OSError(f"{source} could not be renamed to {target}")
+    remove_path(spark, aside)
 
 
 def write_partitions(
@@ -96,30 +140,41 @@ def write_partitions(
     writer.parquet(path)
 
 
-def _on_file_system(spark: SparkSession, path: str) -> tuple:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _on_file_system(spark, path)
+    fs, p = on_file_system(spark, path)
     return fs.exists(p)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Remove a table this session wrote between two steps."""
-    fs, p = _on_file_system(spark, path)
-    fs.delete(p, True)
-
-
 # -- source preference ------------------------------------------------------
 def prefer(sources: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Rows of the first source that has a key, for every key as a whole."""
-    result = sources[0]
-    for source in sources[1:]:
-        have = result.select(*keys).distinct()
-        result = result.unionByName(source.join(have, list(keys), "left_anti").select(*result.columns))
-    return result
+    """Rows of the first source that has a key, for every key as a whole.
+
+    The result has the columns of the first source; one that another source lacks is
+    null there. Each source's own keys meet in one small aggregate, so no source is
+    read again for the next one. Null is a key like any other.
+    """
+    first = sources[0]
+
+    def shaped(source: DataFrame) -> DataFrame:
+        return source.select(
+            *[
+                F.col(f.name) if f.name in source.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in first.schema.fields
+            ]
+        )
+
+    ranked = [shaped(source).withColumn("_rank", F.lit(i)) for i, source in enumerate(sources)]
+    if len(ranked) == 1:
+        return ranked[0].drop("_rank")
+    every, own = ranked[0], ranked[0].select(*keys, "_rank").distinct()
+    for rows in ranked[1:]:
+        every, own = every.unionByName(rows), own.unionByName(rows.select(*keys, "_rank").distinct())
+    best = own.groupBy(*keys).agg(F.min("_rank").alias("_best"))
+    here, there = every.alias("here"), best.alias("there")
+    same = F.col("here._rank") == F.col("there._best")
+    for k in keys:
+        same = same & F.col(f"here.{k}").eqNullSafe(F.col(f"there.{k}"))
+    return here.join(there, same, "left_semi").select(*first.columns)
 
 
 def cached_rows(
@@ -166,10 +221,10 @@ def ledger_latest(ledger: DataFrame) -> DataFrame:
 
 
 def ledger_pending_dates(requested: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Requested (job_name, target_date) whose last run is not OK."""
+    """Requested (job_name, target_date) whose last run is neither OK nor a skip of one that was."""
     keys = ["job_name", "target_date"]
-    done = ledger.groupBy(*keys).agg(F.max_by("status", "id").alias("status")).where("status = 'OK'")
-    return requested.join(done, keys, "left_anti")
+    done = ledger.groupBy(*keys).agg(F.max_by("status", "id").alias("status"))
+    return requested.join(done.where(F.col("status").isin("OK", "SKIPPED_SAME_DATE")), keys, "left_anti")
 
 
 # -- checks -----------------------------------------------------------------
@@ -236,9 +291,11 @@ def link_column(df: DataFrame) -> str:
 def coerce_predictions(df: DataFrame) -> DataFrame:
     """A prediction file of any accepted spelling in the canonical types.
 
-    `df` keeps a route_no column; numbers that cannot be read become 0.
+    `df` keeps a route_no column and, where it has one, the origin; numbers that
+    cannot be read become 0.
     """
-    aligned = align_columns(df, {"route_no": ["route_no"], **S.PREDICTION_ALIASES})
+    origin = [ORIGIN] if ORIGIN in df.columns else []
+    aligned = align_columns(df, {"route_no": ["route_no"], **S.PREDICTION_ALIASES, **{o: [o] for o in origin}})
     metrics = ["pass_buses", "pred_board", "pred_alight", "board_per_bus", "alight_per_bus",
                "onboard_per_bus"]
     return aligned.select(
@@ -249,4 +306,5 @@ def coerce_predictions(df: DataFrame) -> DataFrame:
         C.whole_or_zero("stop_seq").cast("int").alias("stop_seq"),
         F.col("stop_name").cast("string").alias("stop_name"),
         *[C.number_or_zero(m).alias(m) for m in metrics],
+        *origin,
     )

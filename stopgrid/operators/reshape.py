@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stopgrid.functions import columns as C
 
-UNITS_PER_CHUNK = 1024
+UNITS_PER_CHUNK = 128
 
 
 def hour_columns(df: DataFrame, prefix: str, suffix: str = "") -> dict[int, str]:
@@ -52,23 +52,29 @@ def explode_range(df: DataFrame, start: Column, end: Column, name: str) -> DataF
 
     Numbers are produced in chunks that are spread over the cluster, so a single
     row with a very long range neither builds one huge array nor stays in one task.
-    The number of tasks is fixed, because AQE would merge them by the size of the
-    chunks, which says little about the rows they turn into.
+    Chunks are short, so that their number, by which AQE merges tasks, follows the
+    number of rows they turn into.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [c for c in df.columns if df.schema[c].dataType.simpleString() in ("string", "date", "int")]
+    return explode_chunks(range_chunks(df, start, end).repartition(*keys, "_from"), name)
+
+
+def range_chunks(df: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Rows times the chunks [_from, _to) of their range."""
     step = F.lit(UNITS_PER_CHUNK).cast("bigint")
-    chunks = (
+    return (
         df.withColumn("_lo", start.cast("bigint"))
         .withColumn("_hi", end.cast("bigint"))
         .where(F.col("_lo") < F.col("_hi"))
         .withColumn("_from", F.explode(F.sequence("_lo", F.col("_hi") - 1, step)))
+        .withColumn("_to", F.least(F.col("_from") + step, F.col("_hi")))
+        .drop("_lo", "_hi")
     )
-    keys = [c for c in df.columns if df.schema[c].dataType.simpleString() in ("string", "date", "int")]
-    return (
-        chunks.repartition(tasks, *keys, "_from")
-        .withColumn(name, F.explode(F.sequence("_from", F.least(F.col("_from") + step, F.col("_hi")) - 1)))
-        .drop("_lo", "_hi", "_from")
-    )
+
+
+def explode_chunks(chunks: DataFrame, name: str) -> DataFrame:
+    """One row per number of each chunk."""
+    return chunks.withColumn(name, F.explode(F.sequence("_from", F.col("_to") - 1))).drop("_from", "_to")
 
 
 def calendar(df: DataFrame, start: Column, days: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
-from stopgrid.operators.reshape import explode_range
+from stopgrid.operators.reshape import explode_chunks, explode_range, range_chunks
 
 ROUTE_DAY = ["route_no", "date"]
 TRIP = ["route_no", "bus_id"]
@@ -52,11 +52,13 @@ def stop_profile(predictions: DataFrame, links: DataFrame | None = None) -> Data
     """Ordered stops of each route and date with one id, name and distance each.
 
     A sequence without a link row takes the route's mean, a route without links
-    300 m per link. Of several stops at one sequence the lowest id is kept.
+    300 m per link. Of several stops at one sequence the lowest id is kept, a missing
+    one only where there is no other. Rows without a sequence have no place on the
+    route and are left out; `merge.key_violations` reports them.
     """
-    seen = predictions.select(*ROUTE_DAY, "stop_seq", "stop_id", "stop_name").distinct()
-    lowest = Window.partitionBy(*ROUTE_DAY, "stop_seq").orderBy("stop_id", "stop_name")
-    stops = seen.withColumn("_n", F.row_number().over(lowest)).where("_n = 1").drop("_n")
+    lowest = F.min(F.struct(F.col("stop_id").isNull().alias("none"), "stop_id", "stop_name")).alias("_s")
+    known = predictions.where(F.col("stop_seq").isNotNull())
+    stops = known.groupBy(*ROUTE_DAY, "stop_seq").agg(lowest).select(*ROUTE_DAY, "stop_seq", "_s.stop_id", "_s.stop_name")
     default = F.when(F.col("stop_seq") == 1, F.lit(0.0)).otherwise(F.lit(S.DEFAULT_LINK_M))
     if links is None:
         return stops.withColumn("link_distance_m", default).withColumn("link_source", F.lit("default"))
@@ -74,28 +76,34 @@ def stop_profile(predictions: DataFrame, links: DataFrame | None = None) -> Data
 
 # -- departures -------------------------------------------------------------
 def expand_departures(predictions: DataFrame) -> DataFrame:
-    """One row per bus leaving the first stop, evenly spaced within the hour.
+    """One row per bus leaving the first stop, evenly spaced within the hour."""
+    buses = explode_range(hourly_departures(predictions), F.lit(0), F.col("buses"), "k")
+    return buses.select(
+        *ROUTE_DAY,
+        bus_id("date", "hour", F.col("k") + 1).alias("bus_id"),
+        F.col("hour").alias("departure_hour"),
+        _headway().alias("headway_min"),
+        _departure().alias("departure_us"),
+    )
 
-    The number of buses is rounded half to even.
-    """
-    hourly = (
+
+def hourly_departures(predictions: DataFrame) -> DataFrame:
+    """Buses leaving the first stop per hour, rounded half to even."""
+    return (
         predictions.where(F.col("stop_seq") == 1)
         .groupBy(*ROUTE_DAY, "hour")
         .agg(F.bround(F.sum("pass_buses"), 0).cast("bigint").alias("buses"))
         .where(F.col("buses") > 0)
     )
-    buses = explode_range(hourly, F.lit(0), F.col("buses"), "k")
-    headway = F.lit(60.0) / F.col("buses")
-    departure = F.col("hour").cast("bigint") * S.US_PER_HOUR + F.bround(
-        headway * F.col("k") * 60e6, 0
-    ).cast("bigint")
-    return buses.select(
-        *ROUTE_DAY,
-        bus_id("date", "hour", F.col("k") + 1).alias("bus_id"),
-        F.col("hour").alias("departure_hour"),
-        headway.alias("headway_min"),
-        departure.alias("departure_us"),
-    )
+
+
+def _headway() -> Column:
+    return F.lit(60.0) / F.col("buses")
+
+
+def _departure() -> Column:
+    spaced = F.bround(_headway() * F.col("k") * 60e6, 0).cast("bigint")
+    return F.col("hour").cast("bigint") * S.US_PER_HOUR + spaced
 
 
 def bus_id(date: str, hour: str, number: Column) -> Column:
@@ -127,12 +135,27 @@ def day_stops(profile: DataFrame) -> DataFrame:
 def trips_with_arrivals(departures: DataFrame, days: DataFrame) -> DataFrame:
     """One row per trip with the columns of its route's day and the arrival `times`.
 
-    Each link is driven at the speed of the hour in which the previous stop was
-    reached, so the step depends on the time computed so far: a fold over the
-    trip's ordered stops. There is one join, on compact rows, so AQE can split the
-    trips of a route and date that holds most of them; the left join makes the
-    days, never the trips, the side that may be broadcast.
+    `departures` has a row per bus. There is one join; the left join makes the days,
+    never the trips, the side that may be broadcast.
     """
+    return _timed(departures.join(days, ROUTE_DAY, "left"), days.columns)
+
+
+def trips_of_hours(hourly: DataFrame, days: DataFrame) -> DataFrame:
+    """The same from the buses per hour: rows are joined while an hour is a few short
+    chunks, dealt out, and only then become buses, so no shuffle carries single buses."""
+    chunks = range_chunks(hourly, F.lit(0), F.col("buses")).join(days, ROUTE_DAY, "left")
+    buses = explode_chunks(chunks.repartition(*ROUTE_DAY, "hour", "_from"), "k")
+    named = buses.withColumns(
+        {"bus_id": bus_id("date", "hour", F.col("k") + 1), "departure_us": _departure()}
+    )
+    return _timed(named, days.columns)
+
+
+def _timed(trips: DataFrame, columns: list[str]) -> DataFrame:
+    """Arrival times along the stops. Each link is driven at the speed of the hour in
+    which the previous stop was reached, so the step depends on the time computed so
+    far: a fold over the trip's ordered stops."""
 
     def arrive(done: Column, stop: Column) -> Column:
         before = F.coalesce(F.try_element_at(done, F.lit(-1)), F.col("departure_us"))
@@ -141,8 +164,7 @@ def trips_with_arrivals(departures: DataFrame, days: DataFrame) -> DataFrame:
         return F.array_append(done, here)
 
     times = F.aggregate("stops", F.array().cast("array<bigint>"), arrive)
-    trips = departures.join(days, ROUTE_DAY, "left")
-    return trips.select(*days.columns, "bus_id", times.alias("times"))
+    return trips.select(*columns, "bus_id", times.alias("times"))
 
 
 def _hour_bucket(us: Column) -> Column:
@@ -170,7 +192,8 @@ def propagate_arrivals(departures: DataFrame, profile: DataFrame) -> DataFrame:
 
 def schedule(predictions: DataFrame, links: DataFrame | None = None) -> DataFrame:
     """Timetable: arrival of every bus at every stop, with stop id and name."""
-    rows = propagate_arrivals(expand_departures(predictions), stop_profile(predictions, links))
+    days = day_stops(stop_profile(predictions, links))
+    rows = explode_trips(trips_of_hours(hourly_departures(predictions), days))
     hour = _hour_bucket(F.col("arrival_us")) % 24
     return rows.withColumn("arrival_hour", hour.cast("int"))
 
@@ -277,11 +300,11 @@ def allocation(
     pass every trip looks its shares up in its route's table of the day and folds
     its own load, so the long rows of trip and stop are never shuffled.
     """
-    departures = expand_departures(predictions)
+    hourly = hourly_departures(predictions)
     stops = day_stops(stop_profile(predictions, links))
-    first_pass = explode_trips(trips_with_arrivals(departures, stops))
+    first_pass = explode_trips(trips_of_hours(hourly, stops))
     days = stops.join(share_tables(bucket_shares(first_pass, demand)), ROUTE_DAY, "left")
-    trips = trips_with_arrivals(departures, days)
+    trips = trips_of_hours(hourly, days)
 
     def share(time: Column, i: Column) -> Column:
         return F.get(F.get(F.col("shares"), i)["by_hour"], _hour_bucket(time).cast("int"))

@@ -174,9 +174,21 @@ def scaled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("demand_model_scores")
+@query(
+    "demand_model_scores",
+    twin(
+        f"""select split, count(*) as windows, {r('avg(y_board)')} as mean_board, {r('avg(y_alight)')} as mean_alight,
+            split = 'train' as checked, split = 'train' as beats_mean
+        from (select *, count(*) over (partition by split, route_no, stop_id order by hour_index
+                rows between 24 preceding and 1 preceding) as n from split_rows)
+        where n = 24 group by split""",
+        "split_rows",
+    ),
+)
 def demand_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors of the demand model per split.
+    """Windows and mean targets per split, and whether the fitted model beats the mean.
+
+    The events hold no pattern, so only the split it was fitted on must be beaten.
 
     Fitting reads the data several times, so the scaled rows are written once; the
     24 times larger windows are rebuilt from them.
@@ -185,4 +197,11 @@ def demand_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     minmax = features.feature_minmax(rows.where("split = 'train'"))
     scaled = stored(features.scale_features(rows, minmax), "model-rows")
     windows = features.sequence_windows(scaled, WINDOW_SERIES)
-    return plain(features.demand_errors(features.demand_scores(features.model_input(windows))))
+    errors = features.demand_errors(features.demand_scores(features.model_input(windows)))
+    checked = F.col("split") == "train"
+    beaten = (F.col("mse_board") < F.col("variance_board")) & (F.col("mse_alight") < F.col("variance_alight"))
+    return plain(
+        errors.select(
+            "split", "windows", "mean_board", "mean_alight", checked.alias("checked"), (checked & beaten).alias("beats_mean")
+        )
+    )

@@ -27,10 +27,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def six_digits(x: Column) -> Column:
     """Rounded to six digits with plain double arithmetic.
 
-    Slightly more than a half is added, which moves exact ties off the edge where
-    two engines' last bits could decide.
+    A little is added, which moves exact ties off the edge where two engines' last
+    bits could decide.
     """
-    return F.floor(x * 1e6 + 0.501) / F.lit(1e6)
+    return F.rint(x * 1e6 + 0.001) / F.lit(1e6)
 
 
 def plain(df: DataFrame) -> DataFrame:

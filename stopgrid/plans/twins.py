@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def r(expr: str) -> str:
     """Six digits; the twin of registry.six_digits."""
-    return f"floor(({expr}) * 1e6 + 0.501e0) / 1e6"
+    return f"round_even(({expr}) * 1e6 + 0.001e0, 0) / 1e6"
 
 
 def day(expr: str = "date") -> str:
@@ -207,9 +207,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "split_rows": (
         ("features",),
-        """select * from (select *, case when date between date '2024-01-01' and date '2024-01-19' then 'train'
+        """select * from (select *, case when date <= date '2024-01-19' then 'train'
             when date between date '2024-01-20' and date '2024-01-21' then 'val'
-            when date between date '2024-01-22' and date '2024-01-29' then 'test' end as split
+            when date >= date '2024-01-22' then 'test' end as split
         from features) where split is not null""",
     ),
 }

@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,7 @@ SETTINGS = {
 }
 
 _local_base: dict[str, str] = {}
+_stored: list[str] = []
 
 
 def build_session(app_name: str = "stopgrid", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,21 +54,39 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """`df` written once to the shared folder and read back from there."""
+    """`df` written once to the shared folder and read back from there.
+
+    Whoever is done with the tables of a job removes them: see `releasing`.
+    """
     spark = df.sparkSession
     path = shared_path(spark, label)
+    _stored.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sized(df: DataFrame, label: str) -> DataFrame:
-    """A lookup table whose true size the planner knows.
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables stored inside the block when it ends, also by an error.
 
-    An aggregate of a large table is planned as if it were large itself, and the
-    join would shuffle the large table too. Where that is so, the aggregate is
-    written first; Spark then broadcasts it only if the files are small enough.
+    For jobs that write their result; a frame that reads such a table must not leave
+    the block.
     """
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df if limit < 0 or estimate <= limit else stored(df, label)
+    before = len(_stored)
+    try:
+        yield
+    finally:
+        for path in _stored[before:]:
+            remove_path(spark, path)
+        del _stored[before:]
+
+
+def on_file_system(spark: SparkSession, path: str) -> tuple:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a table this session wrote between two steps."""
+    fs, p = on_file_system(spark, path)
+    fs.delete(p, True)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,13 +13,13 @@ from pyspark.sql import types as T
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
-from stopgrid.operators.merge import align_columns, link_column, require_columns
+from stopgrid.operators.merge import ORIGIN, align_columns, link_column, require_columns, with_origin
 
 
 # -- CSV --------------------------------------------------------------------
 def read_csv_strings(spark: SparkSession, path: str | Sequence[str], **options: str) -> DataFrame:
     """Every column as text; names come from the header line."""
-    return spark.read.options(header="true", encoding="UTF-8", **options).csv(path)
+    return spark.read.options(**{"header": "true", "encoding": "UTF-8", **options}).csv(path)
 
 
 def read_csv_typed(
@@ -91,10 +93,14 @@ def bronze(raw: DataFrame, use_ym: str | None = None, route_no: str | None = Non
 def load_route_map(raw: DataFrame) -> DataFrame:
     require_columns(raw, list(S.ROUTE_MAP_NAMES.values()))
     return raw.select(
-        *[F.trim(F.col(f"`{s}`").cast("string")).alias(n) for n, s in S.ROUTE_MAP_NAMES.items()]
+        *[F.trim(F.col(f"`{s}`").cast("string")).alias(n) for n, s in S.ROUTE_MAP_NAMES.items()], *_origin(raw)
     )
 
 
+def _origin(raw: DataFrame) -> list[str]:
+    return [ORIGIN] if ORIGIN in raw.columns else []
+
+
 def load_link_distance(raw: DataFrame) -> DataFrame:
     require_columns(raw, list(S.LINK_NAMES.values()))
     name = {n: F.col(f"`{s}`") for n, s in S.LINK_NAMES.items()}
@@ -103,6 +109,7 @@ def load_link_distance(raw: DataFrame) -> DataFrame:
         name["stop_id"].cast("string").alias("stop_id"),
         C.to_number(name["stop_seq"]).try_cast("int").alias("stop_seq"),
         C.to_number(name["link_distance_m"]).alias("link_distance_m"),
+        *_origin(raw),
     )
 
 
@@ -156,12 +163,12 @@ def load_stop_master(
 def filter_route_via_map(ops: DataFrame, route_map: DataFrame, routes: DataFrame | None = None) -> DataFrame:
     """Operations rows with the route id and number their route key maps to.
 
-    `routes` (route_no, rte_id) restricts the map; rows without a mapping drop out.
+    `routes` (route_no, rte_id) restricts the map; rows without a mapping drop out. Of
+    several map rows of a key the smallest (route id, route number) is taken.
     """
     wanted = route_map if routes is None else route_map.join(routes, ["route_no", "rte_id"], "left_semi")
-    return ops.drop("route_no", "rte_id").join(
-        wanted.select("route_key", "rte_id", "route_no").dropDuplicates(["route_key"]), "route_key"
-    )
+    one = wanted.groupBy("route_key").agg(F.min(F.struct("rte_id", "route_no")).alias("_m"))
+    return ops.drop("route_no", "rte_id").join(one.select("route_key", "_m.*"), "route_key")
 
 
 # -- dated prediction files -------------------------------------------------
@@ -180,9 +187,17 @@ def dated_paths(
 
 
 def read_predictions(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame:
-    """All given files in one scan, as text."""
-    options = {"basePath": base} if base else {}
-    return read_csv_strings(spark, list(paths), **options)
+    """All given files as text, with their origin; every file's columns by its own header.
+
+    Files with the same header are one scan. A column that only some have is null in
+    the others.
+    """
+    options = {"basePath": base, "enforceSchema": "false"} if base else {"enforceSchema": "false"}
+    alike: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for path in paths:
+        alike[tuple(read_csv_strings(spark, path, **options).columns)].append(path)
+    scans = [with_origin(read_csv_strings(spark, same, **options)) for same in alike.values()]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 # -- JDBC -------------------------------------------------------------------
@@ -237,4 +252,4 @@ def upsert_jdbc(
         finally:
             connection.close()
 
-    df.coalesce(partitions).foreachPartition(send)
+    df.repartition(partitions).foreachPartition(send)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
+from stopgrid.operators.merge import ORIGIN
 
 ROW_TAGS = {
     S.OPS_SERVICE: [*S.OPS_TAGS.values(), *[S.ops_tag(h) for h in range(24)]],
@@ -51,6 +52,9 @@ def read_pages(spark: SparkSession, path: str | list[str], service: str) -> Data
         F.col("RESULT.MESSAGE").alias("message"),
         F.col("row").alias("rows"),
         F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            "_metadata.file_modification_time", "_metadata.file_path", F.monotonically_increasing_id().alias("page")
+        ).alias("_page"),
     )
 
 
@@ -61,11 +65,17 @@ def is_error(code: Column | str = "code") -> Column:
 
 
 def error_pages(pages: DataFrame) -> DataFrame:
-    return pages.where(is_error()).select("file", "code", "message")
+    return pages.where(is_error()).select("file", "code", "message", F.size("rows").alias("n_rows"))
 
 
 def _rows(pages: DataFrame) -> DataFrame:
-    return pages.where(~is_error()).select(F.inline("rows"))
+    """Records of the pages without error, with their place among all pages."""
+    rows = pages.where(~is_error()).select("_page", F.posexplode("rows").alias("_at", "_r"))
+    return rows.select(F.struct("_page", "_at").alias(ORIGIN), "_r.*")
+
+
+def _origin(keep: bool) -> list[str]:
+    return [ORIGIN] if keep else []
 
 
 def _text(tag: str) -> Column:
@@ -84,8 +94,8 @@ def ops_rows(pages: DataFrame) -> DataFrame:
     )
 
 
-def daily_rows(pages: DataFrame) -> DataFrame:
-    """Daily boardings and alightings per stop."""
+def daily_rows(pages: DataFrame, origin: bool = False) -> DataFrame:
+    """Daily boardings and alightings per stop; with `origin` also where each row was read."""
     tag = S.DAILY_TAGS
     return _rows(pages).select(
         C.parse_date(tag["date"]).alias("date"),
@@ -96,10 +106,11 @@ def daily_rows(pages: DataFrame) -> DataFrame:
         C.integer_or_zero(tag["board_total"]).alias("board_total"),
         C.integer_or_zero(tag["alight_total"]).alias("alight_total"),
         C.parse_date(tag["reg_ymd"]).alias("reg_ymd"),
+        *_origin(origin),
     )
 
 
-def monthly_rows(pages: DataFrame) -> DataFrame:
+def monthly_rows(pages: DataFrame, origin: bool = False) -> DataFrame:
     """24 hour rows per stop and month; of two tag spellings the first present counts,
     even where it is blank."""
     tag = S.MONTHLY_TAGS
@@ -123,25 +134,36 @@ def monthly_rows(pages: DataFrame) -> DataFrame:
         _text(tag["stop_id"]).alias("stop_id"),
         _text(tag["stop_name"]).alias("stop_name"),
         C.parse_date(tag["reg_ymd"]).alias("reg_ymd"),
+        *_origin(origin),
         F.inline(hours),
     )
 
 
+#: A landed page's name: date and row numbers, behind the route or in its folder.
+PAGE_NAME = r"(?:([^/_]+)[/_])?([0-9]{8})_[0-9]+_[0-9]+\.xml$"
+
+
 def page_completeness(pages: DataFrame, date_tag: str, route_tag: str) -> DataFrame:
     """Landed rows against the announced total per date and route.
 
-    A page belongs to the date and route of its first row.
+    A page belongs to the date and route of its first row, an empty one to those in
+    its file's name. Rows of error pages do not count as landed, and a date and route
+    with an error page is not complete.
     """
-    first = F.col("rows")[0]
+    first = F.try_element_at("rows", F.lit(1))
+    named = [F.nullif(F.regexp_extract("file", PAGE_NAME, i), F.lit("")) for i in (2, 1)]
+    good = F.when(is_error(), F.lit(0)).otherwise(F.size(F.coalesce("rows", F.array())))
     return (
-        pages.where(~is_error() & (F.size("rows") > 0))
-        .groupBy(first[date_tag].alias("date"), first[route_tag].alias("route_no"))
+        pages.groupBy(
+            F.coalesce(first[date_tag], named[0]).alias("date"), F.coalesce(first[route_tag], named[1]).alias("route_no")
+        )
         .agg(
             F.max("total").alias("total"),
-            F.sum(F.size("rows")).alias("landed"),
+            F.sum(good).alias("landed"),
             F.count("*").alias("pages"),
+            F.sum(is_error().cast("int")).alias("errors"),
         )
-        .withColumn("complete", (F.col("landed") >= F.col("total")).cast("int"))
+        .withColumn("complete", ((F.col("landed") >= F.col("total")) & (F.col("errors") == 0)).cast("int"))
     )
 
 

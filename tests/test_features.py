@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stopgrid.operators import features
 from tests.test_trips import D
@@ -115,6 +116,20 @@ def test_model_learns_a_linear_target(spark):
         rows, "split string, route_no string, stop_id string, hour_index bigint, date date, f double, y_board double, y_alight double"
     )
     windows = features.sequence_windows(df, KEYS, features=["f"], length=4)
-    scores = features.demand_scores(features.model_input(windows, ["f"], length=4, hashed_stops=8))
+    scores = features.demand_scores(features.model_input(windows, ["f"]))
     errors = {r["split"]: r for r in features.demand_errors(scores).collect()}
     assert errors["test"]["mae_board"] < 0.1 and errors["test"]["mae_alight"] < 0.1
+    assert errors["test"]["mse_board"] < errors["test"]["variance_board"]
+
+
+def test_every_stop_has_its_own_level(spark):
+    """Two hundred stops that differ in nothing but their level."""
+    rows = [(split, "7", f"s{s}", start + i, D, 1.0, float(s), 3.0 * s)
+            for split, start in (("train", 0), ("test", 5000)) for s in range(200) for i in range(6)]
+    df = spark.createDataFrame(
+        rows, "split string, route_no string, stop_id string, hour_index bigint, date date, f double, y_board double, y_alight double"
+    )
+    windows = features.sequence_windows(df, KEYS, features=["f"], length=4)
+    scores = features.demand_scores(features.model_input(windows, ["f"]))
+    worst = scores.where("split = 'test'").agg(F.max(F.abs(F.col("yhat_alight") - F.col("y_alight")))).first()[0]
+    assert worst < 1e-6

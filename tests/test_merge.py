@@ -24,10 +24,10 @@ def test_upsert_replaces_extends_and_repeats_safely(spark, tmp_path):
     path = str(tmp_path / "t")
     first = rows(spark, [("0017", D[0], 1, 10), ("0017", D[0], 2, 20), ("0017", D[1], 1, 30)])
     second = rows(spark, [("0017", D[0], 2, 21), ("0017", D[2], 1, 40)])
-    merge.upsert_table(spark, path, first, KEYS, ["route_no", "date"])
+    merge.upsert_table(spark, path, first, KEYS, ["route_no", "date"], ["v"])
     untouched = [p.stat().st_mtime_ns for p in tmp_path.glob(f"t/route_no=0017/date={D[1]}/*.parquet")]
     for _ in range(2):
-        merge.upsert_table(spark, path, second, KEYS, ["route_no", "date"])
+        merge.upsert_table(spark, path, second, KEYS, ["route_no", "date"], ["v"])
         got = content(spark.read.schema(SCHEMA).parquet(path))
         assert got == [("0017", D[0], 1, 10), ("0017", D[0], 2, 21), ("0017", D[1], 1, 30), ("0017", D[2], 1, 40)]
     assert untouched == [p.stat().st_mtime_ns for p in tmp_path.glob(f"t/route_no=0017/date={D[1]}/*.parquet")]
@@ -47,12 +47,43 @@ def test_null_keys_are_never_replaced_but_reported(spark):
     assert {(r["hour"], r["rows"], r["has_null"]) for r in found} == {(None, 2, True), (3, 2, False)}
 
 
-def test_many_partition_values_stay_exact(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(merge, "MAX_LISTED", 1)
+def test_partitions_between_the_touched_ones_stay(spark, tmp_path):
     path = str(tmp_path / "t")
-    merge.upsert_table(spark, path, rows(spark, [("7", d, 1, 1) for d in D]), KEYS, ["date"])
-    merge.upsert_table(spark, path, rows(spark, [("7", d, 1, 2) for d in D[:3]]), KEYS, ["date"])
-    assert [v for *_, v in content(spark.read.schema(SCHEMA).parquet(path))] == [2, 2, 2, 1, 1, 1, 1]
+    merge.upsert_table(spark, path, rows(spark, [("7", d, 1, 1) for d in D]), KEYS, ["date"], ["v"])
+    merge.upsert_table(spark, path, rows(spark, [("7", d, 1, 2) for d in (D[0], D[2], D[3])]), KEYS, ["date"], ["v"])
+    assert [v for *_, v in content(spark.read.schema(SCHEMA).parquet(path))] == [2, 1, 2, 2, 1, 1, 1]
+
+
+def test_the_last_file_wins(spark, tmp_path):
+    """Six versions of the same keys, landed one after the other, in one batch and in one stream run."""
+    land, path, table, mark = (str(tmp_path / n) for n in ("land", "t", "s", "mark"))
+    for v in range(6):
+        rows(spark, [("7", d, 1, v) for d in D]).coalesce(1).write.mode("append").parquet(land)
+    landed = merge.with_origin(spark.read.schema(SCHEMA).parquet(land))
+    for _ in range(2):
+        merge.upsert_table(spark, path, landed, KEYS, ["date"], [merge.ORIGIN])
+        stored = spark.read.parquet(path)
+        assert merge.ORIGIN not in stored.columns and {r["v"] for r in stored.collect()} == {5}
+    ingest_available(spark, land, table, mark, SCHEMA, KEYS, ["date"])
+    assert {r["v"] for r in spark.read.parquet(table).collect()} == {5}
+    with pytest.raises(ValueError, match="order"):
+        merge.upsert_table(spark, path, landed, KEYS, ["date"], [])
+
+
+def test_later_rows_of_a_file_win(spark, tmp_path):
+    path = tmp_path / "one.csv"
+    path.write_text("k,v\n" + "".join(f"{i % 3},{i}\n" for i in range(30)))
+    scan = merge.with_origin(spark.read.csv(str(path), header=True))
+    assert sorted(r["v"] for r in merge.last_per_key(scan, ["k"], [merge.ORIGIN]).collect()) == ["27", "28", "29"]
+
+
+def test_tables_without_partitions_are_swapped(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    schema = "k string, v int"
+    merge.upsert_table(spark, path, spark.createDataFrame([("a", 1), ("b", 1)], schema), ["k"], [], ["v"])
+    merge.upsert_table(spark, path, spark.createDataFrame([("b", 2), ("c", 2)], schema), ["k"], [], ["v"])
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("a", 1), ("b", 2), ("c", 2)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["dim"]
 
 
 def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path):
@@ -71,7 +102,9 @@ def ledger(spark, entries):
 
 def test_only_a_successful_last_run_is_skipped(spark):
     book = ledger(spark, [(1, D[0], "NO_DATA"), (2, D[0], "OK"), (3, D[1], "OK"), (4, D[1], "ERROR"), (5, D[2], "NO_DATA")])
+    skipped = ledger(spark, [(1, D[0], "OK"), (2, D[0], "SKIPPED_SAME_DATE")])
     asked = spark.createDataFrame([("job", d) for d in D[:4]], "job_name string, target_date date")
+    assert sorted(r["target_date"] for r in merge.ledger_pending_dates(asked, skipped).collect()) == D[1:4]
     assert sorted(r["target_date"] for r in merge.ledger_pending_dates(asked, book).collect()) == D[1:4]
     last = merge.ledger_latest(book).first()
     assert (last["id"], last["target_date"], last["status"]) == (5, D[2], "NO_DATA")
@@ -81,6 +114,10 @@ def test_source_preference_takes_whole_keys(spark):
     a = rows(spark, [("7", D[0], 1, 100)])
     b = rows(spark, [("7", D[0], 1, 1), ("7", D[0], 2, 2), ("7", D[1], 1, 3)])
     assert content(merge.prefer([a, b], ["route_no", "date"])) == [("7", D[0], 1, 100), ("7", D[1], 1, 3)]
+    none = b.withColumn("route_no", F.lit(None).cast("string"))
+    assert content(merge.prefer([a, none.drop("v")], ["route_no"]).where("route_no is null").na.fill("-", ["route_no"])) == [
+        ("-", D[0], 1, None), ("-", D[0], 2, None), ("-", D[1], 1, None)
+    ]
 
 
 def test_cache_state(spark):
@@ -127,13 +164,11 @@ def test_rebalance_hint_reaches_the_plan(spark):
     assert "REBALANCE" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_lookup_tables_are_written_only_where_the_planner_would_misjudge_them(spark, tmp_path):
-    from stopgrid.session import sized
+def test_stored_tables_are_removed(spark):
+    from stopgrid import session
 
-    big = spark.range(2_000_000).withColumn("k", F.col("id") % 3)
-    means = big.groupBy("k").agg(F.avg("id").alias("m"))
-    known = sized(means, "means")
-    assert known is not means and known.count() == 3
-    joined = big.join(known, "k")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in joined
-    assert sized(known, "again") is known
+    with session.releasing(spark):
+        known = session.stored(spark.range(3), "means")
+        path = session._stored[-1]
+        assert known.count() == 3 and merge.path_exists(spark, path)
+    assert not merge.path_exists(spark, path)

@@ -65,11 +65,24 @@ def test_daily_pages_status_and_completeness(spark, tmp_path):
     assert {k: r["board_total"] for k, r in got.items()} == {("1", "a"): 5, ("1", "b"): 0, ("1", "c"): 6, ("2", "a"): 7}
     assert got["1", "a"]["date"] == dt.date(2025, 6, 1) and got["1", "a"]["reg_ymd"] is None
     done = {r["route_no"]: (r["landed"], r["total"], r["complete"]) for r in xml.page_completeness(pages, "USE_YMD", "RTE_NO").collect()}
-    assert done == {"1": (3, 3, 1), "2": (1, 2, 0)}
+    assert done == {"1": (3, 3, 1), "2": (1, 2, 0), "3": (0, 1, 0)}
     errors = xml.error_pages(pages).collect()
     assert [r["code"] for r in errors] == ["ERROR-500"] and errors[0]["file"].endswith("page_3.xml")
 
 
+def test_empty_pages_are_not_complete(spark, tmp_path):
+    """They belong to the route and date in their names: in the folder's or the file's."""
+    for name in ("0017/20250601_1_500.xml", "N26_20250602_1_500.xml"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(page(S.DAILY_SERVICE, [], total=500), encoding="utf-8")
+    pages = xml.read_pages(spark, [str(tmp_path / "0017"), str(tmp_path / "N26_20250602_1_500.xml")], S.DAILY_SERVICE)
+    got = {(r["date"], r["route_no"]): (r["landed"], r["total"], r["complete"]) for r in xml.page_completeness(pages, "USE_YMD", "RTE_NO").collect()}
+    assert got == {("20250601", "0017"): (0, 500, 0), ("20250602", "N26"): (0, 500, 0)}
+    from stopgrid import jobs
+
+    assert jobs.incomplete_dates(pages, "USE_YMD", "RTE_NO").count() == 2
+
+
 def write(path, lines):
     path.write_text("\n".join(lines) + "\n", encoding="utf-8")
     return str(path)

@@ -155,6 +155,27 @@ def test_two_routes_with_equal_bus_ids_stay_apart(spark):
     assert got == {("7", 1): 5.0, ("7", 2): 4.0, ("8", 1): 50.0, ("8", 2): 49.0}
 
 
+def test_rows_without_sequence_and_stops_without_id(spark):
+    """A bad sequence stops nothing, and a known stop id goes before a missing one."""
+    preds = predictions(spark, [(8, 1, 2.0, 5.0, 0.0), (8, 2, 2.0, 0.0, 1.0)])
+    bad = preds.withColumn("stop_seq", F.lit(None).cast(preds.schema["stop_seq"].dataType))
+    unnamed = preds.withColumn("stop_id", F.lit(None).cast("string"))
+    both = preds.unionByName(bad).unionByName(unnamed.withColumn("pass_buses", F.lit(0.0)))
+    names = {r["stop_seq"]: r["stop_id"] for r in trips.stop_profile(both).collect()}
+    assert set(names) == {1, 2} and None not in names.values()
+    demand = trips.demand_totals(both, ["pred_board"], ["pred_alight"])
+    rows = trips.allocation(both, demand).collect()
+    assert len(rows) == 4 and {r["stop_seq"] for r in rows} == {1, 2}
+
+
+def test_hours_become_trips_after_the_join(spark):
+    preds = predictions(spark, [(8, 1, 300.0, 5.0, 0.0), (8, 2, 300.0, 0.0, 1.0), (9, 1, 2.0, 1.0, 1.0), (9, 2, 2.0, 1.0, 1.0)])
+    profile = trips.stop_profile(preds)
+    one = trips.propagate_arrivals(trips.expand_departures(preds), profile)
+    two = trips.explode_trips(trips.trips_of_hours(trips.hourly_departures(preds), trips.day_stops(profile)))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) and one.count() == 604
+
+
 def test_demand_totals_by_columns_present(spark):
     df = spark.createDataFrame([(2.0, "3", -4.0)], "pass_buses double, `버스당_승차` string, `하차` double")
     row = trips.demand_totals(df).first()
