@@ -18,7 +18,6 @@ from stopgrid.operators import demand, features, merge, moves, reshape, serving,
 from stopgrid.session import releasing, stored
 from stopgrid.sources import files, xml
 
-FACT_JOB = "build_daily_stop_hour"
 # One folder per date; within it files are sorted by route, so that a route is
 # found by the files' statistics instead of a folder of a few kilobytes.
 FACT_PARTITIONS = ["date"]
@@ -163,7 +162,7 @@ def build_fact(
             spark.createDataFrame([(d,) for d in dates], "target_date date")
             if dates is not None
             else ops.select(F.col("date").alias("target_date")).distinct()
-        ).withColumn("job_name", F.lit(FACT_JOB))
+        ).withColumn("job_name", F.lit(S.FACT_JOB))
         asked = stored(asked, "fact-asked")
         wanted = asked
         if merge.path_exists(spark, ledger):
@@ -212,14 +211,30 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
 def export_fact(fact: DataFrame, path: str) -> None:
     """CSV files under the names of the flat table, by route and date."""
-    named = fact.select(
-        F.col("route_no").alias("route"),
-        F.col("date"),
-        *[F.col(n).alias(s) for n, s in S.FACT_NAMES.items()],
+    export_named(fact, S.FACT_NAMES, path)
+
+
+def export_named(rows: DataFrame, names: dict[str, str], path: str) -> None:
+    """CSV files by route and date, the columns under their names in files."""
+    named = rows.select(
+        F.col("route_no").alias("route"), F.col("date"), *[F.col(n).alias(s) for n, s in names.items()]
     )
     files.write_csv(named, path, ["route", "date"])
 
 
+def export_predictions(predictions: DataFrame, path: str) -> None:
+    export_named(predictions, S.PREDICTION_NAMES, path)
+
+
+def export_schedule(predictions: DataFrame, links: DataFrame | None, schedule_path: str, allocation_path: str) -> None:
+    """The timetable and the allocation report as files."""
+    timetable = trips.schedule(predictions, links)
+    export_named(timetable.withColumn("arrival_ts", C.moment("date", "arrival_us")), S.SCHEDULE_NAMES, schedule_path)
+    demand_rows = trips.demand_totals(predictions, ["pred_board"], ["pred_alight"])
+    report = trips.allocation_report(trips.allocation(predictions, demand_rows, links), links)
+    export_named(report, S.ALLOCATION_NAMES, allocation_path)
+
+
 # -- predictions, schedule and reallocation ---------------------------------
 def predict(fact: DataFrame, splits: features.Split, output_split: str = "test") -> DataFrame:
     """Train the demand model and predict the output split in the predictions table's shape."""

@@ -236,9 +236,7 @@ def available_dates(moves: DataFrame, slots: DataFrame) -> DataFrame:
 
 def move_sentences(moves: DataFrame, limit: int | None = None) -> DataFrame:
     """One line of text per move; `limit` keeps the first ones by date and bus."""
-    text = F.format_string(
-        "%d시 → %d시로 1대 이동 (bus_id=%s)", F.col("from_hour"), F.col("to_hour"), F.col("move_bus_id")
-    )
+    text = F.format_string(S.MOVE_SENTENCE, F.col("from_hour"), F.col("to_hour"), F.col("move_bus_id"))
     if limit is not None:
         moves = moves.orderBy("date", "route_no", "move_bus_id").limit(limit)
     return moves.withColumn("sentence", text)
@@ -247,7 +245,7 @@ def move_sentences(moves: DataFrame, limit: int | None = None) -> DataFrame:
 def slot_sentences(slots: DataFrame) -> DataFrame:
     """One line of text per departure slot."""
     text = F.format_string(
-        "%d시 슬롯 %d — 균등 출발 %s",
+        S.SLOT_SENTENCE,
         F.col("hour"),
         F.col("slot_idx"),
         F.date_format(C.moment("date", "departure_us"), "HH:mm:ss"),

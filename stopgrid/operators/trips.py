@@ -335,6 +335,17 @@ def allocation(
     )
 
 
+def allocation_report(rows: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """An allocation with its report columns: the approximate demand, which is the
+    boardings, and where the route's link distances are from."""
+    report = rows.withColumns({"approx_demand": F.col("board_total"), "arrival_ts": C.moment("date", "arrival_us")})
+    default = F.lit(S.DEFAULT_LINK_SOURCE)
+    if links is None:
+        return report.withColumn("link_source", default)
+    known = links.select("route_no").distinct().withColumn("_known", F.lit(S.LINK_SOURCE))
+    return report.join(known, "route_no", "left").withColumn("link_source", F.coalesce("_known", default)).drop("_known")
+
+
 def allocation_table(rows: DataFrame) -> DataFrame:
     return rows.withColumn("arrival_ts", C.moment("date", "arrival_us")).select(
         *S.FINAL_ALLOCATION.fieldNames()

@@ -504,7 +504,7 @@ def incremental_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- ledger and keys --------------------------------------------------------
 LEDGER = f"""(select date_diff('day', date '1970-01-01', date) * 2 + run as id,
-    '{tables.JOB_NAME}' as job_name, date as target_date,
+    '{S.FACT_JOB}' as job_name, date as target_date,
     case when run = 0 then 'NO_DATA' when day(date) % 4 = 1 then 'OK' when day(date) % 4 = 3
         then 'SKIPPED_SAME_DATE' else 'ERROR' end as status
     from (select distinct date from passes) cross join (select unnest([0, 1]) as run))"""
@@ -525,7 +525,7 @@ def ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "ledger_pending_dates",
     twin(
-        f"""select '{tables.JOB_NAME}' as job_name, {day()} as target_date from (select distinct date from passes) x
+        f"""select '{S.FACT_JOB}' as job_name, {day()} as target_date from (select distinct date from passes) x
         where day(x.date) % 2 = 0""",
         "passes",
     ),

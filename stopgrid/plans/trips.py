@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopgrid import jobs
+from stopgrid import schema as S
 from stopgrid.functions import columns as C
 from stopgrid.operators import trips
 from stopgrid.plans.registry import plain, query
 from stopgrid.plans.twins import day, r, twin
-from stopgrid.sources import tables
+from stopgrid.session import shared_path
+from stopgrid.sources import files, tables
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +119,33 @@ def allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+REPORT = S.struct(
+    "bus_id string, date date, stop_seq int, stop_id string, board_total double, board_per_bus double, "
+    "approx_demand double, link_source string"
+)
+
+
+@query(
+    "sink_csv_allocation",
+    twin(
+        f"""select a.route_no as route, a.bus_id, {day('a.date')} as date, a.stop_seq, a.stop_id,
+            {r('s.board_total')} as board_total, {r('s.board_per_bus')} as board_per_bus,
+            {r('s.board_total')} as approx_demand, 'LINK_CSV' as link_source
+        from arrivals a join shares s on s.route_no = a.route_no and s.date = a.date
+            and s.stop_seq = a.stop_seq and s.bucket = a.arrival_us // 3600000000""",
+        "arrivals",
+        "shares",
+    ),
+)
+def sink_csv_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The allocation report written as files and read again by its names there."""
+    paths = [shared_path(spark, n) for n in ("schedule-csv", "allocation-csv")]
+    jobs.export_schedule(tables.predictions(spark, sf_dir), _links(spark, sf_dir), *paths)
+    names = {f.name: S.ALLOCATION_NAMES[f.name] for f in REPORT}
+    schema = S.struct("route string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in REPORT))
+    return plain(files.read_csv_typed(spark, paths[1], {"route": "route", **names}, schema))
+
+
 @query(
     "demand_totals",
     twin(

@@ -87,6 +87,32 @@ PREDICTION_ALIASES = {
     "onboard_per_bus": ["버스당_onboard_추정", "버스당_onboard", "per_bus_onboard"],
 }
 
+PREDICTION_NAMES = {name: accepted[0] for name, accepted in PREDICTION_ALIASES.items()}
+SCHEDULE_NAMES = {
+    "bus_id": "bus_id",
+    "date": "기준_날짜",
+    "stop_seq": "정류장_순서",
+    "arrival_ts": "도착시각",
+    "arrival_hour": "도착_시간",
+    "stop_id": "정류장_ID",
+    "stop_name": "역명",
+}
+ALLOCATION_NAMES = {
+    **SCHEDULE_NAMES,
+    "buses_in_hour": "그_시간_버스대수",
+    "board_total": "총승차",
+    "alight_total": "총하차",
+    "board_per_bus": "버스당_할당승차",
+    "alight_per_bus": "버스당_할당하차",
+    "onboard_before": "onboard_before",
+    "onboard_after": "onboard_after",
+    "crowding": "혼잡도",
+    "approx_demand": "총수요(근사)",
+    "link_source": "링크거리_소스",
+}
+LINK_SOURCE = "LINK_CSV"
+DEFAULT_LINK_SOURCE = "default(300m)"
+
 BOARD_TOTAL_CANDIDATES = ["예측_승차_총", "예측_승차인원", "승차인원", "승차", "총승차"]
 ALIGHT_TOTAL_CANDIDATES = ["예측_하차_총", "예측_하차인원", "하차인원", "하차", "총하차"]
 BOARD_PER_BUS_CANDIDATES = ["버스당_승차", "예측_버스당_승차", "버스당_탑승예측", "개선후_버스당"]
@@ -94,6 +120,10 @@ ALIGHT_PER_BUS_CANDIDATES = ["버스당_하차", "예측_버스당_하차"]
 LINK_COLUMN_PARTS = ("링크", "거리")
 
 # ---------------------------------------------------------------------------
+# Sentences about moves and departure slots
+MOVE_SENTENCE = "%d시 → %d시로 1대 이동 (bus_id=%s)"
+SLOT_SENTENCE = "%d시 슬롯 %d — 균등 출발 %s"
+
 # Tags of the open-data XML pages
 # ---------------------------------------------------------------------------
 OPS_SERVICE = "tpssStationRouteTurn"
@@ -216,6 +246,9 @@ RUN_LEDGER = struct(
     "status string not null, message string, created_at timestamp_ntz"
 )
 
+#: The name of the fact table's job in the ledger.
+FACT_JOB = "build_daily_stop_hour"
+
 KEYS = {
     "ops_hourly": ["date", "route_no", "stop_id", "hour"],
     "dim_route_map": ["route_key"],

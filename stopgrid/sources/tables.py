@@ -12,9 +12,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopgrid import schema as S
 from stopgrid.functions import columns as C
 
-JOB_NAME = "build_daily_stop_hour"
 PREV_UNTIL = "2024-01-16"
 NEW_FROM = "2024-01-15"
 SPLITS = {
@@ -240,7 +240,7 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return runs.select(
         (F.unix_date("target_date").cast("bigint") * 2 + F.col("run")).alias("id"),
-        F.lit(JOB_NAME).alias("job_name"),
+        F.lit(S.FACT_JOB).alias("job_name"),
         "target_date",
         status.alias("status"),
     )
