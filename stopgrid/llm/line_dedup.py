@@ -2,9 +2,11 @@
 
 A line is compared by its words, in lower case. Lines of fewer than `min_words` words
 are left alone. Equal lines meet by hash, and the earliest (by document id, then line)
-stays. Of the distinct lines those that share half of their words, at their beginning or
-end, with another may be within one edit of it; they emit their deletion neighbourhood,
-the hash of the line without each of its words. Lines of the same length that agree
+stays. Two lines within one edit share their first words or their last ones, up to half
+of the line, whichever the edit is not in; so of the distinct lines those that share
+neither with another of their length, or of one word more or less, are done. The others
+emit their deletion neighbourhood, the hash of the line without each of its words, on
+the side where the edit may be. Lines of the same length that agree
 without the word at the same place differ by a substitution, and a line that agrees
 with a longer one without a word by a deletion. A group of equal variants is settled
 by its earliest line, so no pairs of its members are made. Every pair that decides
@@ -22,7 +24,7 @@ from stopgrid.llm.common import text_of
 from stopgrid.session import stored
 
 MIN_WORDS = 8
-#: A document that loses this share of its words goes as a whole.
+#: A document that loses this share of its text goes as a whole.
 GONE = 0.8
 
 _ROW = ("r1", "r2")
@@ -34,56 +36,79 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: Column) -> DataFr
     return given.select("*", F.xxhash64("id", "text").alias("r1"), F.xxhash64(F.lit(1), "id", "text").alias("r2"))
 
 
-def normal(line: Column) -> Column:
-    """Lower case, words between single blanks."""
-    lower = F.lower(line)
-    odd = lower.rlike("[\\t\\x0B\\f\\r]|  ")
-    return F.trim(F.when(odd, F.regexp_replace(lower, "\\s+", " ")).otherwise(lower))
+def normal(text: Column) -> Column:
+    """Lower case, single blanks between words; line ends stay."""
+    lower = F.lower(text)
+    odd = [F.contains(lower, F.lit(x)) for x in ("  ", "\t", "\r", "\f", "\x0b")]
+    return F.when(odd[0] | odd[1] | odd[2] | odd[3] | odd[4], F.regexp_replace(lower, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(lower)
 
 
-def n_words(normal_line: Column) -> Column:
-    blanks = F.octet_length(normal_line) - F.octet_length(F.replace(normal_line, F.lit(" "), F.lit("")))
-    return F.when(normal_line == "", 0).otherwise(blanks + 1)
+def n_words(line: Column) -> Column:
+    """The words of a line in normal form, blanks at its ends aside."""
+    bare = F.trim(line)
+    blanks = F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(" "), F.lit("")))
+    return F.when(bare == "", 0).otherwise(blanks + 1)
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
-    return keyed.select("id", *_ROW, F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    """The lines in normal form."""
+    lines = keyed.select("id", *_ROW, F.posexplode(F.split(normal(F.col("text")), "\n", -1)).alias("no", "line"))
+    return lines.withColumn("line", F.trim("line"))
 
 
-def _halves(level: str) -> list[Column]:
-    """Hashes of the first half and the last half of a line's words, as of a line of `level` words."""
+#: The number of words in an end.
+_END = "cast(shiftleft(1, cast(floor(log2({0})) as int) - 1) as int)"
+
+
+def _ends(level: str) -> list[Column]:
+    """Hashes of a line's first words and of its last, as of a line of `level` words: a
+    power of two of them, at most half."""
+    n = _END.format(level)
     return [
-        F.expr(f"xxhash64({level}, 0, substring_index(line, ' ', cast(({level}) div 2 as int)))"),
-        F.expr(f"xxhash64({level}, 1, substring_index(line, ' ', -cast(({level}) - ({level}) div 2 as int)))"),
+        F.expr(f"xxhash64({level}, 0, substring_index(line, ' ', {n}))"),
+        F.expr(f"xxhash64({level}, 1, substring_index(line, ' ', -{n}))"),
     ]
 
 
 def _distinct_lines(keyed: DataFrame, min_words: int) -> DataFrame:
-    """(h1, h2, first, n, halves): each distinct line with its earliest place."""
-    lines = _lines(keyed).withColumn("line", normal(F.col("line"))).withColumn("n", n_words(F.col("line")))
+    """(h1, h2, first, n, ends): each distinct line with its earliest place."""
+    lines = _lines(keyed).withColumn("n", n_words(F.col("line")))
     return stored(
         lines.filter(F.col("n") >= min_words)
         .select(
             F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
             F.struct("id", "no", *_ROW).alias("place"), "n",
-            *(k.alias(f"k{i}") for i, k in enumerate(_halves("n") + _halves("n - 1"))),
+            *(k.alias(f"k{i}") for i, k in enumerate(_ends("n") + _ends("(n - 1)"))),
         )
         .groupBy("h1", "h2")
-        .agg(F.min("place").alias("first"), F.first("n").alias("n"), F.array(*(F.first(f"k{i}") for i in range(4))).alias("halves")),
+        .agg(F.min("place").alias("first"), F.first("n").alias("n"), F.array(*(F.first(f"k{i}") for i in range(4))).alias("ends")),
         "lines",
     )
 
 
+#: What a candidate line may have: an equal end (first, last) with a line of its length, with a shorter, with a longer one.
+_FLAGS = ("same0", "same1", "shorter0", "shorter1", "longer")
+
+
 def _candidates(lines: DataFrame) -> DataFrame:
-    """(ord, h1, h2, n, id, no, r1, r2): the lines that share a half, numbered from the earliest on."""
-    halves = lines.select("h1", "h2", F.explode("halves").alias("half"))
-    shared = stored(halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"), "shared-halves")
-    likely = may_match(halves, F.col("half"), bitmap(shared, F.col("half")))
-    names = stored(likely.join(shared, "half", "left_semi").select("h1", "h2").distinct(), "sharing-lines")
-    found = may_match(lines, F.col("h1"), bitmap(names, F.col("h1"))).join(names, ["h1", "h2"], "left_semi")
+    """(ord, h1, h2, n, no, r1, r2, flags): the lines that share an end, numbered from the earliest on.
+
+    Ends 0 and 1 are those of the line, 2 and 3 those it has beside a line of one word less.
+    """
+    ends = lines.select("h1", "h2", F.posexplode("ends").alias("which", "end"))
+    own = F.count(F.when(F.col("which") < 2, 1))
+    counts = ends.groupBy("end").agg(own.alias("own"), F.count(F.when(F.col("which") >= 2, 1)).alias("beside"))
+    shared = stored(counts.filter("own > 1 or (own > 0 and beside > 0)"), "shared-ends")
+    likely = may_match(ends, F.col("end"), bitmap(shared, F.col("end"))).join(shared, "end")
+    which, many = F.col("which"), F.col("own") > 1
+    flags = [(which == 0) & many, (which == 1) & many, which == 2, which == 3, (which < 2) & (F.col("beside") > 0)]
+    names = likely.groupBy("h1", "h2").agg(*(F.max(f).alias(n) for f, n in zip(flags, _FLAGS)))
+    anyway = F.col("same0") | F.col("same1") | F.col("shorter0") | F.col("shorter1") | F.col("longer")
+    names = stored(names.filter(anyway), "sharing-lines")
+    found = may_match(lines, F.col("h1"), bitmap(names, F.col("h1"))).join(names, ["h1", "h2"])
     order = ["id", "no", *_ROW]
     return stored(
-        found.select("h1", "h2", "n", "first.*")
+        found.select("h1", "h2", "n", "first.*", *_FLAGS)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(F.monotonically_increasing_id().alias("ord"), "*"),
@@ -92,13 +117,13 @@ def _candidates(lines: DataFrame) -> DataFrame:
 
 
 def _texts(keyed: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(ord, words): what the candidate lines say, read again from their earliest places."""
+    """(ord, words, flags): what the candidate lines say, read again from their earliest places."""
     place = F.xxhash64(*_ROW, "no")
     lines = may_match(_lines(keyed).drop("id"), place, bitmap(candidates, place))
-    found = lines.join(candidates.select("ord", *_ROW, "no"), [*_ROW, "no"])
+    found = lines.join(candidates.select("ord", *_ROW, "no", *_FLAGS), [*_ROW, "no"])
     # a document that is there twice gives its lines twice
-    once = found.groupBy("ord").agg(F.first("line").alias("line"))
-    return stored(once.select("ord", F.split(normal(F.col("line")), " ").alias("words")), "candidate-texts")
+    once = found.groupBy("ord").agg(F.first("line").alias("line"), *(F.first(f).alias(f) for f in _FLAGS))
+    return stored(once.select("ord", F.split("line", " ").alias("words"), *_FLAGS), "candidate-texts")
 
 
 def _variants(texts: DataFrame) -> DataFrame:
@@ -109,7 +134,7 @@ def _variants(texts: DataFrame) -> DataFrame:
     their places, those behind move up. Kinds: 0 a variant beside its place, 1 a variant,
     2 a whole line.
     """
-    words = texts.select("ord", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
+    words = texts.select("ord", *_FLAGS, F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
     here = [F.xxhash64("w", "i"), F.xxhash64(F.lit(1), "w", "i")]
     moved = [F.xxhash64("w", F.col("i") - 1), F.xxhash64(F.lit(1), "w", F.col("i") - 1)]
     line = Window.partitionBy("ord")
@@ -117,24 +142,31 @@ def _variants(texts: DataFrame) -> DataFrame:
     before = so_far.rowsBetween(Window.unboundedPreceding, -1)
     upto = so_far.rowsBetween(Window.unboundedPreceding, 0)
     hashed = words.select(
-        "ord", "n", "i", *(h.alias(f"h{k}") for k, h in enumerate(here)), *(m.alias(f"m{k}") for k, m in enumerate(moved))
+        "ord", *_FLAGS, "n", "i", *(h.alias(f"h{k}") for k, h in enumerate(here)), *(m.alias(f"m{k}") for k, m in enumerate(moved))
     )
     run = hashed.select(
-        "ord", "n", "i",
+        "ord", *_FLAGS, "n", "i",
         *(F.coalesce(F.bit_xor(f"h{k}").over(before), F.lit(0)).alias(f"before{k}") for k in (0, 1)),
         *(F.bit_xor(f"h{k}").over(upto).alias(f"whole{k}") for k in (0, 1)),
         *(F.bit_xor(f"m{k}").over(upto).alias(f"moved{k}") for k in (0, 1)),
         *(F.bit_xor(f"m{k}").over(line).alias(f"all{k}") for k in (0, 1)),
     )
     without = [F.col(f"before{k}").bitwiseXOR(F.col(f"all{k}")).bitwiseXOR(F.col(f"moved{k}")) for k in (0, 1)]
-    last = F.col("i") == F.col("n") - 1
+
+    def row(kind: int, *of) -> Column:
+        keys = [F.xxhash64(F.lit(k), F.lit(min(kind, 1)), *(x[k] if isinstance(x, list) else x for x in of)) for k in (0, 1)]
+        return F.struct(*(key.alias(f"k{k}") for k, key in enumerate(keys)), F.lit(kind).alias("kind"))
+
+    def behind(level: str) -> Column:
+        """Whether the edit here leaves the first words as they are, else it leaves the last."""
+        return F.expr(f"i >= {_END.format(level)}")
+
     rows = F.array(
-        F.struct(*(F.xxhash64(F.lit(k), F.lit(0), "n", "i", without[k]).alias(f"k{k}") for k in (0, 1)), F.lit(0).alias("kind")),
-        F.struct(*(F.xxhash64(F.lit(k), F.lit(1), F.col("n") - 1, without[k]).alias(f"k{k}") for k in (0, 1)), F.lit(1).alias("kind")),
+        F.when(F.when(behind("n"), F.col("same0")).otherwise(F.col("same1")), row(0, F.col("n"), F.col("i"), without)),
         F.when(
-            last,
-            F.struct(*(F.xxhash64(F.lit(k), F.lit(1), "n", f"whole{k}").alias(f"k{k}") for k in (0, 1)), F.lit(2).alias("kind")),
+            F.when(behind("(n - 1)"), F.col("shorter0")).otherwise(F.col("shorter1")), row(1, F.col("n") - 1, without)
         ),
+        F.when(F.col("longer") & (F.col("i") == F.col("n") - 1), row(2, F.col("n"), [F.col("whole0"), F.col("whole1")])),
     )
     return run.select("ord", F.inline(F.filter(rows, lambda r: r.isNotNull()))).toDF("ord", "k1", "k2", "kind")
 
@@ -177,39 +209,31 @@ def _kept_lines(keyed: DataFrame, min_words: int) -> DataFrame:
 
 
 def _judged(docs: DataFrame, min_words: int, id_col: str, text_col: str, carry: Column) -> DataFrame:
-    """Per row of `docs` its id, what `carry` says, its lines and those that stay."""
+    """(id, carry, bytes, n_lines, n_dropped, text) per row of `docs`: its lines that stay."""
     keyed = _keyed(docs, id_col, text_col, carry)
     kept = _kept_lines(keyed.drop("carry"), min_words)
-    lines = keyed.join(kept, [*_ROW], "left").select(
-        "id", "carry", F.split("text", "\n", -1).alias("lines"), F.coalesce("kept", F.array().cast("array<int>")).alias("kept")
-    )
-    sized = lines.select(
-        "id", "carry", "kept",
-        F.transform(
-            "lines", lambda line, i: F.struct(line.alias("line"), i.alias("no"), n_words(normal(line)).alias("n"))
-        ).alias("lines"),
+    # the texts are not sorted for this join; the numbers of a partition's lines fit into memory
+    lines = keyed.join(kept.hint("shuffle_hash"), [*_ROW], "left").select(
+        "id", "carry", F.octet_length("text").alias("bytes"), F.split("text", "\n", -1).alias("lines"),
+        F.coalesce("kept", F.array().cast("array<int>")).alias("kept"),
     )
-    stay = F.filter("lines", lambda x: (x["n"] < min_words) | F.array_contains("kept", x["no"]))
-    return sized.select("id", "carry", "lines", stay.alias("stay"))
-
 
-def _result() -> list[Column]:
-    def words(lines: str) -> Column:
-        return F.aggregate(lines, F.lit(0).cast("long"), lambda total, x: total + x["n"])
+    def stays(line: Column, i: Column) -> Column:
+        return F.array_contains("kept", i) | (n_words(normal(line)) < min_words)
 
-    return [
-        F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size("stay")).cast("long").alias("n_dropped"),
-        words("lines").alias("words"),
-        (words("lines") - words("stay")).alias("words_dropped"),
-        F.array_join(F.transform("stay", lambda x: x["line"]), "\n").alias("text"),
-    ]
+    told = lines.select("id", "carry", "bytes", F.size("lines").alias("n"), F.filter("lines", stays).alias("stay"))
+    return told.select(
+        "id", "carry", "bytes",
+        F.col("n").cast("long").alias("n_lines"),
+        (F.col("n") - F.size("stay")).cast("long").alias("n_dropped"),
+        F.array_join("stay", "\n").alias("text"),
+    )
 
 
 def dedup_lines(
     docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, n_lines, n_dropped, words, words_dropped, text): one row per row of `docs`.
+    """(id, n_lines, n_dropped, text): one row per row of `docs`.
 
     A line goes if an earlier one, by document id and then line number, equals it or
     is within one word of it, whether or not that one stays itself. Null ids come
@@ -219,19 +243,19 @@ def dedup_lines(
     and different texts go by line number, then by a hash. Other columns are ignored;
     an empty table gives none.
     """
-    return _judged(docs, min_words, id_col, text_col, F.lit(None)).select("id", *_result())
+    return _judged(docs, min_words, id_col, text_col, F.lit(None)).drop("carry", "bytes")
 
 
 def keep_new_lines(docs: DataFrame, min_words: int = MIN_WORDS, gone: float = GONE) -> DataFrame:
-    """`docs` with only the lines that stay, and without documents that lost `gone` of their words.
+    """`docs` with only the lines that stay, and without documents that lost `gone` of their text.
 
     Columns are as they were, n_chars in line with the text if there. Documents that
     lose nothing, empty ones and those with a null text among them, are untouched.
     """
     others = [c for c in docs.columns if c != "text"]
     carry = F.struct(F.col("text").isNull().alias("text"), *(F.col(f"`{c}`") for c in others))
-    result = _judged(docs, min_words, "doc_id", "text", carry).select("carry", *_result())
-    left = result.filter((F.col("words_dropped") == 0) | (F.col("words_dropped") < gone * F.col("words")))
+    result = _judged(docs, min_words, "doc_id", "text", carry)
+    left = result.filter((F.col("n_dropped") == 0) | (F.octet_length("text") > F.lit(1 - gone) * F.col("bytes")))
     columns = {c: F.col(f"carry.`{c}`") for c in docs.columns}
     columns["text"] = F.when(~columns["text"], F.col("text"))
     if "n_chars" in columns:

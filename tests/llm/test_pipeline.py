@@ -11,7 +11,6 @@ import corpus_pipeline
 from stopgrid.llm import decontaminate
 from tests.llm.test_decontaminate import plain as plain_hits
 from tests.llm.test_line_dedup import plain as plain_lines
-from tests.llm.test_line_dedup import words as line_words
 from tests.llm.test_simhash import plain_fingerprint, plain_groups
 
 TOXIC = "vile nasty"
@@ -50,13 +49,10 @@ def brute_force(docs, passage):
     rows = [(i, t) for i, t in docs if TOXIC not in (t or "")]
     dropped = {i: (n, left) for i, _, n, left in plain_lines(rows)}
 
-    def size(t):
-        return sum(len(w) for x in (t or "").split("\n") if (w := line_words(x)) != [""])
-
     new = []
     for i, t in rows:
         n, left = dropped[i]
-        if n and size(t) - size(left) >= 0.8 * size(t):
+        if n and len(left.encode()) <= (1 - 0.8) * len(t.encode()):
             continue
         new.append((i, left if n else t))
     groups = plain_groups([(i, plain_fingerprint(t or "")) for i, t in new])
