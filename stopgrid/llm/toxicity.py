@@ -26,21 +26,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from stopgrid.llm.common import free_name, text_of
+from stopgrid.llm.common import free_name, small_batches, text_of
 
 #: Labelled rows the model is fitted on at most, picked by a hash of their id.
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 5000
 GRADES = 3
 #: A document of at least this expected severity is rejected.
 CUT = 0.15
-BUCKETS = 1 << 22
+BUCKETS = 1 << 21
 AFFIXES = (4, 5, 6)
 MIN_DOCS = 4
 MIN_RATIO = 0.5
 STEPS = 150
 RATE = 0.05
 PENALTY = 1e-4
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 _word = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -132,12 +132,14 @@ def fit_sample(toxic: np.ndarray, buckets: list[np.ndarray], counts: list[np.nda
     bad = np.bincount(np.concatenate([b for b, t in zip(buckets, toxic) if t]), minlength=BUCKETS)
     seen = bad + np.bincount(np.concatenate([b for b, t in zip(buckets, toxic) if not t]), minlength=BUCKETS)
     share = n_toxic / n
+    used = np.flatnonzero(seen >= min(MIN_DOCS, n_toxic))
+    bad, seen = bad[used], seen[used]
     in_toxic, in_clean = (bad + 2 * share) / (n_toxic + 2), (seen - bad + 2 * (1 - share)) / (n - n_toxic + 2)
     ratio = np.log(in_toxic / in_clean)
-    used = np.flatnonzero((seen >= min(MIN_DOCS, n_toxic)) & (np.abs(ratio) >= MIN_RATIO))
+    telling = np.abs(ratio) >= MIN_RATIO
+    used, ratio = used[telling], ratio[telling]
     place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
-    ratio = ratio[used]
     rows, places, values = [], [], []
     for i, (b, c) in enumerate(zip(buckets, counts)):
         at = place[b]
@@ -186,6 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     texts = docs.select(F.col("doc_id").alias("id"), text_of().alias("text"))
     # a broadcast of sample_rows ids at most
     rows = texts.join(F.broadcast(picked), "id").select("toxic", "text")
+    small_batches()
     counted = rows.mapInPandas(_count_features, "toxic int, buckets binary, counts binary")
     sample = sorted((toxic > 0, bytes(buckets), bytes(counts)) for toxic, buckets, counts in counted.collect())
     return fit_sample(
@@ -197,6 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
 
 def severity(text: Column, model: Model) -> Column:
     """Expected severity of a text column, from 0 to the number of grades; null counts as empty."""
+    small_batches()
     known, weights, thresholds = model.buckets, model.weights, model.thresholds
 
     @pandas_udf("double")
@@ -217,7 +221,7 @@ def severity(text: Column, model: Model) -> Column:
             for text in batch:
                 words = weighed(text or "")
                 total = sum(worth(w) * n for w, n in words.items())
-                scores.append(total / max(1.0, sum(words.values())) ** 0.5)
+                scores.append(total / sum(words.values()) ** 0.5 if words else -np.inf)
             above = _sigmoid(np.array(scores, float)[:, None] - thresholds)
             yield pd.Series(above.sum(axis=1), dtype=float)
 
@@ -228,7 +232,7 @@ def score(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
     """(doc_id, severity, grade, toxic): one row per row of `docs`.
 
     Rows are independent: repeated rows and null ids stay as they are, other columns
-    are ignored. A text without words has the severity of the thresholds alone.
+    are ignored. A text without words, null ones too, has severity 0.
     """
     scored = docs.select("doc_id", severity(text_of(), model).alias("severity"))
     return scored.select("doc_id", "severity", F.round("severity").cast("int").alias("grade"), (F.col("severity") >= cut).alias("toxic"))
