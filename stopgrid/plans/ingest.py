@@ -64,7 +64,7 @@ def ingest_predictions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = tables.events(spark, sf_dir).select(F.col("ts").cast("date")).distinct()
     days = sorted(row[0] for row in dates.collect())
     raw = files.read_predictions(spark, files.dated_paths(base, days), base)
-    return plain(merge.coerce_predictions(raw))
+    return plain(merge.coerce_predictions(raw).drop(merge.ORIGIN))
 
 
 @query("load_route_map", twin("select distinct concat('R-', route_no) as route_key, concat('R-', route_no) as rte_id, route_no from passes", "passes"))
