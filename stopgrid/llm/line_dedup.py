@@ -119,10 +119,12 @@ def _candidates(lines: DataFrame) -> DataFrame:
 def _texts(keyed: DataFrame, candidates: DataFrame) -> DataFrame:
     """(ord, words, flags): what the candidate lines say, read again from their earliest places."""
     place = F.xxhash64(*_ROW, "no")
-    lines = may_match(_lines(keyed).drop("id"), place, bitmap(candidates, place))
+    raw = keyed.select(*_ROW, F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    lines = may_match(raw, place, bitmap(candidates, place))
     found = lines.join(candidates.select("ord", *_ROW, "no", *_FLAGS), [*_ROW, "no"])
     # a document that is there twice gives its lines twice
-    once = found.groupBy("ord").agg(F.first("line").alias("line"), *(F.first(f).alias(f) for f in _FLAGS))
+    line = F.trim(normal(F.col("line")))
+    once = found.groupBy("ord").agg(F.first(line).alias("line"), *(F.first(f).alias(f) for f in _FLAGS))
     return stored(once.select("ord", F.split("line", " ").alias("words"), *_FLAGS), "candidate-texts")
 
 
