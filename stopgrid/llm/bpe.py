@@ -13,7 +13,6 @@ Each symbol is one character here, so tokens are plain strings.
 from __future__ import annotations
 
 import array
-import functools
 import hashlib
 import heapq
 import json
@@ -28,12 +27,14 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql.pandas.functions import pandas_udf
 
+from stopgrid.llm.common import small_batches
+
 #: Added to a character's code where the word ends with it.
 END = 0x10000
 NEVER = 1 << 60
-CACHED_WORDS = 700_000
+CACHED_WORDS = 300_000
 CACHED_CHARS = 64
-CACHED_PAIRS = 2_000_000
+CACHED_PAIRS = 500_000
 #: Characters whose lower case, composition and classes are the same everywhere.
 COMMON = re.compile(r"[\t\n\r\x20-\x7eÀ-ÿ]*")
 #: Fixed value: how the vocabulary's library splits lower-case text, for those characters.
@@ -48,7 +49,11 @@ def byte_characters() -> dict[int, str]:
 
 
 class WordBpe:
-    """Encoder and decoder for a tokenizer file with the `</w>` word end."""
+    """Encoder and decoder for a tokenizer file with the `</w>` word end.
+
+    A task makes its own, in about two seconds, and frees it, tables and caches, when
+    it ends: Python workers outlive the tasks and would hold the memory.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -245,19 +250,16 @@ class WordBpe:
             yield piece[1:] if i == 0 else piece
 
 
-@functools.lru_cache(maxsize=2)
-def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
-
-
 def encode(text: Column, path: str) -> Column:
     """A text column's token ids as an array of integers; null counts as an empty text."""
+    small_batches()
 
     @pandas_udf("array<int>")
     def of_texts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = word_bpe(path)
+        bpe = WordBpe(path)
         for batch in texts:
-            yield pd.Series([np.frombuffer(bpe.encode(t or ""), "<u4").astype(np.int32) for t in batch], dtype=object)
+            ids = [np.frombuffer(bpe.encode(t or ""), "<u4").astype(np.int32) for t in batch]
+            yield pd.Series(ids, dtype=object)
 
     return of_texts(text)
 
@@ -267,7 +269,7 @@ def decode(ids: Column, path: str) -> Column:
 
     @pandas_udf("string")
     def of_ids(arrays: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = word_bpe(path)
+        bpe = WordBpe(path)
         for batch in arrays:
             yield pd.Series(
                 ["" if a is None else b"".join(bpe.decode(np.asarray(a))).decode("utf-8") for a in batch], dtype=object
@@ -282,11 +284,12 @@ def round_trip(text: Column, path: str, with_ids: bool = False) -> Column:
     Null counts as an empty text. Rows are independent: repeated rows and ids, other
     columns and empty tables need no care, and a very long text is decoded in pieces.
     """
+    small_batches()
     fields = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     @pandas_udf(fields + ", ids array<int>" if with_ids else fields)
     def of_texts(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = word_bpe(path)
+        bpe = WordBpe(path)
         for batch in texts:
             rows = []
             for t in batch:

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows that a Python worker gets at once at most, as texts may be long.
+BATCH_ROWS = 2000
+
+
+def small_batches() -> None:
+    """Lowers the session's limit of rows in an Arrow batch, for functions over whole texts."""
+    spark, name = SparkSession.active(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_of(column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from stopgrid.llm.common import free_name, text_of
+from stopgrid.llm.common import free_name, small_batches, text_of
 from stopgrid.llm.fm_index import LIMIT, FmIndex
 
 WIDTH = 10
@@ -192,6 +192,7 @@ def search(
     their items. A column already called `into` is replaced. Without items, or
     without texts, there are no hits.
     """
+    small_batches()
     names = []
     out = docs
     for items in blocks(benchmark, block_words, id_col, text_col):

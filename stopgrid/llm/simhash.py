@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from stopgrid.llm.common import free_name, text_of
+from stopgrid.llm.common import free_name, small_batches, text_of
 from stopgrid.llm.components import components
 from stopgrid.session import stored
 
@@ -50,6 +50,7 @@ def fingerprint_of(text: str, width: int) -> int:
 
 def fingerprint(text: Column, width: int = 4) -> Column:
     """Fingerprint of a text column as a long; null counts as an empty text."""
+    small_batches()
 
     @pandas_udf("long")
     def of_texts(texts: pd.Series) -> pd.Series:

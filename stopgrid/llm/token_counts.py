@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopgrid.llm.common import text_of
+from stopgrid.llm.common import small_batches, text_of
 
 #: Fixed value: how byte-level BPE splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -263,6 +263,7 @@ def token_counts(
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
+    small_batches()
     given = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     kind = given.schema["id"].dataType
     id_type, name = to_arrow_type(kind), kind.simpleString()

@@ -26,7 +26,7 @@ TRICKY = [
 
 @pytest.fixture(scope="module")
 def coder():
-    return bpe.word_bpe(WORDS)
+    return bpe.WordBpe(WORDS)
 
 
 def ids(coder, text):
@@ -43,8 +43,7 @@ def test_encoding_and_decoding_of_tricky_texts(coder, text):
 
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.text(max_size=60), st.text("abeinst'é 1.,\n", max_size=120)))
-def test_encoding_of_any_text(text):
-    coder = bpe.word_bpe(WORDS)
+def test_encoding_of_any_text(coder, text):
     assert ids(coder, text) == coder.library.encode(text, add_special_tokens=False).ids
 
 
