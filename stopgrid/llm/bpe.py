@@ -32,9 +32,9 @@ from stopgrid.llm.common import small_batches
 #: Added to a character's code where the word ends with it.
 END = 0x10000
 NEVER = 1 << 60
-CACHED_WORDS = 300_000
+CACHED_WORDS = 700_000
 CACHED_CHARS = 64
-CACHED_PAIRS = 500_000
+CACHED_PAIRS = 1_000_000
 #: Characters whose lower case, composition and classes are the same everywhere.
 COMMON = re.compile(r"[\t\n\r\x20-\x7eÀ-ÿ]*")
 #: Fixed value: how the vocabulary's library splits lower-case text, for those characters.
