@@ -23,8 +23,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with only the lines that no earlier line equals but for a word."""
-    return line_dedup.keep_new_lines(docs)
+    """Documents with only the lines that no earlier line equals but for a word; those with none of their own go."""
+    return line_dedup.keep_new_lines(docs, gone=None)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from stopgrid.llm.common import text_of
 from stopgrid.session import stored
 
 MIN_WORDS = 8
-#: A document that loses this share of its text goes as a whole.
+#: A document that loses this share of its text goes as a whole, if asked for.
 GONE = 0.8
 
 _ROW = ("r1", "r2")
@@ -70,15 +70,21 @@ def _ends(level: str) -> list[Column]:
     ]
 
 
-def _distinct_lines(keyed: DataFrame, min_words: int) -> DataFrame:
-    """(h1, h2, first, n, ends): each distinct line with its earliest place."""
+def _distinct_lines(keyed: DataFrame, min_words: int, short: bool) -> DataFrame:
+    """(h1, h2, first, n, ends): each distinct line with its earliest place.
+
+    With `short` those that are not compared come too, blank ones aside.
+    """
     lines = _lines(keyed).withColumn("n", n_words(F.col("line")))
+    ends = _ends("n") + _ends("(n - 1)")
+    if short:
+        ends = [F.when(F.col("n") >= min_words, end) for end in ends]
     return stored(
-        lines.filter(F.col("n") >= min_words)
+        lines.filter(F.col("n") >= (1 if short else min_words))
         .select(
             F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
             F.struct("id", "no", *_ROW).alias("place"), "n",
-            *(k.alias(f"k{i}") for i, k in enumerate(_ends("n") + _ends("(n - 1)"))),
+            *(k.alias(f"k{i}") for i, k in enumerate(ends)),
         )
         .groupBy("h1", "h2")
         .agg(F.min("place").alias("first"), F.first("n").alias("n"), F.array(*(F.first(f"k{i}") for i in range(4))).alias("ends")),
@@ -90,12 +96,12 @@ def _distinct_lines(keyed: DataFrame, min_words: int) -> DataFrame:
 _FLAGS = ("same0", "same1", "shorter0", "shorter1", "longer")
 
 
-def _candidates(lines: DataFrame) -> DataFrame:
+def _candidates(lines: DataFrame, min_words: int) -> DataFrame:
     """(ord, h1, h2, n, no, r1, r2, flags): the lines that share an end, numbered from the earliest on.
 
     Ends 0 and 1 are those of the line, 2 and 3 those it has beside a line of one word less.
     """
-    ends = lines.select("h1", "h2", F.posexplode("ends").alias("which", "end"))
+    ends = lines.filter(F.col("n") >= min_words).select("h1", "h2", F.posexplode("ends").alias("which", "end"))
     own = F.count(F.when(F.col("which") < 2, 1))
     counts = ends.groupBy("end").agg(own.alias("own"), F.count(F.when(F.col("which") >= 2, 1)).alias("beside"))
     shared = stored(counts.filter("own > 1 or (own > 0 and beside > 0)"), "shared-ends")
@@ -201,33 +207,44 @@ def _near(candidates: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(candidates.join(verified.select("ord").distinct(), "ord", "left_semi").select("h1", "h2"), "near-lines")
 
 
-def _kept_lines(keyed: DataFrame, min_words: int) -> DataFrame:
-    """(r1, r2, kept): per document the numbers of its compared lines that stay."""
-    lines = _distinct_lines(keyed, min_words)
-    candidates = _candidates(lines)
+def _kept_lines(keyed: DataFrame, min_words: int, short: bool) -> DataFrame:
+    """(r1, r2, kept): per document the numbers of its compared lines that stay.
+
+    Only documents with such a line are there; with `short` also those with another
+    line that is not blank and equals no earlier one.
+    """
+    lines = _distinct_lines(keyed, min_words, short)
+    candidates = _candidates(lines, min_words)
     near = _near(candidates, _texts(keyed, candidates))
-    stay = lines.select("h1", "h2", "first").join(near, ["h1", "h2"], "left_anti").select("first.*")
-    return stored(stay.groupBy(*_ROW).agg(F.collect_set("no").alias("kept")), "kept-lines")
+    stay = lines.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left_anti").select("first.*", "n")
+    no = F.when(F.col("n") >= min_words, F.col("no"))
+    return stored(stay.groupBy(*_ROW).agg(F.collect_set(no).alias("kept")), "kept-lines")
 
 
-def _judged(docs: DataFrame, min_words: int, id_col: str, text_col: str, carry: Column) -> DataFrame:
-    """(id, carry, bytes, n_lines, n_dropped, text) per row of `docs`: its lines that stay."""
+def _judged(
+    docs: DataFrame, min_words: int, id_col: str, text_col: str, carry: Column, short: bool = False
+) -> DataFrame:
+    """(id, carry, bytes, n_lines, n_dropped, own, text) per row of `docs`: its lines that stay.
+
+    `own` says whether one of them is the earliest of its kind, with `short` among all that are not blank.
+    """
     keyed = _keyed(docs, id_col, text_col, carry)
-    kept = _kept_lines(keyed.drop("carry"), min_words)
+    kept = _kept_lines(keyed.drop("carry"), min_words, short)
     # the texts are not sorted for this join; the numbers of a partition's lines fit into memory
     lines = keyed.join(kept.hint("shuffle_hash"), [*_ROW], "left").select(
         "id", "carry", F.octet_length("text").alias("bytes"), F.split("text", "\n", -1).alias("lines"),
-        F.coalesce("kept", F.array().cast("array<int>")).alias("kept"),
+        F.col("kept").isNotNull().alias("own"), F.coalesce("kept", F.array().cast("array<int>")).alias("kept"),
     )
 
     def stays(line: Column, i: Column) -> Column:
         return F.array_contains("kept", i) | (n_words(normal(line)) < min_words)
 
-    told = lines.select("id", "carry", "bytes", F.size("lines").alias("n"), F.filter("lines", stays).alias("stay"))
+    told = lines.select("id", "carry", "bytes", "own", F.size("lines").alias("n"), F.filter("lines", stays).alias("stay"))
     return told.select(
         "id", "carry", "bytes",
         F.col("n").cast("long").alias("n_lines"),
         (F.col("n") - F.size("stay")).cast("long").alias("n_dropped"),
+        "own",
         F.array_join("stay", "\n").alias("text"),
     )
 
@@ -245,19 +262,22 @@ def dedup_lines(
     and different texts go by line number, then by a hash. Other columns are ignored;
     an empty table gives none.
     """
-    return _judged(docs, min_words, id_col, text_col, F.lit(None)).drop("carry", "bytes")
+    return _judged(docs, min_words, id_col, text_col, F.lit(None)).drop("carry", "bytes", "own")
 
 
-def keep_new_lines(docs: DataFrame, min_words: int = MIN_WORDS, gone: float = GONE) -> DataFrame:
+def keep_new_lines(docs: DataFrame, min_words: int = MIN_WORDS, gone: float | None = GONE) -> DataFrame:
     """`docs` with only the lines that stay, and without documents that lost `gone` of their text.
 
-    Columns are as they were, n_chars in line with the text if there. Documents that
-    lose nothing, empty ones and those with a null text among them, are untouched.
+    With None for `gone` a document goes only if it lost lines and has none of its own
+    left: what remains is blank or equals an earlier line. Columns are as they were,
+    n_chars in line with the text if there. Documents that lose nothing, empty ones and
+    those with a null text among them, are untouched.
     """
     others = [c for c in docs.columns if c != "text"]
     carry = F.struct(F.col("text").isNull().alias("text"), *(F.col(f"`{c}`") for c in others))
-    result = _judged(docs, min_words, "doc_id", "text", carry)
-    left = result.filter((F.col("n_dropped") == 0) | (F.octet_length("text") > F.lit(1 - gone) * F.col("bytes")))
+    result = _judged(docs, min_words, "doc_id", "text", carry, short=gone is None)
+    enough = F.col("own") if gone is None else F.octet_length("text") > F.lit(1 - gone) * F.col("bytes")
+    left = result.filter((F.col("n_dropped") == 0) | enough)
     columns = {c: F.col(f"carry.`{c}`") for c in docs.columns}
     columns["text"] = F.when(~columns["text"], F.col("text"))
     if "n_chars" in columns:

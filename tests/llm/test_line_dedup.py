@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stopgrid.llm import line_dedup
 from stopgrid.llm.bitmaps import bitmap, may_match
 
@@ -109,6 +110,22 @@ def test_documents_that_go(make_docs, clash):
     assert sorted((r["doc_id"], r["text"], r["lines"], r["carry"]) for r in out.collect()) == [(1, a, "l", "c"), (2, b, "l", "c")]
 
 
+def test_documents_with_own_text_stay(make_docs, spark):
+    """The pipeline's stage: however much is shared, a document with a line of its own stays."""
+    rng = random.Random(8)
+    notice, own = "\n".join(made(rng, 20) for _ in range(34)), "\n".join(made(rng, 20) for _ in range(6))
+    rows = [
+        (1, notice), (2, f"{notice}\n{own}"), (3, f"{notice}\n\n  "), (4, f"{notice}\nown end"), (5, f"{notice}\nOwn  end\n"),
+        (6, "own end"), (7, None), (8, ""), (9, f"{notice}\n{own}"), (9, f"{notice}\n{own}"), (10, f"{notice}\nnew end"),
+        (10, f"{notice}\nnew end"), (None, f"{notice}\nlast end"), (11, f"last end\n{notice}"),
+    ]
+    assert 0.8 < len(notice) / len(f"{notice}\n{own}") < 0.9
+    left = corpus_pipeline.without_repeated_lines(spark, make_docs(rows), "").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in left), key=str) == sorted(
+        [(None, rows[12][1]), (2, own), (4, "own end"), (6, "own end"), (7, None), (8, ""), (10, "new end"), (10, "new end")], key=str
+    )
+
+
 def test_empty_table(make_docs):
     assert found(make_docs([])) == []
     assert line_dedup.keep_new_lines(make_docs([])).count() == 0
