@@ -1,8 +1,9 @@
 """Lines that repeat an earlier one but for at most one word are removed.
 
 A line is compared by its words, in lower case. Lines of fewer than `min_words` words
-are left alone. Equal lines meet by hash, and the earliest (by document id, then line)
-stays. Two lines within one edit share their first words or their last ones, up to half
+are compared with equal ones only, if they have `min_chars` characters, else left alone.
+Equal lines meet by hash, and the earliest (by document id, then line)
+stays. Two longer lines within one edit share their first words or their last ones, up to half
 of the line, whichever the edit is not in; so of the distinct lines those that share
 neither with another of their length, or of one word more or less, are done. The others
 emit their deletion neighbourhood, the hash of the line without each of its words, on
@@ -24,6 +25,8 @@ from stopgrid.llm.common import text_of
 from stopgrid.session import stored
 
 MIN_WORDS = 8
+#: A line of fewer words goes as well if it equals an earlier one and has so many characters.
+MIN_CHARS = 40
 #: A document that loses this share of its text goes as a whole, if asked for.
 GONE = 0.8
 
@@ -50,6 +53,12 @@ def n_words(line: Column) -> Column:
     return F.when(bare == "", 0).otherwise(blanks + 1)
 
 
+def compared(line: Column, min_words: int, min_chars: int | None) -> Column:
+    """Whether a line in normal form is long enough to go if an earlier one equals it."""
+    wordy = n_words(line) >= min_words
+    return wordy if min_chars is None else wordy | (F.char_length(F.trim(line)) >= min_chars)
+
+
 def _lines(keyed: DataFrame) -> DataFrame:
     """The lines in normal form."""
     lines = keyed.select("id", *_ROW, F.posexplode(F.split(normal(F.col("text")), "\n", -1)).alias("no", "line"))
@@ -70,24 +79,28 @@ def _ends(level: str) -> list[Column]:
     ]
 
 
-def _distinct_lines(keyed: DataFrame, min_words: int, short: bool) -> DataFrame:
-    """(h1, h2, first, n, ends): each distinct line with its earliest place.
+def _distinct_lines(keyed: DataFrame, min_words: int, min_chars: int | None, short: bool) -> DataFrame:
+    """(h1, h2, first, n, ends): each distinct line that is compared with its earliest place.
 
-    With `short` those that are not compared come too, blank ones aside.
+    With `short` the others come too, blank ones aside, and a column `judged` tells them apart.
     """
     lines = _lines(keyed).withColumn("n", n_words(F.col("line")))
     ends = _ends("n") + _ends("(n - 1)")
+    judged = compared(F.col("line"), min_words, min_chars)
     if short:
+        lines = lines.withColumn("judged", judged)
+    if short or min_chars is not None:
         ends = [F.when(F.col("n") >= min_words, end) for end in ends]
     return stored(
-        lines.filter(F.col("n") >= (1 if short else min_words))
+        lines.filter(F.col("n") >= 1 if short else judged)
         .select(
             F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
-            F.struct("id", "no", *_ROW).alias("place"), "n",
+            F.struct("id", "no", *_ROW).alias("place"), "n", *(["judged"] if short else []),
             *(k.alias(f"k{i}") for i, k in enumerate(ends)),
         )
         .groupBy("h1", "h2")
-        .agg(F.min("place").alias("first"), F.first("n").alias("n"), F.array(*(F.first(f"k{i}") for i in range(4))).alias("ends")),
+        .agg(F.min("place").alias("first"), F.first("n").alias("n"), F.array(*(F.first(f"k{i}") for i in range(4))).alias("ends"),
+             *([F.first("judged").alias("judged")] if short else [])),
         "lines",
     )
 
@@ -207,29 +220,30 @@ def _near(candidates: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(candidates.join(verified.select("ord").distinct(), "ord", "left_semi").select("h1", "h2"), "near-lines")
 
 
-def _kept_lines(keyed: DataFrame, min_words: int, short: bool) -> DataFrame:
+def _kept_lines(keyed: DataFrame, min_words: int, min_chars: int | None, short: bool) -> DataFrame:
     """(r1, r2, kept): per document the numbers of its compared lines that stay.
 
     Only documents with such a line are there; with `short` also those with another
     line that is not blank and equals no earlier one.
     """
-    lines = _distinct_lines(keyed, min_words, short)
+    lines = _distinct_lines(keyed, min_words, min_chars, short)
     candidates = _candidates(lines, min_words)
     near = _near(candidates, _texts(keyed, candidates))
-    stay = lines.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left_anti").select("first.*", "n")
-    no = F.when(F.col("n") >= min_words, F.col("no"))
+    told = ["judged"] if short else []
+    stay = lines.select("h1", "h2", "first", *told).join(near, ["h1", "h2"], "left_anti").select("first.*", *told)
+    no = F.when(F.col("judged"), F.col("no")) if short else F.col("no")
     return stored(stay.groupBy(*_ROW).agg(F.collect_set(no).alias("kept")), "kept-lines")
 
 
 def _judged(
-    docs: DataFrame, min_words: int, id_col: str, text_col: str, carry: Column, short: bool = False
+    docs: DataFrame, min_words: int, min_chars: int | None, id_col: str, text_col: str, carry: Column, short: bool = False
 ) -> DataFrame:
     """(id, carry, bytes, n_lines, n_dropped, own, text) per row of `docs`: its lines that stay.
 
     `own` says whether one of them is the earliest of its kind, with `short` among all that are not blank.
     """
     keyed = _keyed(docs, id_col, text_col, carry)
-    kept = _kept_lines(keyed.drop("carry"), min_words, short)
+    kept = _kept_lines(keyed.drop("carry"), min_words, min_chars, short)
     # the texts are not sorted for this join; the numbers of a partition's lines fit into memory
     lines = keyed.join(kept.hint("shuffle_hash"), [*_ROW], "left").select(
         "id", "carry", F.octet_length("text").alias("bytes"), F.split("text", "\n", -1).alias("lines"),
@@ -237,7 +251,7 @@ def _judged(
     )
 
     def stays(line: Column, i: Column) -> Column:
-        return F.array_contains("kept", i) | (n_words(normal(line)) < min_words)
+        return F.array_contains("kept", i) | ~compared(normal(line), min_words, min_chars)
 
     told = lines.select("id", "carry", "bytes", "own", F.size("lines").alias("n"), F.filter("lines", stays).alias("stay"))
     return told.select(
@@ -250,22 +264,26 @@ def _judged(
 
 
 def dedup_lines(
-    docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
+    min_chars: int | None = MIN_CHARS,
+) -> DataFrame:
     """(id, n_lines, n_dropped, text): one row per row of `docs`.
 
     A line goes if an earlier one, by document id and then line number, equals it or
-    is within one word of it, whether or not that one stays itself. Null ids come
-    first; null texts count as empty, and an empty text is one empty line. Rows with
+    is within one word of it, whether or not that one stays itself. Lines of fewer
+    than `min_words` words go only if they equal one and have `min_chars` characters;
+    with None for these they all stay. Null ids come first; null texts count as empty, and an empty text is one empty line. Rows with
     the same id and text are one and the same document: their lines do not count as
     repeats of each other, and all the rows come back alike. Rows with the same id
     and different texts go by line number, then by a hash. Other columns are ignored;
     an empty table gives none.
     """
-    return _judged(docs, min_words, id_col, text_col, F.lit(None)).drop("carry", "bytes", "own")
+    return _judged(docs, min_words, min_chars, id_col, text_col, F.lit(None)).drop("carry", "bytes", "own")
 
 
-def keep_new_lines(docs: DataFrame, min_words: int = MIN_WORDS, gone: float | None = GONE) -> DataFrame:
+def keep_new_lines(
+    docs: DataFrame, min_words: int = MIN_WORDS, gone: float | None = GONE, min_chars: int | None = MIN_CHARS
+) -> DataFrame:
     """`docs` with only the lines that stay, and without documents that lost `gone` of their text.
 
     With None for `gone` a document goes only if it lost lines and has none of its own
@@ -275,7 +293,7 @@ def keep_new_lines(docs: DataFrame, min_words: int = MIN_WORDS, gone: float | No
     """
     others = [c for c in docs.columns if c != "text"]
     carry = F.struct(F.col("text").isNull().alias("text"), *(F.col(f"`{c}`") for c in others))
-    result = _judged(docs, min_words, "doc_id", "text", carry, short=gone is None)
+    result = _judged(docs, min_words, min_chars, "doc_id", "text", carry, short=gone is None)
     enough = F.col("own") if gone is None else F.octet_length("text") > F.lit(1 - gone) * F.col("bytes")
     left = result.filter((F.col("n_dropped") == 0) | enough)
     columns = {c: F.col(f"carry.`{c}`") for c in docs.columns}

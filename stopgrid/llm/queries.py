@@ -225,7 +225,8 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    # the SQL knows lines of eight words or more alone
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_chars=None)
     return found.select(
         F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256")
     )

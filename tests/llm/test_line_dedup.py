@@ -126,6 +126,22 @@ def test_documents_with_own_text_stay(make_docs, spark):
     )
 
 
+def test_lines_of_few_words_that_are_long(make_docs, spark):
+    """Equal ones go by their characters, near ones stay; the word floor alone leaves them all."""
+    chinese, token, few = "\u6587" * 10_000, "QUJD" * 20, "seven words of a rather long footnote"
+    assert len(few) < 40 <= len(f"{few} here") and len(f"{few} here".split()) == 8
+    few = f"{few}{'s' * 5}"
+    rows = [
+        (1, f"{chinese}\n{token}\n{few}\nshort"), (2, f"{chinese}\nshort\nown"), (3, f"  {token} \nother"),
+        (4, f"{few.upper()}\n{few.replace('seven', 'eight')}"), (5, f"{token}\n{'x' * 39}\n{'x' * 39}\n{'y' * 40}\n{'y' * 40}"),
+    ]
+    left = {1: rows[0][1], 2: "short\nown", 3: "other", 4: few.replace("seven", "eight"), 5: f"{'x' * 39}\n{'x' * 39}\n{'y' * 40}"}
+    assert {r[0]: r[3] for r in found(make_docs(rows))} == left
+    staged = corpus_pipeline.without_repeated_lines(spark, make_docs(rows), "").collect()
+    assert {r["doc_id"]: r["text"] for r in staged} == left
+    assert found(make_docs(rows), min_chars=None) == plain(rows)
+
+
 def test_empty_table(make_docs):
     assert found(make_docs([])) == []
     assert line_dedup.keep_new_lines(make_docs([])).count() == 0
