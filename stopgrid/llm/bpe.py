@@ -13,6 +13,7 @@ Each symbol is one character here, so tokens are plain strings.
 from __future__ import annotations
 
 import array
+import functools
 import hashlib
 import heapq
 import json
@@ -20,6 +21,7 @@ import os
 import re
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import ahocorasick
 import numpy as np
@@ -32,9 +34,14 @@ from stopgrid.llm.common import small_batches
 #: Added to a character's code where the word ends with it.
 END = 0x10000
 NEVER = 1 << 60
-CACHED_WORDS = 700_000
+#: Two token ids in one number: the left one is moved up by so many bits.
+PAIR_BITS = 24
+#: Words whose ids are kept, in two halves: when the newer is full it becomes the older, and words still in use move on.
+CACHED_WORDS = 300_000
 CACHED_CHARS = 64
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 400_000
+#: Ids that a worker holds before it passes rows on.
+IDS_AT_ONCE = 1_000_000
 #: Characters whose lower case, composition and classes are the same everywhere.
 COMMON = re.compile(r"[\t\n\r\x20-\x7eÀ-ÿ]*")
 #: Fixed value: how the vocabulary's library splits lower-case text, for those characters.
@@ -51,8 +58,8 @@ def byte_characters() -> dict[int, str]:
 class WordBpe:
     """Encoder and decoder for a tokenizer file with the `</w>` word end.
 
-    A task makes its own, in about two seconds, and frees it, tables and caches, when
-    it ends: Python workers outlive the tasks and would hold the memory.
+    The tables take about two seconds and some 40 MB. They are made once in a Python
+    worker (`coder`); a task begins with empty caches and leaves them empty.
     """
 
     def __init__(self, path: str):
@@ -68,17 +75,24 @@ class WordBpe:
         self.last = [chr(ord(characters[b]) + (END if self.suffix else 0)) for b in range(256)]
         vocabulary = spec["model"]["vocab"]
         self.id_of = {self._symbols(t): i for t, i in vocabulary.items()}
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[int, int] = {}
+        self.made_by: list[int] = []
         for k, pair in enumerate(spec["model"]["merges"]):
             left, right = (self._symbols(t) for t in (pair if isinstance(pair, list) else pair.split(" ")))
-            self.rank[self.id_of[left], self.id_of[right]] = (k, self.id_of[left + right])
+            self.rank[self.id_of[left] << PAIR_BITS | self.id_of[right]] = k
+            self.made_by.append(self.id_of[left + right])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ordered = sorted(self.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, ordered)) + ")") if ordered else None
         self._learn_tokens()
         self._offsets({i: t for t, i in vocabulary.items()} | {i: t for t, i in self.added.items()})
+        self.forget()
+
+    def forget(self) -> None:
+        """Empties the caches."""
         self.words: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.older: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
 
     def _symbols(self, token: str) -> str:
         if self.suffix and token.endswith(self.suffix) and len(token) > len(self.suffix):
@@ -92,51 +106,51 @@ class WordBpe:
         after = list(range(1, len(ids))) + [-1]
         before = list(range(-1, len(ids) - 1))
         made: dict[int, tuple[int, int, int]] = {}
-        heap = [(self.rank[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.rank]
+        pairs = [a << PAIR_BITS | b for a, b in zip(ids, ids[1:])]
+        heap = [(self.rank[p], i, p) for i, p in enumerate(pairs) if p in self.rank]
         heapq.heapify(heap)
         while heap:
             rank, i, pair = heapq.heappop(heap)
             j = after[i]
-            if ids[i] != pair[0] or j < 0 or ids[j] != pair[1]:
+            left, right = pair >> PAIR_BITS, pair & ((1 << PAIR_BITS) - 1)
+            if ids[i] != left or j < 0 or ids[j] != right:
                 continue
-            ids[i], ids[j] = self.rank[pair][1], -1
-            made[ids[i]] = (*pair, rank)
+            ids[i], ids[j] = self.made_by[rank], -1
+            made[ids[i]] = (left, right, rank)
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (next_ := (ids[a], ids[b])) in self.rank:
-                    heapq.heappush(heap, (self.rank[next_][0], a, next_))
+                if a >= 0 and b >= 0 and (next_ := ids[a] << PAIR_BITS | ids[b]) in self.rank:
+                    heapq.heappush(heap, (self.rank[next_], a, next_))
         return [t for t in ids if t >= 0], made
 
     def _learn_tokens(self) -> None:
-        """Of each token that merging yields: its spines, its longest shorter prefix, and the automaton."""
-        self.length: dict[int, int] = {}
-        self.spine: dict[int, tuple[list[tuple[int, int]], list[tuple[int, int]]]] = {}
-        text_of: dict[int, str] = {}
+        """Of each token that merging yields: its length, the merge that makes it, its longest shorter prefix."""
+        size = max(self.id_of.values()) + 1
+        self.length = [0] * size
+        self.left, self.right, self.taken = (array.array("q", [-1]) * size for _ in range(3))
+        known: dict[str, int] = {}
         for text, token in self.id_of.items():
             ids, made = self.merge(text) if all(c in self.id_of for c in text) else ([], {})
             if ids == [token]:
-                text_of[token] = text
+                known[text] = token
                 self.length[token] = len(text)
-                self.spine[token] = tuple(self._spine(token, made, side) for side in (1, 0))
+                if token in made:
+                    self.left[token], self.right[token], self.taken[token] = made[token]
         self.automaton = ahocorasick.Automaton()
-        for token, text in text_of.items():
+        self.shorter = array.array("q", [-1]) * size
+        for text, token in known.items():
             self.automaton.add_word(text, (token, len(text) - 1))
+            self.shorter[token] = next((known[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in known), -1)
         self.automaton.make_automaton()
-        known = {t: i for i, t in text_of.items()}
-        self.shorter = {
-            i: next((known[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in known), -1)
-            for i, t in text_of.items()
-        }
-
-    @staticmethod
-    def _spine(token: int, made: dict, side: int) -> list[tuple[int, int]]:
+
+    def _edge(self, token: int, child: array.array) -> list[tuple[int, int]]:
         """(node, rank of the merge that takes it up) from the outermost symbol up to the token."""
         found = [(token, NEVER)]
-        while found[-1][0] in made:
-            left, right, rank = made[found[-1][0]]
-            found.append((right if side else left, rank))
+        while (below := child[token]) >= 0:
+            found.append((below, self.taken[token]))
+            token = below
         return found[::-1]
 
     def compatible(self, first: int, second: int) -> bool:
@@ -146,14 +160,15 @@ class WordBpe:
         their merges, looking for a merge over the border that would come before the
         next one on either side. Of equal ranks the one further left comes first.
         """
-        right, left = self.spine[first][0], self.spine[second][1]
+        right, left = self._edge(first, self.right), self._edge(second, self.left)
+        rank = self.rank
         i = j = 0
         fits = True
         while True:
             x, x_taken = right[i]
             y, y_taken = left[j]
-            over = self.rank.get((x, y))
-            if over is not None and over[0] < x_taken and over[0] <= y_taken:
+            over = rank.get(x << PAIR_BITS | y)
+            if over is not None and over < x_taken and over <= y_taken:
                 fits = False
                 break
             if x_taken == NEVER and y_taken == NEVER:
@@ -164,13 +179,13 @@ class WordBpe:
                 j += 1
         if len(self.pairs) >= CACHED_PAIRS:
             self.pairs.clear()
-        self.pairs[first, second] = fits
+        self.pairs[first << PAIR_BITS | second] = fits
         return fits
 
     def encode_symbols(self, symbols: str) -> list[int]:
         """The tokens of one word."""
         whole = self.id_of.get(symbols)
-        if whole is not None and whole in self.length:
+        if whole is not None and self.length[whole]:
             return [whole]
         n = len(symbols)
         longest = [-1] * n
@@ -183,7 +198,7 @@ class WordBpe:
         while at < n:
             end = at + length[token]
             if open_[end]:
-                fits = not tokens or pairs.get((tokens[-1], token))
+                fits = not tokens or pairs.get(tokens[-1] << PAIR_BITS | token)
                 if fits is None:
                     fits = self.compatible(tokens[-1], token)
                 if fits:
@@ -204,15 +219,17 @@ class WordBpe:
         """The ids of one pre-token of normalised text, as little-endian 32-bit integers."""
         found = self.words.get(word)
         if found is None:
-            raw = word.encode("utf-8")
-            symbols = raw[:-1].decode("latin-1").translate(self.characters) + self.last[raw[-1]]
-            ids = array.array("I", self.encode_symbols(symbols))
-            if sys.byteorder == "big":
-                ids.byteswap()
-            found = ids.tobytes()
+            found = self.older.get(word)
+            if found is None:
+                raw = word.encode("utf-8")
+                symbols = raw[:-1].decode("latin-1").translate(self.characters) + self.last[raw[-1]]
+                ids = array.array("I", self.encode_symbols(symbols))
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                found = ids.tobytes()
             if len(word) <= CACHED_CHARS:
-                if len(self.words) >= CACHED_WORDS:
-                    self.words.clear()
+                if len(self.words) >= CACHED_WORDS // 2:
+                    self.older, self.words = self.words, {}
                 self.words[word] = found
         return found
 
@@ -250,16 +267,31 @@ class WordBpe:
             yield piece[1:] if i == 0 else piece
 
 
+@functools.lru_cache(maxsize=1)
+def coder(path: str) -> WordBpe:
+    """The tables of a file, once per worker."""
+    return WordBpe(path)
+
+
+@contextmanager
+def _for_task(path: str) -> Iterator[WordBpe]:
+    bpe = coder(path)
+    try:
+        yield bpe
+    finally:
+        bpe.forget()
+
+
 def encode(text: Column, path: str) -> Column:
     """A text column's token ids as an array of integers; null counts as an empty text."""
     small_batches()
 
     @pandas_udf("array<int>")
     def of_texts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = WordBpe(path)
-        for batch in texts:
-            ids = [np.frombuffer(bpe.encode(t or ""), "<u4").astype(np.int32) for t in batch]
-            yield pd.Series(ids, dtype=object)
+        with _for_task(path) as bpe:
+            for batch in texts:
+                ids = [np.frombuffer(bpe.encode(t or ""), "<u4").astype(np.int32) for t in batch]
+                yield pd.Series(ids, dtype=object)
 
     return of_texts(text)
 
@@ -269,7 +301,7 @@ def decode(ids: Column, path: str) -> Column:
 
     @pandas_udf("string")
     def of_ids(arrays: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = WordBpe(path)
+        bpe = coder(path)
         for batch in arrays:
             yield pd.Series(
                 ["" if a is None else b"".join(bpe.decode(np.asarray(a))).decode("utf-8") for a in batch], dtype=object
@@ -289,18 +321,23 @@ def round_trip(text: Column, path: str, with_ids: bool = False) -> Column:
 
     @pandas_udf(fields + ", ids array<int>" if with_ids else fields)
     def of_texts(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = WordBpe(path)
-        for batch in texts:
-            rows = []
-            for t in batch:
-                raw = bpe.encode(t or "")
-                ids = np.frombuffer(raw, "<u4")
-                decoded = hashlib.sha256()
-                for piece in bpe.decode(ids):
-                    decoded.update(piece)
-                row = (len(ids), hashlib.sha256(raw).hexdigest(), decoded.hexdigest())
-                rows.append((*row, ids.astype(np.int32)) if with_ids else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
-            yield pd.DataFrame(rows, columns=names if with_ids else names[:3])
+        names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][: 4 if with_ids else 3]
+        with _for_task(path) as bpe:
+            for batch in texts:
+                rows, held = [], 0
+                for t in batch:
+                    raw = bpe.encode(t or "")
+                    ids = np.frombuffer(raw, "<u4")
+                    decoded = hashlib.sha256()
+                    for piece in bpe.decode(ids):
+                        decoded.update(piece)
+                    row = (len(ids), hashlib.sha256(raw).hexdigest(), decoded.hexdigest())
+                    rows.append((*row, ids.astype(np.int32)) if with_ids else row)
+                    held += len(ids) if with_ids else 0
+                    if held >= IDS_AT_ONCE:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
 
     return of_texts(text)

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 #: Rows that a Python worker gets at once at most, as texts may be long.
 BATCH_ROWS = 2000
+#: Bytes of a batch that holds more than one row.
+BATCH_BYTES = "8m"
 
 
 def small_batches() -> None:
-    """Lowers the session's limit of rows in an Arrow batch, for functions over whole texts."""
+    """Lowers the session's limits of an Arrow batch, for functions over whole texts."""
     spark, name = SparkSession.active(), "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def text_of(column: str = "text") -> Column:
