@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopgrid.llm import bpe, chat, decontaminate, exact_dedup, licenses, line_dedup, simhash, token_counts, toxicity, warc
+from stopgrid.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    exact_dedup,
+    lexical,
+    licenses,
+    line_dedup,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 from stopgrid.llm.common import text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -252,3 +264,35 @@ def dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+#: Fixed value: the terms of ranked search, for SQL.
+SQL_TERMS = rf"regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op13_lexical_search",
+    f"""
+    with d as (select doc_id, {SQL_TERMS} as w from documents),
+    b as (select item_id, {SQL_TERMS} as w from benchmark),
+    lens as (select doc_id, len(w) as n from d where len(w) > 0),
+    total as (select count(*) as n_docs, cast(sum(n) as bigint) as n_all from lens),
+    tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(w) as term from d) group by all),
+    df as (select term, count(*) as df from tf group by term),
+    asked as (select item_id, term, count(*) as repeats from (select item_id, unnest(w) as term from b) group by all),
+    scored as (
+        select item_id, doc_id, cast(sum(
+            repeats * cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / (2 * df + 1))) as bigint)
+            * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_all)))
+        ) as bigint) as score
+        from asked join df using (term) join tf using (term) join lens using (doc_id), total
+        group by item_id, doc_id
+    )
+    select item_id, cast(rank as int) as rank, doc_id, score from (
+        select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0
+    ) where rank <= 10
+    """,
+)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+    return found.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
