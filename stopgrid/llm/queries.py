@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopgrid.llm import (
@@ -15,6 +15,7 @@ from stopgrid.llm import (
     lexical,
     licenses,
     line_dedup,
+    periodic,
     simhash,
     token_counts,
     toxicity,
@@ -296,3 +297,86 @@ SQL_TERMS = rf"regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7
 def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lexical.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
     return found.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+#: Fixed value: CRC-32 of a number's decimal digits, for SQL.
+SQL_CRC32 = """
+    xor(4294967295::bigint, list_reduce(
+        list_concat([4294967295::bigint], list_transform(range(1, len(cast(doc_id as varchar)) + 1), lambda i: ascii(substr(cast(doc_id as varchar), i, 1))::bigint)),
+        lambda c, b: list_reduce(
+            list_concat([xor(c, b)], range(8)), lambda x, k: xor(x >> 1, 3988292384::bigint * (x & 1))
+        )
+    ))
+"""
+
+
+def _made_periodic(doc_id: Column, text: Column) -> Column:
+    """The text; of every tenth document, by a checksum of its id, a part of its words repeats to the end."""
+    blanks = F.translate(text, "\t\n\x0b\x0c\r", "     ")
+    words = F.filter(F.split(blanks, " ", -1), lambda w: w != "")
+    h = F.crc32(F.encode(doc_id.cast("string"), "UTF-8"))
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = F.pmod(g, n)
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+        places = F.sequence(F.lit(0).cast("long"), n - 1)
+        from_ = F.transform(places, lambda i: F.when(i >= a, a + F.pmod(i - a, p)).otherwise(i))
+        return F.array_join(F.transform(from_, lambda i: F.get(w, i.cast("int"))), " ")
+
+    return F.when((F.pmod(h, F.lit(10)) == 0) & (F.size(words) > 0), repeated(words)).otherwise(text)
+
+
+@query(
+    "op12_periodic_runs",
+    rf"""
+    with d as (
+        select doc_id, {SQL_CRC32} as h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+    ),
+    a as (select *, h // 10 as g, (h // 10) % greatest(len(w), 1) as a from d),
+    b as (select *, 1 + (len(w) - a) // (3 + g % 8) as p from a),
+    t as (
+        select doc_id, case when h % 10 = 0 and len(w) > 0
+            then list_transform(range(len(w)), lambda i: w[1 + case when i >= a then a + (i - a) % p else i end]) else w end as w
+        from b
+    ),
+    grams as (select doc_id, i, array_to_string(w[i + 1:i + 6], ' ') as gram from t, unnest(range(len(w) - 5)) u(i) where len(w) >= 12),
+    pairs as (select x.doc_id, x.i, y.i - x.i as q from grams x join grams y on x.doc_id = y.doc_id and x.gram = y.gram and y.i > x.i),
+    chains as (select *, i - row_number() over (partition by doc_id, q order by i) as chain from pairs),
+    stretches as (select doc_id, q, min(i) as start, count(*) + 5 + q as length from chains group by doc_id, q, chain),
+    runs as (
+        select doc_id, start, length, min(q) as period from stretches where length >= greatest(12, 2 * q) group by doc_id, start, length
+    ),
+    told as (
+        select doc_id, count(*) as n_runs, first(struct_pack(start, length, period) order by length desc, start, period) as longest,
+               string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as said
+        from runs group by doc_id
+    ),
+    gone as (select distinct doc_id, k from runs, unnest(range(start + period, start + length)) u(k)),
+    words as (select doc_id, k, w[k + 1] as word from t, unnest(range(len(w))) u(k)),
+    kept as (
+        select doc_id, string_agg(word, ' ' order by k) as collapsed
+        from words anti join gone using (doc_id, k) group by doc_id
+    )
+    select doc_id, coalesce(n_runs, 0) as n_runs, longest.start as start, longest.length as length, longest.period as period,
+           (1000 * longest.length) // longest.period as exponent_milli, sha256(coalesce(said, '')) as runs_sha256,
+           sha256(coalesce(collapsed, '')) as collapsed_sha256
+    from t left join told using (doc_id) left join kept using (doc_id)
+    """,
+)
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", periodic.periodic_runs(_made_periodic(F.col("doc_id"), text_of())).alias("found"))
+    runs = F.col("found.runs")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"])))
+    said = F.transform(runs, lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), longest.alias("longest"),
+        F.sha2(F.encode(F.array_join(said, ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("found.collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", (-F.col("longest.col2")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.col3")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.col3")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
