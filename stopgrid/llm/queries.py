@@ -310,22 +310,19 @@ SQL_CRC32 = """
 """
 
 
-def _made_periodic(doc_id: Column, text: Column) -> Column:
-    """The text; of every tenth document, by a checksum of its id, a part of its words repeats to the end."""
-    blanks = F.translate(text, "\t\n\x0b\x0c\r", "     ")
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """(doc_id, text); of every tenth document, by a checksum of its id, a part of its words repeats to the end."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    blanks = F.translate(text_of(), "\t\n\x0b\x0c\r", "     ")
     words = F.filter(F.split(blanks, " ", -1), lambda w: w != "")
-    h = F.crc32(F.encode(doc_id.cast("string"), "UTF-8"))
-    g = F.floor(h / 10)
-
-    def repeated(w: Column) -> Column:
-        n = F.size(w).cast("long")
-        a = F.pmod(g, n)
-        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
-        places = F.sequence(F.lit(0).cast("long"), n - 1)
-        from_ = F.transform(places, lambda i: F.when(i >= a, a + F.pmod(i - a, p)).otherwise(i))
-        return F.array_join(F.transform(from_, lambda i: F.get(w, i.cast("int"))), " ")
-
-    return F.when((F.pmod(h, F.lit(10)) == 0) & (F.size(words) > 0), repeated(words)).otherwise(text)
+    split = docs.select("doc_id", text_of().alias("text"), F.floor(h / 10).alias("g"), F.when(F.pmod(h, F.lit(10)) == 0, words).alias("w"))
+    n = F.size("w").cast("long")
+    a = F.pmod(F.col("g"), n)
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(F.col("g"), F.lit(8))))
+    piece = F.slice("w", (a + 1).cast("int"), p.cast("int"))
+    tail = F.flatten(F.array_repeat(piece, F.ceil((n - a) / p).cast("int")))
+    made = F.concat(F.slice("w", F.lit(1), a.cast("int")), F.slice(tail, F.lit(1), (n - a).cast("int")))
+    return split.select("doc_id", F.when(F.size("w") > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
 
 
 @query(
@@ -366,8 +363,8 @@ def _made_periodic(doc_id: Column, text: Column) -> Column:
     """,
 )
 def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    found = docs.select("doc_id", periodic.periodic_runs(_made_periodic(F.col("doc_id"), text_of())).alias("found"))
+    docs = _made_periodic(table(spark, sf_dir, "documents"))
+    found = docs.select("doc_id", periodic.periodic_runs(F.col("text")).alias("found"))
     runs = F.col("found.runs")
     longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"])))
     said = F.transform(runs, lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
