@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from stopgrid.llm import (
     lexical,
     licenses,
     line_dedup,
+    mixing,
     periodic,
     simhash,
     token_counts,
@@ -267,6 +269,18 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+@query("op11_context_mixing")
+def context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(7)) == 2
+    found = mixing.score(docs, mixing.fit(docs, held_out), held_out)
+    return found.select(
+        F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score",
+        (F.col("bits") * F.lit(-math.log10(2))).alias("score"), "n_bytes",
+        (F.col("bits") / F.nullif(F.col("n_bytes"), F.lit(0))).alias("bits_per_byte"),
+    )
+
+
 #: Fixed value: the terms of ranked search, for SQL.
 SQL_TERMS = rf"regexp_extract_all({SQL_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
