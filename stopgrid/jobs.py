@@ -7,20 +7,23 @@ arguments narrow it to a month, a route or some dates.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
 from stopgrid.operators import demand, features, merge, moves, reshape, serving, trips
-from stopgrid.session import releasing, stored
+from stopgrid.session import releasing, remove_path, stored
 from stopgrid.sources import files, xml
 
-# One folder per date; within it files are sorted by route, so that a route is
-# found by the files' statistics instead of a folder of a few kilobytes.
-FACT_PARTITIONS = ["date"]
+# One folder per date and, in the fact table, run; within it files are sorted by route, so
+# that a route is found by the files' statistics instead of a folder of a few kilobytes.
+FACT_PARTITIONS = ["date", "run_id"]
+DATE_PARTITIONS = ["date"]
 FACT_ORDER = ["route_no", "hour", "stop_seq", "stop_id"]
 TRIP_ORDER = ["route_no", "bus_id", "stop_seq"]
 
@@ -111,20 +114,30 @@ def _on_dates(rows: DataFrame, dates: Iterable[dt.date] | None) -> DataFrame:
 
 
 def page_stop_days(
-    spark: SparkSession, pages: str, route_map: DataFrame, dates: Iterable[dt.date] | None = None
+    spark: SparkSession, pages: str, route_map: DataFrame | None = None, dates: Iterable[dt.date] | None = None
 ) -> DataFrame:
-    """Stop days of landed operations pages."""
+    """Stop days of landed operations pages; without a map a route's number is its id."""
     rows = xml.ops_rows(xml.read_pages(spark, pages, S.OPS_SERVICE))
-    one = route_map.groupBy("rte_id").agg(F.min("route_no").alias("route_no"))
-    mapped = rows.join(one, "rte_id")
+    if route_map is None:
+        mapped = rows.withColumn("route_no", F.col("rte_id"))
+    else:
+        mapped = rows.join(route_map.groupBy("rte_id").agg(F.min("route_no").alias("route_no")), "rte_id")
     dated = _on_dates(mapped.withColumn("date", C.parse_date("date")), dates)
     return demand.stop_days_from_wide(dated, {h: f"ops_{h:02d}" for h in range(24)})
 
 
-def incomplete_dates(pages: DataFrame, date_tag: str, route_tag: str) -> DataFrame:
-    """Dates of which a page failed, is missing or came empty."""
+def incomplete_input(pages: DataFrame, date_tag: str, route_tag: str | None = None) -> DataFrame:
+    """(date, route_no) of which rows that were announced did not land.
+
+    A null route stands for all routes of the date. A null date is that of a failed page
+    that cannot be told; `build_fact` takes no input with such a page.
+    """
     state = xml.page_completeness(pages, date_tag, route_tag)
-    return state.where("complete = 0").select(C.parse_date("date").alias("date")).dropna().distinct()
+    return state.where("complete = 0").select(C.parse_date("date").alias("date"), "route_no").distinct()
+
+
+class IncompleteInput(ValueError):
+    """Input pages failed and nothing says of which date they were."""
 
 
 def link_sources(links: Sequence[DataFrame]) -> DataFrame:
@@ -147,66 +160,148 @@ def build_fact(
     links: Sequence[DataFrame],
     dates: Iterable[dt.date] | None = None,
     incomplete: DataFrame | None = None,
-) -> None:
+    quarantine: str | None = None,
+) -> str:
     """Build the fact table for the dates not built yet and note each in the ledger.
 
     `days` and `links` list sources in order of preference: a date and route, or a
     route's links, come whole from the first source that has them. `incomplete` has
-    the dates that must not be built, as their input is. A date is noted as OK with
-    the rows written by this run, NO_DATA, ERROR, or SKIPPED_SAME_DATE if it was
-    asked for and is done.
+    the (date, route_no) that must not be built, as their input is; they keep the rows
+    they had. A date is noted as OK with the rows written by this run, NO_DATA, ERROR
+    where a route was refused, or SKIPPED_SAME_DATE if it was asked for and is done.
+
+    Rows go into folders of this run, whose id is returned. They count only once the
+    ledger names the run, so `read_fact` never sees half a run, nor the rows of one that
+    failed before it was noted. Rows whose key is null or repeated go to the table
+    `quarantine`, if one is given, with the reason; else they fail the job.
     """
+    run = uuid.uuid4().hex
     with releasing(spark):
         ops = merge.prefer(list(days), ["date", "route_no"])
         asked = (
             spark.createDataFrame([(d,) for d in dates], "target_date date")
             if dates is not None
-            else ops.select(F.col("date").alias("target_date")).distinct()
+            else ops.select(F.col("date").alias("target_date")).where("target_date is not null").distinct()
         ).withColumn("job_name", F.lit(S.FACT_JOB))
         asked = stored(asked, "fact-asked")
         wanted = asked
         if merge.path_exists(spark, ledger):
-            wanted = merge.ledger_pending_dates(asked, spark.read.schema(S.RUN_LEDGER).parquet(ledger))
+            wanted = merge.ledger_pending_dates(asked, read_ledger(spark, ledger))
         wanted = stored(wanted, "fact-dates")
-        refused = spark.createDataFrame([], "target_date date")
-        if incomplete is not None:
-            refused = wanted.join(incomplete.select(F.col("date").alias("target_date")).distinct(), "target_date", "left_semi")
-        refused = stored(refused.select("target_date"), "fact-refused")
-        built = wanted.join(refused, "target_date", "left_anti").select(F.col("target_date").alias("date"))
-        ops = ops.join(built, "date", "left_semi")
-        fact = demand.daily_stop_hour(ops, daily, monthly, link_sources(links))
-        merge.write_partitions(fact, out, FACT_PARTITIONS, FACT_ORDER)
-        # what lies in the folder of a date without input is from an earlier run
-        fresh = stored(ops.select("date").distinct(), "fact-built")
-        counts = merge.only_partitions(read_fact(spark, out), fresh, ["date"]).groupBy(
-            F.col("date").alias("target_date")
-        ).agg(F.count("*").alias("rows"))
-        tried = wanted.join(counts, "target_date", "left").join(
-            refused.withColumn("refused", F.lit(True)), "target_date", "left"
-        )
+        refused = _refused(spark, wanted, incomplete)
+        ops = ops.join(wanted.select(F.col("target_date").alias("date")), "date", "left_semi")
+        ops = _without_routes(ops, refused)
+        good, bad = merge.split_by_key(ops, demand.DAY_KEYS, demand.hours_clash())
+        if quarantine is not None:
+            bad.withColumn("run_id", F.lit(run)).write.mode("append").parquet(quarantine)
+        elif (first := bad.select(*demand.DAY_KEYS, "reason").first()) is not None:
+            raise ValueError(f"rows with a null or repeated key, such as {tuple(first)}")
+        rows = spark.createDataFrame([], "target_date date, rows bigint")
+        if not good.isEmpty():
+            fact = demand.daily_stop_hour(good, daily, monthly, link_sources(links))
+            if merge.path_exists(spark, out) and merge.path_exists(spark, ledger):
+                # a refused route keeps its rows where other routes of its date are built
+                before = read_fact(spark, out, ledger).join(good.select("date").distinct(), "date", "left_semi")
+                fact = fact.unionByName(_only_routes(before, refused).select(*fact.columns))
+            rows = _written(fact, out, run, [row[0] for row in wanted.select("target_date").collect()])
+        tried = wanted.join(rows, "target_date", "left").join(_said(refused), "target_date", "left")
+        built_some = F.col("rows") > 0
+        told = F.concat(F.lit("rows="), F.coalesce(F.col("rows"), F.lit(0)).cast("string"))
         results = tried.select(
             "job_name",
             "target_date",
-            F.when(F.col("refused"), F.lit("ERROR"))
-            .when(F.col("rows") > 0, F.lit("OK"))
+            F.when(F.col("refused").isNotNull(), F.lit("ERROR"))
+            .when(built_some, F.lit("OK"))
             .otherwise(F.lit("NO_DATA"))
             .alias("status"),
-            F.when(F.col("refused"), F.lit("input is incomplete"))
-            .otherwise(F.concat(F.lit("rows="), F.coalesce(F.col("rows"), F.lit(0)).cast("string")))
+            F.when(F.col("refused").isNotNull(), F.concat(F.lit("input is incomplete: "), "refused", F.lit("; "), told))
+            .otherwise(told)
             .alias("message"),
+            F.when(built_some, F.lit(run)).alias("run_id"),
         )
         if dates is not None:
             done = asked.join(wanted, ["job_name", "target_date"], "left_anti")
             results = results.unionByName(
                 done.select(
-                    "job_name", "target_date", F.lit("SKIPPED_SAME_DATE").alias("status"), F.lit("already built").alias("message")
+                    "job_name", "target_date", F.lit("SKIPPED_SAME_DATE").alias("status"), F.lit("already built").alias("message"),
+                    F.lit(None).cast("string").alias("run_id"),
                 )
-            )
+            )
         merge.append_ledger(merge.ledger_entries(results), ledger)
+    return run
+
+
+def _written(fact: DataFrame, out: str, run: str, dates: list[dt.date]) -> DataFrame:
+    """Write the rows of a run; (target_date, rows) as counted on their way to the files."""
+    seen = Observation(f"fact {run}")
+    counts = [F.count_if(F.col("date") == F.lit(d)).alias(str(d)) for d in dates]
+    counted = fact.observe(seen, *counts)
+    merge.append_partitions(counted.withColumn("run_id", F.lit(run)), out, FACT_PARTITIONS, FACT_ORDER)
+    return fact.sparkSession.createDataFrame([(d, seen.get[str(d)]) for d in dates], "target_date date, rows bigint")
+
+
+def _refused(spark: SparkSession, wanted: DataFrame, incomplete: DataFrame | None) -> DataFrame:
+    """The incomplete (date, route_no) among the wanted dates."""
+    if incomplete is None:
+        return spark.createDataFrame([], "date date, route_no string")
+    whole = incomplete if "route_no" in incomplete.columns else incomplete.withColumn("route_no", F.lit(None).cast("string"))
+    known = stored(whole.select("date", "route_no").distinct(), "fact-incomplete")
+    if not known.where("date is null").isEmpty():
+        raise IncompleteInput("a page failed and neither its rows nor its name tell its date")
+    return known.join(wanted.select(F.col("target_date").alias("date")), "date", "left_semi")
+
+
+def _route_among(rows: DataFrame, routes: DataFrame, how: str) -> DataFrame:
+    """Rows joined on their date and route; a null route among `routes` stands for all."""
+    here, there = rows.alias("here"), routes.alias("there")
+    same = (F.col("here.date") == F.col("there.date")) & (
+        F.col("there.route_no").isNull() | (F.col("here.route_no") == F.col("there.route_no"))
+    )
+    return here.join(there, same, how)
+
+
+def _without_routes(rows: DataFrame, routes: DataFrame) -> DataFrame:
+    return _route_among(rows, routes, "left_anti")
+
 
+def _only_routes(rows: DataFrame, routes: DataFrame) -> DataFrame:
+    return _route_among(rows, routes, "left_semi")
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return files.read_partitioned(spark, path, S.DAILY_STOP_HOUR)
+
+def _said(refused: DataFrame) -> DataFrame:
+    """Per date the refused routes as a text."""
+    route = F.coalesce("route_no", F.lit("all routes"))
+    return refused.groupBy(F.col("date").alias("target_date")).agg(
+        F.array_join(F.sort_array(F.collect_set(route)), ", ").alias("refused")
+    )
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(S.RUN_LEDGER).parquet(path)
+
+
+def read_fact(spark: SparkSession, path: str, ledger: str) -> DataFrame:
+    """The fact table as the ledger closed it: of each date the rows of the last run noted for it.
+
+    Dates and runs are partitions, so folders of other runs are not read.
+    """
+    stored_runs = T.StructType([*S.DAILY_STOP_HOUR.fields, T.StructField("run_id", T.StringType())])
+    current = merge.ledger_runs(read_ledger(spark, ledger), S.FACT_JOB)
+    rows = files.read_partitioned(spark, path, stored_runs)
+    return rows.join(current, ["date", "run_id"], "left_semi").select(*S.DAILY_STOP_HOUR.fieldNames())
+
+
+def vacuum_fact(spark: SparkSession, path: str, ledger: str) -> int:
+    """Remove the folders of runs that were replaced or never noted; how many went.
+
+    Not while another run is being written, and not under a reader of an older state.
+    """
+    current = {(r["date"], r["run_id"]) for r in merge.ledger_runs(read_ledger(spark, ledger), S.FACT_JOB).collect()}
+    listed = spark.read.schema("date date, run_id string").parquet(path).select("date", "run_id").distinct().collect()
+    stale = [r for r in listed if (r["date"], r["run_id"]) not in current]
+    for r in stale:
+        remove_path(spark, f"{path.rstrip('/')}/date={r['date']}/run_id={r['run_id']}")
+    return len(stale)
 
 
 def export_fact(fact: DataFrame, path: str) -> None:
@@ -268,9 +363,9 @@ def build_schedule(
         predictions = serving.date_range(predictions, first, last)
     demand_rows = trips.demand_totals(predictions, ["pred_board"], ["pred_alight"])
     timetable = trips.schedule_table(trips.schedule(predictions, links))
-    merge.write_partitions(timetable, schedule_out, FACT_PARTITIONS, TRIP_ORDER)
+    merge.write_partitions(timetable, schedule_out, DATE_PARTITIONS, TRIP_ORDER)
     loads = trips.allocation_table(trips.allocation(predictions, demand_rows, links))
-    merge.write_partitions(loads, allocation_out, FACT_PARTITIONS, TRIP_ORDER)
+    merge.write_partitions(loads, allocation_out, DATE_PARTITIONS, TRIP_ORDER)
 
 
 def plan_from_predictions(predictions: DataFrame) -> DataFrame:

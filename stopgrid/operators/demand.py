@@ -117,6 +117,14 @@ def stop_days_from_long(ops: DataFrame) -> DataFrame:
     )
 
 
+def hours_clash() -> Column:
+    """Whether the rows of a stop and day, as an aggregate, give some hour twice."""
+    bits = F.aggregate(
+        "hours", F.lit(0), lambda bits, h: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1), h["hour"].cast("int")))
+    )
+    return F.sum(F.size("hours")) > F.bit_count(F.bit_or(bits))
+
+
 def with_demand(days: DataFrame, daily: DataFrame, monthly: DataFrame | None) -> DataFrame:
     """Stop days with their daily totals and the 24 weights of their month."""
     totals = daily.groupBy(*DAY_KEYS).agg(

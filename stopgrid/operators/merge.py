@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
-from stopgrid.session import on_file_system, remove_path, shared_path
+from stopgrid.session import on_file_system, remove_path, shared_path, stored
 
 #: Where a row was read: later files, and in a file later rows, come after.
 ORIGIN = "_origin"
@@ -140,6 +140,14 @@ def write_partitions(
     writer.parquet(path)
 
 
+def append_partitions(df: DataFrame, path: str, partitions: Sequence[str], sort: Sequence[str] = ()) -> None:
+    """Add files to the partitions present in `df`, optionally sorted; nothing that is there is touched."""
+    rows = df.hint("rebalance", *partitions)
+    if sort:
+        rows = rows.sortWithinPartitions(*partitions, *[F.asc_nulls_last(c) for c in sort])
+    rows.write.mode("append").partitionBy(*partitions).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = on_file_system(spark, path)
     return fs.exists(p)
@@ -197,7 +205,7 @@ def cache_state(requests: DataFrame, table: DataFrame, keys: Sequence[str]) -> D
 
 # -- run ledger -------------------------------------------------------------
 def ledger_entries(results: DataFrame) -> DataFrame:
-    """Ledger rows for (job_name, target_date, status, message); ids grow with time."""
+    """Ledger rows for (job_name, target_date, status, message, run_id); ids grow with time."""
     return results.select(
         F.unix_micros(F.current_timestamp()).alias("id"),
         "job_name",
@@ -205,9 +213,16 @@ def ledger_entries(results: DataFrame) -> DataFrame:
         "status",
         "message",
         F.localtimestamp().alias("created_at"),
+        "run_id",
     )
 
 
+def ledger_runs(ledger: DataFrame, job_name: str) -> DataFrame:
+    """(date, run_id) of a job's last run that left rows for each date."""
+    closed = ledger.where((F.col("job_name") == job_name) & F.col("run_id").isNotNull())
+    return closed.groupBy(F.col("target_date").alias("date")).agg(F.max_by("run_id", "id").alias("run_id"))
+
+
 def append_ledger(entries: DataFrame, path: str) -> None:
     entries.write.mode("append").parquet(path)
 
@@ -241,6 +256,25 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def split_by_key(df: DataFrame, keys: Sequence[str], clash: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is whole and their own, and the others with the reason.
+
+    `clash`, an aggregate over the rows of a key, tells whether they exclude each other;
+    by default more than one row does. `df` is computed once, into the shared folder.
+    Keys meet as partial aggregates, and only those that clash are joined back, so a key
+    that holds most rows is neither sorted nor gathered.
+    """
+    rows = stored(df, "keyed-rows")
+    has_null = F.lit(False)
+    for k in keys:
+        has_null = has_null | F.col(k).isNull()
+    clashes = F.count("*") > 1 if clash is None else clash
+    repeated = stored(rows.where(~has_null).groupBy(*keys).agg(clashes.alias("_c")).where("_c").drop("_c"), "repeated-keys")
+    good = rows.where(~has_null).join(repeated, list(keys), "left_anti").select(*df.columns)
+    twice = rows.join(repeated, list(keys), "left_semi").select(*df.columns, F.lit("repeated key").alias("reason"))
+    return good, rows.where(has_null).select(*df.columns, F.lit("null key").alias("reason")).unionByName(twice)
+
+
 # -- column alignment -------------------------------------------------------
 class MissingColumns(ValueError):
     def __init__(self, names: Sequence[str]):

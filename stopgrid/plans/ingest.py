@@ -279,6 +279,23 @@ def xml_page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml.page_completeness(pages, S.DAILY_TAGS["date"], S.DAILY_TAGS["route_no"])
 
 
+@query(
+    "xml_page_gaps",
+    twin(
+        """select strftime(date, '%Y%m%d') as date, route_no, case when date_part('day', date) % 4 <> 3 then n end as total,
+            case date_part('day', date) % 4 when 1 then 6 when 2 then 11 else n + 1 end as first_missing,
+            case date_part('day', date) % 4 when 1 then least(10, n) when 2 then least(15, n) end as last_missing
+        from (select date, route_no, count(*) as n from daily group by 1, 2)
+        where case date_part('day', date) % 4 when 1 then n > 5 when 2 then n > 10 when 3 then true else false end""",
+        "daily",
+    ),
+)
+def xml_page_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row numbers that no landed page holds; a page that landed twice does not hide a missing one."""
+    pages = xml.read_pages(spark, landing.numbered_pages(spark, sf_dir), S.DAILY_SERVICE)
+    return xml.page_gaps(pages, S.DAILY_TAGS["date"], S.DAILY_TAGS["route_no"])
+
+
 @query(
     "xml_error_pages",
     twin(
@@ -547,3 +564,21 @@ def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw passes checked against the key of the fact table."""
     rows = tables.passes(spark, sf_dir).withColumn("stop_id", tables.stop_id())
     return plain(merge.key_violations(rows, FACT_KEYS))
+
+
+# -- quarantine -------------------------------------------------------------
+@query(
+    "quarantined_rows",
+    twin(
+        f"""select route_no, {day()} as date, case when stop_seq <> 7 then stop_id end as stop_id, hour, ops,
+            case when stop_seq = 7 then 'null key' else 'repeated key' end as reason
+        from dsh, range(case when stop_seq <> 7 and hour = 9 then 2 when stop_seq = 7 then case when hour = 9 then 2 else 1 end else 0 end)""",
+        "dsh",
+    ),
+)
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the seventh stop have lost its id, and those of nine o'clock come twice."""
+    rows = tables.daily_stop_hour(spark, sf_dir).withColumn("stop_id", F.when(F.col("stop_seq") != 7, F.col("stop_id")))
+    given = rows.unionByName(rows.where("hour = 9"))
+    _, bad = merge.split_by_key(given, S.KEYS["daily_stop_hour"])
+    return plain(bad.select("route_no", "date", "stop_id", "hour", "ops", "reason"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stopgrid import schema as S
@@ -141,6 +141,46 @@ def daily_pages(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def numbered_pages(spark: SparkSession, sf_dir: str, page_rows: int = 5) -> str:
+    """Daily pages of five rows, named by route, date and row numbers.
+
+    On every fourth day the first page lands twice and the second is missing, on the
+    next the third failed, on the next no page tells a total.
+    """
+    path = shared_path(spark, "numbered-pages")
+    daily = tables.demand_daily_stop(spark, sf_dir)
+    rank = F.row_number().over(Window.partitionBy("date", "route_no").orderBy("stop_id"))
+    day = F.day("date") % 4
+    rows = daily.withColumns({"no": rank, "n": F.count("*").over(Window.partitionBy("date", "route_no")), "kind": day})
+    tagged = rows.select(
+        "n", "kind",
+        F.floor((F.col("no") - 1) / page_rows).alias("page"),
+        C.compact_date("date").alias("USE_YMD"),
+        F.col("rte_id").alias("RTE_ID"),
+        F.col("route_no").alias("RTE_NO"),
+        F.col("stop_id").alias("STOPS_ID"),
+        F.col("stop_name").alias("SBWY_STNS_NM"),
+        F.col("board_total").cast("string").alias("GTON_TNOPE"),
+        F.col("alight_total").cast("string").alias("GTOFF_TNOPE"),
+        C.compact_date("reg_ymd").alias("REG_YMD"),
+    )
+    failed = (F.col("kind") == 2) & (F.col("page") == 2)
+    pages = tagged.groupBy("USE_YMD", "RTE_NO", "page", "n", "kind").agg(
+        F.collect_list(F.struct(*S.DAILY_TAGS.values())).alias("row")
+    ).select(
+        F.when(F.col("kind") != 3, F.col("n").cast("string")).alias("list_total_count"),
+        F.struct(
+            F.when(failed, F.lit("ERROR-500")).otherwise(F.lit(S.SUCCESS_CODE)).alias("CODE"), F.lit("message").alias("MESSAGE")
+        ).alias("RESULT"),
+        "row",
+        F.concat_ws("_", "RTE_NO", "USE_YMD", F.col("page") * page_rows + 1, (F.col("page") + 1) * page_rows).alias("name"),
+        F.when(F.col("kind") != 1, 1).when(F.col("page") == 0, 2).when(F.col("page") == 1, 0).otherwise(1).alias("copies"),
+    )
+    landed = pages.withColumn("copies", F.explode(F.sequence(F.lit(0), F.col("copies")))).where("copies > 0").drop("copies")
+    xml.land_pages(landed, path, S.DAILY_SERVICE, "name")
+    return path
+
+
 def monthly_pages(spark: SparkSession, sf_dir: str) -> str:
     """Odd hours use the second tag spelling."""
     path = shared_path(spark, "monthly-pages")

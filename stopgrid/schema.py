@@ -243,7 +243,7 @@ FINAL_ALLOCATION = struct(
 )
 RUN_LEDGER = struct(
     "id bigint not null, job_name string not null, target_date date not null, "
-    "status string not null, message string, created_at timestamp_ntz"
+    "status string not null, message string, created_at timestamp_ntz, run_id string"
 )
 
 #: The name of the fact table's job in the ledger.

@@ -88,7 +88,7 @@ def test_fact_table_with_ledger_and_source_order(spark, tmp_path):
     days = [jobs.csv_stop_days(spark, csv, route_map), jobs.page_stop_days(spark, pages, route_map)]
     missing = dt.date(2025, 6, 3)
     jobs.build_fact(spark, out, ledger, days, daily, monthly, [links], [D1, D2, missing])
-    fact = jobs.read_fact(spark, out)
+    fact = jobs.read_fact(spark, out, ledger)
     # the CSV serves 1 June alone, the pages 2 June; the unmapped route is dropped
     assert fact.count() == 48 and {r["stop_id"] for r in fact.select("stop_id").distinct().collect()} == {"a"}
     seven = {r["date"]: r for r in fact.where("hour = 7").collect()}
@@ -112,13 +112,104 @@ def test_fact_table_with_ledger_and_source_order(spark, tmp_path):
     spark.catalog.refreshByPath(ledger)
     last = merge.ledger_latest(spark.read.schema(S.RUN_LEDGER).parquet(ledger)).first()
     assert (last["target_date"], last["status"]) == (missing, "ERROR")
-    assert merge.key_violations(jobs.read_fact(spark, out), S.KEYS["daily_stop_hour"]).count() == 0
+    assert merge.key_violations(jobs.read_fact(spark, out, ledger), S.KEYS["daily_stop_hour"]).count() == 0
 
+    fact = jobs.read_fact(spark, out, ledger)
     jobs.export_fact(fact, str(tmp_path / "csv"))
     raw = files.read_csv_strings(spark, str(tmp_path / "csv"))
     assert raw.count() == 48 and "링크_구간거리(m)" in raw.columns
 
 
+@pytest.fixture
+def small_fact(spark, tmp_path):
+    """Two routes on two days, and a function that builds their fact table."""
+
+    def days(ops):
+        rows = [(d, r, "s1", 1, ops) for d in (D1, D2) for r in ("0017", "N26")]
+        wide = spark.createDataFrame(rows, "date date, route_no string, stop_id string, stop_seq int, ops bigint")
+        hour = F.array(F.struct(F.lit(7).alias("hour"), F.col("ops")))
+        return wide.select("date", "route_no", F.col("route_no").alias("rte_id"), "stop_id", "stop_seq", hour.alias("hours"))
+
+    daily = spark.createDataFrame([], S.DEMAND_DAILY_STOP)
+    links = spark.createDataFrame([], S.DIM_STOP_LINK)
+    out, ledger = str(tmp_path / "fact"), str(tmp_path / "ledger")
+
+    def build(ops, **more):
+        given = days(ops)
+        if extra := more.pop("extra", None):
+            given = extra(given)
+        return jobs.build_fact(spark, out, ledger, [given], daily, None, [links], [D1, D2], **more)
+
+    def read():
+        for path in (out, ledger):
+            spark.catalog.refreshByPath(path)
+        return {(r["date"].day, r["route_no"]): r["ops"] for r in jobs.read_fact(spark, out, ledger).collect()}
+
+    return build, read, out, ledger
+
+
+def test_refused_routes_alone_are_left_out(spark, small_fact):
+    build, read, out, ledger = small_fact
+    bad = spark.createDataFrame([(D1, "0017"), (dt.date(2025, 7, 1), None)], "date date, route_no string")
+    build(1, incomplete=bad)
+    assert read() == {(1, "N26"): 1, (2, "0017"): 1, (2, "N26"): 1}
+    said = {r["target_date"]: (r["status"], r["message"]) for r in jobs.read_ledger(spark, ledger).collect()}
+    assert said == {D1: ("ERROR", "input is incomplete: 0017; rows=1"), D2: ("OK", "rows=2")}
+    # the date is tried again; what is refused now keeps what it had
+    build(5, incomplete=spark.createDataFrame([(D1, "N26")], "date date, route_no string"))
+    assert read() == {(1, "N26"): 1, (1, "0017"): 5, (2, "0017"): 1, (2, "N26"): 1}
+    with pytest.raises(jobs.IncompleteInput):
+        build(6, incomplete=spark.createDataFrame([(None, None)], "date date, route_no string"))
+    build(6, incomplete=spark.createDataFrame([(D1, None)], "date date, route_no string"))
+    assert read() == {(1, "N26"): 1, (1, "0017"): 5, (2, "0017"): 1, (2, "N26"): 1}
+
+
+def test_a_run_that_fails_before_the_ledger_is_not_seen(spark, small_fact, monkeypatch):
+    build, read, out, ledger = small_fact
+    build(1, incomplete=spark.createDataFrame([(D1, "0017")], "date date, route_no string"))
+    before = read()
+
+    def broken(*_):
+        raise OSError("ledger not reached")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "append_ledger", broken)
+        with pytest.raises(OSError, match="not reached"):
+            build(9)
+    assert read() == before
+    run = build(3)
+    assert read() == {(1, "0017"): 3, (1, "N26"): 3, (2, "0017"): 1, (2, "N26"): 1}
+    # the failed run's folder of 1 June and the replaced one go, what counts stays
+    assert jobs.vacuum_fact(spark, out, ledger) == 2
+    assert read() == {(1, "0017"): 3, (1, "N26"): 3, (2, "0017"): 1, (2, "N26"): 1}
+    assert jobs.vacuum_fact(spark, out, ledger) == 0
+    assert {r["run_id"] for r in merge.ledger_runs(jobs.read_ledger(spark, ledger), S.FACT_JOB).where(F.col("date") == D1).collect()} == {run}
+
+
+def test_rows_with_bad_keys_go_to_quarantine(spark, small_fact, tmp_path):
+    build, read, out, ledger = small_fact
+    aside = str(tmp_path / "aside")
+
+    def spoil(rows):
+        null = rows.where("route_no = 'N26'").limit(1).withColumn("stop_id", F.lit(None).cast("string"))
+        twice = rows.where((F.col("route_no") == "0017") & (F.col("date") == F.lit(D1)))
+        return rows.unionByName(null).unionByName(twice)
+
+    with pytest.raises(ValueError, match="key"):
+        build(1, extra=spoil)
+    run = build(1, extra=spoil, quarantine=aside)
+    assert read() == {(1, "N26"): 1, (2, "0017"): 1, (2, "N26"): 1}
+    bad = spark.read.parquet(aside).collect()
+    assert sorted((r["reason"], r["route_no"]) for r in bad) == [("null key", "N26"), ("repeated key", "0017"), ("repeated key", "0017")]
+    assert {r["run_id"] for r in bad} == {run}
+
+
+def test_pages_without_a_route_map(spark, tmp_path):
+    row = {"CRTR_DD": "20250601", "RTE_ID": "r1", "STOPS_ID": "a", "STOPS_SEQ": "1", "BUS_OPR": "1", "BUS_OPR_07": "8"}
+    pages = land(tmp_path / "pages", [page(S.OPS_SERVICE, [row])])
+    assert [(r["route_no"], r["rte_id"]) for r in jobs.page_stop_days(spark, pages).collect()] == [("r1", "r1")]
+
+
 def test_dated_links_go_before_undated_ones(spark, tmp_path):
     """The stop master of the day, else the link file; the days are not averaged."""
     from stopgrid.operators import demand

@@ -96,7 +96,7 @@ def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path):
 
 def ledger(spark, entries):
     return spark.createDataFrame(
-        [(i, "job", d, s, None, None) for i, d, s in entries], S.RUN_LEDGER
+        [(i, "job", d, s, None, None, None) for i, d, s in entries], S.RUN_LEDGER
     )
 
 
@@ -172,3 +172,20 @@ def test_stored_tables_are_removed(spark):
         path = session._stored[-1]
         assert known.count() == 3 and merge.path_exists(spark, path)
     assert not merge.path_exists(spark, path)
+
+
+def test_split_by_key(spark):
+    from stopgrid.operators import demand
+
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 1)], "k string, v int")
+    good, bad = merge.split_by_key(rows, ["k"])
+    assert [tuple(r) for r in good.collect()] == [("b", 1)]
+    assert sorted(tuple(r) for r in bad.fillna("-").collect()) == [("-", 1, "null key")] * 2 + [("a", 1, "repeated key"), ("a", 2, "repeated key")]
+    # two visits of a stop may share its hours, but not give one twice
+    days = spark.createDataFrame(
+        [("s", [(5, 1)]), ("s", [(6, 2)]), ("t", [(5, 1), (23, 1)]), ("t", [(23, 4)])], "k string, hours array<struct<hour: int, ops: bigint>>"
+    )
+    good, bad = merge.split_by_key(days, ["k"], demand.hours_clash())
+    assert {r["k"] for r in good.collect()} == {"s"} and {r["k"] for r in bad.collect()} == {"t"}
+    none, no = merge.split_by_key(rows.limit(0), ["k"])
+    assert none.count() == no.count() == 0

@@ -80,7 +80,63 @@ def test_empty_pages_are_not_complete(spark, tmp_path):
     assert got == {("20250601", "0017"): (0, 500, 0), ("20250602", "N26"): (0, 500, 0)}
     from stopgrid import jobs
 
-    assert jobs.incomplete_dates(pages, "USE_YMD", "RTE_NO").count() == 2
+    got = {tuple(r) for r in jobs.incomplete_input(pages, "USE_YMD", "RTE_NO").collect()}
+    assert got == {(dt.date(2025, 6, 1), "0017"), (dt.date(2025, 6, 2), "N26")}
+
+
+def numbered(folder, name, n, total, code="INFO-000"):
+    """A page of n rows under its name."""
+    rows = [{"USE_YMD": "20250601", "RTE_NO": "0017", "STOPS_ID": f"{name}-{i}"} for i in range(n)]
+    path = folder / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    text = page(S.DAILY_SERVICE, rows, total=total, code=code)
+    if total is None:
+        text = text.replace(f"<list_total_count>{n}</list_total_count>", "")
+    path.write_text(text, encoding="utf-8")
+
+
+@pytest.mark.parametrize(
+    ("landed", "gaps"),
+    [
+        # a doubled page does not stand for the missing one
+        ([("a/20250601_1_2.xml", 2, 4), ("b/20250601_1_2.xml", 2, 4)], [(3, 4)]),
+        ([("a/20250601_1_2.xml", 2, 4), ("b/20250601_1_2.xml", 2, 4), ("a/20250601_3_4.xml", 2, 4)], []),
+        # the first page may go without numbers; ranges may overlap
+        ([("a/20250601.xml", 3, 5), ("a/20250601_3_5.xml", 3, 5)], []),
+        ([("a/20250601_4_6.xml", 3, 9)], [(1, 3), (7, 9)]),
+        # a page that holds fewer rows than its name says
+        ([("a/20250601_1_3.xml", 2, 5), ("a/20250601_4_5.xml", 2, 5)], [(3, 3)]),
+        # a failed page, and one made good later
+        ([("a/20250601_1_2.xml", 2, 4), ("a/20250601_3_4.xml", 2, 0, "ERROR-500")], [(3, 4)]),
+        ([("a/20250601_1_2.xml", 2, 4), ("a/20250601_3_4.xml", 0, 0, "ERROR-500"), ("b/20250601_3_4.xml", 2, 4)], []),
+        # nothing tells the total
+        ([("a/20250601_1_2.xml", 2, None)], [(3, None)]),
+        ([("a/20250601_1_2.xml", 2, None), ("a/20250601_3_4.xml", 2, 4)], []),
+    ],
+)
+def test_page_gaps(spark, tmp_path, landed, gaps):
+    from stopgrid import jobs
+
+    for name, n, total, *code in landed:
+        numbered(tmp_path, name, n, total, *code)
+    pages = xml.read_pages(spark, [str(p) for p in tmp_path.iterdir()], S.DAILY_SERVICE)
+    # routes are told by rows, and by folders where there are none
+    found = xml.page_gaps(pages, "USE_YMD").collect()
+    assert sorted(((r["first_missing"], r["last_missing"]) for r in found), key=str) == gaps
+    assert (jobs.incomplete_input(pages, "USE_YMD").count() > 0) == bool(gaps)
+
+
+def test_a_failed_page_without_a_name_cannot_be_told(spark, tmp_path):
+    from stopgrid import jobs
+
+    path = land(tmp_path / "x", [page(S.DAILY_SERVICE, [], code="ERROR-500")])
+    pages = xml.read_pages(spark, path, S.DAILY_SERVICE)
+    assert [tuple(r) for r in jobs.incomplete_input(pages, "USE_YMD", "RTE_NO").collect()] == [(None, None)]
+    # the same page twice, without numbers, counts once
+    row = {"USE_YMD": "20250601", "RTE_NO": "1", "STOPS_ID": "a"}
+    twice = land(tmp_path / "y", [page(S.DAILY_SERVICE, [row], total=2)] * 2)
+    done = xml.page_completeness(xml.read_pages(spark, twice, S.DAILY_SERVICE), "USE_YMD", "RTE_NO").first()
+    assert (done["landed"], done["pages"], done["complete"]) == (1, 2, 0)
 
 
 def write(path, lines):
