@@ -7,12 +7,11 @@ bytes, the last six, the word so far. A slot of a predictor's table counts how o
 the decision went either way in the learning texts; all of them are counted, by tasks of
 their own and summed by blocks of slots.
 
-While a text is scored, the guesses meet in the logistic domain, weighted. There are two
-sets of weights; whether the word so far is well known decides which one is used. After
-each decision the weights in use take a step down the gradient of its cost. A last table,
-the guess in steps, learns how often such a guess came true and is averaged with it.
-Weights and that table begin anew every `SEGMENT` bytes (contexts go on), so a text is
-scored alike wherever it lies, and many segments advance side by side in numpy.
+While a text is scored, the guesses meet in the logistic domain, weighted. Some weights
+always hold, others are added where the word so far is well known. After each decision
+the weights in use take a step down the gradient of its cost, so they are refined as the
+text goes on. They begin anew every `SEGMENT` bytes (contexts go on), so a text is scored
+alike wherever it lies, and many segments advance side by side in numpy.
 
 Beside the model stands a unigram of words with one added to each count. A task numbers
 the words of a chunk of texts; the distinct words alone travel, to be summed over the
@@ -22,6 +21,7 @@ corpus and back to their chunks.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
@@ -38,25 +38,28 @@ from stopgrid.session import stored
 #: Bytes between two beginnings of the weights.
 SEGMENT = 1024
 #: Segments that advance side by side, and steps laid out at once.
-LANES = 4096
+LANES = 8192
 STEPS = 32
-#: Segments whose decisions are laid out at once.
-LAID_OUT = 256
-#: Bytes of text that are read at once. In longer texts contexts begin anew after so many.
-PART = SEGMENT * LANES
+#: Bytes of text whose decisions are laid out at once, and whose segments advance together. In
+#: longer texts contexts begin anew after the first of both.
+LAID_OUT = 512 * SEGMENT
+PART = 4096 * SEGMENT
 #: Bounds of a table's slots, as powers of two; between them, by the bytes of the learning texts.
 LEAST_BITS, MOST_BITS = 14, 22
 #: Entries of the counts in a block that travels.
 BLOCK = 1 << 16
 #: Groups in which the blocks of the tasks are summed before they meet.
 SPREAD = 64
-#: Bytes and texts of a chunk whose words are numbered together.
+#: Bytes of text of a chunk whose words are numbered together, and of all texts for each bucket of words.
 CHUNK_BYTES = 16_000_000
+BUCKET_BYTES = 16_000_000
 
 END = 256
 SYMBOLS = 257
+#: The pair of no symbol.
+GAP = 256 * SYMBOLS
 #: Bytes before a text as contexts see them.
-PAD = 6
+PAD = 8
 #: Predictors by so many last bytes; one more goes by the word so far.
 ORDERS = (4, 6)
 PREDICTORS = len(ORDERS) + 1
@@ -67,15 +70,13 @@ GUESS_STEP = 1 / 8
 WELL_KNOWN = 30
 FIRST_WEIGHT = (0.25, 0.5, 0.5, 0.1, 0.1, 0.85)
 RATE = 0.03
-REFINE_STEPS = 33
-REFINE_LIMIT = 8.0
-REFINE_RATE = 0.02
+#: No turn gets less than half of what this leaves of one.
+SUREST = 0.9999
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BLANK = np.zeros(256, bool)
 BLANK[[0, 9, 10, 11, 12, 13, 32]] = True
 POWER = 0x9E3779B97F4A7C15
-POWER_BACK = pow(POWER, -1, 1 << 64)
 NODE_SPREAD = 0x9E3779B1
 
 
@@ -83,7 +84,7 @@ class Trees:
     """A Huffman tree of byte counts for each preceding byte: every symbol's path as nodes and turns."""
 
     def __init__(self, counts: np.ndarray):
-        paths = [path for row in counts.reshape(256, SYMBOLS).tolist() for path in _paths(row)]
+        paths = [path for row in counts.reshape(256, SYMBOLS).tolist() for path in _paths(row)] + [[]]
         self.size = np.array(list(map(len, paths)), np.int32)
         self.begin = np.concatenate([[0], np.cumsum(self.size)[:-1]]).astype(np.int32)
         #: Node times two, plus the turn.
@@ -119,68 +120,58 @@ def _paths(counts: list[int]) -> list[list[int]]:
 
 
 class Contexts:
-    """Parts of texts side by side: symbols, the bytes before each, and a hash of the word so far."""
+    """Parts of texts side by side, gaps between them: symbols, the bytes before each, and a hash of the word so far.
+
+    Places in gaps have the pair `GAP`, which takes no decision.
+    """
 
     def __init__(self, parts: list[tuple[bytes, bool]]):
         """`parts` are lower-cased bytes, and whether a text ends with them."""
         lengths = np.array([len(raw) for raw, _ in parts], np.int64)
-        self.sizes = lengths + [ends for _, ends in parts]
         gap = b"\0" * PAD
         raw = np.frombuffer(gap + b"".join(chain.from_iterable((raw, gap) for raw, _ in parts)), np.uint8)
-        ends = np.cumsum(self.sizes)
-        place = np.arange(ends[-1])
-        place += np.repeat(PAD + np.cumsum(lengths + PAD) - (lengths + PAD) - (ends - self.sizes), self.sizes)
-        self.symbols = raw[place].astype(np.uint16)
-        self.symbols[ends[self.sizes > lengths] - 1] = END
-        before = np.zeros(len(raw), np.uint64)
-        before[PAD:] = raw[PAD - 1 : -1]
-        for back in range(2, PAD + 1):
-            before[PAD:] |= raw[PAD - back : -back].astype(np.uint64) << np.uint64(8 * (back - 1))
-        self.before = before[place]
-        self.word = self._word(raw, place)
-
-    def pairs(self) -> np.ndarray:
-        """The preceding byte and the symbol as one number."""
-        return (self.before & np.uint64(255)).astype(np.int32) * SYMBOLS + self.symbols
-
-    @staticmethod
-    def _word(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Of each place a hash of the bytes since the last blank."""
-        n = len(raw)
-        power, back = _powers(n)
+        n = len(raw) - PAD
+        #: Places of each part and its gap.
+        self.sizes = lengths + PAD
+        ends = np.cumsum(self.sizes) - PAD
+        self.pairs = raw[PAD - 1 : -1].astype(np.int32)
+        self.pairs *= SYMBOLS
+        self.pairs += raw[PAD:]
+        told = np.array([end for _, end in parts])
+        final = raw[PAD + ends - 1].astype(np.int32) * SYMBOLS + END
+        for i in range(PAD):
+            self.pairs[ends + i] = GAP
+        self.pairs[ends[told]] = final[told]
+        #: The last eight bytes, the last one on top.
+        self.before = np.ndarray((n,), "<u8", raw, 0, (1,)).copy()
+        blank = np.flatnonzero(BLANK[raw])
+        begin = np.zeros(n + PAD, np.int32)
+        begin[blank] = blank + 1
+        np.maximum.accumulate(begin, out=begin)
+        self.behind = np.arange(PAD, n + PAD, dtype=np.int32) - begin[PAD - 1 : -1]
+
+    def word(self) -> np.ndarray:
+        """Of each place a hash of the word so far: its last eight bytes, and how long it is."""
         with np.errstate(over="ignore"):
-            total = np.zeros(n + 1, np.uint64)
-            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-            # gaps between texts count as blanks, and so does a zero byte
-            begin = np.maximum.accumulate(np.where(BLANK[raw], np.arange(1, n + 1, dtype=np.int32), np.int32(0)))
-            at = begin[place - 1]
-            found = (total[place] - total[at]) * back[at]
-            found ^= found >> np.uint64(31)
-            found *= np.uint64(POWER)
-            return (found >> np.uint64(32)).astype(np.uint32)
+            half = (np.uint8(32) - np.uint8(4) * np.minimum(self.behind, PAD).astype(np.uint8)).astype(np.uint64)
+            h = self.before >> half
+            h >>= half
+            h += self.behind.astype(np.uint64)
+            return _spread(h)
 
 
 def bytes_before(before: np.ndarray, n: int) -> np.ndarray:
     """A hash of the last `n` bytes."""
+    return _spread((before >> np.uint64(64 - 8 * n)) + np.uint64(n << 56 | n))
+
+
+def _spread(h: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = (before & np.uint64((1 << 8 * n) - 1)) + np.uint64(n)
         h *= np.uint64(POWER)
         h ^= h >> np.uint64(32)
         h *= np.uint64(POWER)
-        return (h >> np.uint64(32)).astype(np.uint32)
-
-
-_power_cache: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo two to the 64."""
-    if not _power_cache or len(_power_cache[0]) < n + 1:
-        with np.errstate(over="ignore"):
-            _power_cache[:] = [
-                np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)]) for base in (POWER, POWER_BACK)
-            ]
-    return _power_cache[0], _power_cache[1]
+        h >>= np.uint64(32)
+        return h.astype(np.uint32)
 
 
 def slots(hashes: np.ndarray, size: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
@@ -194,8 +185,8 @@ def slots(hashes: np.ndarray, size: np.ndarray, node: np.ndarray, bits: int) ->
 
 def parts_of(text: bytes) -> Iterator[tuple[bytes, bool]]:
     """A text in parts of bounded size, and whether it ends with each."""
-    for i in range(0, max(len(text), 1), PART):
-        yield text[i : i + PART], i + PART >= len(text)
+    for i in range(0, max(len(text), 1), LAID_OUT):
+        yield text[i : i + LAID_OUT], i + LAID_OUT >= len(text)
 
 
 class Counts:
@@ -210,17 +201,20 @@ class Counts:
         if not parts:
             return
         texts = Contexts(parts)
-        key = texts.before << np.uint64(9) | texts.symbols
-        found, times = np.unique(key, return_counts=True)
-        before = found >> np.uint64(9)
-        self._add([(i, bytes_before(before, n)) for i, n in enumerate(ORDERS)], found, times)
-        key &= np.uint64((1 << 17) - 1)
-        key |= texts.word.astype(np.uint64) << np.uint64(17)
-        found, times = np.unique(key, return_counts=True)
-        self._add([(len(ORDERS), (found >> np.uint64(17)).astype(np.uint32))], found, times)
-
-    def _add(self, hashes: list[tuple[int, np.ndarray]], key: np.ndarray, times: np.ndarray) -> None:
-        pairs = ((key >> np.uint64(9)) & np.uint64(255)).astype(np.int32) * SYMBOLS + (key & np.uint64(511)).astype(np.int32)
+        here = texts.pairs != GAP
+        symbol = (texts.pairs % SYMBOLS)[here].astype(np.uint64)
+        before = texts.before[here]
+        most = 8 * max(ORDERS)
+        found, times = np.unique((before >> np.uint64(64 - most)) << np.uint64(9) | symbol, return_counts=True)
+        known = (found >> np.uint64(9)) << np.uint64(64 - most)
+        self._add([(i, bytes_before(known, n)) for i, n in enumerate(ORDERS)], known, found, times)
+        word = texts.word()[here].astype(np.uint64)
+        found, times = np.unique(word << np.uint64(17) | (before >> np.uint64(56)) << np.uint64(9) | symbol, return_counts=True)
+        known = (found >> np.uint64(9)) << np.uint64(56)
+        self._add([(len(ORDERS), (found >> np.uint64(17)).astype(np.uint32))], known, found, times)
+
+    def _add(self, hashes: list[tuple[int, np.ndarray]], before: np.ndarray, key: np.ndarray, times: np.ndarray) -> None:
+        pairs = (before >> np.uint64(56)).astype(np.int32) * SYMBOLS + (key & np.uint64(511)).astype(np.int32)
         step, size = self.trees.decisions(pairs)
         node = (step >> 1).astype(np.uint32) * np.uint32(NODE_SPREAD)
         times = np.repeat(times.astype(np.float64), size)
@@ -246,122 +240,112 @@ class Scorer:
     def __init__(self, trees: Trees, tables: list[np.ndarray]):
         self.trees, self.tables = trees, tables
         self.bits = len(tables[0]).bit_length() - 1
-        middle = (np.arange(REFINE_STEPS, dtype=np.float32) - (REFINE_STEPS - 1) / 2) * np.float32(2 * REFINE_LIMIT / (REFINE_STEPS - 1))
-        self.refined = (1 / (1 + np.exp(-middle))).astype(np.float32)
 
     def bits_of(self, texts: list[bytes]) -> np.ndarray:
         """The bits that each lower-cased text takes, its end included."""
-        parts = [list(parts_of(t)) for t in texts]
-        owner = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+        parts = [(i, *part) for i, text in enumerate(texts) for part in parts_of(text)]
         bits = np.zeros(len(texts))
-        flat, begin, held = list(chain.from_iterable(parts)), 0, 0
-        for i, (raw, _) in enumerate(flat):
-            held += len(raw) + 1
-            if held >= PART or i == len(flat) - 1:
-                bits += np.bincount(owner[begin : i + 1], self._bits(flat[begin : i + 1]), minlength=len(texts))
-                begin, held = i + 1, 0
-        return bits
-
-    def _bits(self, parts: list[tuple[bytes, bool]]) -> np.ndarray:
+        for some in _runs(parts, PART):
+            # a part may be larger than what is laid out at once
+            laid = [self._laid([(raw, ends) for _, raw, ends in few]) for few in _runs(some, LAID_OUT)]
+            packed, n_steps = np.concatenate([x for x, _, _ in laid]), np.concatenate([x for _, x, _ in laid])
+            per_part = np.concatenate([x for _, _, x in laid])
+            owner = np.repeat([i for i, _, _ in some], per_part)
+            bits += np.bincount(owner, self._mixed(packed, n_steps), minlength=len(texts))
+        return bits / np.log(2)
+
+    def _laid(self, parts: list[tuple[bytes, bool]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All decisions in order, the guesses and the turn in four bytes each; decisions of each segment; segments of each part."""
         texts = Contexts(parts)
-        pairs = texts.pairs()
-        pieces = (texts.sizes + SEGMENT - 1) // SEGMENT
-        text_begin = np.cumsum(texts.sizes) - texts.sizes
+        step, per = self.trees.decisions(texts.pairs)
+        node = (step >> 1).astype(np.uint32) * np.uint32(NODE_SPREAD)
+        packed = np.empty((len(step), 4), np.int8)
+        packed[:, PREDICTORS] = step & 1
+        hashes = [bytes_before(texts.before, n) for n in ORDERS] + [texts.word()]
+        for j, (table, h) in enumerate(zip(self.tables, hashes)):
+            packed[:, j] = table.take(slots(h, per, node, self.bits))
+        # a gap belongs to the segment before it
+        pieces = np.maximum((texts.sizes - PAD + SEGMENT) // SEGMENT, 1)
         number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin = np.repeat(text_begin, pieces) + number * SEGMENT
-        end = np.minimum(begin + SEGMENT, np.repeat(text_begin + texts.sizes, pieces))
-        cost = np.zeros(len(begin))
-        by_size = np.argsort(begin - end, kind="stable")
-        for i in range(0, len(by_size), LANES):
-            some = by_size[i : i + LANES]
-            cost[some] = self._segments(texts, pairs, begin[some], end[some])
-        return np.bincount(np.repeat(np.arange(len(parts)), pieces), cost, minlength=len(parts)) / np.log(2)
-
-    def _segments(self, texts: Contexts, pairs: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Cost of each segment in nats. Decisions are laid out here, their guesses and turn in four bytes each."""
-        size = end - begin
-        n_steps, laid = np.zeros(len(size), np.int64), []
-        for a in range(0, len(size), LAID_OUT):
-            b = min(a + LAID_OUT, len(size))
-            per_lane = size[a:b]
-            place = np.repeat(begin[a:b] - (np.cumsum(per_lane) - per_lane), per_lane) + np.arange(per_lane.sum())
-            step, per = self.trees.decisions(pairs[place])
-            n_steps[a:b] = np.add.reduceat(per, np.cumsum(per_lane) - per_lane)
-            node = (step >> 1).astype(np.uint32) * np.uint32(NODE_SPREAD)
-            before = texts.before[place]
-            packed = np.empty((len(step), 4), np.int8)
-            packed[:, PREDICTORS] = step & 1
-            for j, n in enumerate(ORDERS):
-                packed[:, j] = self.tables[j].take(slots(bytes_before(before, n), per, node, self.bits))
-            packed[:, PREDICTORS - 1] = self.tables[-1].take(slots(texts.word[place], per, node, self.bits))
-            laid.append(packed.view(np.int32).ravel())
+        begin = np.repeat(np.cumsum(texts.sizes) - texts.sizes, pieces) + number * SEGMENT
+        return packed.view("<i4").ravel(), np.add.reduceat(per, begin).astype(np.int64), pieces
+
+    def _mixed(self, packed: np.ndarray, n_steps: np.ndarray) -> np.ndarray:
+        """Cost of each segment in nats; those of about the same length go side by side."""
+        start = np.cumsum(n_steps) - n_steps
+        cost = np.empty(len(n_steps))
         order = np.argsort(-n_steps, kind="stable")
-        cost = np.empty(len(order))
-        cost[order] = self._mix(np.concatenate(laid), (np.cumsum(n_steps) - n_steps)[order], n_steps[order])
+        for i in range(0, len(order), LANES):
+            lanes = order[i : i + LANES]
+            cost[lanes] = _mix(packed, start[lanes], n_steps[lanes])
         return cost
 
-    def _mix(self, packed: np.ndarray, start: np.ndarray, n_steps: np.ndarray) -> np.ndarray:
-        """Cost of each lane in nats; lanes come by their steps, most first."""
-        lanes, inputs = len(start), 2 * PREDICTORS
-        weights = np.repeat(np.array(FIRST_WEIGHT, np.float32)[:, None], lanes, axis=1)
-        refined = np.repeat(self.refined[:, None], lanes, axis=1).ravel()
-        lane = np.arange(lanes, dtype=np.int64)
-        cost = np.zeros(lanes)
-        active = np.searchsorted(-n_steps, -np.arange(n_steps[0]), side="left").tolist()
-        tmp = np.empty((inputs, lanes), np.float32)
-        mixed, p, q, err, one = (np.empty(lanes, np.float32) for _ in range(5))
-        at = np.empty(lanes, np.int64)
-        x = np.empty((STEPS, inputs, lanes), np.float32)
-        scale = np.float32((REFINE_STEPS - 1) / (2 * REFINE_LIMIT))
-        shift = np.float32((REFINE_STEPS - 1) / 2 + 0.5)
-        rate, refine_rate, half, limit = np.float32(RATE), np.float32(REFINE_RATE), np.float32(0.5), np.float32(REFINE_LIMIT - 0.1)
-        for t in range(0, len(active), STEPS):
-            n, m = active[t], min(STEPS, len(active) - t)
-            where = start[:n] + np.arange(t, t + m)[:, None]
-            raw = packed.take(where, mode="clip").view(np.int8).reshape(m, n, 4)
-            turns = raw[:, :, PREDICTORS].astype(np.float32)
-            known = (raw[:, :, PREDICTORS - 1] & 1).astype(np.float32) * np.float32(GUESS_STEP)
-            for i in range(PREDICTORS):
-                both = (raw[:, :, i] >> 1).astype(np.float32)
-                np.multiply(both, known, out=x[:m, PREDICTORS + i, :n])
-                both *= np.float32(GUESS_STEP)
-                np.subtract(both, x[:m, PREDICTORS + i, :n], out=x[:m, i, :n])
-            for j in range(m):
-                k = active[t + j]
-                z, w, s, y = x[j, :, :k], weights[:, :k], tmp[:, :k], turns[j, :k]
-                d, pk, qk, ek, ak = mixed[:k], p[:k], q[:k], err[:k], at[:k]
-                np.multiply(w, z, out=s)
-                np.add.reduce(s, axis=0, out=d)
-                np.minimum(d, limit, out=d)
-                np.maximum(d, -limit, out=d)
-                np.negative(d, out=pk)
-                np.exp(pk, out=pk)
-                pk += 1
-                np.reciprocal(pk, out=pk)
-                np.subtract(y, pk, out=ek)
-                ek *= rate
-                np.multiply(z, ek, out=s)
-                w += s
-                d *= scale
-                d += shift
-                np.copyto(ak, d, casting="unsafe")
-                ak *= lanes
-                ak += lane[:k]
-                refined.take(ak, out=qk, mode="clip")
-                pk += qk
-                pk *= half
-                np.subtract(y, qk, out=ek)
-                ek *= refine_rate
-                qk += ek
-                refined[ak] = qk
-                # the share given to the turn that was taken
-                o = one[:k]
-                np.subtract(1, y, out=o)
-                o -= pk
-                np.abs(o, out=o)
-                np.log(o, out=o)
-                cost[:k] -= o
-        return cost
+
+def _runs(parts: list[tuple], size: int) -> Iterator[list[tuple]]:
+    """Parts in runs of about `size` bytes; the second of each is its bytes."""
+    some, held = [], 0
+    for part in parts:
+        some.append(part)
+        held += len(part[1]) + 1
+        if held >= size:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
+
+
+def _mix(packed: np.ndarray, start: np.ndarray, n_steps: np.ndarray) -> np.ndarray:
+    """Cost of each lane in nats; lanes come by their steps, most first.
+
+    Guesses are whole steps and turns are 1 or -1 here. The scale of both, and half the
+    rate, are taken out of the weights: then a weight moves by error times guess.
+    """
+    lanes = len(start)
+    scale = np.float32(RATE * GUESS_STEP**2 / 4)
+    first = np.array(FIRST_WEIGHT, np.float32) * np.float32(GUESS_STEP / 2) / scale
+    weights = np.repeat(first[:, None], lanes, axis=1)
+    weights[PREDICTORS:] -= weights[:PREDICTORS]
+    always, if_known = weights[:PREDICTORS], weights[PREDICTORS:]
+    cost = np.zeros(lanes)
+    active = np.searchsorted(-n_steps, -np.arange(n_steps[0]), side="left").tolist()
+    product, change = (np.empty((PREDICTORS, lanes), np.float32) for _ in range(2))
+    mixed, extra, so_far = (np.empty(lanes, np.float32) for _ in range(3))
+    guess = np.empty((STEPS, PREDICTORS, lanes), np.float32)
+    known, turn = (np.empty((STEPS, lanes), np.float32) for _ in range(2))
+    one, sure = np.ones(1, np.float32), np.full(1, SUREST, np.float32)
+    for t in range(0, len(active), STEPS):
+        n, m = active[t], min(STEPS, len(active) - t)
+        raw = packed.take(start[:n] + np.arange(t, t + m)[:, None], mode="clip")
+        for i in range(PREDICTORS):
+            guess[:m, i, :n] = (raw << (24 - 8 * i)) >> 25
+        known[:m, :n] = (raw >> (8 * PREDICTORS - 8)) & 1
+        turn[:m, :n] = ((raw >> 24) << 1) - 1
+        so_far[:n] = 0
+        for j in range(m):
+            k = active[t + j]
+            x, g, y = guess[j, :, :k], known[j, :k], turn[j, :k]
+            a, b, p, c, d, e = always[:, :k], if_known[:, :k], product[:, :k], change[:, :k], mixed[:k], extra[:k]
+            np.multiply(a, x, out=p)
+            np.add.reduce(p, axis=0, out=d)
+            np.multiply(b, x, out=p)
+            np.add.reduce(p, axis=0, out=e)
+            e *= g
+            d += e
+            d *= scale
+            np.tanh(d, out=d)
+            d *= sure
+            np.subtract(y, d, out=e)
+            np.multiply(x, e, out=c)
+            a += c
+            c *= g
+            b += c
+            # the turn taken has the share (1 + turn * mixed) / 2
+            d *= y
+            d += one
+            np.log(d, out=d)
+            so_far[:k] += d
+        cost[:n] += so_far[:n]
+    return n_steps * np.log(2) - cost
 
 
 def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bool], list[bytes]]]:
@@ -396,19 +380,31 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["pair", "n"])
 
 
-COUNTED = "predictor int, block int, part long, at binary, n binary"
+COUNTED = "predictor int, block int, part long, bits binary, small binary, large binary"
+#: Counts below it take a byte; what a larger one has above it is said beside.
+SMALL = 255
 
 
 def _block(predictor: int, block: int, part: int, counts: np.ndarray) -> pa.RecordBatch:
-    """A block's counts that are not zero, and where they stand."""
+    """A block's counts: a bit for each that is not zero, these in a byte each, and the larger ones' rest with its place."""
     at = np.flatnonzero(counts)
-    cells = (predictor, block, part, at.astype("<u2").tobytes(), counts[at].astype("<i8" if counts[at].max() > 0x7FFFFFFF else "<i4").tobytes())
+    large = np.flatnonzero(counts > SMALL)
+    rest = np.stack([large, counts[large] - SMALL]).astype("<i8")
+    bits, small = np.packbits(counts > 0), np.minimum(counts[at], SMALL).astype(np.uint8)
+    cells = (predictor, block, part, bits.tobytes(), small.tobytes(), rest.tobytes())
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array([c], t) for c, t in zip(cells, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-        ["predictor", "block", "part", "at", "n"],
+        [pa.array([c], t) for c, t in zip(cells, kinds)], ["predictor", "block", "part", "bits", "small", "large"]
     )
 
 
+def _add_block(total: np.ndarray, row: dict) -> None:
+    held = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=len(total)).view(bool)
+    total[held] += np.frombuffer(row["small"], np.uint8)
+    at, rest = np.frombuffer(row["large"], "<i8").reshape(2, -1)
+    total[at] += rest
+
+
 def _counts(trees, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(trees.value, bits)
@@ -425,7 +421,9 @@ def _counts(trees, bits: int):
         for predictor, table in enumerate(counts.table):
             for i in range(0, len(table), BLOCK):
                 if table[i : i + BLOCK].any():
-                    yield _block(predictor, i // BLOCK, group, table[i : i + BLOCK])
+                    block = np.zeros(BLOCK, np.int64)
+                    block[: len(table) - i] = table[i : i + BLOCK]
+                    yield _block(predictor, i // BLOCK, group, block)
 
     return run
 
@@ -451,9 +449,7 @@ def _sums(last: bool):
                     if key is not None:
                         yield told()
                     key, total = here, np.zeros(BLOCK, np.int64)
-                at = np.frombuffer(row["at"], "<u2")
-                wide = len(row["n"]) == 8 * len(at)
-                total[at] += np.frombuffer(row["n"], "<i8" if wide else "<i4")
+                _add_block(total, row)
         if key is not None:
             yield told()
 
@@ -504,21 +500,27 @@ def fit(
     return Model(spark, trees, tables)
 
 
-def _chunk_schema(id_type: pa.DataType) -> pa.Schema:
+def _row_schema(id_type: pa.DataType) -> pa.Schema:
+    """A chunk's texts with their bits and words by number, bucket null; or its words of one bucket."""
     return pa.schema(
         [
-            ("chunk", pa.int64()), ("ids", pa.list_(id_type)), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())),
-            ("bits", pa.list_(pa.float64())), ("n_words", pa.list_(pa.int64())), ("places", pa.binary()),
-            ("words", pa.list_(pa.binary())), ("learnt", pa.list_(pa.int64())),
+            ("chunk", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(id_type)), ("held", pa.list_(pa.bool_())),
+            ("sizes", pa.list_(pa.int64())), ("bits", pa.list_(pa.float64())), ("n_words", pa.list_(pa.int64())),
+            ("places", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()),
         ]
     )
 
 
+def _rows_of(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
 class _Chunk:
     """Texts with their bits, and their words by number."""
 
     def __init__(self) -> None:
         self.ids, self.held, self.sizes, self.n_words, self.bits = [], [], [], [], []
+        self.n_bytes = 0
         self.place_of: dict[bytes, int] = defaultdict()
         self.place_of.default_factory = self.place_of.__len__
         self.seen: list[np.ndarray] = []
@@ -528,64 +530,128 @@ class _Chunk:
             words = text.split()
             self.seen.append(np.fromiter(map(self.place_of.__getitem__, words), np.uint32, len(words)))
             self.n_words.append(len(words))
+            self.n_bytes += len(text)
         self.ids += ids
         self.held += held
         self.sizes += map(len, texts)
         self.bits += bits.tolist()
 
-    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
-        places = np.concatenate(self.seen)
-        learnt = np.bincount(places[np.repeat(~np.array(self.held), self.n_words)], minlength=len(self.place_of))
-        cells = (number, self.ids, self.held, self.sizes, self.bits, self.n_words, places.astype("<u4").tobytes(), list(self.place_of), learnt)
-        return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, schema)], schema=schema)
-
-
-def _scored(model: Model, id_type: pa.DataType):
+    def rows(self, number: int, buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """The texts, and the words of each bucket with how often texts that are learnt from hold them.
+
+        Words are numbered anew by bucket, so that the counts of all buckets, one after
+        another, are those of the chunk's words.
+        """
+        words = list(self.place_of)
+        bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        rank = np.empty(len(words), np.uint32)
+        rank[order] = np.arange(len(words), dtype=np.uint32)
+        places = rank[np.concatenate(self.seen)] if words else np.zeros(0, np.uint32)
+        learnt = np.bincount(places[np.repeat(~np.array(self.held), self.n_words)], minlength=len(words))
+        texts = (number, None, self.ids, self.held, self.sizes, self.bits, self.n_words, places.astype("<u4").tobytes(), None, None)
+        yield _rows_of(schema, [texts])
+        used, begin = np.unique(bucket[order], return_index=True)
+        rows = []
+        for b, i, j in zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(words)]):
+            some = b" ".join([words[k] for k in order[i:j].tolist()])
+            rows.append((number, b, None, None, None, None, None, None, some, learnt[i:j].astype("<u4").tobytes()))
+        if rows:
+            yield _rows_of(schema, rows)
+
+
+def _scored(model: Model, buckets: int, chunk_bytes: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, schema = model.scorer(), _chunk_schema(id_type)
+        scorer, schema = model.scorer(), _row_schema(id_type)
         number = TaskContext.get().partitionId() << 32
         chunk = _Chunk()
         for ids, held, texts in _batched(batches):
             chunk.add(ids, held, texts, scorer.bits_of(texts))
-            if sum(chunk.sizes) >= CHUNK_BYTES:
-                yield chunk.row(number, schema)
+            if chunk.n_bytes >= chunk_bytes:
+                yield from chunk.rows(number, buckets, schema)
                 number += 1
                 chunk = _Chunk()
         if chunk.ids:
-            yield chunk.row(number, schema)
+            yield from chunk.rows(number, buckets, schema)
 
     return run
 
 
+ANSWERS = "chunk long, bucket int, counts binary, n_learnt long, n_distinct long"
+ANSWER_SCHEMA = pa.schema(
+    [("chunk", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("n_learnt", pa.int64()), ("n_distinct", pa.int64())]
+)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums the words of a bucket over all chunks and answers each chunk in the order it asked.
+
+    The row without chunk has the bucket's learnt words, all and distinct.
+    """
+    bucket, asked = None, []
+
+    def told() -> Iterator[pa.RecordBatch]:
+        total: dict[bytes, int] = defaultdict(int)
+        for _, words, counts in asked:
+            for word, n in zip(words.split(b" "), np.frombuffer(counts, "<u4").tolist()):
+                total[word] += n
+        for chunk, words, _ in asked:
+            found = [total[word] for word in words.split(b" ")]
+            yield _rows_of(ANSWER_SCHEMA, [(chunk, bucket, np.array(found, "<u8").tobytes(), None, None)])
+        yield _rows_of(ANSWER_SCHEMA, [(None, bucket, None, sum(total.values()), sum(n > 0 for n in total.values()))])
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("chunk", "bucket", "words", "counts")]
+        for chunk, here, words, counts in zip(*columns):
+            if here != bucket and asked:
+                yield from told()
+                asked = []
+            bucket = here
+            asked.append((chunk, words, counts))
+    if asked:
+        yield from told()
+
+
 def _unigram(n_learnt: int, n_ends: int, n_distinct: int, id_type: pa.DataType):
-    """The rows of a chunk, from its texts and its words' counts in the corpus."""
+    """The rows of each chunk, whose texts come first and then its words' counts by bucket."""
     schema = pa.schema(
         [("id", id_type), ("held_out", pa.bool_()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
          ("bits", pa.float64()), ("base_score", pa.float64())]
     )
     below = np.log10(n_learnt + n_distinct + 1)
 
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        rows = [schema.empty_table()]
-        counts = np.zeros(words.num_rows, np.int64)
-        counts[words.column("at").to_numpy()] = words.column("n").to_numpy()
+    def told(row: dict, answers: list[bytes]) -> pa.RecordBatch:
+        counts = np.frombuffer(b"".join(answers), "<u8")
         share = np.log10(counts + 1.0) - below
-        for row in texts.to_pylist():
-            n_words = np.array(row["n_words"], np.int64)
-            places = np.frombuffer(row["places"], "<u4")
-            owner = np.repeat(np.arange(len(n_words)), n_words)
-            score = np.bincount(owner, share[places], minlength=len(n_words)) + (np.log10(n_ends + 1.0) - below)
-            known = np.bincount(owner, counts[places] > 0, minlength=len(n_words)).astype(np.int64) + int(n_ends > 0)
-            cells = (row["ids"], row["held"], row["sizes"], n_words + 1, known, row["bits"], score)
-            rows.append(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cells, schema)], schema=schema))
-        return pa.concat_tables(rows)
+        n_words = np.array(row["n_words"], np.int64)
+        places = np.frombuffer(row["places"], "<u4")
+        owner = np.repeat(np.arange(len(n_words)), n_words)
+        score = np.bincount(owner, share[places], minlength=len(n_words)) + (np.log10(n_ends + 1.0) - below)
+        known = np.bincount(owner, counts[places] > 0, minlength=len(n_words)).astype(np.int64) + int(n_ends > 0)
+        cells = (row["ids"], row["held"], row["sizes"], n_words + 1, known, row["bits"], score)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cells, schema)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, answers = None, []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                (row,) = batch.slice(i, 1).to_pylist()
+                if row["bucket"] is None:
+                    if texts is not None:
+                        yield told(texts, answers)
+                    texts, answers = row, []
+                else:
+                    answers.append(row["counts"])
+        if texts is not None:
+            yield told(texts, answers)
 
     return run
 
 
 def score(
-    docs: DataFrame, model: Model, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, model: Model, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
+    chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES,
+) -> DataFrame:
     """(id, held_out, n_bytes, n_tokens, n_known, bits, base_score, train_tokens), a row for each row of `docs`.
 
     `bits` is what the model takes for the lower-cased text and its end. Tokens are words
@@ -600,25 +666,25 @@ def score(
     given = _given(docs, id_col, text_col, held_out)
     kind = given.schema["id"].dataType
     name, id_type = kind.simpleString(), to_arrow_type(kind)
-    chunks = stored(
-        given.mapInArrow(
-            _scored(model, id_type),
-            f"chunk long, ids array<{name}>, held array<boolean>, sizes array<long>, bits array<double>, n_words array<long>, "
-            "places binary, words array<binary>, learnt array<long>",
-        ),
-        "mixing-chunks",
+    n_bytes, n_ends = given.agg(F.sum(F.octet_length("text").cast("long")), F.count_if(~F.col("held_out"))).first()
+    buckets = (n_bytes or 0) // bucket_bytes + 1
+    columns = (
+        f"chunk long, bucket int, ids array<{name}>, held array<boolean>, sizes array<long>, bits array<double>, "
+        "n_words array<long>, places binary, words binary, counts binary"
+    )
+    chunks = stored(given.mapInArrow(_scored(model, buckets, chunk_bytes, id_type), columns), "mixing-chunks")
+    asked = chunks.where("bucket is not null").select("chunk", "bucket", "words", "counts")
+    answers = stored(
+        asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_counted, ANSWERS), "mixing-counts"
     )
-    words = chunks.select(F.col("chunk").alias("of"), F.posexplode(F.arrays_zip("words", "learnt")).alias("at", "word")).select("of", "at", "word.*")
-    known = stored(words.where("learnt > 0").groupBy("words").agg(F.sum("learnt").alias("n")), "mixing-words")
-    texts = chunks.select(F.explode("held").alias("held"))
-    n_ends = texts.where("not held").count()
-    n_distinct, n_learnt = known.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    n_distinct, n_learnt = n_distinct + (n_ends > 0), n_learnt + n_ends
-    counted = words.join(known, "words", "left").select("of", "at", F.coalesce("n", F.lit(0)).alias("n"))
+    sums = answers.where("chunk is null").agg(F.sum("n_learnt"), F.sum("n_distinct")).first()
+    n_learnt, n_distinct = (sums[0] or 0) + n_ends, (sums[1] or 0) + int(n_ends > 0)
+    texts = chunks.where("bucket is null").select("chunk", "bucket", "ids", "held", "sizes", "bits", "n_words", "places")
+    back = answers.where("chunk is not null").select("chunk", "bucket", "counts")
     return (
-        chunks.drop("words", "learnt").groupBy("chunk")
-        .cogroup(counted.groupBy("of"))
-        .applyInArrow(
+        texts.unionByName(back, allowMissingColumns=True)
+        .repartition("chunk").sortWithinPartitions("chunk", F.asc_nulls_first("bucket"))
+        .mapInArrow(
             _unigram(n_learnt, n_ends, n_distinct, id_type),
             f"id {name}, held_out boolean, n_bytes long, n_tokens long, n_known long, bits double, base_score double",
         )

@@ -23,20 +23,19 @@ def plain_trees(raws):
     return pairs, M.Trees(pairs.ravel())
 
 
+def spread(h):
+    h = h * M.POWER % 2**64
+    h ^= h >> 32
+    return (h * M.POWER % 2**64) >> 32
+
+
 def plain_hashes(raw, i):
     """The contexts of a place, byte by byte."""
     behind = (b"\0" * M.PAD + raw[:i])[-M.PAD :]
-    found = []
-    for n in M.ORDERS:
-        h = (int.from_bytes(behind[-n:], "big") + n) * M.POWER % 2**64
-        h ^= h >> 32
-        found.append((h * M.POWER % 2**64) >> 32)
-    word = raw[:i]
-    cut = max(word.rfind(bytes([b])) for b in np.flatnonzero(M.BLANK).tolist()) + 1
-    h = sum((b + 1) * pow(M.POWER, k, 2**64) for k, b in enumerate(word[cut:])) % 2**64
-    h ^= h >> 31
-    found.append((h * M.POWER % 2**64) >> 32)
-    return found
+    found = [spread((int.from_bytes(behind[-n:], "little") + (n << 56 | n)) % 2**64) for n in M.ORDERS]
+    blanks = bytes(np.flatnonzero(M.BLANK).tolist())
+    word = raw[:i][max(raw[:i].rfind(bytes([b])) for b in blanks) + 1 :]
+    return [*found, spread((int.from_bytes(word[-8:], "little") + len(word)) % 2**64)]
 
 
 def plain_steps(trees, raw, bits):
@@ -66,26 +65,23 @@ def plain_bits(trees, tables, raw, bits):
     for (slots, turn), i in zip(plain_steps(trees, raw, bits), by_symbol):
         if i // M.SEGMENT != n:
             n = i // M.SEGMENT
-            weights = list(map(float, M.FIRST_WEIGHT))
-            refined = [1 / (1 + math.exp(-(k - (M.REFINE_STEPS - 1) / 2) * 2 * M.REFINE_LIMIT / (M.REFINE_STEPS - 1))) for k in range(M.REFINE_STEPS)]
+            always = list(map(float, M.FIRST_WEIGHT[: M.PREDICTORS]))
+            if_known = [b - a for a, b in zip(always, M.FIRST_WEIGHT[M.PREDICTORS :])]
         codes = [int(t[s]) for t, s in zip(tables, slots)]
         known = codes[-1] & 1
         guess = [(c >> 1) * M.GUESS_STEP for c in codes]
-        mine = range(known * M.PREDICTORS, (known + 1) * M.PREDICTORS)
-        mixed = sum(weights[w] * g for w, g in zip(mine, guess))
-        mixed = max(min(mixed, M.REFINE_LIMIT - 0.1), 0.1 - M.REFINE_LIMIT)
-        p = 1 / (1 + math.exp(-mixed))
-        for w, g in zip(mine, guess):
-            weights[w] += M.RATE * (turn - p) * g
-        k = int(np.float32(mixed) * np.float32((M.REFINE_STEPS - 1) / (2 * M.REFINE_LIMIT)) + np.float32((M.REFINE_STEPS - 1) / 2 + 0.5))
-        q = refined[k]
-        refined[k] += M.REFINE_RATE * (turn - q)
-        both = (p + q) / 2
-        total -= math.log2(both if turn else 1 - both)
+        mixed = sum((a + known * b) * g for a, b, g in zip(always, if_known, guess))
+        sure = math.tanh(mixed / 2) * M.SUREST
+        way = 2 * turn - 1
+        for j, g in enumerate(guess):
+            step = M.RATE * (way - sure) / 2 * g
+            always[j] += step
+            if_known[j] += known * step
+        total -= math.log2((1 + way * sure) / 2)
     return total
 
 
-TEXTS = ["the cat sat on the mat.\n", "The CAT\tsat", "", "a", "zzz \x00 é日本", "on the mat on the mat on the mat " * 60]
+TEXTS = ["the cat sat on the mat.\n", "The CAT\tsat", "", "a", "zzz \x00 é日本", "on the mat on the mat on the mat " * 60, "extraordinarily longwords\x00here"]
 
 
 def test_trees_are_prefix_codes():
@@ -125,7 +121,8 @@ def test_probabilities_sum_to_one():
     rng = random.Random(2)
     parts = [(bytes([b]), False) for b in range(256)] + [(b"", True)]
     rng.shuffle(parts)
-    assert (2.0 ** -scorer._bits(parts)).sum() == pytest.approx(1, abs=1e-4)
+    packed, n_steps, _ = scorer._laid(parts)
+    assert np.exp(-scorer._mixed(packed, n_steps)).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_scores_do_not_depend_on_neighbours(monkeypatch):
@@ -134,7 +131,7 @@ def test_scores_do_not_depend_on_neighbours(monkeypatch):
     scorer = M.Scorer(trees, [M.codes_of(c) for c in plain_counts(trees, raws, 12)])
     together, alone = scorer.bits_of(raws), [scorer.bits_of([r])[0] for r in raws]
     monkeypatch.setattr(M, "LANES", 2)
-    monkeypatch.setattr(M, "LAID_OUT", 1)
+    monkeypatch.setattr(M, "STEPS", 3)
     assert together == pytest.approx(alone, rel=1e-5) and scorer.bits_of(raws) == pytest.approx(alone, rel=1e-5)
     assert scorer.bits_of([]).tolist() == []
 
@@ -155,7 +152,8 @@ def test_tables_of_a_fit_beside_a_loop(spark, make_docs):
         assert (table == M.codes_of(counts)).all()
 
 
-def test_scores_of_rows(spark, make_docs, clash):
+@pytest.mark.parametrize("chunk_bytes", [300, M.CHUNK_BYTES])
+def test_scores_of_rows(spark, make_docs, clash, chunk_bytes):
     """The unigram by hand; nulls, empty and long texts, repeated rows, null ids."""
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choices(["Alpha", "beta", "Gamma,", "δ"], k=rng.randint(0, 40)))) for i in range(60)]
@@ -169,7 +167,7 @@ def test_scores_of_rows(spark, make_docs, clash):
             words = [*lowered(t).split(), None]
             counts.update(words)
             n += len(words)
-    found = M.score(docs, M.fit(docs, held()), held()).collect()
+    found = M.score(docs, M.fit(docs, held()), held(), chunk_bytes=chunk_bytes, bucket_bytes=chunk_bytes).collect()
     expected = []
     for i, t in rows:
         words = [*lowered(t).split(), None]
