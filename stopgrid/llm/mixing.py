@@ -43,9 +43,10 @@ STEPS = 32
 #: Bytes of text whose decisions are laid out at once, and whose segments advance together. In
 #: longer texts contexts begin anew after the first of both.
 LAID_OUT = 512 * SEGMENT
+COUNTED_AT_ONCE = 4 * LAID_OUT
 PART = 4096 * SEGMENT
 #: Bounds of a table's slots, as powers of two; between them, by the bytes of the learning texts.
-LEAST_BITS, MOST_BITS = 14, 22
+LEAST_BITS, MOST_BITS = 14, 21
 #: Entries of the counts in a block that travels.
 BLOCK = 1 << 16
 #: Groups in which the blocks of the tasks are summed before they meet.
@@ -409,14 +410,8 @@ def _counts(trees, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(trees.value, bits)
         for _, _, texts in _batched(batches):
-            parts, held = [], 0
-            for part in chain.from_iterable(map(parts_of, texts)):
-                parts.append(part)
-                held += len(part[0]) + 1
-                if held >= PART:
-                    counts.add(parts)
-                    parts, held = [], 0
-            counts.add(parts)
+            for some in _runs([(0, *part) for part in chain.from_iterable(map(parts_of, texts))], COUNTED_AT_ONCE):
+                counts.add([(raw, ends) for _, raw, ends in some])
         group = TaskContext.get().partitionId() // SPREAD
         for predictor, table in enumerate(counts.table):
             for i in range(0, len(table), BLOCK):
