@@ -109,6 +109,59 @@ def csv_stop_days(
     return demand.stop_days_from_wide(dated, hours)
 
 
+# -- the operations cache ---------------------------------------------------
+FILE_LEDGER = T.StructType([T.StructField("path", T.StringType()), T.StructField("modified", T.TimestampType())])
+
+
+def refresh_ops_cache(
+    spark: SparkSession, pages: str, cache: str, seen: str, route_map: DataFrame | None = None
+) -> int:
+    """Take pages not seen before into the hourly operations table; how many files they were.
+
+    The ledger `seen` has the path and time of every file taken in, so a file is parsed
+    once, and again if it was replaced. Rows are upserted by date, route, stop and hour, the
+    later page winning, and the ledger is written last: a run that failed is repeated
+    and upserts the same rows. Failed pages give no rows and are not tried again until
+    they are replaced.
+    """
+    with releasing(spark):
+        ledger = None
+        if merge.path_exists(spark, seen):
+            spark.catalog.refreshByPath(seen)
+            ledger = spark.read.schema(FILE_LEDGER).parquet(seen)
+        fresh = stored(files.unseen_files(spark, pages, "*.xml", ledger), "unseen-files")
+        paths = [row["path"] for row in fresh.select("path").collect()]
+        if not paths:
+            return 0
+        wide = xml.ops_rows(xml.read_pages(spark, paths, S.OPS_SERVICE), origin=True)
+        if route_map is None:
+            named = wide.withColumn("route_no", F.col("rte_id"))
+        else:
+            named = wide.join(route_map.groupBy("rte_id").agg(F.min("route_no").alias("route_no")), "rte_id")
+        # parsed once, before they become 24 rows each and are filtered
+        dated = stored(named.withColumn("date", C.parse_date("date")), "new-pages").where(F.col("date").isNotNull())
+        hours = {h: f"ops_{h:02d}" for h in range(24)}
+        rows = reshape.unpivot_hours(
+            dated, hours, ["date", "route_no", "rte_id", "stop_id", "stop_seq", merge.ORIGIN], lambda c: c.cast("bigint")
+        )
+        names = S.OPS_HOURLY.fieldNames()
+        merge.upsert_table(spark, cache, rows.select(*names, merge.ORIGIN), S.KEYS["ops_hourly"], ["date"], [merge.ORIGIN])
+        fresh.coalesce(1).write.mode("append").parquet(seen)
+    return len(paths)
+
+
+def read_ops_cache(spark: SparkSession, cache: str, requests: DataFrame | None = None) -> DataFrame:
+    """Hourly operations rows of the cache, of the requested (route_no, date) if there are some."""
+    spark.catalog.refreshByPath(cache)
+    rows = files.read_partitioned(spark, cache, S.OPS_HOURLY)
+    return rows if requests is None else merge.cached_rows(requests, rows, ["route_no", "date"], ["date"])
+
+
+def cached_stop_days(spark: SparkSession, cache: str, requests: DataFrame | None = None) -> DataFrame:
+    """Stop days of the operations cache, a source for `build_fact`."""
+    return demand.stop_days_from_long(read_ops_cache(spark, cache, requests))
+
+
 def _on_dates(rows: DataFrame, dates: Iterable[dt.date] | None) -> DataFrame:
     return rows if dates is None else rows.where(F.col("date").isin(list(dates)))
 
@@ -304,6 +357,46 @@ def vacuum_fact(spark: SparkSession, path: str, ledger: str) -> int:
     return len(stale)
 
 
+# -- weekday averages kept up to date ---------------------------------------
+WEEKDAY_STATES = S.struct(
+    "route_no string, hour int, sum_board double, count_board bigint, sum_ops bigint, count_ops bigint, "
+    "sum_per_bus double, count_per_bus bigint, dow int"
+)
+
+
+def refresh_weekdays(changed: DataFrame, dates: Iterable[dt.date], states: str, totals: str) -> None:
+    """Take the new rows of some dates into the weekday averages.
+
+    `changed` has the fact rows of `dates`, all of them and no others. Their states replace those of the same
+    dates; a date left without rows loses its states. The totals of the weekdays concerned
+    are then added up from the states of their dates, which hold no stops: neither the
+    fact rows of other dates nor the states of other weekdays are read. A repeated run
+    changes nothing, and sums do not drift.
+    """
+    spark, dates = changed.sparkSession, sorted(set(dates))
+    weekdays = sorted({d.isoweekday() % 7 + 1 for d in dates})
+    with releasing(spark):
+        fresh = stored(serving.weekday_states(changed.where(F.col("date").isin(dates))), "weekday-states")
+        merge.write_partitions(fresh, states, ["dow", "date"])
+        written = {r["date"] for r in fresh.select("date").distinct().collect()}
+        for d in dates:
+            if d not in written:
+                remove_path(spark, f"{states.rstrip('/')}/dow={d.isoweekday() % 7 + 1}/date={d}")
+        spark.catalog.refreshByPath(states)
+        kept = spark.read.schema(fresh.schema).parquet(states).where(F.col("dow").isin(weekdays))
+        merge.write_partitions(serving.merged_states(kept), totals, ["dow"])
+        present = {r["dow"] for r in kept.select("dow").distinct().collect()}
+        for w in weekdays:
+            if w not in present:
+                remove_path(spark, f"{totals.rstrip('/')}/dow={w}")
+        spark.catalog.refreshByPath(totals)
+
+
+def read_weekdays(spark: SparkSession, totals: str) -> DataFrame:
+    """The weekday averages as the last refresh left them."""
+    return serving.averages_of(spark.read.schema(WEEKDAY_STATES).parquet(totals))
+
+
 def export_fact(fact: DataFrame, path: str) -> None:
     """CSV files under the names of the flat table, by route and date."""
     export_named(fact, S.FACT_NAMES, path)
@@ -331,19 +424,29 @@ def export_schedule(predictions: DataFrame, links: DataFrame | None, schedule_pa
 
 
 # -- predictions, schedule and reallocation ---------------------------------
-def predict(fact: DataFrame, splits: features.Split, output_split: str = "test") -> DataFrame:
-    """Train the demand model and predict the output split in the predictions table's shape."""
-    rows = features.with_split(features.demand_features(fact), splits)
+def predict(fact: DataFrame, splits: features.Split, output_split: str = "test", loss: str = "absolute") -> DataFrame:
+    """Train the demand model and predict the output split in the predictions table's shape.
+
+    Feature rows and windows are written once, as fitting reads them over and over; the
+    result reads them too, so they go with the caller's `releasing`.
+    """
+    rows = stored(features.with_split(features.demand_features(fact), splits), "model-features")
     minmax = features.feature_minmax(rows.where(F.col("split") == "train"))
-    scaled = stored(features.scale_features(rows, minmax), "model-rows")
-    windows = features.sequence_windows(scaled, ["split", *features.SERIES])
-    scores = features.demand_scores(features.model_input(windows)).where(F.col("split") == output_split)
+    windows = features.sequence_windows(features.scale_features(rows, minmax), ["split", *features.SERIES])
+    inputs = stored(features.model_input(windows), "model-windows")
+    scores = features.demand_scores(inputs, loss=loss).where(F.col("split") == output_split)
     hour = (F.col("hour_index") % 24).cast("int").alias("hour")
     return trips.predictions_output(
         scores.select("route_no", "stop_id", "date", hour, "yhat_board", "yhat_alight"), fact
     )
 
 
+def build_predictions(fact: DataFrame, splits: features.Split, out: str, output_split: str = "test", loss: str = "absolute") -> None:
+    """Predictions of the output split written by date; nothing but them is left."""
+    with releasing(fact.sparkSession):
+        merge.write_partitions(predict(fact, splits, output_split, loss), out, DATE_PARTITIONS)
+
+
 def ingest_predictions(spark: SparkSession, paths: Sequence[str], table: str, base: str | None = None) -> None:
     """Prediction files of any accepted spelling upserted into the predictions table."""
     rows = merge.coerce_predictions(files.read_predictions(spark, paths, base))

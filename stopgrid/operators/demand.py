@@ -162,12 +162,13 @@ def disaggregate_demand(ops: DataFrame, daily: DataFrame, monthly: DataFrame | N
 
 
 # -- link distances ---------------------------------------------------------
-def fill_links(rows: DataFrame, links: DataFrame) -> DataFrame:
+def fill_links(rows: DataFrame, links: DataFrame, as_of: bool = False) -> DataFrame:
     """Add link_distance_m: by stop id, else the mean of the same sequence.
 
     `rows` has route_key, stop_id and stop_seq. Links with a date are those of that
     day and go before the undated ones of the route as a whole; `rows` then has a
-    date too. Links become one row per route, or route and date, that holds the
+    date too. With `as_of` a day takes the route's newest links that are not younger
+    than the day. Links become one row per route, or route and date, that holds the
     distances of its stops, so each kind takes one join and never multiplies rows.
     """
     if "date" not in links.columns:
@@ -175,10 +176,29 @@ def fill_links(rows: DataFrame, links: DataFrame) -> DataFrame:
     day = C.parse_date(F.col("date").cast("string"))
     dated = _link_table(links.where(F.col("date").isNotNull()).withColumn("date", day), ["route_key", "date"])
     always = _link_table(links.where(F.col("date").isNull()), ["route_key"]).withColumnRenamed("_links", "_always")
-    joined = rows.join(dated, ["route_key", "date"], "left").join(always, "route_key", "left")
+    if as_of:
+        there = dated.withColumnRenamed("date", "_since")
+        since = as_of_dates(rows, dated, ["route_key"]).withColumnRenamed("known_date", "_since")
+        given = rows.join(since, ["route_key", "date"], "left").join(there, ["route_key", "_since"], "left").drop("_since")
+    else:
+        given = rows.join(dated, ["route_key", "date"], "left")
+    joined = given.join(always, "route_key", "left")
     return _looked_up(joined.withColumn("_links", F.coalesce("_links", "_always"))).drop("_links", "_always")
 
 
+def as_of_dates(rows: DataFrame, known: DataFrame, keys: list[str], date: str = "date") -> DataFrame:
+    """For each (keys, date) of `rows` the newest date of `known` that is not after it, as `known_date`.
+
+    Dates of both sides are put on one line per key and the last known one is carried
+    on, so the rows themselves are not part of it: the line holds a key's distinct dates.
+    """
+    asked = rows.select(*keys, date).distinct().withColumn("_known", F.lit(None).cast("date"))
+    there = known.select(*keys, F.col(date)).distinct().withColumn("_known", F.col(date))
+    so_far = Window.partitionBy(*keys).orderBy(date, F.asc_nulls_last("_known")).rowsBetween(Window.unboundedPreceding, 0)
+    line = there.unionByName(asked).withColumn("known_date", F.last("_known", ignorenulls=True).over(so_far))
+    return line.where(F.col("_known").isNull() & F.col("known_date").isNotNull()).drop("_known")
+
+
 def _link_table(links: DataFrame, keys: list[str]) -> DataFrame:
     """One row per route (and date) with its stops' mean distances, by id and by sequence.
 

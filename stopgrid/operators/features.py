@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +23,12 @@ FEATURES = [
     "target_per_bus",
 ]
 SERIES = ["route_no", "stop_id"]
+TARGETS = ("y_board", "y_alight")
+#: Rounds of the absolute fit at most, and how many without a better one end it.
+MAX_ROUNDS = 100
+PATIENCE = 5
+#: Distances below it count as so many passengers.
+NEAR = 0.01
 CHUNK_HOURS = 24 * 32
 
 Split = dict[str, tuple[str | dt.date, str | dt.date]]
@@ -214,35 +222,99 @@ def stop_levels(train: DataFrame, targets: list[str]) -> DataFrame:
     return train.groupBy(*SERIES).agg(*[F.avg(t).alias(f"level_{t}") for t in targets])
 
 
-def fit_demand_model(train: DataFrame, target: str):
+def fit_demand_model(train: DataFrame, target: str, weight: str | None = None):
     """Linear model of a target's distance from its stop's level; the normal equations need a single pass."""
     from pyspark.ml.regression import LinearRegression
 
-    return LinearRegression(
+    squares = LinearRegression(
         featuresCol="x", labelCol=f"gap_{target}", predictionCol=f"move_{target}",
         solver="normal", regParam=0.01, maxIter=1,
-    ).fit(train)
+    )
+    return (squares.setWeightCol(weight) if weight else squares).fit(train)
 
 
-def demand_scores(rows: DataFrame, train_split: str = "train") -> DataFrame:
-    """Rows of all splits with yhat_board and yhat_alight, never negative.
+def predicted(model, rows: DataFrame, target: str) -> DataFrame:
+    """Rows with the target's level moved by the model, never below 0."""
+    return model.transform(rows).withColumn(
+        target.replace("y_", "yhat_"), C.clip_zero(F.col(f"level_{target}") + F.col(f"move_{target}"))
+    )
 
-    `rows` holds the vector column x and the split; levels and models are fitted on
-    the training split. A stop that has no training rows takes the level of all.
+
+def absolute_error(model, rows: DataFrame, target: str) -> float | None:
+    """Mean absolute error of a model's predictions, None without rows."""
+    gap = F.abs(F.col(target) - F.col(target.replace("y_", "yhat_")))
+    return predicted(model, rows, target).agg(F.avg(gap)).first()[0]
+
+
+class AbsoluteFit(NamedTuple):
+    """A model, the error it was picked for, and the errors of all rounds; the first is that of least squares."""
+
+    model: object
+    error: float | None
+    errors: list[float | None]
+
+
+def fit_absolute(
+    train: DataFrame, validation: DataFrame, target: str, rounds: int = MAX_ROUNDS, patience: int = PATIENCE
+) -> AbsoluteFit:
+    """The linear model of least absolute error, by least squares over and over with new weights.
+
+    A round weighs each training row by one over its distance from the last round's
+    prediction (a small one counts as `NEAR`), which turns squares into absolute values,
+    and takes one pass over the training rows. The error that decides is the absolute one
+    of the validation rows: the best round is kept, and `patience` rounds without a better
+    one end the fit. Without validation rows the training rows decide.
+    """
+    judge = train if validation.isEmpty() else validation
+    model = fit_demand_model(train, target)
+    best, best_error = model, absolute_error(model, judge, target)
+    errors, since_best = [best_error], 0
+    while len(errors) <= rounds and since_best < patience and best_error is not None:
+        away = F.abs(F.col(f"gap_{target}") - F.col(f"move_{target}"))
+        weighed = model.transform(train).withColumn("_w", F.lit(1.0) / F.greatest(away, F.lit(NEAR))).drop(f"move_{target}")
+        model = fit_demand_model(weighed, target, "_w")
+        errors.append(absolute_error(model, judge, target))
+        if errors[-1] < best_error:
+            best, best_error, since_best = model, errors[-1], 0
+        else:
+            since_best += 1
+    return AbsoluteFit(best, best_error, errors)
+
+
+def with_levels(rows: DataFrame, train_split: str = "train", targets: Sequence[str] = TARGETS) -> DataFrame:
+    """Rows with each target's level at their stop and their distance from it.
+
+    A stop that has no training rows takes the level of all.
     """
-    targets = ["y_board", "y_alight"]
     train = rows.where(F.col("split") == train_split)
     overall = train.agg(*[F.avg(t).alias(t) for t in targets]).first()
-    rows = rows.join(stop_levels(train, targets), SERIES, "left")
+    rows = rows.join(stop_levels(train, list(targets)), SERIES, "left")
     for t in targets:
         rows = rows.withColumn(f"level_{t}", F.coalesce(F.col(f"level_{t}"), F.lit(overall[t])))
         rows = rows.withColumn(f"gap_{t}", F.col(t) - F.col(f"level_{t}"))
-    for t in targets:
-        model = fit_demand_model(rows.where(F.col("split") == train_split), t)
-        rows = model.transform(rows).withColumn(
-            t.replace("y_", "yhat_"), C.clip_zero(F.col(f"level_{t}") + F.col(f"move_{t}"))
-        )
-    return rows.drop(*[f"{kind}_{t}" for kind in ("level", "gap", "move") for t in targets])
+    return rows
+
+
+def demand_scores(
+    rows: DataFrame, train_split: str = "train", loss: str = "squared", validation_split: str = "val",
+    rounds: int = MAX_ROUNDS, patience: int = PATIENCE,
+) -> DataFrame:
+    """Rows of all splits with yhat_board and yhat_alight, never negative.
+
+    `rows` holds the vector column x and the split; levels and models are fitted on
+    the training split. With the absolute loss the validation split picks the round. Every
+    fit reads the rows anew, so they are best a stored table.
+    """
+    if loss not in ("squared", "absolute"):
+        raise ValueError(f"unknown loss {loss}")
+    rows = with_levels(rows, train_split)
+    train, validation = (rows.where(F.col("split") == s) for s in (train_split, validation_split))
+    models = [
+        fit_demand_model(train, t) if loss == "squared" else fit_absolute(train, validation, t, rounds, patience).model for t in TARGETS
+    ]
+    for t, model in zip(TARGETS, models):
+        rows = predicted(model, rows, t)
+    return rows.drop(*[f"{kind}_{t}" for kind in ("level", "gap", "move") for t in TARGETS])
 
 
 def demand_errors(scores: DataFrame) -> DataFrame:

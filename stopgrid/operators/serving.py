@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopgrid import schema as S
@@ -92,14 +92,36 @@ def stop_detail_by_hour(fact: DataFrame, route_no: str | None = None, date=None,
     )
 
 
+MEANS = {"avg_board": "board", "avg_dep": "ops", "avg_board_per_bus": "per_bus"}
+
+
 def weekday_hour_avg(fact: DataFrame) -> DataFrame:
     """Averages over all stop-hour rows of a weekday (Sunday = 1) and hour."""
-    per_bus = F.when(F.col("ops") > 0, F.col("board") / F.col("ops"))
-    return fact.groupBy("route_no", F.dayofweek("date").alias("dow"), "hour").agg(
-        F.avg("board").alias("avg_board"),
-        F.avg("ops").alias("avg_dep"),
-        F.avg(per_bus).alias("avg_board_per_bus"),
-    )
+    rows = fact.withColumns({"dow": F.dayofweek("date"), "per_bus": _per_bus()})
+    return rows.groupBy("route_no", "dow", "hour").agg(*[F.avg(v).alias(n) for n, v in MEANS.items()])
+
+
+def _per_bus() -> Column:
+    return F.when(F.col("ops") > 0, F.col("board") / F.col("ops"))
+
+
+def weekday_states(fact: DataFrame) -> DataFrame:
+    """Sum and count of each mean's values per route, date and hour: what a date adds to its weekday."""
+    rows = fact.withColumns({"dow": F.dayofweek("date"), "per_bus": _per_bus()})
+    parts = [f(v).alias(f"{name}_{v}") for v in MEANS.values() for name, f in (("sum", F.sum), ("count", F.count))]
+    return rows.groupBy("route_no", "dow", "date", "hour").agg(*parts)
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """States of all dates of a weekday as one."""
+    parts = [F.sum(f"{name}_{v}").alias(f"{name}_{v}") for v in MEANS.values() for name in ("sum", "count")]
+    return states.groupBy("route_no", "dow", "hour").agg(*parts)
+
+
+def averages_of(states: DataFrame) -> DataFrame:
+    """The averages that merged states stand for, as `weekday_hour_avg` gives them."""
+    means = [(F.col(f"sum_{v}") / F.nullif(F.col(f"count_{v}"), F.lit(0))).alias(n) for n, v in MEANS.items()]
+    return states.select("route_no", "dow", "hour", *means)
 
 
 def forecast_grid(routes: DataFrame, start: str | dt.date, days: int = S.FORECAST_DAYS) -> DataFrame:
@@ -113,7 +135,11 @@ def forecast_weekday(fact: DataFrame, start: str | dt.date, days: int = S.FORECA
     The averages are one row per route with a 7 x 24 table, so that the calendar
     grows out of that row and neither a route list nor a join is needed.
     """
-    averages = weekday_hour_avg(fact)
+    return forecast_from(weekday_hour_avg(fact), start, days)
+
+
+def forecast_from(averages: DataFrame, start: str | dt.date, days: int = S.FORECAST_DAYS) -> DataFrame:
+    """The forecast of given weekday averages."""
     key = F.col("dow") * 24 + F.col("hour")
     tables = averages.groupBy("route_no").agg(
         F.map_from_entries(

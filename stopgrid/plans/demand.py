@@ -77,6 +77,40 @@ def link_distance_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(demand.fill_links(rows, tables.dim_stop_link(spark, sf_dir)))
 
 
+LINK_DATES = {"2024-01-05": 1, "2024-01-12": 2, "2024-01-20": 3}
+DATED = ", ".join(f"(date '{d}', {n})" for d, n in LINK_DATES.items())
+AS_OF = f"""case when k.since is null then {FILLED} else coalesce(
+    (select avg(l.m) from dated l where l.route_no = e.route_no and l.since = k.since and l.stop_id = e.stop_id),
+    (select avg(l.m) from dated l where l.route_no = e.route_no and l.since = k.since and l.stop_seq = e.stop_seq)) end"""
+
+
+@query(
+    "link_distance_as_of",
+    twin(
+        f"""select e.route_no, {day('e.date')} as date, e.stop_id, e.stop_seq, e.hour, {r(AS_OF)} as link_distance_m
+        from dsh e left join (
+            select d.route_no, d.date, max(l.since) as since from (select distinct route_no, date from dsh) d
+            join dated l on l.route_no = d.route_no and l.since <= d.date group by 1, 2
+        ) k on k.route_no = e.route_no and k.date = e.date""",
+        "dsh",
+        "links",
+        extra=f"""dated as (select l.*, v.since, l.link_distance_m + v.n as m
+            from links l, (values {DATED}) v(since, n) where l.stop_seq <> v.n)""",
+    ),
+)
+def link_distance_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of three dates, each a little longer and without one stop, before them the undated ones."""
+    links = tables.dim_stop_link(spark, sf_dir).select("route_key", "stop_id", "stop_seq", "link_distance_m")
+    version = F.explode(F.array(*[F.struct(F.lit(d).alias("date"), F.lit(n).alias("n")) for d, n in LINK_DATES.items()]))
+    dated = links.withColumn("v", version).where("stop_seq <> v.n").select(
+        "route_key", "stop_id", "stop_seq", (F.col("link_distance_m") + F.col("v.n")).alias("link_distance_m"), F.col("v.date").alias("date")
+    )
+    both = dated.unionByName(links.withColumn("date", F.lit(None).cast("string")))
+    rows = tables.daily_stop_hour(spark, sf_dir).withColumn("route_key", tables.route_key("route_no")).drop("link_distance_m")
+    filled = demand.fill_links(rows, both, as_of=True)
+    return plain(filled.select("route_no", "date", "stop_id", "stop_seq", "hour", "link_distance_m"))
+
+
 def wide_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = tables.ops_wide(spark, sf_dir)
     return wide.select(

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopgrid import jobs
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
 from stopgrid.operators import merge, reshape
@@ -59,11 +60,9 @@ def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ingest_predictions_by_date", twin(PREDICTION_COLUMNS, "preds"))
 def ingest_predictions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every date's folder, read as one list of paths."""
+    """The folders of all dates; their files' headers are read in one job."""
     base = landing.prediction_csv(spark, sf_dir)
-    dates = tables.events(spark, sf_dir).select(F.col("ts").cast("date")).distinct()
-    days = sorted(row[0] for row in dates.collect())
-    raw = files.read_predictions(spark, files.dated_paths(base, days), base)
+    raw = files.read_predictions(spark, base, base)
     return plain(merge.coerce_predictions(raw).drop(merge.ORIGIN))
 
 
@@ -439,6 +438,27 @@ def ops_cache_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "ops_cache_refresh",
+    twin(
+        f"""select g.route_no, {day('g.date')} as date, g.stop_id, g.stop_seq, g.hour,
+            case when g.date >= date '2024-01-15' and g.ops > 0 then g.ops + 1 else coalesce(g.ops, 0) end as ops
+        from grid g join {REQUESTED} q on q.route_no = g.route_no and q.date = g.date""",
+        "grid",
+        "daily",
+    ),
+)
+def ops_cache_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings of pages, the second correcting the last date of the first; read through by route and date."""
+    pages, cache, seen = (shared_path(spark, n) for n in ("cache-pages", "cache", "cache-files"))
+    route_map = tables.dim_route_map(spark, sf_dir)
+    for part in ("first", "second"):
+        landing.ops_pages_part(spark, sf_dir, f"{pages}/{part}", part)
+        jobs.refresh_ops_cache(spark, pages, cache, seen, route_map)
+    rows = jobs.read_ops_cache(spark, cache, _requests(spark, sf_dir))
+    return plain(rows.select("route_no", "date", "stop_id", "stop_seq", "hour", "ops"))
+
+
 # -- sinks and upserts ------------------------------------------------------
 UPSERTED = f"""select route_no, {day()} as date, stop_id, stop_seq, hour,
     case when dsh.{NEW[1:-1]} then ops + 1 else ops end as ops,

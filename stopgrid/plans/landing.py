@@ -97,7 +97,21 @@ def _page(rows: DataFrame, keys: list[str], code: Column, total: Column, tags: l
 
 def ops_pages(spark: SparkSession, sf_dir: str) -> str:
     path = shared_path(spark, "ops-pages")
+    _land_ops(tables.ops_wide(spark, sf_dir), path)
+    return path
+
+
+def ops_pages_part(spark: SparkSession, sf_dir: str, path: str, part: str) -> None:
+    """Pages of the first dates, or of the later ones with a bus more in every hour that has some."""
     wide = tables.ops_wide(spark, sf_dir)
+    if part == "first":
+        _land_ops(wide.where(F.col("date") < C.compact_date(F.lit(tables.PREV_UNTIL).cast("date"))), path)
+        return
+    more = {f"ops_{h:02d}": (F.col(f"ops_{h:02d}").cast("bigint") + 1).cast("string") for h in range(24)}
+    _land_ops(wide.where(F.col("date") >= C.compact_date(F.lit(tables.NEW_FROM).cast("date"))).withColumns(more), path)
+
+
+def _land_ops(wide: DataFrame, path: str) -> None:
     tags = {
         "date": "CRTR_DD",
         "route_key": "RTE_ID",
@@ -109,7 +123,6 @@ def ops_pages(spark: SparkSession, sf_dir: str) -> str:
     ok = F.lit(S.SUCCESS_CODE)
     pages = _page(_named(wide, tags), ["CRTR_DD", "RTE_ID"], ok, F.count("*"), list(tags.values()))
     xml.land_pages(pages, path, S.OPS_SERVICE)
-    return path
 
 
 def daily_pages(spark: SparkSession, sf_dir: str) -> str:

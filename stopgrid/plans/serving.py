@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stopgrid import jobs
 from stopgrid.operators import serving
 from stopgrid.plans.registry import plain, query, six_digits
 from stopgrid.plans.twins import day, r, twin
+from stopgrid.session import shared_path
 from stopgrid.sources import tables
 
 FORECAST_START = "2024-02-01"
@@ -73,6 +75,27 @@ def forecast_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(serving.forecast_weekday(tables.daily_stop_hour(spark, sf_dir), FORECAST_START))
 
 
+CORRECTED = """select route_no, date, hour, stop_id, board, case when date >= date '2024-01-15' then ops + 1 else ops end as ops from dsh"""
+
+
+@query(
+    "weekday_states_refresh",
+    twin(
+        f"""select route_no, cast(dayofweek(date) + 1 as int) as dow, hour, {r('avg(board)')} as avg_board, {r('avg(ops)')} as avg_dep,
+            {r('avg(board / ops)')} as avg_board_per_bus
+        from ({CORRECTED}) group by 1, 2, 3""",
+        "dsh",
+    ),
+)
+def weekday_states_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings, of which the second corrects the last date of the first."""
+    states, totals = shared_path(spark, "weekday-states"), shared_path(spark, "weekday-totals")
+    for batch in (tables.prev_batch(spark, sf_dir), tables.new_batch(spark, sf_dir)):
+        dates = [row[0] for row in batch.select("date").distinct().collect()]
+        jobs.refresh_weekdays(batch, dates, states, totals)
+    return plain(jobs.read_weekdays(spark, totals))
+
+
 @query(
     "calendar_grid",
     twin(f"select route_no, {day()} as date, hour from ({GRID})", "passes", "hours"),

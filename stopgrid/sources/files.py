@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import functools
 from collections import defaultdict
@@ -186,20 +187,62 @@ def dated_paths(
     return [f"{prefix.rstrip('/')}/{pattern.format(date=d)}" for d in dates]
 
 
-def read_predictions(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame:
+def header_catalogue(spark: SparkSession, paths: str | Sequence[str], base: str | None = None) -> DataFrame:
+    """(file, header): the first line of every file under the paths, without a byte order mark.
+
+    One job for all files: each task passes on one line a file, that of the smallest place.
+    """
+    lines = spark.read.options(**({"basePath": base} if base else {})).text(list(paths) if not isinstance(paths, str) else paths)
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    ).where("block = 0")
+    first = placed.groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    return first.select("file", F.regexp_replace(F.rtrim("header"), "^\ufeff", "").alias("header"))
+
+
+def read_predictions(spark: SparkSession, paths: str | Sequence[str], base: str | None = None) -> DataFrame:
     """All given files as text, with their origin; every file's columns by its own header.
 
-    Files with the same header are one scan. A column that only some have is null in
-    the others.
+    Files with the same header are one scan, and the headers of all files are read in one
+    job before. A column that only some have is null in the others; empty files have no
+    part.
     """
-    options = {"basePath": base, "enforceSchema": "false"} if base else {"enforceSchema": "false"}
-    alike: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in paths:
-        alike[tuple(read_csv_strings(spark, path, **options).columns)].append(path)
-    scans = [with_origin(read_csv_strings(spark, same, **options)) for same in alike.values()]
+    alike: dict[str, list[str]] = defaultdict(list)
+    for file, header in header_catalogue(spark, paths, base).collect():
+        alike[header].append(file)
+    if not alike:
+        raise ValueError(f"no files with a header in {paths}")
+    scans = []
+    for header, same in sorted(alike.items()):
+        names = header_names(header)
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        options = {"header": "true", "encoding": "UTF-8", "enforceSchema": "true", **({"basePath": base} if base else {})}
+        scans.append(with_origin(spark.read.options(**options).schema(schema).csv(sorted(same))))
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+def header_names(header: str) -> list[str]:
+    """The column names of a header line, as the reader of CSV files splits it; repeated names get their place."""
+    (names,) = csv.reader([header])
+    return [f"{n}{i}" if n and names.count(n) > 1 else n or f"_c{i}" for i, n in enumerate(names)]
+
+
+# -- files of a landing folder ----------------------------------------------
+def listed_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """(path, modified) of the files below a folder, by their listing; no content is read."""
+    found = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup="true").load(path)
+    return found.select("path", F.col("modificationTime").alias("modified"))
+
+
+def unseen_files(spark: SparkSession, path: str, pattern: str, ledger: DataFrame | None) -> DataFrame:
+    """Listed files that the ledger does not hold as they are now: new ones and such as were replaced."""
+    found = listed_files(spark, path, pattern)
+    return found if ledger is None else found.join(ledger.select("path", "modified"), ["path", "modified"], "left_anti")
+
+
 # -- JDBC -------------------------------------------------------------------
 def read_jdbc(spark: SparkSession, url: str, table: str, predicates: list[str] | None = None,
               **properties: str) -> DataFrame:

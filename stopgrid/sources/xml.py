@@ -83,7 +83,7 @@ def _text(tag: str) -> Column:
     return F.coalesce(F.col(tag), F.lit(""))
 
 
-def ops_rows(pages: DataFrame) -> DataFrame:
+def ops_rows(pages: DataFrame, origin: bool = False) -> DataFrame:
     """Wide operations records; an hour that is not plain digits counts 0."""
     return _rows(pages).select(
         _text(S.OPS_TAGS["date"]).alias("date"),
@@ -92,6 +92,7 @@ def ops_rows(pages: DataFrame) -> DataFrame:
         C.to_number(S.OPS_TAGS["stop_seq"]).try_cast("int").alias("stop_seq"),
         F.coalesce(F.col(S.OPS_TAGS["ops_day"]), F.lit("0")).alias("ops_day"),
         *[C.digits_or_zero(S.ops_tag(h)).alias(f"ops_{h:02d}") for h in range(24)],
+        *_origin(origin),
     )
 
 

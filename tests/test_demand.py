@@ -137,3 +137,17 @@ def test_explode_range_over_several_chunks(spark):
     rows = reshape.explode_range(df, F.lit(0), F.col("n"), "i")
     got = {r["k"]: (r["c"], r["s"]) for r in rows.groupBy("k").agg(F.count("*").alias("c"), F.sum("i").alias("s")).collect()}
     assert got == {"x": (2500, sum(range(2500))), "z": (1, 0)}
+
+
+def test_links_as_of_the_day(spark):
+    import datetime as dt
+
+    day = lambda n: dt.date(2025, 6, n)
+    rows = spark.createDataFrame([(day(d), r, "a", 1) for d in (1, 3, 5, 9) for r in ("r1", "r2")], "date date, route_key string, stop_id string, stop_seq int")
+    dated = [("20250603", "r1", "a", 1, 30.0), ("2025-06-05", "r1", "a", 1, 50.0), ("20250604", "r2", "zz", 7, 1.0), (None, "r1", "a", 1, 7.0), (None, "r2", "a", 1, 8.0)]
+    links = spark.createDataFrame(dated, "date string, route_key string, stop_id string, stop_seq int, link_distance_m double")
+    got = {(r["route_key"], r["date"].day): r["link_distance_m"] for r in demand.fill_links(rows, links, as_of=True).collect()}
+    # before the first dated links the undated ones; a later day keeps the newest, and a route's links count as a whole
+    assert got == {("r1", 1): 7.0, ("r1", 3): 30.0, ("r1", 5): 50.0, ("r1", 9): 50.0, ("r2", 1): 8.0, ("r2", 3): 8.0, ("r2", 5): None, ("r2", 9): None}
+    exact = {(r["route_key"], r["date"].day): r["link_distance_m"] for r in demand.fill_links(rows, links).collect()}
+    assert exact[("r1", 9)] == 7.0 and exact[("r1", 3)] == 30.0

@@ -133,3 +133,27 @@ def test_every_stop_has_its_own_level(spark):
     scores = features.demand_scores(features.model_input(windows, ["f"]))
     worst = scores.where("split = 'test'").agg(F.max(F.abs(F.col("yhat_alight") - F.col("y_alight")))).first()[0]
     assert worst < 1e-6
+
+
+def test_absolute_fit_beats_squares_on_outliers(spark):
+    """A few huge values pull the squares away; the absolute fit keeps to the many."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 4 == 0, F.lit("val")).otherwise(F.lit("train")).alias("split"),
+        array_to_vector(F.array((F.col("id") % 20).cast("double"))).alias("x"),
+        (3.0 * (F.col("id") % 20) + F.when(F.col("id") % 17 == 1, F.lit(900.0)).otherwise(F.lit(0.0))).alias("y_board"),
+        F.lit(0.0).alias("level_y_board"),
+    ).withColumn("gap_y_board", F.col("y_board"))
+    train, validation = (rows.where(F.col("split") == s).cache() for s in ("train", "val"))
+    found = features.fit_absolute(train, validation, "y_board", rounds=20, patience=3)
+    assert found.error == min(found.errors) < 0.8 * found.errors[0]
+    assert 1 < len(found.errors) <= 21
+    assert found.model.coefficients[0] == pytest.approx(3.0, abs=0.1)
+    # it stops once nothing gets better, keeps the first round if none is, and needs no validation rows
+    still = features.fit_absolute(train, validation, "y_board", rounds=0)
+    assert still.errors == [found.errors[0]]
+    alone = features.fit_absolute(train, validation.limit(0), "y_board", rounds=20, patience=3)
+    assert alone.error < alone.errors[0]
+    with pytest.raises(ValueError):
+        features.demand_scores(rows, loss="cubed")

@@ -311,3 +311,90 @@ def test_sequence_links(spark, tmp_path):
     assert files.load_sequence_links(raw.drop("노선번호"), "8").first()["route_no"] == "8"
     with pytest.raises(merge.MissingColumns):
         files.load_sequence_links(raw.drop("노선번호"))
+
+
+def ops_row(date, stop, buses, route="r1"):
+    return {"CRTR_DD": date, "RTE_ID": route, "STOPS_ID": stop, "STOPS_SEQ": "1", "BUS_OPR": "1", "BUS_OPR_07": str(buses)}
+
+
+def test_operations_cache_parses_new_pages_alone(spark, tmp_path, monkeypatch):
+    from stopgrid.sources import xml
+
+    pages, cache, seen = (str(tmp_path / n) for n in ("pages", "cache", "seen"))
+    read = []
+    real = xml.read_pages
+    monkeypatch.setattr(xml, "read_pages", lambda spark, path, service: read.append(sorted(p.rsplit("/", 1)[1] for p in path)) or real(spark, path, service))
+    folder = tmp_path / "pages"
+    land(folder, [page(S.OPS_SERVICE, [ops_row("20250601", "a", 3)]), page(S.OPS_SERVICE, [ops_row("20250602", "a", 4)])])
+    assert jobs.refresh_ops_cache(spark, pages, cache, seen) == 2
+    assert jobs.refresh_ops_cache(spark, pages, cache, seen) == 0
+    land(folder / "later", [page(S.OPS_SERVICE, [ops_row("20250602", "a", 9), ops_row("20250603", "b", 1)])])
+    assert jobs.refresh_ops_cache(spark, pages, cache, seen) == 1
+    assert read == [["page_0.xml", "page_1.xml"], ["page_0.xml"]]
+    seven = {(r["date"].day, r["stop_id"]): r["ops"] for r in jobs.read_ops_cache(spark, cache).where("hour = 7").collect()}
+    assert seven == {(1, "a"): 3, (2, "a"): 9, (3, "b"): 1}
+    asked = spark.createDataFrame([("r1", D2), ("r1", dt.date(2025, 7, 1))], "route_no string, date date")
+    assert jobs.read_ops_cache(spark, cache, asked).count() == 24
+    days = jobs.cached_stop_days(spark, cache, asked).collect()
+    assert [(r["date"], r["stop_id"], len(r["hours"])) for r in days] == [(D2, "a", 24)]
+    # a run that fails before the ledger is repeated, to the same end
+    land(folder / "more", [page(S.OPS_SERVICE, [ops_row("20250601", "a", 7)])])
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "upsert_table", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            jobs.refresh_ops_cache(spark, pages, cache, seen)
+    assert jobs.refresh_ops_cache(spark, pages, cache, seen) == 1
+    assert jobs.read_ops_cache(spark, cache).where("hour = 7 and date = '2025-06-01'").first()["ops"] == 7
+
+
+def test_weekday_states_follow_corrections(spark, tmp_path):
+    from stopgrid.operators import serving
+
+    states, totals = str(tmp_path / "states"), str(tmp_path / "totals")
+    schema = "route_no string, date date, stop_id string, hour int, ops bigint, board double"
+    week = [dt.date(2025, 6, d) for d in (1, 2, 8, 9)]
+    first = [("r", d, s, 7, 2, 4.0 * i) for i, d in enumerate(week) for s in "ab"]
+    jobs.refresh_weekdays(spark.createDataFrame(first, schema), week, states, totals)
+    # a corrected date, one that lost its rows, one without buses
+    second = [("r", week[0], "a", 7, 5, 50.0), ("r", week[3], "a", 8, 0, 1.0)]
+    for _ in range(2):
+        jobs.refresh_weekdays(spark.createDataFrame(second, schema), [week[0], week[1], week[3]], states, totals)
+    now = [r for r in first if r[1] == week[2]] + second
+    expected = serving.weekday_hour_avg(spark.createDataFrame(now, schema))
+    shown = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert shown(jobs.read_weekdays(spark, totals)) == shown(expected)
+    assert shown(serving.forecast_from(jobs.read_weekdays(spark, totals), "2025-07-01", 7)) == shown(
+        serving.forecast_weekday(spark.createDataFrame(now, schema), "2025-07-01", 7)
+    )
+
+
+def jobs_run(spark, action):
+    """Spark jobs that an action starts."""
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    sc.setJobGroup("counted", "counted")
+    before = len(tracker.getJobIdsForGroup("counted"))
+    try:
+        action()
+    finally:
+        sc._jsc.sc().clearJobGroup()
+    return len(tracker.getJobIdsForGroup("counted")) - before
+
+
+def test_headers_of_many_files_take_a_constant_number_of_jobs(spark, tmp_path):
+    header = "route_no,DATE,HOUR,STOP_ID,STOP_SEQ,STOP_NAME,departures,yhat_board_total,yhat_alight_total,per_bus_board,per_bus_alight,per_bus_onboard"
+    other = ",".join(reversed(header.split(",")))
+    counts = {}
+    for n in (4, 400):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            line = f"7,2025-06-01,5,s{i},1,n,3,40,10,1,1,0"
+            swapped = ",".join(reversed(line.split(",")))
+            text = f"{header}\n{line}\n" if i % 2 else f"\ufeff{other}\n{swapped}\n"
+            (folder / f"p{i}.csv").write_text(text, encoding="utf-8")
+        counts[n] = jobs_run(spark, lambda: files.read_predictions(spark, str(folder)))
+        rows = merge.coerce_predictions(files.read_predictions(spark, str(folder))).select("stop_id", "hour", "pred_board").collect()
+        assert {(r["stop_id"], r["hour"], r["pred_board"]) for r in rows} == {(f"s{i}", 5, 40.0) for i in range(n)}
+    # one for the headers, one more where so many paths are listed by a job
+    assert counts[4] <= 2 and counts[400] <= counts[4] + 3
+    assert files.header_names('a,"b,c",,a') == ["a0", "b,c", "_c2", "a3"]
