@@ -12,7 +12,9 @@ Payload and header digests are computed anew by the writer from what it writes.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 import uuid
 import zlib
@@ -30,6 +32,8 @@ MIN_BYTES = 100
 FILE_BYTES = 32 << 20
 SHARD_BYTES = 256 << 20
 SAMPLE_KEYS = 20_000
+#: Tasks that read or rename files at most; beyond it a task has several files.
+MOST_TASKS = 20_000
 DATE = "2024-01-01T00:00:00Z"
 #: Fixed value: the profile of revisits with an identical payload.
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -66,12 +70,14 @@ def _revisits(keyed: DataFrame, min_bytes: int) -> DataFrame:
     """(page_id, url, digest, refers_to) of the records that revisit another one."""
     able = keyed.filter(F.octet_length("payload") >= min_bytes).select("page_id", "url", "digest")
     able = stored(able, "payload-digests")
-    key = F.struct(F.col("page_id").isNull().alias("last"), "page_id", F.coalesce("url", F.lit("")).alias("url"))
+    key = F.struct(
+        F.col("page_id").isNull().alias("last"), "page_id", F.coalesce("url", F.lit("")).alias("url"), F.col("url").alias("target")
+    )
     first = able.groupBy("digest").agg(F.min(key).alias("first"), F.count("*").alias("n")).filter("n > 1")
     return (
         able.join(stored(first, "first-records"), "digest")
         .filter(~(F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.coalesce("url", F.lit("")) == F.col("first.url"))))
-        .select("page_id", "url", "digest", F.col("first.page_id").alias("refers_to"))
+        .select("page_id", "url", "digest", F.col("first.page_id").alias("refers_to"), F.col("first.target").alias("refers_url"))
         .distinct()
     )
 
@@ -81,9 +87,12 @@ def _bounds(keyed: DataFrame, n_shards: int) -> list[tuple[bool, int, int]]:
     n = keyed.count()
     every = max(1, n // SAMPLE_KEYS)
     picked = keyed.filter(F.pmod(F.xxhash64("page_id", "url", "digest"), F.lit(every)) == 0)
-    rows = picked.select("page_id", F.xxhash64("url", "digest")).collect()
-    keys = sorted((id_ is not None, id_ or 0, tie) for id_, tie in rows)
-    return sorted({keys[len(keys) * i // n_shards] for i in range(1, n_shards)}) if keys else []
+    # rows alike in all have one key; they come as a number
+    rows = picked.groupBy("page_id", F.xxhash64("url", "digest").alias("tie")).count().collect()
+    keys = sorted(((id_ is not None, id_ or 0, tie), rows_) for id_, tie, rows_ in rows)
+    ends = list(itertools.accumulate(rows_ for _, rows_ in keys))
+    places = [bisect.bisect_right(ends, ends[-1] * i // n_shards) for i in range(1, n_shards)] if ends else []
+    return sorted({keys[at][0] for at in places if at > 0})
 
 
 def _shard(bounds: list) -> Column:
@@ -114,8 +123,10 @@ def _record_id(page_id, url: str | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>"
 
 
-def record_bytes(page_id, url, payload: bytes, refers_to=None, revisit: bool = False, date: str = DATE) -> bytes:
-    """One record, not yet compressed. A revisit has the HTTP headers but no payload."""
+def record_bytes(
+    page_id, url, payload: bytes, refers_to=None, revisit: bool = False, date: str = DATE, refers_url: str | None = None
+) -> bytes:
+    """One record, not yet compressed. A revisit has the HTTP headers but no payload, and names the record it stands for."""
     digest = hashlib.sha256(payload).hexdigest()
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     if not revisit:
@@ -135,7 +146,9 @@ def record_bytes(page_id, url, payload: bytes, refers_to=None, revisit: bool = F
     if url is None:
         head.append("X-No-Target: true")
     if revisit:
-        head += [f"WARC-Profile: {REVISIT}", f"X-Payload-Length: {len(payload)}"]
+        head += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {_record_id(refers_to, refers_url, digest)}"]
+        head += [f"WARC-Refers-To-Target-URI: {_field(refers_url)}"] if refers_url else []
+        head.append(f"X-Payload-Length: {len(payload)}")
         if refers_to is not None:
             head.append(f"X-Refers-To-Page: {refers_to}")
     head.append(f"Content-Length: {len(block)}")
@@ -178,20 +191,21 @@ class _Rolling:
 def _write_shards(folder: str, file_bytes: int, level: int, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: _Rolling | None = None
-        noted: tuple[tuple, int | None] | None = None
+        noted: tuple[list, int | None, str | None] | None = None
         finished: list[tuple] = []
         for batch in batches:
-            fields = ("shard", "page_id", "url", "digest", "note", "refers_to", "payload")
-            for shard, *key, note, refers_to, payload in zip(*(batch.column(f).to_pylist() for f in fields)):
+            fields = ("shard", "page_id", "url", "digest", "note", "refers_to", "refers_url", "payload")
+            for shard, *key, note, refers_to, refers_url, payload in zip(*(batch.column(f).to_pylist() for f in fields)):
                 if out is None or out.shard != shard:
                     if out is not None:
                         finished += out.close()
                     out = _Rolling(folder, shard, file_bytes, level)
                 if note:  # stands before the rows it is about
-                    noted = key, refers_to
+                    noted = key, refers_to, refers_url
                     continue
                 revisit = noted is not None and noted[0] == key
-                out.write(record_bytes(key[0], key[1], payload, noted[1] if revisit else None, revisit, date))
+                first = noted[1:] if revisit else (None, None)
+                out.write(record_bytes(key[0], key[1], payload, first[0], revisit, date, first[1]))
         if out is not None:
             finished += out.close()
         columns = list(zip(*finished)) or [()] * len(MANIFEST_SCHEMA)
@@ -231,18 +245,23 @@ def write(
     keyed = _keyed(pages, id_col, url_col, html_col)
     size = keyed.agg(F.sum(F.octet_length("payload").cast("long") + 500)).first()[0] or 0
     shards = int(max(size // shard_bytes + 1, min(spark.sparkContext.defaultParallelism, size // (4 << 20) + 1)))
-    shard = _shard(_bounds(keyed, shards))
+    bounds = _bounds(keyed, shards)
+    shard = _shard(bounds)
     notes = _revisits(keyed, min_bytes)
     records = (
         notes.select("*", F.lit(None).cast("binary").alias("payload"), F.lit(True).alias("note"))
-        .unionByName(keyed.select("*", F.lit(None).cast("long").alias("refers_to"), F.lit(False).alias("note")))
+        .unionByName(
+            keyed.withColumns(
+                {"refers_to": F.lit(None).cast("long"), "refers_url": F.lit(None).cast("string"), "note": F.lit(False)}
+            )
+        )
         .withColumn("shard", shard)
-        .repartition(shards, "shard")
+        .repartitionById(len(bounds) + 1, F.col("shard"))
         .sortWithinPartitions("shard", "page_id", "url", "digest", F.col("note").desc())
     )
     written = records.mapInArrow(_write_shards(folder, file_bytes, level, date), MANIFEST)
     manifest = stored(written, "manifest")
-    named = manifest.withColumn("scheme", F.lit(folder)).repartition("file").mapInPandas(_rename, MANIFEST)
+    named = _by_file(manifest.withColumn("scheme", F.lit(folder))).mapInPandas(_rename, MANIFEST)
     named.write.parquet(f"{folder.rstrip('/')}/_manifest")
     files, root = file_system(folder)
     if size:
@@ -250,6 +269,11 @@ def write(
     return spark.read.schema(MANIFEST).parquet(f"{folder.rstrip('/')}/_manifest")
 
 
+def _by_file(manifest: DataFrame) -> DataFrame:
+    """The manifest with about a file for each task, however small its rows are."""
+    return manifest.repartition(min(max(manifest.count(), 1), MOST_TASKS), "file")
+
+
 def _members(stream, at_once: int = 1 << 20) -> Iterator[bytes]:
     """The decompressed gzip members of a stream, one record each."""
     gzip, parts, rest = zlib.decompressobj(31), [], b""
@@ -277,11 +301,20 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block
 
 
+RECORD_SCHEMA = pa.schema(
+    [(n, {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[t]) for n, t in map(str.split, RECORD.split(", "))]
+)
+
+
 def _read_files(with_payload: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in RECORD.split(", ")]
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        # column by column, so that an id beside a null stays an integer
+        columns = list(zip(*rows)) or [()] * len(RECORD_SCHEMA)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, RECORD_SCHEMA)], schema=RECORD_SCHEMA)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, scheme in zip(batch["file"], batch["scheme"]):
+            for name, scheme in zip(*(batch.column(c).to_pylist() for c in ("file", "scheme"))):
                 files, _ = file_system(scheme)
                 rows, held = [], 0
                 with files.open_input_stream(name, compression=None) as stream:
@@ -305,9 +338,9 @@ def _read_files(with_payload: bool):
                         )
                         held += len(raw)
                         if held > 16 << 20:
-                            yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                            yield out(rows)
                             rows, held = [], 0
-                yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield out(rows)
 
     return run
 
@@ -319,8 +352,8 @@ def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFra
     the payload itself is null for them.
     """
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder.rstrip('/')}/_manifest")
-    files = manifest.select("file", F.lit(folder).alias("scheme")).repartition("file")
-    return files.mapInPandas(_read_files(with_payload), RECORD)
+    files = _by_file(manifest.select("file", F.lit(folder).alias("scheme")))
+    return files.mapInArrow(_read_files(with_payload), RECORD)
 
 
 def archive_folder(spark: SparkSession) -> str:

@@ -23,6 +23,9 @@ ROWS = [
     (6, "http://long/", "x" * 3_000_000),
     (10, "http://long/2", "x" * 3_000_000),
     ((1 << 53) + 1, "http://large/", "other " * 50),
+    ((1 << 53) + 3, "http://large/2", "other " * 50),
+    ((1 << 53) + 5, None, "other " * 50),
+    ((1 << 53) + 7, "http://tiny/", "t"),
 ]
 
 
@@ -87,6 +90,39 @@ def test_files_are_plain_warc(pages, tmp_path):
             raw = raw[4:]
 
 
+def test_revisits_name_the_record_they_stand_for(pages, tmp_path):
+    warc.write(pages, str(tmp_path / "out"), file_bytes=500, shard_bytes=1500)
+    ids, refers = {}, []
+    for data in bytes_of(tmp_path / "out").values():
+        for raw in warc._members(__import__("io").BytesIO(data)):
+            fields, _ = warc.parse_record(raw)
+            if fields["WARC-Type"] == "response":
+                ids[fields["WARC-Record-ID"]] = fields
+            else:
+                refers.append(fields)
+    assert len(refers) == sum(kind == "revisit" for _, kind, *_ in expected())
+    for fields in refers:
+        first = ids[fields["WARC-Refers-To"]]
+        assert first["WARC-Payload-Digest"] == fields["WARC-Payload-Digest"]
+        assert first["X-Page-Id"] == fields["X-Refers-To-Page"]
+
+
+def test_a_task_for_each_shard_and_file(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id as page_id", "concat('http://h/', id) as url", "repeat(sha2(cast(id as string), 512), 8) as html")
+    keyed = warc._keyed(rows, "page_id", "url", "html")
+    dealt = keyed.withColumn("shard", warc._shard(warc._bounds(keyed, 16))).repartitionById(16, "shard")
+    sizes = [len(part) for part in dealt.rdd.glom().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * min(sizes)
+    manifest = warc.write(rows, str(tmp_path / "out"), file_bytes=50_000, shard_bytes=400_000)
+    assert warc._by_file(manifest).rdd.getNumPartitions() == manifest.count() > 8
+
+
+def test_a_hot_row_comes_to_the_driver_as_a_number(spark):
+    rows = spark.range(3000).selectExpr("if(id < 2000, 1, id) as page_id", "'u' as url", "'h' as html")
+    bounds = warc._bounds(warc._keyed(rows, "page_id", "url", "html"), 4)
+    assert 1 <= len(bounds) <= 3 and len(set(bounds)) == len(bounds)
+
+
 def test_damage_is_noticed(pages, tmp_path, spark):
     with pytest.raises(ValueError, match="damaged record"):
         record = warc.record_bytes(1, "u", b"some payload")
