@@ -71,6 +71,22 @@ def load_dimensions(spark: SparkSession, route_map_csv: str, link_csv: str, rout
     merge.upsert_table(spark, link_out, links, S.KEYS["dim_stop_link"], [], [merge.ORIGIN])
 
 
+def load_master_links(
+    spark: SparkSession, master_csv: str, link_out: str, route_key: str | None = None,
+    date: str | None = None, rte_id: str | None = None, route_no: str | None = None,
+) -> None:
+    """Link distances of a stop master upserted into the link table.
+
+    Rows of a file without route keys get `route_key`. Of several rows of a stop the one
+    read last counts; rows without a route, stop or sequence are left out.
+    """
+    raw = merge.with_origin(files.read_csv_strings(spark, master_csv))
+    rows = files.load_stop_master(raw, date, rte_id, route_no)
+    links = rows.withColumn("route_key", F.coalesce("route_key", F.lit(route_key).cast("string"))).where(F.col("route_key").isNotNull())
+    names = [*S.DIM_STOP_LINK.fieldNames(), merge.ORIGIN]
+    merge.upsert_table(spark, link_out, links.select(*names), S.KEYS["dim_stop_link"], [], [merge.ORIGIN])
+
+
 def load_demand(spark: SparkSession, daily_pages: str, monthly_pages: str, daily_out: str, monthly_out: str) -> None:
     """Landed demand pages upserted into the daily and the monthly table.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopgrid.operators import demand
+from stopgrid import jobs
+from stopgrid.operators import colocated, demand
 from stopgrid.plans.registry import plain, query
 from stopgrid.plans.twins import day, r, twin
 from stopgrid.sources import tables
@@ -60,6 +61,22 @@ def disaggregate_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "colocated_demand",
+    twin(
+        f"""select {day()} as date, route_no, rte_id, stop_id, stop_seq, hour, ops, stop_name,
+            {r('board')} as board, {r('alight')} as alight from estimated""",
+        "estimated",
+    ),
+)
+def colocated_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from tables in buckets by route and stop."""
+    days = demand.stop_days_from_wide(wide_with_ids(spark, sf_dir), WIDE_HOURS)
+    given = [days, tables.demand_daily_stop(spark, sf_dir), tables.demand_monthly_hourly(spark, sf_dir)]
+    stop_days, daily, monthly = (colocated.bucketed(df, f"bucketed-{i}") for i, df in enumerate(given))
+    return plain(demand.spread_hours(demand.with_demand(stop_days, daily.hint("merge"), monthly.hint("merge"))))
+
+
 @query(
     "link_distance_fill",
     twin(
@@ -79,6 +96,8 @@ def link_distance_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINK_DATES = {"2024-01-05": 1, "2024-01-12": 2, "2024-01-20": 3}
 DATED = ", ".join(f"(date '{d}', {n})" for d, n in LINK_DATES.items())
+DATED_LINKS = f"""dated as (select l.*, v.since, l.link_distance_m + v.n as m
+    from links l, (values {DATED}) v(since, n) where l.stop_seq <> v.n)"""
 AS_OF = f"""case when k.since is null then {FILLED} else coalesce(
     (select avg(l.m) from dated l where l.route_no = e.route_no and l.since = k.since and l.stop_id = e.stop_id),
     (select avg(l.m) from dated l where l.route_no = e.route_no and l.since = k.since and l.stop_seq = e.stop_seq)) end"""
@@ -94,12 +113,18 @@ AS_OF = f"""case when k.since is null then {FILLED} else coalesce(
         ) k on k.route_no = e.route_no and k.date = e.date""",
         "dsh",
         "links",
-        extra=f"""dated as (select l.*, v.since, l.link_distance_m + v.n as m
-            from links l, (values {DATED}) v(since, n) where l.stop_seq <> v.n)""",
+        extra=DATED_LINKS,
     ),
 )
 def link_distance_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links of three dates, each a little longer and without one stop, before them the undated ones."""
+    """The newest links that are not younger than the day, before them the undated ones."""
+    rows, both = _dated_links(spark, sf_dir)
+    filled = demand.fill_links(rows, both, as_of=True)
+    return plain(filled.select("route_no", "date", "stop_id", "stop_seq", "hour", "link_distance_m"))
+
+
+def _dated_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stop hours, and links of three dates, each a little longer and without one stop, beside undated ones."""
     links = tables.dim_stop_link(spark, sf_dir).select("route_key", "stop_id", "stop_seq", "link_distance_m")
     version = F.explode(F.array(*[F.struct(F.lit(d).alias("date"), F.lit(n).alias("n")) for d, n in LINK_DATES.items()]))
     dated = links.withColumn("v", version).where("stop_seq <> v.n").select(
@@ -107,10 +132,50 @@ def link_distance_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     both = dated.unionByName(links.withColumn("date", F.lit(None).cast("string")))
     rows = tables.daily_stop_hour(spark, sf_dir).withColumn("route_key", tables.route_key("route_no")).drop("link_distance_m")
-    filled = demand.fill_links(rows, both, as_of=True)
+    return rows, both
+
+
+MASTER = "(select *, link_distance_m + 9 as m from links where stop_seq <> 3 and route_no <> (select min(route_no) from links))"
+PREFERRED = f"""case when e.route_no = (select min(route_no) from links) then {FILLED} else coalesce(
+    (select avg(l.m) from {MASTER} l where l.route_no = e.route_no and l.stop_id = e.stop_id),
+    (select avg(l.m) from {MASTER} l where l.route_no = e.route_no and l.stop_seq = e.stop_seq)) end"""
+
+
+@query(
+    "link_preference",
+    twin(
+        f"""select e.route_no, {day('e.date')} as date, e.stop_id, e.stop_seq, e.hour, {r(PREFERRED)} as link_distance_m
+        from dsh e""",
+        "dsh",
+        "links",
+    ),
+)
+def link_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stop master lacks the first route and the third stop; a route comes whole from one source."""
+    links = tables.dim_stop_link(spark, sf_dir).select("route_key", "stop_id", "stop_seq", "link_distance_m")
+    first = links.agg(F.min("route_key")).first()[0]
+    master = links.where((F.col("route_key") != first) & (F.col("stop_seq") != 3)).withColumn("link_distance_m", F.col("link_distance_m") + 9)
+    rows = tables.daily_stop_hour(spark, sf_dir).withColumn("route_key", tables.route_key("route_no")).drop("link_distance_m")
+    filled = demand.fill_links(rows, jobs.link_sources([master, links]))
     return plain(filled.select("route_no", "date", "stop_id", "stop_seq", "hour", "link_distance_m"))
 
 
+@query(
+    "link_distance_by_date",
+    twin(
+        f"""select e.route_no, {day('e.date')} as date, e.stop_id, e.stop_seq, e.hour, {r(AS_OF)} as link_distance_m
+        from dsh e left join (select distinct route_no, since from dated) k on k.route_no = e.route_no and k.since = e.date""",
+        "dsh",
+        "links",
+        extra=DATED_LINKS,
+    ),
+)
+def link_distance_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of a day where it has some, else the undated ones."""
+    rows, both = _dated_links(spark, sf_dir)
+    return plain(demand.fill_links(rows, both).select("route_no", "date", "stop_id", "stop_seq", "hour", "link_distance_m"))
+
+
 def wide_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = tables.ops_wide(spark, sf_dir)
     return wide.select(

@@ -17,6 +17,7 @@ from stopgrid.plans.registry import plain, query
 from stopgrid.plans.twins import day, r, twin
 from stopgrid.session import shared_path
 from stopgrid.sources import files, tables, xml
+from stopgrid.streaming import closing
 from stopgrid.streaming.incremental import ingest_available
 
 HOURS = {h: f"ops_{h:02d}" for h in range(24)}
@@ -602,3 +603,22 @@ def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = rows.unionByName(rows.where("hour = 9"))
     _, bad = merge.split_by_key(given, S.KEYS["daily_stop_hour"])
     return plain(bad.select("route_no", "date", "stop_id", "hour", "ops", "reason"))
+
+
+# -- dates that close by themselves -----------------------------------------
+@query(
+    "closing_dates",
+    twin(
+        """select strftime(date, '%Y%m%d') as date, route_no, event, n as landed, n as total
+        from (select date, route_no, count(*) as n from daily group by 1, 2), (values ('closed', 0), ('late', 1)) v(event, late)
+        where late = 0 or date_part('day', date) % 4 = 1""",
+        "daily",
+    ),
+)
+def closing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three micro-batches: the first pages, the other ones, and a page too late on every fourth day."""
+    spans = landing.page_spans_in_batches(spark, sf_dir)
+    out, checkpoint = shared_path(spark, "closing"), shared_path(spark, "closing-checkpoint")
+    stream = spark.readStream.schema(closing.SPANS).option("maxFilesPerTrigger", 1).parquet(spans)
+    closing.follow(stream, out, checkpoint)
+    return spark.read.schema(closing.EVENTS).parquet(out)

@@ -194,6 +194,20 @@ def numbered_pages(spark: SparkSession, sf_dir: str, page_rows: int = 5) -> str:
     return path
 
 
+def page_spans_in_batches(spark: SparkSession, sf_dir: str, page_rows: int = 5) -> str:
+    """Spans of pages of five rows in three files: the first pages, the others, and late copies on every fourth day."""
+    path = shared_path(spark, "page-spans")
+    daily = tables.demand_daily_stop(spark, sf_dir)
+    whole = daily.groupBy("date", "route_no").agg(F.count("*").alias("total"))
+    start = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("total"), F.lit(page_rows).cast("bigint"))).alias("start")
+    pages = whole.select("date", "route_no", "total", start).withColumn("n", F.least(F.lit(page_rows), F.col("total") - F.col("start") + 1))
+    late = pages.where((F.day("date") % 4 == 1) & (F.col("start") == 1))
+    for part in (pages.where("start = 1"), pages.where("start > 1"), late):
+        named = part.withColumn("date", C.compact_date("date")).withColumn("n", F.col("n").cast("bigint"))
+        named.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def monthly_pages(spark: SparkSession, sf_dir: str) -> str:
     """Odd hours use the second tag spelling."""
     path = shared_path(spark, "monthly-pages")

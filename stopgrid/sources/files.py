@@ -137,9 +137,8 @@ def load_stop_master(
     the file has one, else the route number. Rows without stop id or sequence are
     dropped. Without a date all dates are kept.
     """
-    rows = align_columns(
-        raw, S.STOP_MASTER_ALIASES, optional=["route_key", "rte_id", "route_no", "link_distance_m", "date"]
-    )
+    optional = ["route_key", "rte_id", "route_no", "link_distance_m", "date"]
+    rows = align_columns(raw, {**S.STOP_MASTER_ALIASES, **{o: [o] for o in _origin(raw)}}, optional=optional)
     if "date" in rows.columns:
         rows = rows.withColumn("date", C.digits_only("date"))
         if date is not None:
@@ -158,6 +157,7 @@ def load_stop_master(
         "stop_id",
         C.to_number("stop_seq").try_cast("int").alias("stop_seq"),
         C.to_number("link_distance_m").alias("link_distance_m"),
+        *_origin(rows),
     ).dropna(subset=["stop_id", "stop_seq"])
 
 

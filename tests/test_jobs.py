@@ -398,3 +398,13 @@ def test_headers_of_many_files_take_a_constant_number_of_jobs(spark, tmp_path):
     # one for the headers, one more where so many paths are listed by a job
     assert counts[4] <= 2 and counts[400] <= counts[4] + 3
     assert files.header_names('a,"b,c",,a') == ["a0", "b,c", "_c2", "a3"]
+
+
+def test_links_of_a_stop_master(spark, tmp_path):
+    out = str(tmp_path / "links")
+    one = write(tmp_path / "1.csv", ["RTE_ID,STOP_ID,STOP_SEQ,LINK_DIST_M,DATE", "r1,a,1,10,20250601", "r1,a,1,12,20250601", "r1,b,x,5,20250601", "r2,c,3,4,20250601"])
+    jobs.load_master_links(spark, one, out, route_key="k1", rte_id="r1", date="20250601")
+    two = write(tmp_path / "2.csv", ["노선_ID,정류장_ID,정류장_순서,링크_구간거리(m)", "k1,a,1,15", "k2,z,2,", ",y,3,1"])
+    jobs.load_master_links(spark, two, out)
+    got = sorted((r["route_key"], r["stop_id"], r["stop_seq"], r["link_distance_m"]) for r in spark.read.parquet(out).collect())
+    assert got == [("k1", "a", 1, 15.0), ("k2", "z", 2, None)]
