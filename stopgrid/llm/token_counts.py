@@ -42,7 +42,9 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 CHUNK_CHARS = 16_000_000
 CHUNK_DOCS = 65_535  # places are kept in two bytes
 SLICE_CHARS = 1_000_000
+#: Buckets at least, and bytes of text for each beyond them.
 BUCKETS = 1024
+BUCKET_BYTES = 1 << 30
 SUMS_AT_ONCE = 4_000_000
 
 
@@ -252,19 +254,22 @@ def _gather(id_type: pa.DataType):
 
 def token_counts(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-    chunk_chars: int = CHUNK_CHARS, buckets: int = BUCKETS,
+    chunk_chars: int = CHUNK_CHARS, buckets: int | None = None,
 ) -> DataFrame:
     """(id, n_bytes, n_tokens): one row per row of `docs`, counted as the library at `path` does.
 
     No begin or end tokens are added; an added token's string inside a text counts as
     that one token. Null texts count as empty, with zero tokens. Each row is counted
     in its own place, so rows may repeat and ids be null. Other columns are ignored;
-    an empty table gives none.
+    an empty table gives none. Without `buckets` their number follows the bytes of text.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
     small_batches()
     given = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
+    if buckets is None:
+        n_bytes = given.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        buckets = max(BUCKETS, n_bytes // BUCKET_BYTES)
     kind = given.schema["id"].dataType
     id_type, name = to_arrow_type(kind), kind.simpleString()
     rows = given.mapInArrow(

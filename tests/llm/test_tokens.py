@@ -103,6 +103,12 @@ def test_counts(make_docs, chunk):
     assert counted(make_docs(rows), chunk_chars=chunk) == expected_counts(rows)
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 100_000])
+def test_counts_by_any_number_of_buckets(make_docs, buckets):
+    rows = list(enumerate(TRICKY))
+    assert counted(make_docs(rows), chunk_chars=300, buckets=buckets) == expected_counts(rows)
+
+
 def test_counts_of_nothing_and_of_clashing_columns(make_docs, clash):
     assert counted(make_docs([])) == []
     assert counted(make_docs([(1, ""), (2, None)])) == [(1, 0, 0), (2, 0, 0)]
