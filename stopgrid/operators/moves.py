@@ -234,6 +234,15 @@ def available_dates(moves: DataFrame, slots: DataFrame) -> DataFrame:
     return moves.select("date").distinct().union(slots.select("date").distinct()).distinct()
 
 
+def plan_dates(plan: DataFrame) -> DataFrame:
+    """Dates that moves or departure slots of a plan can have, without working them out.
+
+    Moves keep the number of departures of a route and date, so a date has slots, and
+    may have moves, exactly if some hour of it has departures.
+    """
+    return plan.where(F.col("n") > 0).select("date").distinct()
+
+
 def move_sentences(moves: DataFrame, limit: int | None = None) -> DataFrame:
     """One line of text per move; `limit` keeps the first ones by date and bus."""
     text = F.format_string(S.MOVE_SENTENCE, F.col("from_hour"), F.col("to_hour"), F.col("move_bus_id"))

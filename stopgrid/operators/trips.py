@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stopgrid import schema as S
 from stopgrid.functions import columns as C
 from stopgrid.operators.reshape import explode_chunks, explode_range, range_chunks
+from stopgrid.session import stored
 
 ROUTE_DAY = ["route_no", "date"]
 TRIP = ["route_no", "bus_id"]
@@ -296,15 +297,15 @@ def allocation(
 ) -> DataFrame:
     """Demand shared among the buses of each hour, load on board and crowding.
 
-    The buses per hour are counted from a first pass over the trips. In the second
-    pass every trip looks its shares up in its route's table of the day and folds
+    Trips are made once, into the shared folder. The buses per hour are counted from
+    there; then every trip looks its shares up in its route's table of the day and folds
     its own load, so the long rows of trip and stop are never shuffled.
     """
-    hourly = hourly_departures(predictions)
-    stops = day_stops(stop_profile(predictions, links))
-    first_pass = explode_trips(trips_of_hours(hourly, stops))
-    days = stops.join(share_tables(bucket_shares(first_pass, demand)), ROUTE_DAY, "left")
-    trips = trips_of_hours(hourly, days)
+    days = day_stops(stop_profile(predictions, links))
+    named = F.transform("stops", lambda s: F.struct(s["stop_seq"], s["stop_id"], s["stop_name"]))
+    made = trips_of_hours(hourly_departures(predictions), days).withColumn("stops", named)
+    trips = stored(made, "trips")
+    trips = trips.join(share_tables(bucket_shares(explode_trips(trips), demand)), ROUTE_DAY, "left")
 
     def share(time: Column, i: Column) -> Column:
         return F.get(F.get(F.col("shares"), i)["by_hour"], _hour_bucket(time).cast("int"))

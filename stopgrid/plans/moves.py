@@ -142,8 +142,7 @@ def slots_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def available_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slots = moves.slot_schedule(tables.plan_input(spark, sf_dir))
-    return plain(moves.available_dates(_moves(spark, sf_dir), slots))
+    return plain(moves.plan_dates(tables.plan_input(spark, sf_dir)))
 
 
 @query(

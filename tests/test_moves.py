@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from stopgrid.operators import moves
 
@@ -91,3 +92,13 @@ def test_reports(spark):
     assert moves.moves_per_day(df).first()["moves"] == 3
     assert len(moves.move_sentences(df, limit=2).collect()) == 2
     assert moves.move_sentences(df).where("move_bus_id = 'x'").first()["sentence"] == "8시 → 9시로 1대 이동 (bus_id=x)"
+
+
+def test_dates_of_a_plan_are_those_of_its_moves_and_slots(spark):
+    from stopgrid.sources import tables
+
+    plan = tables.plan_input(spark, "/root/testdata/sf0.001")
+    plan = plan.unionByName(plan.limit(1).withColumn("date", F.lit("2031-01-01").cast("date")).withColumn("n", F.lit(0).cast("bigint")))
+    both = moves.available_dates(moves.reallocation_plan(plan), moves.slot_schedule(plan))
+    shown = lambda df: sorted(r["date"] for r in df.collect())
+    assert shown(moves.plan_dates(plan)) == shown(both) != []
