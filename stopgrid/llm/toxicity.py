@@ -178,7 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     """The model of at most `sample_rows` labelled documents, the same for the same rows.
 
     Rows of `labels` without id or label are ignored, and a document counts as toxic
-    if one of its rows says so. Labels of one kind only, or none, give a model that
+    if one of its rows says so. Of several documents with one id that with the smallest
+    hash of its text counts. Labels of one kind only, or none, give a model that
     finds nothing toxic.
     """
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).dropna()
@@ -186,8 +187,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         known.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     )
     texts = docs.select(F.col("doc_id").alias("id"), text_of().alias("text"))
-    # a broadcast of sample_rows ids at most
-    rows = texts.join(F.broadcast(picked), "id").select("toxic", "text")
+    # a broadcast of sample_rows ids at most; of an id's rows one, however many it has
+    rows = texts.join(F.broadcast(picked), "id").groupBy("id").agg(
+        F.max("toxic").alias("toxic"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    )
+    rows = rows.select("toxic", "text")
     small_batches()
     counted = rows.mapInPandas(_count_features, "toxic int, buckets binary, counts binary")
     sample = sorted((toxic > 0, bytes(buckets), bytes(counts)) for toxic, buckets, counts in counted.collect())

@@ -1,5 +1,8 @@
 """The ordinal model beside its likelihood, and on labelled documents it has not seen."""
 
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -86,3 +89,36 @@ def test_no_examples(spark, make_docs):
         assert [(r["severity"], r["toxic"]) for r in rows] == [(0.0, False)] * 2
     empty = make_docs([])
     assert toxicity.score(empty, toxicity.fit(empty, clean)).count() == 0
+
+
+def test_an_id_counts_once_however_many_rows_it_has(make_docs, spark, monkeypatch):
+    """The sample is bounded in rows, not in ids alone."""
+    rng = random.Random(9)
+    docs = [(i, " ".join(rng.choices(["calm", "bread", "river", "stone"], k=20)) + (" vile scum" if i % 3 == 0 else "")) for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    once = toxicity.fit(make_docs(docs), labels)
+    seen = []
+    real = toxicity.fit_sample
+    monkeypatch.setattr(toxicity, "fit_sample", lambda toxic, *more: seen.append(len(toxic)) or real(toxic, *more))
+    hot = toxicity.fit(make_docs(docs + [docs[0]] * 500), labels)
+    assert seen == [90]
+    assert (once.buckets == hot.buckets).all() and (once.weights == hot.weights).all() and (once.thresholds == hot.thresholds).all()
+
+
+def test_severity_beside_a_loop(make_docs):
+    """Every word's buckets added up, a document's score, and the thresholds it passes."""
+    rng = random.Random(3)
+    words = ["vile", "scum", "bread", "river", "ünder", "a", "Stone"]
+    buckets = np.unique([b for w in words for b in toxicity.features_of(w.lower().encode())])
+    model = toxicity.Model(buckets, np.array([rng.uniform(-1, 2) for _ in buckets], np.float32), np.array([0.2, 0.9, 1.7]))
+    worth = dict(zip(buckets.tolist(), model.weights.tolist()))
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(0, 30)))) for i in range(60)] + [(90, None), (91, "?!")]
+    found = {r["doc_id"]: r["severity"] for r in toxicity.score(make_docs(docs), model).collect()}
+    for i, text in docs:
+        counts = toxicity.weighed(text or "")
+        expected = 0.0
+        if counts:
+            total = sum(n * sum(worth.get(b, 0.0) for b in np.asarray(toxicity.features_of(w)).tolist()) for w, n in counts.items())
+            score = total / math.sqrt(sum(counts.values()))
+            expected = sum(1 / (1 + math.exp(-(score - t))) for t in model.thresholds)
+        assert found[i] == pytest.approx(expected, abs=1e-5), (i, text)
