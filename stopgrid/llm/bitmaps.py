@@ -24,23 +24,21 @@ def _place(hash_: Column) -> tuple[Column, Column]:
 
 
 def bitmap(df: DataFrame, hash_: Column) -> DataFrame:
+    """(bucket, words): the bits of each bucket as numbers of 64, their bytes from the highest on."""
     bucket, place = _place(hash_)
-    return stored(
-        df.select(bucket.alias("bucket"), place.alias("place"))
-        .groupBy("bucket")
-        .agg(F.bitmap_construct_agg("place").alias("bits"))
-        .coalesce(1),
-        "bitmap",
-    )
+    found = df.select(bucket.alias("bucket"), place.alias("place")).groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+    word = "cast(conv(hex(substring(bits, 8 * w + 1, 8)), 16, -10) as bigint)"
+    words = F.expr(f"transform(sequence(0, {(1 << ROW_BITS - 6) - 1}), w -> {word})")
+    return stored(found.select("bucket", words.alias("words")).coalesce(1), "bitmap")
 
 
 def may_match(df: DataFrame, hash_: Column, bits: DataFrame) -> DataFrame:
     """The rows of `df` whose hash may be in the bitmap."""
     bucket, place, row = (free_name(df, n) for n in ("bitmap_bucket", "bitmap_place", "bitmap_row"))
     b, p = _place(hash_)
-    known = F.broadcast(bits.select(F.col("bucket").alias(bucket), F.col("bits").alias(row)))
-    byte = F.expr(f"cast(conv(hex(substring({row}, cast({place} div 8 as int) + 1, 1)), 16, 10) as int)")
-    bit = F.expr(f"cast({place} % 8 as int)")
+    known = F.broadcast(bits.select(F.col("bucket").alias(bucket), F.col("words").alias(row)))
     found = df.withColumns({bucket: b, place: p}).join(known, bucket)
-    # shift the byte by the bit: as powers of two, since the shift's width is a column
-    return found.filter(F.floor(byte / F.pow(F.lit(2), bit)) % 2 == 1).select(*(f"`{c}`" for c in df.columns))
+    word = F.col(row)[F.shiftright(place, 6).cast("int")]
+    # bits are counted from the lowest of the first byte on, which is the highest of its word
+    bit = F.col(place).bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56)).cast("int")
+    return found.filter(F.getbit(word, bit) == 1).select(*(f"`{c}`" for c in df.columns))

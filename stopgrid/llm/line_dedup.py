@@ -39,24 +39,29 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: Column) -> DataFr
     return given.select("*", F.xxhash64("id", "text").alias("r1"), F.xxhash64(F.lit(1), "id", "text").alias("r2"))
 
 
+def spaced(text: Column) -> Column:
+    """Single blanks between words; line ends stay."""
+    odd = [F.contains(text, F.lit(x)) for x in ("  ", "\t", "\r", "\f", "\x0b")]
+    return F.when(odd[0] | odd[1] | odd[2] | odd[3] | odd[4], F.regexp_replace(text, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(text)
+
+
 def normal(text: Column) -> Column:
     """Lower case, single blanks between words; line ends stay."""
-    lower = F.lower(text)
-    odd = [F.contains(lower, F.lit(x)) for x in ("  ", "\t", "\r", "\f", "\x0b")]
-    return F.when(odd[0] | odd[1] | odd[2] | odd[3] | odd[4], F.regexp_replace(lower, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(lower)
+    # lowered last, as the text stands there several times
+    return F.lower(spaced(text))
 
 
 def n_words(line: Column) -> Column:
-    """The words of a line in normal form, blanks at its ends aside."""
+    """The words of a line with single blanks, those at its ends aside."""
     bare = F.trim(line)
     blanks = F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(" "), F.lit("")))
     return F.when(bare == "", 0).otherwise(blanks + 1)
 
 
 def compared(line: Column, min_words: int, min_chars: int | None) -> Column:
-    """Whether a line in normal form is long enough to go if an earlier one equals it."""
+    """Whether a line with single blanks is long enough to go if an earlier one equals it."""
     wordy = n_words(line) >= min_words
-    return wordy if min_chars is None else wordy | (F.char_length(F.trim(line)) >= min_chars)
+    return wordy if min_chars is None else wordy | (F.char_length(F.trim(F.lower(line))) >= min_chars)
 
 
 def _lines(keyed: DataFrame) -> DataFrame:
@@ -69,14 +74,24 @@ def _lines(keyed: DataFrame) -> DataFrame:
 _END = "cast(shiftleft(1, cast(floor(log2({0})) as int) - 1) as int)"
 
 
-def _ends(level: str) -> list[Column]:
-    """Hashes of a line's first words and of its last, as of a line of `level` words: a
-    power of two of them, at most half."""
-    n = _END.format(level)
-    return [
-        F.expr(f"xxhash64({level}, 0, substring_index(line, ' ', {n}))"),
-        F.expr(f"xxhash64({level}, 1, substring_index(line, ' ', -{n}))"),
-    ]
+def _with_ends(lines: DataFrame, min_words: int) -> DataFrame:
+    """`lines` with k0 to k3, hashes of a line's first words and of its last, a power of two
+    of them, at most half: as of a line of its length, and as of one of a word less. They
+    mean nothing for lines of fewer than `min_words` words."""
+    long = F.col("n") >= min_words
+    sized = lines.withColumns({name: F.when(long, F.expr(_END.format(n))) for name, n in (("e", "n"), ("e_less", "(n - 1)"))})
+    first, last = "xxhash64(substring_index(line, ' ', {0}))", "xxhash64(substring_index(line, ' ', -{0}))"
+    own = sized.withColumns({"first": F.expr(first.format("e")), "last": F.expr(last.format("e"))})
+    # the two lengths have ends of equal size but where a power of two is between them
+    same = F.col("e") == F.col("e_less")
+    less = [F.when(same, F.col(k)).otherwise(F.expr(end.format("e_less"))) for k, end in (("first", first), ("last", last))]
+    return own.select(
+        *lines.columns,
+        F.xxhash64("n", F.lit(0), "first").alias("k0"),
+        F.xxhash64("n", F.lit(1), "last").alias("k1"),
+        F.xxhash64(F.col("n") - 1, F.lit(0), less[0]).alias("k2"),
+        F.xxhash64(F.col("n") - 1, F.lit(1), less[1]).alias("k3"),
+    )
 
 
 def _distinct_lines(keyed: DataFrame, min_words: int, min_chars: int | None, short: bool) -> DataFrame:
@@ -85,22 +100,29 @@ def _distinct_lines(keyed: DataFrame, min_words: int, min_chars: int | None, sho
     With `short` the others come too, blank ones aside, and a column `judged` tells them apart.
     """
     lines = _lines(keyed).withColumn("n", n_words(F.col("line")))
-    ends = _ends("n") + _ends("(n - 1)")
     judged = compared(F.col("line"), min_words, min_chars)
     if short:
         lines = lines.withColumn("judged", judged)
+    lines = _with_ends(lines.filter(F.col("n") >= 1 if short else judged), min_words)
+    place, told, keys = ["id", "no", *_ROW], ["n", "judged"] if short else ["n"], [f"k{i}" for i in range(4)]
+    ends = [F.col(k) for k in keys]
     if short or min_chars is not None:
         ends = [F.when(F.col("n") >= min_words, end) for end in ends]
-    return stored(
-        lines.filter(F.col("n") >= 1 if short else judged)
-        .select(
-            F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
-            F.struct("id", "no", *_ROW).alias("place"), "n", *(["judged"] if short else []),
-            *(k.alias(f"k{i}") for i, k in enumerate(ends)),
+    # equal lines agree in all that follows the place, so the least of these is of the earliest
+    found = (
+        lines.select(
+            F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), *place, *told,
+            *(end.alias(k) for k, end in zip(keys, ends)),
         )
         .groupBy("h1", "h2")
-        .agg(F.min("place").alias("first"), F.first("n").alias("n"), F.array(*(F.first(f"k{i}") for i in range(4))).alias("ends"),
-             *([F.first("judged").alias("judged")] if short else [])),
+        .agg(F.min(F.struct(*place, *told, *keys)).alias("line"))
+    )
+    line = {c: F.col(f"line.{c}") for c in (*place, *told, *keys)}
+    return stored(
+        found.select(
+            "h1", "h2", F.struct(*(line[c].alias(c) for c in place)).alias("first"),
+            *(line[c].alias(c) for c in told), F.array(*(line[k] for k in keys)).alias("ends"),
+        ),
         "lines",
     )
 
@@ -155,24 +177,24 @@ def _variants(texts: DataFrame) -> DataFrame:
     their places, those behind move up. Kinds: 0 a variant beside its place, 1 a variant,
     2 a whole line.
     """
-    words = texts.select("ord", *_FLAGS, F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
+    # dealt as lines, not as words with their hashes
+    words = texts.repartition("ord").select("ord", *_FLAGS, F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
     here = [F.xxhash64("w", "i"), F.xxhash64(F.lit(1), "w", "i")]
     moved = [F.xxhash64("w", F.col("i") - 1), F.xxhash64(F.lit(1), "w", F.col("i") - 1)]
-    line = Window.partitionBy("ord")
-    so_far = line.orderBy("i")
-    before = so_far.rowsBetween(Window.unboundedPreceding, -1)
-    upto = so_far.rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("ord").orderBy("i")
+    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     hashed = words.select(
         "ord", *_FLAGS, "n", "i", *(h.alias(f"h{k}") for k, h in enumerate(here)), *(m.alias(f"m{k}") for k, m in enumerate(moved))
     )
     run = hashed.select(
-        "ord", *_FLAGS, "n", "i",
-        *(F.coalesce(F.bit_xor(f"h{k}").over(before), F.lit(0)).alias(f"before{k}") for k in (0, 1)),
+        "ord", *_FLAGS, "n", "i", "h0", "h1",
         *(F.bit_xor(f"h{k}").over(upto).alias(f"whole{k}") for k in (0, 1)),
         *(F.bit_xor(f"m{k}").over(upto).alias(f"moved{k}") for k in (0, 1)),
-        *(F.bit_xor(f"m{k}").over(line).alias(f"all{k}") for k in (0, 1)),
+        *(F.bit_xor(f"m{k}").over(whole).alias(f"all{k}") for k in (0, 1)),
     )
-    without = [F.col(f"before{k}").bitwiseXOR(F.col(f"all{k}")).bitwiseXOR(F.col(f"moved{k}")) for k in (0, 1)]
+    # whole and h: the words before this one, all and moved: those behind it
+    without = [F.col(f"whole{k}").bitwiseXOR(F.col(f"h{k}")).bitwiseXOR(F.col(f"all{k}")).bitwiseXOR(F.col(f"moved{k}")) for k in (0, 1)]
 
     def row(kind: int, *of) -> Column:
         keys = [F.xxhash64(F.lit(k), F.lit(min(kind, 1)), *(x[k] if isinstance(x, list) else x for x in of)) for k in (0, 1)]
@@ -189,7 +211,8 @@ def _variants(texts: DataFrame) -> DataFrame:
         ),
         F.when(F.col("longer") & (F.col("i") == F.col("n") - 1), row(2, F.col("n"), [F.col("whole0"), F.col("whole1")])),
     )
-    return run.select("ord", F.inline(F.filter(rows, lambda r: r.isNotNull()))).toDF("ord", "k1", "k2", "kind")
+    found = run.select("ord", F.explode(rows).alias("r")).filter("r is not null")
+    return stored(found.select("ord", F.col("r.k0").alias("k1"), F.col("r.k1").alias("k2"), "r.kind"), "variants")
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -251,7 +274,7 @@ def _judged(
     )
 
     def stays(line: Column, i: Column) -> Column:
-        return F.array_contains("kept", i) | ~compared(normal(line), min_words, min_chars)
+        return F.array_contains("kept", i) | ~compared(spaced(line), min_words, min_chars)
 
     told = lines.select("id", "carry", "bytes", "own", F.size("lines").alias("n"), F.filter("lines", stays).alias("stay"))
     return told.select(

@@ -160,3 +160,40 @@ def test_bitmap(spark):
     every = spark.range(5000).select("id", F.xxhash64("id").alias("h"))
     passed = {r["id"] for r in may_match(every, F.col("h"), bitmap(some, F.col("h"))).collect()}
     assert set(range(0, 5000, 7)) <= passed and len(passed) < 730
+
+
+def test_words_are_gone_through_once(make_docs, monkeypatch):
+    """The neighbourhood is made once and read twice, from lines dealt as a whole; texts are lowered once."""
+    plans, write = {}, line_dedup.stored
+
+    def noted(df, label):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(line_dedup, "stored", noted)
+    line = "one two three four five six seven eight"
+    rows = [(1, line), (2, line.replace("two", "2")), (3, f"{line.upper()}\n{line} nine")]
+    assert found(make_docs(rows)) == plain(rows)
+    assert [label for label, made in plans.items() if any("Window" in plan for plan in made)] == ["variants"]
+    (variants,), (lines,) = plans["variants"], plans["lines"]
+    assert variants.index("Generate posexplode") < variants.index("RepartitionByExpression")
+    assert lines[lines.index("Generate posexplode") :].count("lower(") == 1
+
+
+def test_normal_form_of_odd_texts(spark):
+    """Whether blanks or capitals are done with first makes no difference."""
+    rng = random.Random(5)
+    signs = ["a", "B", "Σ", "Α", "İ", "ẞ", "'", ".", "́", " ", " ", " ", "  ", "\t", "\r", "\f", "\x0b", "\n"]
+    rows = [("".join(rng.choice(signs) for _ in range(rng.randint(0, 12))),) for _ in range(2_000)]
+    first = F.regexp_replace(F.lower("text"), "[ \\t\\x0B\\f\\r]+", " ")
+    df = spark.createDataFrame(rows, "text string").select(line_dedup.normal(F.col("text")).alias("now"), first.alias("then"))
+    assert df.filter("now <> then").count() == 0
+
+
+@pytest.mark.parametrize("hashes", [range(64), [-1], [], range(0, 1 << 23, 8_191)])
+def test_bitmap_bit_by_bit(spark, hashes):
+    some = spark.createDataFrame([(h,) for h in hashes], "h long")
+    every = spark.createDataFrame([(h + d,) for h in [*hashes, 5] for d in (-8, -1, 0, 1, 8)], "h long").distinct()
+    passed = {r["h"] for r in may_match(every, F.col("h"), bitmap(some, F.col("h"))).collect()}
+    mask = (1 << 23) - 1
+    assert passed == {r["h"] for r in every.collect() if r["h"] & mask in {h & mask for h in hashes}}
